@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from varspan.llm import op01_secrets, op03_license, op04_decontaminate, op05_url_trust, op06_quality, op07_perspectives, op09_packing, op10_media
+from varspan.llm import op01_secrets, op03_license, op04_decontaminate, op05_url_trust, op06_quality, op07_perspectives, op08_setjoin, op09_packing, op10_media
 from varspan.llm.common import table
 
 QUERIES = {
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_url_trust": lambda spark, d: op05_url_trust.query(table(spark, d, "pages")),
     "op6_quality": lambda spark, d: op06_quality.query(table(spark, d, "documents"), table(spark, d, "labels")),
     "op7_perspectives": lambda spark, d: op07_perspectives.query(table(spark, d, "conversations")),
+    "op8_setjoin": lambda spark, d: op08_setjoin.query(table(spark, d, "documents")),
     "op9_packing": lambda spark, d: op09_packing.query(table(spark, d, "documents")),
     "op10_media": lambda spark, d: op10_media.query(table(spark, d, "documents")),
 }
