@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 #: Most ids that a semi- or anti-join sends to every executor (about 32 MB as a hash table); more are shuffled.
 BROADCAST_IDS = 1_000_000
+BROADCAST_BYTES = 32 << 20
 #: Bytes of text that one numpy step works on; a longer document is one step.
 CHUNK_BYTES = 1 << 20
 
@@ -51,6 +52,11 @@ def restrict(big: DataFrame, ids: DataFrame, on: str, how: str = "left_semi") ->
     return big.join(F.broadcast(ids) if few else ids.hint("shuffle_hash"), on, how)
 
 
+def attach(big: DataFrame, small: DataFrame, on: str, n_bytes: int) -> DataFrame:
+    """Left join that broadcasts `small` where its measured bytes are few, and shuffles both sides otherwise."""
+    return big.join(F.broadcast(small) if n_bytes <= BROADCAST_BYTES else small, on, "left")
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z alone."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from varspan.llm import op01_secrets, op03_license, op04_decontaminate, op05_url_trust, op06_quality, op07_perspectives, op08_setjoin, op09_packing, op10_media
+from varspan.llm import op01_secrets, op02_repeats, op03_license, op04_decontaminate, op05_url_trust, op06_quality, op07_perspectives, op08_setjoin, op09_packing, op10_media
 from varspan.llm.common import table
 
 QUERIES = {
     "op1_secrets": lambda spark, d: op01_secrets.query(table(spark, d, "documents")),
+    "op2_repeats": lambda spark, d: op02_repeats.query(table(spark, d, "documents")),
     "op3_license": lambda spark, d: op03_license.query(table(spark, d, "documents")),
     "op4_decontaminate": lambda spark, d: op04_decontaminate.query(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op5_url_trust": lambda spark, d: op05_url_trust.query(table(spark, d, "pages")),
