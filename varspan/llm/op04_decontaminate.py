@@ -136,6 +136,23 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: st
     return out
 
 
+def _clean(tests: Tests, text_col: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, docs in chunks(utf8(b, text_col)):
+                hit = search(Words(docs, ALNUM), tests)
+                yield b.slice(i, len(docs)).filter(pa.array([not x for x in hit]))
+
+    return run
+
+
+def remove(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """docs, with all columns, without the rows that hold a window of an item."""
+    for block in blocks(benchmark, item_col, item_text_col):
+        docs = docs.mapInArrow(_clean(Tests(block, window), text_col), docs.schema)
+    return docs
+
+
 def _summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows = {k: [] for k in ("n_hit", "n_items", "items_sha256", "longest_match")}
