@@ -1,4 +1,6 @@
 """Names of all registered queries with their Spark plan and DuckDB oracle."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from varspan.plans import record_queries, table_queries
+
+QUERIES: dict = {**record_queries.QUERIES, **table_queries.QUERIES}
+ORACLES: dict[str, str] = {**record_queries.ORACLES, **table_queries.ORACLES}
