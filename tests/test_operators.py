@@ -80,9 +80,7 @@ def truth_scan(calls, truth):
     for c in sorted(calls, key=lambda c: c["call_id"]):
         width = 10 if c["ref_len"] <= 49 and c["h0"] <= 49 else 200
         near = [t for t in order if abs(t["pos"] - c["pos"]) <= width]
-        firsts = [t for t in near if any(fit(c, 0, t, k) for k in (0, 1))]
-        pool = firsts or [t for t in near if any(fit(c, 1, t, k) for k in (0, 1))]
-        for t in pool:
+        for t in [t for h in (0, 1) for t in near if any(fit(c, h, t, k) for k in (0, 1))]:
             if t["site_id"] in used:
                 continue
             k0 = next((k for k in (0, 1) if fit(c, 0, t, k)), None)

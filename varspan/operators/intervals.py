@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Widest start tolerance of any class, and so the bin width.
@@ -91,7 +91,7 @@ def match_exact(calls: DataFrame, truth: DataFrame, run: tuple[str, ...] = ()) -
 def match_truth(calls: DataFrame, truth: DataFrame, run: tuple[str, ...] = (), rounds: int = 1000) -> DataFrame:
     """(run, call_id, site_id, n_hap): each call, in order of call_id, takes its first unused truth row.
 
-    A call's list is fixed: truth rows that fit its first haplotype by position, or where none does those that fit its second. Proposal
+    A call's list is fixed: truth rows that fit its first haplotype by position, then those that fit its second. Proposal
     rounds give the sequential result: every call without a row asks for its next; a row keeps the lowest call_id; later calls strike
     the row off. The loop ends when nothing changes."""
     from varspan.sources.text import checkpointed
@@ -101,8 +101,7 @@ def match_truth(calls: DataFrame, truth: DataFrame, run: tuple[str, ...] = (), r
     near = near.where(F.abs(F.col("c_pos") - F.col("t_pos")) <= window_of(F.col("c_ref"), F.col("c_h0")))
     n, first = matched_haplotypes(cc, tc)
     pairs = near.withColumns({"n_hap": n, "first": first}).where("n_hap > 0")
-    own = Window.partitionBy(*run, "call_id")
-    pairs = pairs.withColumn("any_first", F.max("first").over(own)).select(*run, "call_id", "site_id", "n_hap", F.struct(~F.col("first"), F.col("t_pos"), F.col("site_id")).alias("rank"))
+    pairs = pairs.select(*run, "call_id", "site_id", "n_hap", F.struct(~F.col("first"), F.col("t_pos"), F.col("site_id")).alias("rank"))
     left = checkpointed(pairs)
     for _ in range(rounds):
         asked = left.groupBy(*run, "call_id").agg(F.min_by("site_id", "rank").alias("site_id"))
