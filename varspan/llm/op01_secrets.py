@@ -43,10 +43,15 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return rows.select("doc_id", "path", "word", "w", "prev", "prev2", "next", F.explode(F.regexp_extract_all("w", F.lit(_CANDIDATE), 0)).alias("value"))
 
 
+def _triples(text) -> Column:
+    """All letter triples of a text, overlapping, in one pass over it."""
+    return F.regexp_extract_all(text, F.lit("(?=(...))"), 1)
+
+
 def common_triples(found: DataFrame) -> list[str]:
     """The commonest letter triples of all candidates: a bounded dictionary; there are no more than 26 ** 3 triples."""
     word = F.lower(F.regexp_replace("value", "[^A-Za-z]", ""))
-    triples = found.select(word.alias("v")).where("length(v) >= 3").select(F.explode(F.transform(F.sequence(F.lit(1), F.length("v") - 2), lambda i: F.substring(F.col("v"), i, F.lit(3)))).alias("t"))
+    triples = found.select(word.alias("v")).where("length(v) >= 3").select(F.explode(_triples("v")).alias("t"))
     return [r.t for r in triples.groupBy("t").count().orderBy(F.desc("count"), "t").limit(TRIPLES).collect()]
 
 
@@ -57,7 +62,7 @@ def features(found: DataFrame, dictionary: list[str]) -> DataFrame:
     head = F.expr("substring_index(w, value, 1)")
     before = F.concat_ws(" ", text("prev2"), text("prev"), head)
     low = F.lower("value")
-    known = F.filter(F.transform(F.sequence(F.lit(1), F.length("value") - 2), lambda i: F.substring(low, i, F.lit(3))), lambda t: t.isin(dictionary) if dictionary else F.lit(False))
+    known = F.filter(_triples(low), lambda t: t.isin(dictionary) if dictionary else F.lit(False))
     return found.withColumns({
         "length": n,
         "transitions": F.regexp_count(v, F.lit("[a-z](?=[A-Z0-9])|[A-Z](?=[a-z0-9])|[0-9](?=[A-Za-z])")) / n,
