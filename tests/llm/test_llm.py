@@ -194,7 +194,7 @@ def test_propagation_is_pagerank(spark):
 
 
 def test_quality_held_out(spark, odd, none):
-    d = "/root/testdata/sf0.01"
+    d = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
     got = op06_quality.judge(docs, labels.where("doc_id % 2 = 0"))
     r = got.join(labels.where("doc_id % 2 = 1"), "doc_id").select((F.col("keep") == (F.col("quality") == 1)).alias("ok"), "quality").groupBy("quality").agg(F.avg(F.col("ok").cast("int")).alias("a")).collect()
@@ -270,7 +270,8 @@ def brute_links(rows):
         w = bytes(c + 32 if 65 <= c <= 90 else c for c in (t or "").encode()).split()
         return frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset()
 
-    sets = [(d, shingles(t)) for d, t in rows]
+    lone = [repr((d, len(shingles(t)), None)) for d, t in rows if d is None]
+    sets = [(d, shingles(t)) for d, t in rows if d is not None]
     top = list(range(len(sets)))
 
     def find(k):
@@ -292,7 +293,7 @@ def brute_links(rows):
     least = defaultdict(list)
     for k, (d, _) in enumerate(sets):
         least[find(k)].append(d)
-    return sorted(repr((d, len(s), min((x for x in least[find(k)] if x is not None), default=None))) for k, (d, s) in enumerate(sets))
+    return sorted([*lone, *(repr((d, len(s), min(least[find(k)]))) for k, (d, s) in enumerate(sets))])
 
 
 def links(df):

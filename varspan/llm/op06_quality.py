@@ -69,7 +69,7 @@ class Model:
 def fit(features: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> Model:
     """Counts from all labelled documents; a row for each feature, bin and class comes to the driver."""
     l = labels.select(F.col(id_col).alias("i"), F.col(label_col).alias("q")).where("q is not null and i is not null").groupBy("i").agg(F.max("q").alias("q"))
-    joined = features.join(l, features.doc_id == l.i)
+    joined = features.join(l.hint("merge"), features.doc_id == l.i)  # labels grow with the documents
     rows = joined.select("q", F.posexplode("bins").alias("feature", "bin")).groupBy("feature", "bin", "q").count().collect()
     counts = {(r.feature, r.bin, int(r.q > 0)): r["count"] for r in rows}
     n = [sum(v for (f, _, q), v in counts.items() if f == 0 and q == k) for k in (0, 1)]
