@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 
 #: Most ids that a semi- or anti-join sends to every executor (about 32 MB as a hash table); more are shuffled.
 BROADCAST_IDS = 1_000_000
-BROADCAST_BYTES = 32 << 20
 #: Bytes of text that one numpy step works on; a longer document is one step.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 _SPACES = frozenset(b" \t\n\r\x0b\x0c")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -52,11 +51,6 @@ def restrict(big: DataFrame, ids: DataFrame, on: str, how: str = "left_semi") ->
     return big.join(F.broadcast(ids) if few else ids.hint("shuffle_hash"), on, how)
 
 
-def attach(big: DataFrame, small: DataFrame, on: str, n_bytes: int) -> DataFrame:
-    """Left join that broadcasts `small` where its measured bytes are few, and shuffles both sides otherwise."""
-    return big.join(F.broadcast(small) if n_bytes <= BROADCAST_BYTES else small, on, "left")
-
-
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z alone."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -137,12 +131,19 @@ def utf8(batch: pa.RecordBatch, name: str) -> list[bytes]:
     return [x or b"" for x in batch.column(name).cast(pa.binary()).to_pylist()]
 
 
+def text_chunks(batch: pa.RecordBatch, name: str, most: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+    """chunks() of a text column of a batch; a few hundred rows are turned into bytes at a time."""
+    for s in range(0, batch.num_rows, 256):
+        for i, docs in chunks(utf8(batch.slice(s, 256), name), most):
+            yield s + i, docs
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable over edges (a, b), by alternating large and small stars.
 
     Each round is two grouped minima and joins; a node with very many edges is a skewed join key, which adaptive
     execution splits. Rounds end when the set of edges stays as it was."""
-    now = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
+    now = written(edges.where("a is not null and b is not null").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
     last = None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))

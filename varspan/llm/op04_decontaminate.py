@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varspan.llm.common import ALNUM, Words, chunks, mix, utf8, with_columns_of
+from varspan.llm.common import ALNUM, Words, mix, text_chunks, with_columns_of
 
 WINDOW, HEAD, BITS = 10, 4, 22
 #: Bytes of benchmark text in one block.
@@ -105,7 +105,7 @@ def _search(tests: Tests):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("item_id", pa.string()), ("item_start", pa.int64())]))
         for b in batches:
-            for i, docs in chunks(utf8(b, "text")):
+            for i, docs in text_chunks(b, "text"):
                 w, part = Words(docs, ALNUM), b.slice(i, len(docs))
                 before = part.column("spans").to_pylist()
                 spans = [[*(x or []), *y] for x, y in zip(before, search(w, tests), strict=True)]
@@ -139,7 +139,7 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: st
 def _clean(tests: Tests, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i, docs in chunks(utf8(b, text_col)):
+            for i, docs in text_chunks(b, text_col):
                 hit = search(Words(docs, ALNUM), tests)
                 yield b.slice(i, len(docs)).filter(pa.array([not x for x in hit]))
 

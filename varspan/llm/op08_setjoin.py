@@ -6,14 +6,15 @@ common c-subset. Larger sets are joined by scanning inverted lists of their pref
 frequent shingles last (any order is exact; a bounded table of frequent ones makes lists short). The boundary is the size
 with the least counted cost: subsets to enumerate below it against list entries to scan above it.
 
-Pairs are verified on the whole texts. Only links between parts that aren't connected yet matter for components, so the
+Pairs are verified on the whole texts, once sizes and parity bitmaps (which bound the sets' difference from below) don't
+rule them out. Only links between parts that aren't connected yet matter for components, so the
 first rounds verify one pivot for each list and member, in proportion to the list's length; the last round verifies every
 remaining pair of a list whose members are in different components. So no link is lost and dense groups of
 near copies cost a line, not a square. Components come from alternating large and small stars.
 
 Words are runs of non-white-space with A-Z lower-cased; with fewer than five the whole sequence is one shingle.
-Defined results: null, empty and blank texts have empty sets, size 0, and are their own component; a null doc_id never names
-a component of others; rows that repeat a doc_id and a text are one class; other columns are kept out.
+Defined results: null, empty and blank texts have empty sets, size 0, and are their own component; a row with a null doc_id
+goes with rows of an equal set alone; rows that repeat a doc_id and a text are one class; other columns are kept out.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from varspan.llm.common import NON_SPACE, Words, chunks, components, mix, restrict, utf8, with_columns_of, written
+from varspan.llm.common import BROADCAST_IDS, NON_SPACE, Words, components, mix, restrict, text_chunks, utf8, with_columns_of, written
 
 SHINGLE, PERCENT = 5, 80
 #: Largest set that subsets may be enumerated for, and the largest partner of such a set.
@@ -36,10 +37,21 @@ SMALL, SMALL_PARTNER = 24, 30
 #: Shingles that are put last in the order, at most, and how often one must come to be among them.
 FREQUENT, OFTEN = 1 << 16, 32
 #: Pivot rounds before all remaining pairs are verified.
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 2
 _K = np.uint64(0xD6E8FEB86659FD93)
 
-SETS = "doc_id long, n long, cid long, key binary, tokens array<long>"
+#: Bits of a set's parity bitmap: a power of two not below its size, within these.
+LEAST_BITS, MOST_BITS = 1 << 10, 1 << 20
+
+SETS = "doc_id long, n long, cid long, key binary, tokens array<long>, bits array<long>"
+
+
+def parity(s: np.ndarray) -> np.ndarray:
+    """Bitmap of the parity of a set's shingles by the low bits of their hashes: two bitmaps differ in no more bits than the sets in
+    shingles. One of twice the length folds to the shorter by xor of its halves."""
+    bits = min(max(LEAST_BITS, 1 << max(0, len(s) - 1).bit_length()), MOST_BITS)
+    odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def shingle_sets(docs: list[bytes]) -> list[np.ndarray]:
@@ -85,7 +97,7 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(t[few].view(np.int64)), pa.array(n[few])], ["token", "n"])
 
     for b in batches:
-        for _, docs in chunks(utf8(b, "text")):
+        for _, docs in text_chunks(b, "text"):
             for s in shingle_sets(docs):
                 kept.append(s)
                 size += len(s)
@@ -118,14 +130,14 @@ def _sets(often: np.ndarray, counts: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i, docs in chunks(utf8(b, "text")):
+            for i, docs in text_chunks(b, "text"):
                 sets = shingle_sets(docs)
                 key = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
                 tokens = [ordered(s)[: prefix_length(len(s)) if len(s) > SMALL_PARTNER else None].view(np.int64) for s in sets]
                 ends = np.cumsum([0, *map(len, tokens)])
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*tokens, np.zeros(0, np.int64)])))
                 cid = pa.array([int.from_bytes(k[:8], "little", signed=True) if k else None for k in key], pa.int64())
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, len(docs)), pa.array([len(s) for s in sets], pa.int64()), cid, pa.array(key, pa.binary()), lists], ["doc_id", "n", "cid", "key", "tokens"])
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, len(docs)), pa.array([len(s) for s in sets], pa.int64()), cid, pa.array(key, pa.binary()), lists, pa.array([parity(s) for s in sets], pa.list_(pa.int64()))], ["doc_id", "n", "cid", "key", "tokens", "bits"])
 
     return run
 
@@ -190,12 +202,26 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64()), pa.array(ok)], ["a", "b", "linked"])
 
 
-def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b, linked) of class pairs, on whole texts; sizes that can't link are told first."""
-    x = texts.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("text").alias("text_a"))
-    y = texts.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("text").alias("text_b"))
-    sized = pairs.join(x, "a").join(y, "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT)
-    return written(sized.select("a", "b", "text_a", "text_b").mapInArrow(_linked, "a long, b long, linked boolean"))
+def promising(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Pairs (a, b) that sizes and parity bitmaps don't rule out. Both tests are exact: a linked pair always passes."""
+    x, y = (sketches.select(F.col("cid").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"bits_{c}")) for c in "ab")
+    j = pairs.select("a", "b").join(x, "a").join(y, "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT)
+    m = F.least(F.size("bits_a"), F.size("bits_b"))
+    xor = lambda v, w: v.bitwiseXOR(w)
+    # linked sets differ in size by a quarter at most, so their bitmaps are of one length or one is of twice the other's
+    fold = lambda c: F.when(F.size(c) > m, F.zip_with(F.slice(c, F.lit(1), m), F.slice(c, m + 1, m), xor)).otherwise(F.col(c))
+    differ = F.aggregate(F.zip_with(fold("bits_a"), fold("bits_b"), lambda v, w: F.bit_count(xor(v, w))), F.lit(0), lambda n, v: n + v)
+    return j.where(differ * (100 + PERCENT) <= (F.col("na") + F.col("nb")) * (100 - PERCENT)).select("a", "b")
+
+
+def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b, linked) of class pairs, on whole texts. Only texts of classes in some pair leave the scan."""
+    pairs = written(pairs)
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+    reps = written(classes.select("cid", "rep").join(ids, "cid").select(F.col("rep").alias("doc_id")).distinct())
+    texts = restrict(docs, reps, "doc_id").mapInArrow(_named, "cid long, text string")
+    x, y = (texts.select(F.col("cid").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
+    return written(pairs.join(x, "a").join(y, "b").select("a", "b", "text_a", "text_b").mapInArrow(_linked, "a long, b long, linked boolean"))
 
 
 def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -207,35 +233,30 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     lists = signatures(unique, boundary(unique))
     same = Window.partitionBy("sig")
     shared = written(lists.withColumns({"pivot": F.min("cid").over(same), "top": F.max("cid").over(same)}).where("pivot <> top").drop("top"))
-    wanted = shared.select("cid").distinct()
-    texts = restrict(docs, classes.join(wanted, "cid").select(F.col("rep").alias("doc_id")).distinct(), "doc_id")
-    texts = written(texts.mapInArrow(_named, "cid long, n long, text string"))
+    wanted = written(shared.select("cid").distinct())
+    sketches = written(restrict(unique.select("cid", "n", "bits"), wanted, "cid"))
 
-    # pivot rounds: a member goes with the pivot that it shares most lists with
-    done = None
-    groups = None
+    # pivot rounds: a member goes with the pivot that it shares most lists with; lists of one component are closed for good
+    done, left = None, shared.withColumn("group", F.col("cid"))
     for k in range(PIVOT_ROUNDS):
-        now = shared.select("sig", "cid", "pivot") if k == 0 else _open(shared, groups).withColumn("pivot", F.min_by("cid", F.xxhash64("cid", F.lit(k))).over(same))
-        star = now.where("cid <> pivot")
         if k:
-            p = groups.select(F.col("node").alias("pivot"), F.col("component").alias("pivot_group"))
-            star = star.join(p, "pivot", "left").where(F.coalesce("pivot_group", "pivot") != F.col("group"))
+            left = left.withColumn("pivot", F.min_by(F.struct("cid", "group"), F.xxhash64("cid", F.lit(k))).over(same))
+            left = left.withColumn("pivot_group", F.col("pivot.group")).withColumn("pivot", F.col("pivot.cid"))
+        star = left.where("cid <> pivot and group <> pivot_group" if k else "cid <> pivot")
         best = star.groupBy("cid", "pivot").count().groupBy("cid").agg(F.max_by("pivot", F.struct("count", "pivot")).alias("pivot"))
         pairs = best.select(F.least("cid", "pivot").alias("a"), F.greatest("cid", "pivot").alias("b")).distinct()
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        found = verify(pairs, texts)
+        found = verify(promising(pairs, sketches), docs, classes)
         done = found if done is None else done.unionByName(found)
         groups = components(done.where("linked").select("a", "b"))
+        left = written(_open(left, groups))
     # the rest: every pair of a list across components that wasn't looked at
-    left = written(_open(shared, groups))
     x = left.select("sig", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("lead").alias("la"), F.col("group").alias("ga"))
     y = left.select("sig", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("lead").alias("lb"), F.col("group").alias("gb"))
     lead = F.when(F.col("na") < F.col("nb"), F.col("la")).when(F.col("na") > F.col("nb"), F.col("lb")).otherwise(F.col("la") & F.col("lb"))
     rest = x.join(y, "sig").where((F.col("a") < F.col("b")) & (F.col("ga") != F.col("gb")) & lead & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT))
-    rest = rest.select("a", "b").distinct().join(done, ["a", "b"], "left_anti")
-    links = done.unionByName(verify(rest, texts)).where("linked").select("a", "b")
-    groups = components(links)
+    rest = rest.select("a", "b").distinct().join(done.select("a", "b"), ["a", "b"], "left_anti")
+    more = verify(promising(rest, sketches), docs, classes)
+    groups = components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more.where("linked").select("a", "b")))
 
     of_class = classes.join(groups.withColumnRenamed("node", "cid"), "cid", "left").withColumn("group", F.coalesce("component", "cid"))
     least = of_class.groupBy("group").agg(F.min("rep").alias("component_id"))
@@ -246,15 +267,17 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        for i, docs in chunks(utf8(b, "text")):
+        for i, docs in text_chunks(b, "text"):
             sets = shingle_sets(docs)
             cid = [int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=16).digest()[:8], "little", signed=True) if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([pa.array(cid, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), b.column("text").slice(i, len(docs))], ["cid", "n", "text"])
+            yield pa.RecordBatch.from_arrays([pa.array(cid, pa.int64()), b.column("text").slice(i, len(docs))], ["cid", "text"])
 
 
-def _open(shared: DataFrame, groups: DataFrame) -> DataFrame:
+def _open(left: DataFrame, groups: DataFrame) -> DataFrame:
     """List entries of lists whose members are in different components so far."""
-    g = shared.join(groups.withColumnRenamed("node", "cid"), "cid", "left").select("sig", "cid", "n", "lead", F.coalesce("component", "cid").alias("group"))
+    g = groups.select(F.col("node").alias("cid"), F.col("component"))
+    few = g.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    g = left.join(F.broadcast(g) if few else g, "cid", "left").select("sig", "cid", "n", "lead", F.coalesce("component", "cid").alias("group"))
     same = Window.partitionBy("sig")
     return g.withColumns({"lo": F.min("group").over(same), "hi": F.max("group").over(same)}).where("lo <> hi").drop("lo", "hi")
 
