@@ -6,12 +6,13 @@ hash; the identifier of 2k bytes at i is made from those of k bytes at i and at
 
 1. Whole documents that are exact copies of an earlier one are told by a grouped minimum and go no further.
 2. Of the 69 grams in each 100-byte window the one with the least identifier is the window's bucket (equal windows choose
-   alike). Consecutive windows with one choice are a run. Buckets that come once hold no repeat and aren't refined; a bounded bit
-   table of the others filters the second pass.
-3. Runs of equal text within a bucket: all but the first are repeats whole.
-4. First runs in buckets with different texts are refined: their windows' 100-byte identifiers are compared, and windows
-   that also start earlier are repeats.
+   alike). Consecutive windows with one choice are a run. Buckets that come once hold no repeat and aren't refined.
+3. In each bucket, runs of equal text are compared: all but the first are repeats whole. First runs in buckets with different
+   texts are refined recursively: into groups of 12 neighbouring windows, whose bucket is the text that all 12 have in
+   common, and these into single windows with their 100-byte identifiers.
 
+Each level reads the documents again and derives its rows anew (no text is shuffled); a bounded bit table of the buckets or
+rows that the level before left open tells which, and where that would be too large a join does.
 All comparing is by grouped minima, with map-side combining, and joins of rows with their minima, so a passage that a third of the
 documents share is no single group. Equal identifiers are taken for equal texts (64 bits within a 64-bit bucket).
 
@@ -30,15 +31,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varspan.llm.common import _BYTE, attach, chunks, mix, powers, restrict, span_hash, utf8, written
+from varspan.llm.common import _BYTE, mix, powers, restrict, span_hash, text_chunks, utf8, written
 
 LENGTH, GRAM = 100, 32
 #: Bytes that one step works on, so that its arrays stay in the processor's cache.
 STEP = 1 << 17
-#: Bits of the bucket filter for each bucket, and at most; beyond, buckets are joined.
-FILTER_X, FILTER_BITS = 16, 1 << 29
+#: Neighbouring windows in a group.
+GROUP = 12
+#: Bits of a filter for each key, and at most; beyond, keys are joined.
+FILTER_X, FILTER_BITS = 32, 1 << 29
 _M = mix(np.arange(1, 9, dtype=np.uint64)) | np.uint64(1)
-RUNS = "bucket long, text long, i long, at long, again boolean"
+_LOW = np.uint64(0xFFFFFF)
+RUNS = "bucket long, text long, i long, at long, again boolean, key long"
 
 
 def grams(buf: np.ndarray) -> dict[int, np.ndarray]:
@@ -52,119 +56,167 @@ def grams(buf: np.ndarray) -> dict[int, np.ndarray]:
     return out
 
 
-def windows(buf: np.ndarray) -> np.ndarray:
+def whole_windows(buf: np.ndarray) -> np.ndarray:
     """Bucket identifiers of LENGTH bytes from each position: 32 and 32, then 32, then 4."""
     g, n = grams(buf), len(buf) - LENGTH + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
     x = (g[32][:n] * _M[5] + g[32][32 : 32 + n]) * _M[6] + g[32][64 : 64 + n]
     return mix(x * _M[7] + g[4][96 : 96 + n])
 
 
-def segment_runs(buf: np.ndarray, ends: np.ndarray, texts: bool) -> tuple[np.ndarray, ...]:
-    """Runs of windows in a buffer of documents that end at `ends`: start, number of windows, bucket, hash of the text."""
-    n = len(buf) - LENGTH + 1
-    none = np.zeros(0, np.int64)
-    if n <= 0:
-        return none, none, none.view(np.uint64), none.view(np.uint64)
-    score = mix(grams(buf)[GRAM])
-    low = np.uint64(0xFFFFFF)
-    m = (score & ~low) | np.arange(len(score), dtype=np.uint64)
-    for step in (1, 2, 4, 8, 16, 32, LENGTH - GRAM + 1 - 64):
-        m = np.minimum(m[:-step], m[step:])
-    valid = np.ones(n, bool)
-    across = (ends[:-1, None] - np.arange(1, LENGTH)).ravel()
-    valid[across[(across >= 0) & (across < n)]] = False
-    at = np.flatnonzero(valid)
-    if not len(at):
-        return none, none, none.view(np.uint64), none.view(np.uint64)
-    choice = (m[at] & low).astype(np.int64)
-    first = np.concatenate([[0], np.flatnonzero((choice[1:] != choice[:-1]) | (at[1:] != at[:-1] + 1)) + 1])
-    start, size = at[first], np.diff(np.append(first, len(at)))
-    if not texts:
-        return start, size, score[choice[first]], none.view(np.uint64)
-    up, _ = powers(len(buf))
-    sums = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum(_BYTE[buf] * up, out=sums[1:])
-    return start, size, score[choice[first]], span_hash(sums, start, start + size + LENGTH - 1)
-
-
-def runs(docs: list[bytes], texts: bool = True) -> tuple[np.ndarray, ...]:
-    """document, start, number of windows, bucket and text hash of the runs of several documents, or of one long one."""
+def _breaks(*columns: np.ndarray) -> np.ndarray:
+    """Where a run of equal rows begins."""
+    new = np.zeros(max(0, len(columns[0]) - 1), bool)
+    for c in columns:
+        new |= c[1:] != c[:-1]
+    return np.concatenate([[0], np.flatnonzero(new) + 1]) if len(columns[0]) else np.zeros(0, np.int64)
+
+
+class Segment:
+    """Runs of windows in a buffer of documents that end at `ends`: start, size, bucket and the place of the chosen gram."""
+
+    def __init__(self, buf: np.ndarray, ends: np.ndarray):
+        self.buf, n = buf, len(buf) - LENGTH + 1
+        self.start = self.size = self.place = np.zeros(0, np.int64)
+        self.bucket = np.zeros(0, np.uint64)
+        self._sums = None
+        if n <= 0:
+            return
+        score = mix(grams(buf)[GRAM])
+        m = (score & ~_LOW) | np.arange(len(score), dtype=np.uint64)
+        for step in (1, 2, 4, 8, 16, 32, LENGTH - GRAM + 1 - 64):
+            m = np.minimum(m[:-step], m[step:])
+        valid = np.ones(n, bool)
+        across = (ends[:-1, None] - np.arange(1, LENGTH)).ravel()
+        valid[across[(across >= 0) & (across < n)]] = False
+        at = np.flatnonzero(valid)
+        choice = (m[at] & _LOW).astype(np.int64)
+        first = _breaks(choice, at - np.arange(len(at)))
+        self.start, self.place, self.size = at[first], choice[first], np.diff(np.append(first, len(at)))
+        self.bucket = mix(score[self.place])  # chosen gram identifiers are small ones: spread them again
+
+    def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        if self._sums is None:
+            up, _ = powers(len(self.buf))
+            self._sums = np.zeros(len(self.buf) + 1, np.uint64)
+            np.cumsum(_BYTE[self.buf] * up, out=self._sums[1:])
+        return span_hash(self._sums, start, end)
+
+    def text(self) -> np.ndarray:
+        return self.hash(self.start, self.start + self.size + LENGTH - 1)
+
+    def pick(self, ok: np.ndarray) -> None:
+        self.start, self.size, self.place, self.bucket = self.start[ok], self.size[ok], self.place[ok], self.bucket[ok]
+
+    def once(self, doc: np.ndarray) -> None:
+        """Of rows that a document repeats, the first alone: the others are repeats, whatever is in them."""
+        order = np.lexsort((self.start, t := self.text(), self.bucket, doc))
+        self.pick(np.sort(order[_breaks(doc[order], self.bucket[order], t[order])]))
+
+    def _spread(self) -> tuple[np.ndarray, np.ndarray]:
+        run = np.repeat(np.arange(len(self.size)), self.size)
+        return run, np.repeat(self.start - np.cumsum(self.size) + self.size, self.size) + np.arange(self.size.sum())
+
+    def to_groups(self, key: np.ndarray) -> np.ndarray:
+        """Runs to groups of GROUP neighbouring windows, placed by the chosen gram; a group's bucket is the text that all have in common.
+        Returns the key of each group's run."""
+        run, pos = self._spread()
+        block = (self.place[run] - pos) // GROUP
+        first = _breaks(run, block)
+        place, block = self.place[run[first]], block[first]
+        self.start, self.size, self.place = pos[first], np.diff(np.append(first, len(pos))), place
+        last = place - GROUP * block  # the last window's start in a full group
+        self.bucket = mix(self.hash(last, last - GROUP + 1 + LENGTH) + block.astype(np.uint64) * _M[0])
+        return key[run[first]]
+
+    def to_windows(self) -> np.ndarray:
+        """Groups to single windows; returns their identifiers."""
+        run, pos = self._spread()
+        self.start, self.size, self.place, self.bucket = pos, np.ones(len(pos), np.int64), self.place[run], self.bucket[run]
+        return whole_windows(self.buf)[pos] if len(pos) else np.zeros(0, np.uint64)
+
+
+def segments(docs: list[bytes]) -> Iterator[tuple[Segment, np.ndarray, int]]:
+    """Segments of several documents, or of one long one, with the documents' starts and what to add to a start."""
     buf, ends = np.frombuffer(b"".join(docs), np.uint8), np.cumsum([len(d) for d in docs])
     if len(docs) == 1:
-        parts = []
         for s in range(0, max(1, len(buf) - LENGTH + 1), STEP):
-            a, *rest = segment_runs(buf[s : s + STEP + LENGTH - 1], ends[:1], texts)
-            parts.append((a + s, *rest))
-        start, *rest = (np.concatenate(x) for x in zip(*parts, strict=True))
+            yield Segment(buf[s : s + STEP + LENGTH - 1], ends[:1]), ends, s
     else:
-        start, *rest = segment_runs(buf, ends, texts)
-    doc = np.searchsorted(ends, start, "right")
-    return doc, start - np.concatenate([[0], ends])[doc], *rest
+        yield Segment(buf, ends), ends, 0
+
+
+def _key(bucket: np.ndarray, text: np.ndarray, i: np.ndarray) -> np.ndarray:
+    x = i.view(np.uint64)
+    return bucket ^ (text >> np.uint64(1)) ^ (x << np.uint64(41)) ^ (x << np.uint64(29))
+
+
+def _held(bits, key: np.ndarray) -> np.ndarray:
+    word = bits.value
+    x = key >> np.uint64(64 - (len(word) * 64).bit_length() + 1)
+    return (word[(x >> np.uint64(6)).astype(np.int64)] >> (x & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        for _, docs in chunks(utf8(b, "text"), STEP):
-            yield pa.RecordBatch.from_arrays([pa.array(runs(docs, False)[3].view(np.int64))], ["bucket"])
+        for _, docs in text_chunks(b, "text", STEP):
+            for s, _, _ in segments(docs):
+                yield pa.RecordBatch.from_arrays([pa.array(s.bucket.view(np.int64))], ["bucket"])
 
 
-def _runs(bits):
+def _rows(tables: list):
+    """Rows of a level: runs whose bucket is in the first table; of the runs in the second the groups; of the groups in the third the windows.
+    Where a table is None all pass, and `key` is for a join."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column("i").to_numpy()
-            for k, docs in chunks(utf8(b, "text"), STEP):
-                doc, start, size, bucket, text = runs(docs)
-                if bits is not None:
-                    word = bits.value
-                    shift = np.uint64(64 - (len(word) * 64).bit_length() + 1)
-                    x = bucket >> shift
-                    ok = (word[(x >> np.uint64(6)).astype(np.int64)] >> (x & np.uint64(63)) & np.uint64(1)).astype(bool)
-                    doc, start, size, bucket, text = doc[ok], start[ok], size[ok], bucket[ok], text[ok]
-                order = np.lexsort((start, text, bucket, doc))
-                again = np.zeros(len(doc), bool)
-                d, g, t = doc[order], bucket[order], text[order]
-                again[order[1:]] = (d[1:] == d[:-1]) & (g[1:] == g[:-1]) & (t[1:] == t[:-1])
-                yield pa.RecordBatch.from_arrays([pa.array(bucket.view(np.int64)), pa.array(text.view(np.int64)), pa.array(ids[k + doc]), pa.array(start * 128 + size), pa.array(again)], ["bucket", "text", "i", "at", "again"])
+            for k, docs in text_chunks(b, "text", STEP):
+                parts = []
+                for s, ends, shift in segments(docs):
+                    of = lambda at: np.searchsorted(ends, at + shift, "right")  # noqa: E731, B023
+                    key = s.bucket
+                    if tables[0] is not None:
+                        s.pick(_held(tables[0], key))
+                        key = s.bucket
+                    if len(tables) > 1 and len(s.start):
+                        key = _key(s.bucket, s.text(), ids[k + of(s.start)])
+                        if tables[1] is not None:
+                            s.pick(_held(tables[1], key))
+                        s.once(of(s.start))
+                        key = s.to_groups(_key(s.bucket, s.text(), ids[k + of(s.start)]))
+                    if len(tables) > 2 and len(s.start):
+                        if tables[2] is not None:
+                            s.pick(_held(tables[2], _key(s.bucket, s.text(), ids[k + of(s.start)])))
+                        s.once(of(s.start))
+                        key = np.repeat(_key(s.bucket, s.text(), ids[k + of(s.start)]), s.size)
+                        text = s.to_windows()
+                    else:
+                        text = s.text() if len(s.start) else np.zeros(0, np.uint64)
+                    doc = of(s.start)
+                    start = s.start + shift - np.concatenate([[0], ends])[doc]
+                    key = key if len(key) == len(start) else np.zeros(len(start), np.uint64)
+                    parts.append((s.bucket, text, doc, start * 128 + s.size, key))
+                bucket, text, doc, at, key = (np.concatenate(x) for x in zip(*parts, strict=True))
+                order = np.lexsort((at, text, bucket, doc))
+                again = np.ones(len(doc), bool)
+                again[order[_breaks(doc[order], bucket[order], text[order])]] = False
+                yield pa.RecordBatch.from_arrays([pa.array(bucket.view(np.int64)), pa.array(text.view(np.int64)), pa.array(ids[k + doc]), pa.array(at), pa.array(again), pa.array(key.view(np.int64))], ["bucket", "text", "i", "at", "again", "key"])
 
     return run
 
 
-def bucket_filter(buckets: DataFrame):
-    """A broadcast bit table of the buckets, or None where it would be too large. It lets a few others pass, which do no harm."""
-    n = buckets.count()
+def bit_table(keys: DataFrame):
+    """A broadcast bit table of the keys, or None where it would be too large. It lets a few others pass, which do no harm."""
+    n = keys.count()
     k = max(12, (max(1, n) * FILTER_X - 1).bit_length())
     if 1 << k > FILTER_BITS:
         return None
-    x = F.shiftrightunsigned("bucket", 64 - k)
-    words = buckets.groupBy(F.shiftright(x, 6).cast("int").alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(bucket, {64 - k}) & 63 as int))")).alias("bits"))
-    got = words.toArrow()
+    x = F.shiftrightunsigned("key", 64 - k)
+    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - k}) & 63 as int))")
+    got = keys.groupBy(F.shiftright(x, 6).cast("int").alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
     table = np.zeros(1 << (k - 6), np.uint64)
     table[got["word"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
-    return buckets.sparkSession.sparkContext.broadcast(table)
-
-
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        ids, lists = b.column("i").to_numpy(), b.column("runs").to_pylist()
-        for k, text in enumerate(utf8(b, "text")):
-            buf = np.frombuffer(text, np.uint8)
-            for s in range(0, max(1, len(buf) - LENGTH + 1), 1 << 22):
-                part = buf[s : s + (1 << 22) + LENGTH - 1]
-                own = [r for r in lists[k] if s <= r["at"] >> 7 < s + (1 << 22)]
-                if not own:
-                    continue
-                at, bucket = np.array([r["at"] for r in own], np.int64), np.array([r["bucket"] for r in own], np.int64)
-                size = at & 127
-                pos = np.repeat((at >> 7) - np.cumsum(size) + size, size) + np.arange(size.sum())
-                ok = pos < s + len(part) - LENGTH + 1  # rows that repeat a doc_id may be shorter
-                pos, g = pos[ok], np.repeat(bucket, size)[ok]
-                h = windows(part)[pos - s]
-                order = np.lexsort((pos, h, g))
-                again = np.zeros(len(pos), bool)
-                again[order[1:]] = (h[order[1:]] == h[order[:-1]]) & (g[order[1:]] == g[order[:-1]])
-                yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(h.view(np.int64)), pa.array(np.full(len(pos), ids[k])), pa.array(pos * 128 + 1), pa.array(again)], ["bucket", "text", "i", "at", "again"])
+    return keys.sparkSession.sparkContext.broadcast(table)
 
 
 def spans_of(at: np.ndarray, n: int) -> list[tuple[int, int]]:
@@ -196,24 +248,29 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(rows[0], pa.int64()), pa.array(rows[1], kind), pa.array(rows[2], pa.binary())], ["doc_id", "n_bytes", "spans", "kept"])
 
 
+def _level(docs: DataFrame, tables: list, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One refinement: (i, at) of the rows that repeat an earlier one of their bucket, and the keys of first rows in buckets with
+    different texts. All sides grow with the input, so none is ever broadcast, however small the input."""
+    rows = docs.mapInArrow(_rows(tables), RUNS)
+    rows = written((rows if tables[-1] is not None else rows.join(keys, "key", "left_semi")).drop("key"))
+    first = written(rows.groupBy("bucket", "text").agg(F.min("i").alias("first"), F.count("*").alias("n")))
+    found = rows.join(first.where("n > 1").drop("n").hint("merge"), ["bucket", "text"]).where(F.col("again") | (F.col("i") > F.col("first"))).select("i", "at")
+    mixed = first.groupBy("bucket").agg(F.count("*").alias("texts")).where("texts > 1").select("bucket")
+    key = F.col("bucket").bitwiseXOR(F.shiftrightunsigned("text", 1)).bitwiseXOR(F.shiftleft("first", 41)).bitwiseXOR(F.shiftleft("first", 29))
+    return found, first.join(mixed.hint("merge"), "bucket", "left_semi").select(key.alias("key"))
+
+
 def repeats(docs: DataFrame) -> DataFrame:
     """(i, at) of all runs of windows that also start earlier: at is 128 * start + number of windows. docs has i and text."""
-    found = docs.mapInArrow(_buckets, "bucket long").groupBy("bucket").count().where("count > 1").select("bucket")
-    found = written(found)
-    bits = bucket_filter(found)
-    rows = docs.mapInArrow(_runs(bits), RUNS)
-    rows = written(rows if bits is not None else rows.join(found, "bucket", "left_semi"))
-    first = written(rows.groupBy("bucket", "text").agg(F.min("i").alias("first"), F.count("*").alias("n")))
-    mixed = first.groupBy("bucket").count().where("count > 1").select("bucket", F.lit(True).alias("mixed"))
-    known = first.join(mixed, "bucket", "left").where("n > 1 or mixed").drop("n")
-    judged = written(rows.join(known, ["bucket", "text"]).select("bucket", "i", "at", (F.col("again") | (F.col("i") > F.col("first"))).alias("repeat"), "mixed").where("repeat or mixed"))
-    fine = judged.where("not repeat").groupBy("i").agg(F.collect_list(F.struct("at", "bucket")).alias("runs"))  # as many as the text is long
-    fine = written(fine)
-    texts = restrict(docs, fine.select("i"), "i").join(fine, "i")
-    each = written(texts.select("i", "text", "runs").mapInArrow(_windows, RUNS))
-    least = each.groupBy("bucket", "text").agg(F.min("i").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    more = each.join(least, ["bucket", "text"]).where(F.col("again") | (F.col("i") > F.col("first"))).select("i", "at")
-    return judged.where("repeat").select("i", "at").unionByName(more)
+    keys = written(docs.mapInArrow(_buckets, "bucket long").groupBy("bucket").count().where("count > 1").select(F.col("bucket").alias("key")))
+    tables, out = [], None
+    for last in (False, False, True):
+        tables.append(bit_table(keys))
+        found, keys = _level(docs, tables, keys)
+        out = found if out is None else out.unionByName(found)
+        if not last:
+            keys = written(keys)
+    return out
 
 
 def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -227,8 +284,9 @@ def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     spans = written(found.groupBy("i").agg(F.collect_list("at").alias("at")))  # as many as the text is long
     marks = spans.withColumn("whole", F.lit(False)).unionByName(copies.select("i", F.array().cast("array<long>").alias("at"), F.lit(True).alias("whole")))
     marks = marks.groupBy("i").agg(F.flatten(F.collect_list("at")).alias("at"), F.max("whole").alias("whole"))  # two rows at most
-    size = marks.agg(F.sum(F.size("at") * 8 + 48).alias("n")).first().n or 0
-    return attach(docs, marks, "i", size).select("doc_id", "text", "at", "whole").mapInArrow(_cut, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+    # the marks grow with the input, so both sides are shuffled, however small the input
+    joined = docs.join(marks.hint("merge"), "i", "left")
+    return joined.select("doc_id", "text", "at", "whole").mapInArrow(_cut, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
 
 
 def query(docs: DataFrame) -> DataFrame:
