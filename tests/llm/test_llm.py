@@ -79,6 +79,22 @@ def test_repeats_without_filters(spark, odd, monkeypatch):
     assert repeats(odd) == brute_repeats(dict(TEXTS).items())
 
 
+@pytest.mark.parametrize("most", [op02_repeats.BROADCAST_IDS, 0])
+def test_repeats_of_rows_that_share_an_id(spark, monkeypatch, most):
+    monkeypatch.setattr(op02_repeats, "BROADCAST_IDS", most)
+    text = lambda step: " ".join(f"{step}v{k * step % 1009}" for k in range(1, 90))
+    a, b, c, shared, d, e = map(text, (7, 11, 13, 17, 19, 23))
+    rows = [(None, P), (None, COPY), (None, COPY), (None, a), (-(1 << 63), COPY), (-(1 << 63), b), (4, c), (5, c), (5, d), (6, d), (7, shared + "|" + e), (7, "xyz" + shared), (8, e), (9, "short"), (None, "short"), (None, "short")]
+    got = op02_repeats.cut(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    left = sorted(((r.doc_id, r.kept.decode()) for r in got if r.doc_id != 7), key=repr)
+    kept_p = next(t for i, t in left if i is None and t[:5] == P[:5])
+    assert 100 < len(kept_p) < len(P) / 2
+    want = [(None, kept_p), (None, COPY), (None, ""), (None, a), (-(1 << 63), ""), (-(1 << 63), b), (4, c), (5, ""), (5, d), (6, ""), (8, ""), (9, "short"), (None, "short"), (None, "short")]
+    assert left == sorted(want, key=repr)
+    seven = {r.kept.decode() for r in got if r.doc_id == 7}
+    assert seven in ({shared + "|" + e, "xyz"}, {"|" + e, "xyz" + shared})
+
+
 # --- 3
 
 

@@ -45,7 +45,7 @@ def written(df: DataFrame, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def restrict(big: DataFrame, ids: DataFrame, on: str, how: str = "left_semi") -> DataFrame:
+def restrict(big: DataFrame, ids: DataFrame, on: str | list[str], how: str = "left_semi") -> DataFrame:
     """Semi- or anti-join with a table of ids: broadcast if a count shows it to be small, shuffled otherwise."""
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     return big.join(F.broadcast(ids) if few else ids.hint("shuffle_hash"), on, how)

@@ -16,9 +16,11 @@ rows that the level before left open tells which, and where that would be too la
 All comparing is by grouped minima, with map-side combining, and joins of rows with their minima, so a passage that a third of the
 documents share is no single group. Equal identifiers are taken for equal texts (64 bits within a 64-bit bucket).
 
-Defined results: null and empty texts have 0 bytes and the digest of nothing; rows that repeat a doc_id are one document:
-they don't make each other repeated, and runs found in one are removed from each; a null doc_id stands before all
-others; other columns are kept out; a very long text is worked through in segments.
+Defined results: null and empty texts have 0 bytes and the digest of nothing; rows that repeat a doc_id with the same text are
+one document and don't make each other repeated; those with different texts are documents of their own, in the order of
+their keys (64-bit digests of the text); rows without doc_id stand before all others, in the order of their keys, each a
+document of its own, and of those with one text one alone is kept; other columns are kept out; a very long text is worked
+through in segments.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varspan.llm.common import _BYTE, mix, powers, restrict, span_hash, text_chunks, utf8, written
+from varspan.llm.common import _BYTE, BROADCAST_IDS, mix, powers, restrict, span_hash, text_chunks, utf8, written
 
 LENGTH, GRAM = 100, 32
 #: Bytes that one step works on, so that its arrays stay in the processor's cache.
@@ -42,7 +44,9 @@ GROUP = 12
 FILTER_X, FILTER_BITS = 32, 1 << 29
 _M = mix(np.arange(1, 9, dtype=np.uint64)) | np.uint64(1)
 _LOW = np.uint64(0xFFFFFF)
-RUNS = "bucket long, text long, i long, at long, again boolean, key long"
+RUNS = "bucket long, text long, i long, k long, at long, again boolean, key long"
+#: The `i` of rows without doc_id; their `k` is below 0, that of rows with a repeated doc_id above, and of all others 0.
+LEAST = -(1 << 63)
 
 
 def grams(buf: np.ndarray) -> dict[int, np.ndarray]:
@@ -169,7 +173,7 @@ def _rows(tables: list):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = b.column("i").to_numpy()
+            ids, row_key = b.column("i").to_numpy(), b.column("k").to_numpy()
             for k, docs in text_chunks(b, "text", STEP):
                 parts = []
                 for s, ends, shift in segments(docs):
@@ -200,7 +204,7 @@ def _rows(tables: list):
                 order = np.lexsort((at, text, bucket, doc))
                 again = np.ones(len(doc), bool)
                 again[order[_breaks(doc[order], bucket[order], text[order])]] = False
-                yield pa.RecordBatch.from_arrays([pa.array(bucket.view(np.int64)), pa.array(text.view(np.int64)), pa.array(ids[k + doc]), pa.array(at), pa.array(again), pa.array(key.view(np.int64))], ["bucket", "text", "i", "at", "again", "key"])
+                yield pa.RecordBatch.from_arrays([pa.array(bucket.view(np.int64)), pa.array(text.view(np.int64)), pa.array(ids[k + doc]), pa.array(row_key[k + doc]), pa.array(at), pa.array(again), pa.array(key.view(np.int64))], ["bucket", "text", "i", "k", "at", "again", "key"])
 
     return run
 
@@ -248,45 +252,77 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(rows[0], pa.int64()), pa.array(rows[1], kind), pa.array(rows[2], pa.binary())], ["doc_id", "n_bytes", "spans", "kept"])
 
 
-def _level(docs: DataFrame, tables: list, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One refinement: (i, at) of the rows that repeat an earlier one of their bucket, and the keys of first rows in buckets with
+def _level(docs: DataFrame, tables: list, keys: DataFrame, keyed: bool) -> tuple[DataFrame, DataFrame]:
+    """One refinement: (i, k, at) of the rows that repeat an earlier one of their bucket, and the keys of first rows in buckets with
     different texts. All sides grow with the input, so none is ever broadcast, however small the input."""
     rows = docs.mapInArrow(_rows(tables), RUNS)
     rows = written((rows if tables[-1] is not None else rows.join(keys, "key", "left_semi")).drop("key"))
     first = written(rows.groupBy("bucket", "text").agg(F.min("i").alias("first"), F.count("*").alias("n")))
-    found = rows.join(first.where("n > 1").drop("n").hint("merge"), ["bucket", "text"]).where(F.col("again") | (F.col("i") > F.col("first"))).select("i", "at")
+    found = rows.join(first.where("n > 1").drop("n").hint("merge"), ["bucket", "text"]).where(F.col("again") | (F.col("i") > F.col("first"))).select("i", "k", "at")
+    if keyed:  # rows of one doc_id that have different texts: the one of least key stands first
+        same = rows.where("k <> 0")
+        least = same.groupBy("bucket", "text", "i").agg(F.min("k").alias("least"), F.max("k").alias("most")).where("least < most").drop("most")
+        found = found.unionByName(same.join(least.hint("merge"), ["bucket", "text", "i"]).where("k > least").select("i", "k", "at"))
     mixed = first.groupBy("bucket").agg(F.count("*").alias("texts")).where("texts > 1").select("bucket")
     key = F.col("bucket").bitwiseXOR(F.shiftrightunsigned("text", 1)).bitwiseXOR(F.shiftleft("first", 41)).bitwiseXOR(F.shiftleft("first", 29))
     return found, first.join(mixed.hint("merge"), "bucket", "left_semi").select(key.alias("key"))
 
 
-def repeats(docs: DataFrame) -> DataFrame:
-    """(i, at) of all runs of windows that also start earlier: at is 128 * start + number of windows. docs has i and text."""
+def repeats(docs: DataFrame, keyed: bool = True) -> DataFrame:
+    """(i, k, at) of all runs of windows that also start earlier: at is 128 * start + number of windows. docs has i, k and text;
+    keyed tells whether a k may be other than 0."""
     keys = written(docs.mapInArrow(_buckets, "bucket long").groupBy("bucket").count().where("count > 1").select(F.col("bucket").alias("key")))
     tables, out = [], None
     for last in (False, False, True):
         tables.append(bit_table(keys))
-        found, keys = _level(docs, tables, keys)
+        found, keys = _level(docs, tables, keys, keyed)
         out = found if out is None else out.unionByName(found)
         if not last:
             keys = written(keys)
     return out
 
 
+def with_keys(docs: DataFrame) -> tuple[DataFrame, bool, bool]:
+    """docs with the key `k` of each row, whether any is other than 0, and whether there are rows without doc_id.
+
+    Only doc_ids that come with different texts need keys, so that k costs nothing elsewhere; where they are too many to be
+    sent to all executors, every row has one."""
+    digest = F.xxhash64("text").bitwiseAND(F.lit((1 << 63) - 1))
+    own = F.greatest(F.lit(1).cast("long"), digest)
+    ids = docs.select("i", digest.alias("d"), F.col("doc_id").isNull().alias("no_id"))
+    clash = written(ids.groupBy("i").agg(F.min("d").alias("a"), F.max("d").alias("z"), F.max("no_id").alias("no_id")).where(f"no_id or a < z or i = {LEAST}").select("i", "no_id"))
+    nulls = clash.where("no_id").count() > 0
+    clash = clash.select("i", F.lit(True).alias("clash"))
+    few = clash.limit(BROADCAST_IDS + 1).count()
+    if few == 0:
+        return docs.withColumn("k", F.lit(0).cast("long")), False, False
+    if few <= BROADCAST_IDS:
+        own = F.when(F.col("clash"), own).otherwise(F.lit(0).cast("long"))
+        docs = docs.join(F.broadcast(clash), "i", "left")
+    k = F.when(F.col("doc_id").isNull(), F.xxhash64("text").bitwiseOR(F.lit(LEAST))).otherwise(own)
+    return docs.select("doc_id", "i", k.alias("k"), "text"), True, nulls
+
+
 def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, the removed spans (byte offsets) and the bytes that are left."""
-    least = -(1 << 63)
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(least)).alias("i"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    named = written(docs.select("i", F.md5("text").alias("key"), F.octet_length("text").alias("n")))
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST)).alias("i"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    docs, keyed, nulls = with_keys(docs)
+    named = written(docs.select("i", "k", F.md5("text").alias("key"), F.octet_length("text").alias("n")))
     originals = named.groupBy("key", "n").agg(F.min("i").alias("first"))
-    copies = written(named.join(originals, ["key", "n"]).where("i > first").select("i").distinct())
-    found = repeats(restrict(docs.select("i", "text"), copies, "i", "left_anti").where(F.octet_length("text") >= LENGTH))
-    spans = written(found.groupBy("i").agg(F.collect_list("at").alias("at")))  # as many as the text is long
-    marks = spans.withColumn("whole", F.lit(False)).unionByName(copies.select("i", F.array().cast("array<long>").alias("at"), F.lit(True).alias("whole")))
-    marks = marks.groupBy("i").agg(F.flatten(F.collect_list("at")).alias("at"), F.max("whole").alias("whole"))  # two rows at most
+    copies = named.join(originals, ["key", "n"]).where("i > first").select("i", "k")
+    copies = written(copies.distinct())  # equal texts under one doc_id have one key
+    found = repeats(restrict(docs.select("i", "k", "text"), copies, ["i", "k"], "left_anti").where(F.octet_length("text") >= LENGTH), keyed)
+    spans = written(found.groupBy("i", "k").agg(F.collect_set("at").alias("at")))  # as many as the text is long
+    marks = spans.withColumn("whole", F.lit(False)).unionByName(copies.select("i", "k", F.array().cast("array<long>").alias("at"), F.lit(True).alias("whole")))
+    marks = marks.groupBy("i", "k").agg(F.flatten(F.collect_list("at")).alias("at"), F.max("whole").alias("whole"))  # two rows at most
     # the marks grow with the input, so both sides are shuffled, however small the input
-    joined = docs.join(marks.hint("merge"), "i", "left")
-    return joined.select("doc_id", "text", "at", "whole").mapInArrow(_cut, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+    joined = (docs.where("doc_id is not null") if nulls else docs).join(marks.hint("merge"), ["i", "k"], "left").select("doc_id", "text", "at", "whole")
+    if nulls:
+        # numbered once, in a written table: of rows without doc_id that have one text the first stands, the others are copies
+        rows = written(docs.where("doc_id is null").withColumn("r", F.monotonically_increasing_id()))
+        rows = rows.join(rows.groupBy("k").agg(F.min("r").alias("stands")).hint("merge"), "k").join(marks.hint("merge"), ["i", "k"], "left")
+        joined = joined.unionByName(rows.select("doc_id", "text", "at", F.when(F.col("r") > F.col("stands"), True).otherwise(F.col("whole")).alias("whole")))
+    return joined.mapInArrow(_cut, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
 
 
 def query(docs: DataFrame) -> DataFrame:
