@@ -129,3 +129,34 @@ def test_binned_join_is_the_range_join(spark):
     b = [(i, "c", rng.randrange(-50, 3000)) for i in range(80)]
     got = I.binned_join(spark.createDataFrame(a, "i long, chrom string, pos long"), spark.createDataFrame(b, "j long, s_chrom string, s_pos long"), 37)
     assert sorted((r.i, r.j) for r in got.collect()) == sorted((x[0], y[0]) for x in a for y in b if abs(x[2] - y[2]) <= 37)
+
+
+def fastq(names, seq):
+    return "".join(f"@{n}\n{seq(n)}\n+\n{'I' * len(seq(n))}\n" for n in names)
+
+
+def test_mates_of_several_files(spark, tmp_path):
+    import pytest
+
+    seq = lambda n: "ACGT" * (1 + int(n[1:]) % 7) + n
+    files = {"a": ["r1", "r2", "r3"], "b": [], "c": ["r4", "r5"]}
+    for side in ("one", "two"):
+        (tmp_path / side).mkdir()
+        for f, names in files.items():
+            (tmp_path / side / f"{f}_{side}.fq").write_text(fastq(names[: 2 if side == "two" else 3], lambda n: seq(n)[::-1] if side == "two" else seq(n)))
+    got = T.scan_fastq(spark, str(tmp_path / "one"), str(tmp_path / "two")).collect()
+    assert sorted((r.name, r.seq, r.seq2) for r in got) == [(n, seq(n), seq(n)[::-1]) for n in ("r1", "r2", "r4", "r5")]
+    (tmp_path / "two" / "d_two.fq").write_text("")
+    with pytest.raises(ValueError, match="3 and 4 files"):
+        T.scan_fastq(spark, str(tmp_path / "one"), str(tmp_path / "two"))
+
+
+def test_scan_fastq_query_runs_over_several_files(spark, monkeypatch):
+    from varspan.plans import record_queries as R
+
+    seen, plain = [], T.scan_fastq
+    monkeypatch.setattr(T, "scan_fastq", lambda *a: seen.append(plain(*a)) or seen[-1])
+    sf = "/root/testdata/sf0.001"
+    assert R.QUERIES["scan_fastq"](spark, sf).count() == spark.read.parquet(f"{sf}/documents.parquet").count()
+    assert seen[0].select("file").distinct().count() > 1
+    assert seen[0].where("seq2 <> reverse(seq)").count() == 0

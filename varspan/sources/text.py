@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -110,8 +111,19 @@ def write_fasta(df: DataFrame, path: str, width: int | None = None) -> None:
     df.select(fasta_record(F.col("name"), F.col("seq"), width).alias("value")).write.text(path)
 
 
+def mate_files(spark: SparkSession, path: str, mates: str) -> DataFrame:
+    """(file, pair) of both read sets: files pair by their rank among the sorted paths. Sets of different numbers of files, or
+    partition folders (`key=value`) that differ within a pair, are an error."""
+    sides = [sorted(f.replace(":///", ":/") for f in spark.read.text(p).inputFiles()) for p in (path, mates)]  # as _metadata spells them
+    folders = [[re.findall(r"(?<=/)[^/=]+=[^/]*(?=/)", f) for f in side] for side in sides]
+    if folders[0] != folders[1]:
+        raise ValueError(f"mates: {len(sides[0])} and {len(sides[1])} files, or other partition folders, in {path} and {mates}")
+    return spark.createDataFrame([(f, k) for side in sides for k, f in enumerate(side)], "file string, pair long")
+
+
 def scan_fastq(spark: SparkSession, path: str, mates: str | None = None) -> DataFrame:
-    """(file, idx, name, seq, qual[, seq2, qual2]): four lines a read; mates are joined by index, so the shorter file ends both."""
+    """(file, idx, name, seq, qual[, seq2, qual2]): four lines a read; mates are joined by pair of files and index, so the shorter
+    file of a pair ends both."""
 
     def one(p: str) -> DataFrame:
         part = F.col("line_no") % 4
@@ -122,8 +134,11 @@ def scan_fastq(spark: SparkSession, path: str, mates: str | None = None) -> Data
     first = one(path)
     if mates is None:
         return first
-    second = one(mates).select("idx", F.regexp_extract("file", "[^/]*$", 0).alias("base"), F.col("seq").alias("seq2"), F.col("qual").alias("qual2"))
-    return first.withColumn("base", F.regexp_extract("file", "[^/]*$", 0)).join(second.drop("base"), "idx").drop("base")
+    files = F.broadcast(mate_files(spark, path, mates))  # a row a file, of lists that the driver has anyway
+    no_pair = F.raise_error(F.concat(F.lit("no pair for "), F.col("file"))).cast("long")
+    paired = lambda df: df.withColumn("file", F.replace("file", F.lit(":///"), F.lit(":/"))).join(files, "file", "left").withColumn("pair", F.coalesce("pair", no_pair))
+    second = paired(one(mates)).select("pair", "idx", F.col("seq").alias("seq2"), F.col("qual").alias("qual2"))
+    return paired(first).join(second, ["pair", "idx"]).select("file", "idx", "name", "seq", "qual", "seq2", "qual2")
 
 
 def fastq_record(name: Column, seq: Column) -> Column:
