@@ -206,6 +206,13 @@ def test_propagation_is_pagerank(spark):
         assert all(abs(got.get(n, (0, 0))[kind] - rank[n]) < 1e-9 for n in names)
 
 
+def test_trust_settles_on_a_long_chain(spark):
+    hosts = ["bad.net", *(f"h{k}.xy" for k in range(12))]
+    pages = [(k, f"http://{h}/", f'<a href="http://{hosts[k - 1]}/">x</a>' if k else None) for k, h in enumerate(hosts)]
+    got = {r.page_id: r for r in op05_url_trust.query(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert all(got[k].verdict == "block" and abs(got[k].distrust - 0.15 * 0.85**k) < 1e-6 for k in range(len(hosts)))
+
+
 # --- 6
 
 

@@ -104,6 +104,17 @@ def test_match_truth_is_sequential(spark):
     assert {r.call_id: (r.site_id, r.n_hap) for r in got} == truth_scan(calls, truth)
 
 
+def test_match_truth_is_no_result_before_it_settles(spark):
+    import pytest
+
+    row = {"chrom": "chr1", "ref_len": 1, "h0": 60, "h1": 60, "g0": 1, "g1": 1}
+    calls, truth = [{"call_id": i, "pos": 500} | row for i in range(4)], [{"site_id": i, "pos": 500 + i} | row for i in range(4)]
+    frames = spark.createDataFrame(calls), spark.createDataFrame(truth)
+    with pytest.raises(RuntimeError, match="not settled after 1 rounds"):
+        I.match_truth(*frames, rounds=1)
+    assert {r.call_id: r.site_id for r in I.match_truth(*frames).collect()} == {i: i for i in range(4)}
+
+
 def test_nonoverlap_over_blocks(spark, monkeypatch):
     monkeypatch.setattr(S, "BLOCK", 50)
     rng = random.Random(5)

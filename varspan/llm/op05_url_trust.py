@@ -3,7 +3,8 @@
 Hosts are nodes. An edge goes from a page's host to each host that its html links to, and between a host and its parent
 domain, both ways, as they are run together. Personalised PageRank spreads trust from hosts with pages that a rule
 allows along the edges, and distrust from hosts with pages that a rule blocks against them, each seed in proportion to its
-pages. A host whose distrust is over `ratio` times its trust is blocked. All steps are grouped sums and joins by host;
+pages. A host whose distrust is over `ratio` times its trust is blocked. Rounds go on until
+four of them change the ranks of each kind by less than TOLERANCE in sum. All steps are grouped sums and joins by host;
 pages of one host meet only as partial counts.
 
 Defined results: a null url, or one without ://, has empty host and path, fits no rule and is allowed unless that empty
@@ -13,6 +14,8 @@ length the one that blocks wins.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +24,8 @@ from varspan.llm.common import ascii_lower, with_columns_of, written
 # Verdict and rule.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 DAMPING, ROUNDS, RATIO = 0.85, 8, 1.0
+#: Summed change of ranks, of which each kind has 1 in all, below which propagation has settled.
+TOLERANCE = 1e-9
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _LINK = r"""(?i)(?:href|src)\s*=\s*["']?(?:https?:)?//([^/"'?#\s>]+)"""
 
@@ -53,20 +58,26 @@ def host_edges(pages: DataFrame, hosts: DataFrame) -> DataFrame:
     return links.unionByName(kin).where("src <> dst").groupBy("src", "dst").agg(F.count("*").cast("double").alias("weight"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
-    """(host, trust, distrust) by personalised PageRank; seeds are (host, n_allow, n_block)."""
+def propagate(edges: DataFrame, seeds: DataFrame, rounds: int | None = ROUNDS, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
+    """(host, trust, distrust) by personalised PageRank; seeds are (host, n_allow, n_block). Without a number of rounds they go on
+    until the ranks settle."""
     both = edges.select(F.explode(F.array(F.struct(F.lit("trust").alias("kind"), F.col("src").alias("u"), F.col("dst").alias("v"), "weight"), F.struct(F.lit("distrust").alias("kind"), F.col("dst").alias("u"), F.col("src").alias("v"), "weight"))).alias("e")).select("e.*")
     out = both.groupBy("kind", "u").agg(F.sum("weight").alias("total"))
     flow = written(both.join(out, ["kind", "u"]).select("kind", "u", "v", (F.col("weight") / F.col("total")).alias("share")))
     mass = seeds.select("host", F.explode(F.create_map(F.lit("trust"), "n_allow", F.lit("distrust"), "n_block")).alias("kind", "n")).where("n > 0")
     total = mass.groupBy("kind").agg(F.sum("n").alias("total"))
     seed = written(mass.join(F.broadcast(total), "kind").select("kind", F.col("host").alias("u"), (F.col("n") / F.col("total")).alias("rank")))  # two rows
-    rank = seed
-    for k in range(rounds):
+    rank = last = seed
+    for k in count() if rounds is None else range(rounds):
         moved = flow.join(rank, ["kind", "u"]).select("kind", F.col("v").alias("u"), (F.col("share") * F.col("rank") * damping).alias("rank"))
         rank = moved.unionByName(seed.select("kind", "u", (F.col("rank") * (1 - damping)).alias("rank"))).groupBy("kind", "u").agg(F.sum("rank").alias("rank"))
         if k % 4 == 3:
             rank = written(rank)
+            if rounds is None:
+                change = rank.unionByName(last.select("kind", "u", (-F.col("rank")).alias("rank"))).groupBy("kind", "u").agg(F.sum("rank").alias("d")).groupBy("kind").agg(F.sum(F.abs("d")).alias("d"))
+                if all(r.d < tolerance for r in change.collect()):  # two rows
+                    break
+                last = rank
     one = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("rank"))), F.lit(0.0)).alias(kind)
     return rank.groupBy(F.col("u").alias("host")).agg(one("trust"), one("distrust"))
 
@@ -75,9 +86,9 @@ def judge(pages: DataFrame, rules=RULES, ratio: float = RATIO, id_col: str = "pa
     """page_id, host, path, rule, verdict and the host's trust and distrust."""
     p = with_columns_of(pages, page_id=id_col, url=url_col, html=html_col).withColumn("host", host(F.col("url"))).withColumn("path", path(F.col("url")))
     p = p.withColumn("fits", rule_of(F.col("host"), F.col("path"), rules))
-    count = lambda verdict: F.sum((F.coalesce(F.col("fits.verdict"), F.lit("")) == verdict).cast("long"))
-    hosts = written(p.groupBy("host").agg(count("allow").alias("n_allow"), count("block").alias("n_block")))
-    ranks = written(propagate(host_edges(p, hosts), hosts))
+    n_of = lambda verdict: F.sum((F.coalesce(F.col("fits.verdict"), F.lit("")) == verdict).cast("long"))
+    hosts = written(p.groupBy("host").agg(n_of("allow").alias("n_allow"), n_of("block").alias("n_block")))
+    ranks = written(propagate(host_edges(p, hosts), hosts, None))
     return p.drop("html").join(ranks, "host", "left").select(
         "page_id", "host", "path", F.col("fits.rule").alias("rule"),
         F.coalesce("fits.verdict", F.when(F.col("distrust") > ratio * F.col("trust"), "block"), F.lit("allow")).alias("verdict"),

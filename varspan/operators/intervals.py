@@ -88,12 +88,12 @@ def match_exact(calls: DataFrame, truth: DataFrame, run: tuple[str, ...] = ()) -
     return j.withColumn("n_hap", matched_haplotypes(cc, tc)[0]).where("n_hap > 0").select(*run, "call_id", "site_id", "n_hap")
 
 
-def match_truth(calls: DataFrame, truth: DataFrame, run: tuple[str, ...] = (), rounds: int = 1000) -> DataFrame:
+def match_truth(calls: DataFrame, truth: DataFrame, run: tuple[str, ...] = (), rounds: int | None = None) -> DataFrame:
     """(run, call_id, site_id, n_hap): each call, in order of call_id, takes its first unused truth row.
 
     A call's list is fixed: truth rows that fit its first haplotype by position, then those that fit its second. Proposal
     rounds give the sequential result: every call without a row asks for its next; a row keeps the lowest call_id; later calls strike
-    the row off. The loop ends when nothing changes."""
+    the row off. The loop ends when nothing changes; it is an error if that takes more than `rounds`, where given."""
     from varspan.sources.text import checkpointed
 
     c, t, cc, tc = _sides(calls, truth, run)
@@ -103,7 +103,8 @@ def match_truth(calls: DataFrame, truth: DataFrame, run: tuple[str, ...] = (), r
     pairs = near.withColumns({"n_hap": n, "first": first}).where("n_hap > 0")
     pairs = pairs.select(*run, "call_id", "site_id", "n_hap", F.struct(~F.col("first"), F.col("t_pos"), F.col("site_id")).alias("rank"))
     left = checkpointed(pairs)
-    for _ in range(rounds):
+    done = 0
+    while True:
         asked = left.groupBy(*run, "call_id").agg(F.min_by("site_id", "rank").alias("site_id"))
         held = asked.groupBy(*run, "site_id").agg(F.min("call_id").alias("holder"))
         # whoever comes after the holder never gets the row
@@ -111,6 +112,9 @@ def match_truth(calls: DataFrame, truth: DataFrame, run: tuple[str, ...] = (), r
         before, left = left.count(), checkpointed(kept)
         if left.count() == before:
             break
+        done += 1
+        if done == rounds:
+            raise RuntimeError(f"match_truth: not settled after {rounds} rounds")
     best = left.groupBy(*run, "call_id").agg(F.min_by(F.struct("site_id", "n_hap"), "rank").alias("b"))
     return best.select(*run, "call_id", "b.site_id", "b.n_hap")
 
