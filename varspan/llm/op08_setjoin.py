@@ -2,15 +2,17 @@ r"""Operator 8, n-gram Jaccard join: a size-aware heavy-light self-join on sets
 
 Documents of equal sets are one class; all later steps see one document of each class. Sets up to a boundary size are
 joined by enumerating fixed-size subsets: with c the least overlap that a set of size m needs, both sets of a pair hold a
-common c-subset. Larger sets are joined by scanning inverted lists of their prefix tokens, in an order that puts the most
-frequent shingles last (any order is exact; a bounded table of frequent ones makes lists short). The boundary is the size
-with the least counted cost: subsets to enumerate below it against list entries to scan above it.
+common c-subset. Larger sets are joined by scanning inverted lists of their prefix tokens, rarest shingles first. Any order is
+exact, so the order goes by counts of all shingles of all documents in a table of fixed size, where several share a cell:
+lists stay short at every frequency. The boundary is the size with the least counted cost: subsets to enumerate below it
+against list entries to scan above it.
 
 Pairs are verified on the whole texts, once sizes and parity bitmaps (which bound the sets' difference from below) don't
-rule them out. Only links between parts that aren't connected yet matter for components, so the
-first rounds verify one pivot for each list and member, in proportion to the list's length; the last round verifies every
-remaining pair of a list whose members are in different components. So no link is lost and dense groups of
-near copies cost a line, not a square. Components come from alternating large and small stars.
+rule them out. Only links between parts that aren't connected yet matter for components, so pivot rounds verify one pivot for
+each list and member, in proportion to the list's length: first the pivot that a member shares most lists with, then a pivot
+drawn by each list. The last round verifies what is left: pairs of a list in different components, and of sizes that allow a
+link. So no link is lost and dense groups of near copies cost a line, not a square. Components come from alternating large and
+small stars.
 
 Words are runs of non-white-space with A-Z lower-cased; with fewer than five the whole sequence is one shingle.
 Defined results: null, empty and blank texts have empty sets, size 0, and are their own component; a row with a null doc_id
@@ -21,7 +23,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import combinations, islice
 from math import comb
 
 import numpy as np
@@ -34,10 +36,12 @@ from varspan.llm.common import BROADCAST_IDS, NON_SPACE, Words, components, mix,
 SHINGLE, PERCENT = 5, 80
 #: Largest set that subsets may be enumerated for, and the largest partner of such a set.
 SMALL, SMALL_PARTNER = 24, 30
-#: Shingles that are put last in the order, at most, and how often one must come to be among them.
-FREQUENT, OFTEN = 1 << 16, 32
+#: Bits of a cell's number in the table of counts, and of its place in a block of cells.
+CELL, BLOCK = 23, 12
+#: Shingles that are counted in one step.
+STEP = 1 << 19
 #: Pivot rounds before all remaining pairs are verified.
-PIVOT_ROUNDS = 2
+PIVOT_ROUNDS = 3
 _K = np.uint64(0xD6E8FEB86659FD93)
 
 #: Bits of a set's parity bitmap: a power of two not below its size, within these.
@@ -87,46 +91,59 @@ def subset_size(n: int) -> int:
     return -(-2 * PERCENT * n // (100 + PERCENT))
 
 
-def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of shingles that come four times or more within a few million."""
-    kept, size = [], 0
+def _cells(tokens: np.ndarray) -> np.ndarray:
+    return (tokens >> np.uint64(64 - CELL)).astype(np.int64)
 
-    def counted():
-        t, n = np.unique(np.concatenate(kept), return_counts=True)
-        few = n >= 4
-        return pa.RecordBatch.from_arrays([pa.array(t[few].view(np.int64)), pa.array(n[few])], ["token", "n"])
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's counts of shingles: for each block the cells that aren't empty, and their counts."""
+    counts, kept, size = np.zeros(1 << CELL, np.uint32), [], 0
+
+    def add() -> None:
+        cell, n = np.unique(np.concatenate(kept), return_counts=True)
+        counts[cell] += n.astype(np.uint32)
 
     for b in batches:
         for _, docs in text_chunks(b, "text"):
             for s in shingle_sets(docs):
-                kept.append(s)
+                kept.append(_cells(s))
                 size += len(s)
-            if size > 2_000_000:
-                yield counted()
+            if size > STEP:
+                add()
                 kept, size = [], 0
     if kept:
-        yield counted()
+        add()
+    cell = np.flatnonzero(counts)
+    block, first = np.unique(cell >> BLOCK, return_index=True)
+    bounds = np.append(first, len(cell))
+    binary = lambda x: pa.Array.from_buffers(pa.binary(), len(block), [None, pa.py_buffer((bounds * x.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(x))])
+    yield pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), binary((cell & ((1 << BLOCK) - 1)).astype(np.uint16)), binary(counts[cell])], ["block", "cells", "counts"])
 
 
-def frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent shingles, at most FREQUENT, sorted, with their counts."""
-    rows = docs.select("text").mapInArrow(_frequent, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    top = rows.where(F.col("n") >= OFTEN).orderBy(F.desc("n"), "token").limit(FREQUENT).toPandas()
-    token, n = top["token"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
-    order = np.argsort(token)
-    return token[order], n[order]
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ranks of the cells of each block in this partition: eighths of the binary logarithm of the summed counts."""
+    total: dict[int, np.ndarray] = {}
+    for b in batches:
+        for block, cells, counts in zip(*(b.column(c).to_pylist() for c in ("block", "cells", "counts")), strict=True):
+            total.setdefault(block, np.zeros(1 << BLOCK, np.float64))[np.frombuffer(cells, np.uint16)] += np.frombuffer(counts, np.uint32)
+    for block, n in total.items():
+        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([np.minimum(np.log2(n + 1) * 8, 255).astype(np.uint8).tobytes()], pa.binary())], ["block", "ranks"])
+
+
+def ranks(docs: DataFrame) -> np.ndarray:
+    """The rank of each cell by the number of shingles in it, over all documents: a table of 2 ** CELL bytes at any size of the input."""
+    parts = docs.select("text").mapInArrow(_counted, "block int, cells binary, counts binary")
+    out = np.zeros(1 << CELL, np.uint8)
+    for r in parts.repartition("block").mapInArrow(_summed, "block int, ranks binary").collect():  # a row a block
+        out[r.block << BLOCK : (r.block + 1) << BLOCK] = np.frombuffer(r.ranks, np.uint8)
+    return out
 
 
-def _sets(often: np.ndarray, counts: np.ndarray):
+def _sets(rank):
+    """rank: the table of ranks, broadcast."""
+
     def ordered(s: np.ndarray) -> np.ndarray:
-        if not len(often):
-            return s
-        at = np.minimum(np.searchsorted(often, s), len(often) - 1)
-        last = often[at] == s
-        if not last.any():
-            return s
-        tail = s[last]
-        return np.concatenate([s[~last], tail[np.lexsort((tail, counts[at[last]]))]])
+        return s[np.argsort(rank.value[_cells(s)], kind="stable")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -158,18 +175,22 @@ def boundary(sets: DataFrame) -> int:
 
 
 def _subsets(limit: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def signature(m: int, c: tuple) -> int:
+        return int.from_bytes(hashlib.blake2b(np.array([m, *sorted(c)], np.int64).tobytes(), digest_size=8).digest(), "little", signed=True)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, int]]:
         for b in batches:
             for i in range(0, b.num_rows, 1000):
-                out: tuple[list, list, list] = ([], [], [])
                 for r in b.slice(i, 1000).to_pylist():
                     n = r["n"]
                     for m in range(max(1, -(-PERCENT * n // 100)), min(n, limit) + 1):
                         for c in combinations(r["tokens"], subset_size(m)):
-                            out[0].append(int.from_bytes(hashlib.blake2b(np.array([m, *sorted(c)], np.int64).tobytes(), digest_size=8).digest(), "little", signed=True))
-                            out[1].append(r["cid"])
-                            out[2].append(n)
-                yield pa.RecordBatch.from_arrays([*[pa.array(x, pa.int64()) for x in out], pa.array([True] * len(out[0]))], ["sig", "cid", "n", "lead"])
+                            yield signature(m, c), r["cid"], n
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every = rows(batches)
+        while some := list(islice(every, 50_000)):  # however many subsets a set has
+            yield pa.RecordBatch.from_arrays([*[pa.array(x, pa.int64()) for x in zip(*some, strict=True)], pa.array([True] * len(some))], ["sig", "cid", "n", "lead"])
 
     return run
 
@@ -227,35 +248,33 @@ def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
 def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, class_id, component_id of every row."""
     docs = with_columns_of(docs, doc_id=id_col, text=text_col)
-    sets = written(docs.mapInArrow(_sets(*frequent(docs)), SETS))
+    sets = written(docs.mapInArrow(_sets(docs.sparkSession.sparkContext.broadcast(ranks(docs))), SETS))
     classes = written(sets.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("cid").alias("cid"), F.first("n").alias("n")))
-    unique = restrict(sets.where("n > 0"), classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id")
+    unique = restrict(sets.where("n > 0"), classes.select(F.col("rep").alias("doc_id"), "key"), ["doc_id", "key"])
     lists = signatures(unique, boundary(unique))
     same = Window.partitionBy("sig")
     shared = written(lists.withColumns({"pivot": F.min("cid").over(same), "top": F.max("cid").over(same)}).where("pivot <> top").drop("top"))
     wanted = written(shared.select("cid").distinct())
     sketches = written(restrict(unique.select("cid", "n", "bits"), wanted, "cid"))
 
-    # pivot rounds: a member goes with the pivot that it shares most lists with; lists of one component are closed for good
+    # pivot rounds; lists of one component are closed for good
     done, left = None, shared.withColumn("group", F.col("cid"))
     for k in range(PIVOT_ROUNDS):
         if k:
-            left = left.withColumn("pivot", F.min_by(F.struct("cid", "group"), F.xxhash64("cid", F.lit(k))).over(same))
-            left = left.withColumn("pivot_group", F.col("pivot.group")).withColumn("pivot", F.col("pivot.cid"))
-        star = left.where("cid <> pivot and group <> pivot_group" if k else "cid <> pivot")
-        best = star.groupBy("cid", "pivot").count().groupBy("cid").agg(F.max_by("pivot", F.struct("count", "pivot")).alias("pivot"))
+            drawn = F.min_by(F.struct("cid", "group"), F.xxhash64("cid", "sig", F.lit(k))).over(same)
+            left = left.withColumn("drawn", drawn).select("sig", "cid", "n", "lead", "group", F.col("drawn.cid").alias("pivot"), F.col("drawn.group").alias("pivot_group"))
+            best = left.where("group <> pivot_group").select("cid", "pivot").distinct()
+        else:
+            best = left.where("cid <> pivot").groupBy("cid", "pivot").count().groupBy("cid").agg(F.max_by("pivot", F.struct("count", "pivot")).alias("pivot"))
         pairs = best.select(F.least("cid", "pivot").alias("a"), F.greatest("cid", "pivot").alias("b")).distinct()
+        pairs = pairs if done is None else pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
         found = verify(promising(pairs, sketches), docs, classes)
         done = found if done is None else done.unionByName(found)
+        if k and found.where("linked").isEmpty():
+            break
         groups = components(done.where("linked").select("a", "b"))
         left = written(_open(left, groups))
-    # the rest: every pair of a list across components that wasn't looked at
-    x = left.select("sig", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("lead").alias("la"), F.col("group").alias("ga"))
-    y = left.select("sig", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("lead").alias("lb"), F.col("group").alias("gb"))
-    lead = F.when(F.col("na") < F.col("nb"), F.col("la")).when(F.col("na") > F.col("nb"), F.col("lb")).otherwise(F.col("la") & F.col("lb"))
-    rest = x.join(y, "sig").where((F.col("a") < F.col("b")) & (F.col("ga") != F.col("gb")) & lead & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT))
-    rest = rest.select("a", "b").distinct().join(done.select("a", "b"), ["a", "b"], "left_anti")
-    more = verify(promising(rest, sketches), docs, classes)
+    more = verify(promising(_rest(left).join(done.select("a", "b"), ["a", "b"], "left_anti"), sketches), docs, classes)
     groups = components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more.where("linked").select("a", "b")))
 
     of_class = classes.join(groups.withColumnRenamed("node", "cid"), "cid", "left").withColumn("group", F.coalesce("component", "cid"))
@@ -282,6 +301,19 @@ def _open(left: DataFrame, groups: DataFrame) -> DataFrame:
     return g.withColumns({"lo": F.min("group").over(same), "hi": F.max("group").over(same)}).where("lo <> hi").drop("lo", "hi")
 
 
+def _rest(left: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a list that are in different components and of sizes that allow a link.
+
+    Lists are joined by classes of sizes, each a quarter wide: of a linked pair the smaller set, which has the token in its shorter
+    prefix, is in the larger one's class or the next below."""
+    size = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / PERCENT)))
+    x = left.where("lead").select("sig", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("group").alias("ga"), F.explode(F.array(size, size + 1)).alias("class"))
+    y = left.select("sig", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("lead").alias("lb"), F.col("group").alias("gb"), size.alias("class"))
+    larger = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & F.col("lb") & (F.col("a") < F.col("b")))
+    rest = x.join(y, ["sig", "class"]).where(larger & (F.col("ga") != F.col("gb")) & (F.col("na") * 100 >= F.col("nb") * PERCENT))
+    return rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs, with all columns, without those whose component has a smaller doc_id; rows that repeat a doc_id stay together."""
     linked = link(docs, id_col, text_col)
