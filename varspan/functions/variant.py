@@ -129,5 +129,5 @@ def clean_sequence(seq: Column) -> Column:
 
 
 def short_number(x: Column) -> Column:
-    """A number as text, cut to five characters."""
-    return F.substring(F.format_string("%.6f", x), 1, 5)
+    """A number as text, cut to five characters; null is nan."""
+    return F.coalesce(F.substring(F.format_string("%.6f", x), 1, 5), F.lit("nan"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from varspan.functions.variant import alleles, field, info_number
+from varspan.functions.variant import alleles, field, gt_diploid, info_number
 from varspan.operators.intervals import ref_lookup
 
 #: Read length that positions must leave before them; beyond the second, positions aren't tested.
@@ -62,21 +62,24 @@ def fix_ref(df: DataFrame, contigs: DataFrame) -> DataFrame:
     return j.withColumns({"changed": F.coalesce(new != F.col("ref"), F.lit(False)), "ref": F.coalesce(new, "ref")}).drop("bases_at")
 
 
-def anchor_alleles(df: DataFrame, contigs: DataFrame) -> DataFrame:
-    """Records whose first bases differ (and aren't SNPs) move one base back, for each such ALT in turn; REF = ALT and letters other than
-    ATGCN drop the record."""
-    n = F.size("alts")
+def _anchored(df: DataFrame, contigs: DataFrame) -> DataFrame:
+    """Records whose first bases differ (and aren't SNPs) moved one base back, for each such ALT in turn."""
     steps = F.aggregate(
         F.transform("alts", lambda a: F.struct(F.substring(a, 1, 1).alias("b"), F.length(a).alias("n"))), F.struct(F.lit(0).alias("k"), F.substring("ref", 1, 1).alias("b")),
         # once moved, every ALT begins with the reference base, so later ones don't differ
         lambda s, a: F.when((s["k"] == 0) & (a["b"] != s["b"]) & ((a["n"] > 1) | (F.length("ref") > 1)), F.struct((s["k"] + 1).alias("k"), s["b"].alias("b"))).otherwise(s),
     )["k"]
-    d = df.withColumn("_k", F.when(n > 0, steps).otherwise(F.lit(0)))
+    d = df.withColumn("_k", F.when(F.size("alts") > 0, steps).otherwise(F.lit(0)))
     j = ref_lookup(d, contigs, F.greatest(F.col("pos") - F.col("_k"), F.lit(1)), F.col("_k"), "_base")
     base = F.coalesce(F.col("_base"), F.lit(""))
-    j = j.withColumns({"pos": F.col("pos") - F.col("_k"), "ref": F.concat(base, F.col("ref")), "alts": F.transform("alts", lambda a: F.concat(base, a))})
+    return j.withColumns({"pos": F.col("pos") - F.col("_k"), "ref": F.concat(base, F.col("ref")), "alts": F.transform("alts", lambda a: F.concat(base, a))}).drop("_k", "_base")
+
+
+def anchor_alleles(df: DataFrame, contigs: DataFrame) -> DataFrame:
+    """Records whose first bases differ (and aren't SNPs) move one base back, for each such ALT in turn; REF = ALT and letters other than
+    ATGCN drop the record."""
     bad = F.exists("alts", lambda a: (a == F.col("ref")) | a.rlike("[^ATGCNatgcn]"))
-    return j.where(~bad).drop("_k", "_base")
+    return _anchored(df, contigs).where(~bad)
 
 
 def drop_dup_alleles(df: DataFrame) -> DataFrame:
@@ -93,6 +96,67 @@ def trim_alleles(df: DataFrame) -> DataFrame:
     }).drop("_used")
 
 
+def _row_maf(record: DataFrame) -> DataFrame:
+    """Adds _maf, _missing and _called of a record's own genotypes (gts, array of arrays; null alleles are missing)."""
+    held = F.filter(F.flatten("gts"), lambda a: a.isNotNull())
+    counts = F.array_sort(F.transform(F.array_distinct(held), lambda a: -F.size(F.filter(held, lambda b: b == a))))
+    n, absent = F.size("gts"), F.size(F.filter("gts", lambda g: F.exists(g, lambda a: a.isNull())))
+    ploidy = F.array_max(F.transform("gts", lambda g: F.size(g)))
+    return record.withColumns({"_maf": -F.coalesce(F.get(counts, F.lit(1)), F.lit(0)) / (ploidy * n), "_missing": absent / n, "_called": n - absent})
+
+
+def convert(records: DataFrame, contigs: DataFrame, columns: int | Column, read_length: int = READ_LENGTH, maf: float = 0.0, missing: float = 1.0) -> DataFrame:
+    """VCF records (sources.text.records, not strict) made fit for genotypers, as (ord, chrom, pos, reject_reason, line): line is null for rejected
+    rows, and for merged ones reject_reason is `merged`.
+
+    In order: number of columns and GT; with maf over 0 and missing under 1 SNPs by frequency and missing rate; chromosome, symbolic
+    ALTs, start and end; REF from the contig; END and SVLEN; anchoring, equal and odd alleles; diploid phased genotypes alone; allele
+    numbers; end at the contig's end; records of one position to one; ALTs that no sample has removed; repeated ALTs."""
+    lens = contigs.select(F.col("chrom").alias("c_chrom"), F.col("len").alias("c_len"))
+    near = read_length if read_length <= LONG_READ else 0
+    gt_at = F.array_position(F.split("format", ":"), "GT")
+    raw = F.transform("samples", lambda s: F.coalesce(F.get(F.split(s, ":"), (gt_at - 1).cast("int")), F.lit("0|0")))
+    d = records.join(F.broadcast(lens), F.col("chrom") == F.col("c_chrom"), "left").withColumn("raw", F.when(gt_at > 0, raw))  # a row a contig
+    d = d.withColumn("gts", F.transform("raw", lambda g: alleles(g)))
+    rare = F.lit(False)
+    if maf > 0 and missing < 1:
+        d = _row_maf(d)
+        snp = (F.length("ref") == 1) & (F.array_max(F.transform("alts", lambda a: F.length(a))) == 1)
+        rare = snp & ~F.coalesce((F.col("_called") > 1) & (F.col("_maf") >= maf) & (F.col("_missing") <= missing), F.lit(False))
+    reason = (
+        F.when((F.col("n_columns") != columns) | F.col("pos").isNull(), "columns")
+        .when(F.coalesce(gt_at, F.lit(0)) <= 0, "no_gt")
+        .when(rare, "frequency")
+        .when(F.col("c_len").isNull(), "unknown_chrom")
+        .when(F.exists("alts", lambda a: a.contains("<")), "symbolic")
+        .when(F.col("pos") < near, "near_start")
+        .when(F.col("ref_end") > F.col("c_len"), "beyond_end")
+    )
+    d = d.withColumn("reject_reason", reason)
+    good, bad = d.where("reject_reason is null"), d.where("reject_reason is not null")
+    good = fix_info(fix_ref(good.drop("_maf", "_missing", "_called"), contigs).drop("changed"))
+    moved = _anchored(good, contigs)
+    top = F.coalesce(F.array_max(F.flatten("gts")), F.lit(0))
+    odd = F.exists("alts", lambda a: (a == F.col("ref")) | a.rlike("[^ATGCNatgcn]"))
+    late = (
+        F.when(odd, "alleles")
+        .when(F.size(F.array_distinct("alts")) < F.size("alts"), "repeated")
+        .when(top > F.size("alts"), "gt_index")
+        .when(F.col("ref_end") == F.col("c_len"), "beyond_end")
+    )
+    moved = moved.withColumns({"reject_reason": late, "gts": F.transform(F.transform("raw", gt_diploid), lambda g: F.transform(F.split(g, r"\|"), lambda a: a.try_cast("int")))})
+    kept, bad2 = moved.where("reject_reason is null"), moved.where("reject_reason is not null")
+    fixed = F.struct("id", "qual_text", "filter", "info")
+    merged = trim_alleles(merge_loci(kept.select("chrom", "pos", "ord", "ref", "alts", "gts")))
+    merged = merged.join(kept.select("ord", fixed.alias("f")), "ord")
+    line = F.concat_ws("\t", "chrom", F.col("pos").cast("string"), "f.id", "ref", F.array_join("alts", ","), "f.qual_text", "f.filter", "f.info", F.lit("GT"), F.array_join(F.transform("gts", lambda g: F.array_join(g, "|")), "\t"))
+    last = F.when(F.size("alts") == 0, "no_alt").when(F.size(F.array_distinct("alts")) < F.size("alts"), "repeated")
+    out = merged.select("ord", "chrom", "pos", last.alias("reject_reason"), F.when(last.isNull(), line).alias("line"))
+    swallowed = kept.select("ord", "chrom", "pos").join(merged.select("ord"), "ord", "left_anti").withColumns({"reject_reason": F.lit("merged"), "line": F.lit(None).cast("string")})
+    gone = bad.select("ord", "chrom", "pos", "reject_reason").unionByName(bad2.select("ord", "chrom", "pos", "reject_reason")).withColumn("line", F.lit(None).cast("string"))
+    return out.unionByName(swallowed).unionByName(gone)
+
+
 def sv_only(df: DataFrame, ref_len: str = "ref_len", alt_len: str = "alt_len") -> DataFrame:
     """Drops rows whose REF and ALT texts are both under 50."""
     return df.where((F.col(ref_len) >= 50) | (F.col(alt_len) >= 50))

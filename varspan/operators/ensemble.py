@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from varspan.functions.variant import short_number
+
 
 def last_writer(matches: DataFrame, key: tuple[str, ...], order: str = "ord") -> DataFrame:
     """Several calls of one caller on one site: the last takes the haplotype slot."""
@@ -23,6 +25,33 @@ def with_z(cube: DataFrame, stats: DataFrame, by: tuple[str, ...] = ("caller",))
     return j.withColumn("z", F.try_divide(F.col("depth") - F.col("mean"), F.col("sd")))
 
 
+def slots(matches: DataFrame, calls: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """(site_id, by, hap, allele, call_id, depth): of the calls of one caller that take a haplotype of a site the last one, by position,
+    then call_id. matches: call_id, hap, site_id, allele; calls: call_id, by, pos, depth."""
+    m = matches.join(calls.select("call_id", *by, "pos", "depth"), "call_id").withColumn("_o", F.struct("pos", "call_id"))
+    return last_writer(m, ("site_id", *by, "hap"), "_o").select("site_id", *by, "hap", "allele", "call_id", F.col("depth").cast("double").alias("depth"))
+
+
+def cube(taken: DataFrame, sites: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """(site_id, by, gt, depth, sv_len) of slots: a haplotype that nobody took is 0, depths of the two add up, and the length is that of
+    the last allele other than 0 at the site. sites: site_id, lens (REF length, then each ALT's)."""
+    allele = lambda k: F.coalesce(F.max(F.when(F.col("hap") == k, F.col("allele"))), F.lit(0))
+    g = taken.groupBy("site_id", *by).agg(allele(0).alias("x"), allele(1).alias("y"), F.sum("depth").alias("depth"))
+    j = g.join(sites.select("site_id", "lens"), "site_id")
+    last = F.when(F.col("y") != 0, F.col("y")).otherwise(F.col("x"))
+    return j.select("site_id", *by, F.concat_ws("|", F.col("x").cast("string"), F.col("y").cast("string")).alias("gt"), "depth", (F.get("lens", last) - F.get("lens", F.lit(0))).alias("sv_len"))
+
+
+def merged_lines(voted: DataFrame, cube_: DataFrame, stats: DataFrame, base: DataFrame, key: tuple[str, ...]) -> DataFrame:
+    """(key, line) of sites with a chosen caller: the site's first eight columns, FORMAT, and the chosen genotype, caller, normalised
+    depth, the caller's mean depth and the depth, numbers cut to five characters. The values stand in this order under the FORMAT
+    GT:SO:DP:ADP:NDP, as in merged files that the callers' users have. base: site_id, fixed (text); cube_ has z."""
+    c = voted.where("chosen is not null").select(*key, F.col("chosen").alias("caller")).join(cube_.select(*key, "caller", "gt", "z", "depth"), [*key, "caller"])
+    c = c.join(F.broadcast(stats.select("caller", "mean")), "caller").join(base.select("site_id", "fixed"), "site_id")  # a row a caller
+    value = F.concat_ws(":", F.replace("gt", F.lit("|"), F.lit("/")), "caller", short_number(F.col("z")), short_number(F.col("mean")), short_number(F.col("depth")))
+    return c.select(*key, F.concat_ws("\t", "fixed", F.lit("GT:SO:DP:ADP:NDP"), value).alias("line"))
+
+
 def depth_rank(cube: DataFrame, key: tuple[str, ...]) -> DataFrame:
     """Place of each caller at a site by |z|; null z comes last, ties by caller name."""
     w = Window.partitionBy(*key).orderBy(F.abs("z").asc_nulls_last(), "caller")
@@ -35,6 +64,7 @@ def vote(cube: DataFrame, key: tuple[str, ...], n_callers: int, mode: str = "all
     cube: key, caller, gt (text), z, sv_len. f is the size of the largest group of equal genotypes, best the first caller by name in a group of
     that size, near the caller with the smallest |z|; the length is that of the last caller's genotype."""
     w = Window.partitionBy(*key)
+    cube = cube.repartition(*key)  # one exchange for both windows and the groups
     g = cube.withColumn("same", F.count("*").over(Window.partitionBy(*key, "gt"))).withColumn("f", F.max("same").over(w))
     far = F.struct(F.col("z").isNull(), F.abs("z"), F.col("caller"))
     s = g.groupBy(*key).agg(
@@ -53,16 +83,18 @@ def vote(cube: DataFrame, key: tuple[str, ...], n_callers: int, mode: str = "all
     return s.withColumn("chosen", chosen).select(*key, "n", "f", "len", "chosen", F.element_at("gts", F.col("chosen")).alias("gt"))
 
 
-def similar_sample(voted: DataFrame, panel: DataFrame, site: str = "site_id") -> DataFrame:
-    """The panel sample whose non-reference genotype equals the voted one most often, the lowest index on ties, and its share of voted
-    sites; no row without a match. panel: site, sample_id, gt."""
-    hits = voted.where("gt is not null").select(site, "gt").join(panel.where("gt <> '0|0'"), [site, "gt"])
-    top = hits.groupBy("sample_id").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "sample_id").limit(1)
-    total = voted.where("gt is not null").agg(F.count("*").alias("total"))
-    return top.crossJoin(F.broadcast(total)).select("sample_id", "n", F.round(F.col("n") / F.col("total"), 6).alias("share"))  # one row each
+def similar_sample(voted: DataFrame, panel: DataFrame, sample: str = "sample_id", site: str = "site_id") -> DataFrame:
+    """For each voted sample the panel sample whose non-reference genotype equals the voted one most often, the lowest number on ties, and
+    the share of voted sites; no row without a match. voted: sample, site, gt; panel: site, panel_sample, gt."""
+    v = voted.where("gt is not null")
+    hits = v.select(sample, site, "gt").join(panel.where("gt <> '0|0'").select(site, "panel_sample", "gt"), [site, "gt"])
+    n = hits.groupBy(sample, "panel_sample").agg(F.count("*").alias("n"))
+    top = n.groupBy(sample).agg(F.max(F.struct("n", (-F.col("panel_sample")).alias("k"))).alias("t"))
+    total = v.groupBy(sample).agg(F.count("*").alias("total"))
+    return top.join(total, sample).select(sample, (-F.col("t.k")).alias("panel_sample"), F.col("t.n").alias("n"), F.round(F.col("t.n") / F.col("total"), 6).alias("share"))
 
 
-def high_conf(cube: DataFrame, panel: DataFrame, similar: DataFrame, key: tuple[str, ...], n_callers: int) -> DataFrame:
-    """A second vote, by the specific rule, at sites where the most similar sample is non-reference."""
-    sites = panel.where("gt <> '0|0'").join(F.broadcast(similar.select("sample_id")), "sample_id", "left_semi").select("site_id")  # one row
-    return vote(cube.join(sites, "site_id", "left_semi"), key, n_callers, "specific")
+def high_conf(cube: DataFrame, panel: DataFrame, similar: DataFrame, key: tuple[str, ...], n_callers: int, sample: str = "sample_id") -> DataFrame:
+    """A second vote, by the specific rule, at sites where the panel sample most similar to the voted one is non-reference."""
+    sites = panel.where("gt <> '0|0'").join(similar.select(sample, "panel_sample"), "panel_sample").select("site_id", sample)
+    return vote(cube.join(sites, ["site_id", sample], "left_semi"), key, n_callers, "specific")

@@ -5,11 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from varspan.functions.variant import EVAL_EDGES, bin_of, bins
+from varspan.functions.variant import EVAL_EDGES, allele_lengths, bin_of, bins, gt_parse, hap_lengths, score, sv_length
+from varspan.operators.convert import filter_nonref, filter_pass
 
+#: Runs (caller and sample, say) that one evaluation takes.
+MOST_RUNS = 10_000
 METRICS = ("genotype_recall", "misgenotype_call", "recall", "mis_call", "call", "fail_call", "all")
 
 
+def from_records(records: DataFrame, score_field: str | None = None) -> DataFrame:
+    """VCF records as one side of an evaluation: PASS, a non-reference genotype of the last sample, lengths by ID, REF and ALT, and the
+    score by a field (FORMAT.<key> or INFO.<key>). Gives ord, chrom, pos, ref_len, g0, g1, h0, h1, sv_len, score."""
+    last = F.element_at("samples", -1)
+    r = filter_pass(records).withColumn("gt", gt_parse(F.col("format"), last)["gt"])
+    r = filter_nonref(r).withColumn("l", allele_lengths(F.col("id"), F.col("ref"), F.col("alts")))
+    r = r.withColumn("hap", hap_lengths(F.col("l"), F.col("gt")))
+    value = score(F.col("info"), F.col("format"), last, score_field) if score_field else F.lit(0.0)
+    at = lambda c, k: F.get(c, F.least(F.lit(k), F.size(c) - 1))  # noqa: E731  one allele counts twice
+    return r.select(
+        "ord", "chrom", "pos", F.col("l.ref_len").alias("ref_len"), *[at("gt", k).alias(f"g{k}") for k in (0, 1)], *[at("hap", k).alias(f"h{k}") for k in (0, 1)],
+        sv_length(F.col("l.ref_len"), F.col("hap"), F.col("gt")).alias("sv_len"), value.alias("score"),
+    )
+
+
 def use_once(matches: DataFrame, run: tuple[str, ...] = ()) -> DataFrame:
     """Of the calls that match one truth row the first alone."""
     w = Window.partitionBy(*run, "site_id").orderBy("call_id")
@@ -26,8 +44,11 @@ def outcomes(calls: DataFrame, matches: DataFrame, truth_lengths: DataFrame, run
 
 
 def fail_calls(truth: DataFrame, runs: DataFrame, matches: DataFrame, run: tuple[str, ...]) -> DataFrame:
-    """Truth rows that no call of a run matched; runs holds each run once and is as small as the number of runs."""
-    return truth.join(F.broadcast(runs)).join(matches.select(*run, "site_id"), [*run, "site_id"], "left_anti")
+    """Truth rows that no call of a run matched: every row without a match goes with each run, as the result has it. runs holds each
+    run once; up to MOST_RUNS go along in one array."""
+    every = runs.select(F.struct(*run).alias("r")).agg(F.collect_list("r").alias("rs")).select(F.when(F.size("rs") <= MOST_RUNS, F.col("rs")).otherwise(F.raise_error(F.lit(f"more than {MOST_RUNS} runs"))).alias("rs"))
+    rows = truth.join(F.broadcast(every)).select(*truth.columns, F.explode("rs").alias("r")).select(*truth.columns, "r.*")  # one row
+    return rows.join(matches.select(*run, "site_id"), [*run, "site_id"], "left_anti")
 
 
 def _metrics(counts: dict[str, Column]) -> list[Column]:
@@ -37,13 +58,15 @@ def _metrics(counts: dict[str, Column]) -> list[Column]:
 
 
 def _lengths(out: DataFrame, run: tuple[str, ...]) -> DataFrame:
-    """(run, kind, len) of each call: matched ones by the truth's length, miscalls by the call's."""
-    return out.select(*run, F.col("outcome").alias("kind"), F.when(F.col("outcome") == "miscall", F.col("sv_len")).otherwise(F.col("true_len")).alias("len"))
+    """(run, len, g, m, x): calls of each length and outcome; matched ones by the truth's length, miscalls by the call's. Bins and parts
+    are told of these few rows."""
+    n = lambda kind: F.sum((F.col("outcome") == kind).cast("long"))
+    length = F.when(F.col("outcome") == "miscall", F.col("sv_len")).otherwise(F.col("true_len"))
+    return out.withColumn("len", length).groupBy(*run, "len").agg(n("genotype").alias("g"), n("misgenotype").alias("m"), n("miscall").alias("x"))
 
 
 def _counts() -> list[Column]:
-    n = lambda kind: F.sum((F.col("kind") == kind).cast("long"))
-    return [n("genotype").alias("g"), n("misgenotype").alias("m"), n("miscall").alias("x")]
+    return [F.sum(k).alias(k) for k in "gmx"]
 
 
 def summary(out: DataFrame, truth: DataFrame, run: tuple[str, ...] = ()) -> DataFrame:
@@ -63,7 +86,7 @@ def summary(out: DataFrame, truth: DataFrame, run: tuple[str, ...] = ()) -> Data
 def histogram(out: DataFrame, truth: DataFrame, run: tuple[str, ...] = ()) -> DataFrame:
     """The seven counts in each of the 25 length bins for each run; empty bins have zeros."""
     of = lambda length: F.coalesce(bin_of(F.col(length), EVAL_EDGES), F.lit(-1))
-    total = truth.select(of("true_len").alias("bin")).groupBy("bin").agg(F.count("*").alias("a"))
+    total = truth.groupBy("true_len").agg(F.count("*").alias("a")).withColumn("bin", of("true_len")).groupBy("bin").agg(F.sum("a").alias("a"))
     g = _lengths(out, run).withColumn("bin", of("len")).groupBy(*run, "bin").agg(*_counts())
     by_run = g.groupBy(*run).agg(F.map_from_entries(F.collect_list(F.struct("bin", F.struct("g", "m", "x")))).alias("held"))  # 26 entries
     dim = F.array(*[F.struct(F.lit(k).alias("bin"), F.lit(lo).cast("long").alias("lo"), F.lit(hi).cast("long").alias("hi")) for k, lo, hi in bins(EVAL_EDGES)])

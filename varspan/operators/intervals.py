@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 #: Widest start tolerance of any class, and so the bin width.
 WIDTH = 200
-CHUNK, OVERLAP = 1 << 20, 1 << 17
+#: Bases in a piece of a contig.
+CHUNK = 1 << 13
 
 
 def binned_join(calls: DataFrame, sites: DataFrame, width: int, call_pos: str = "pos", site_pos: str = "s_pos", chrom: str = "chrom", site_chrom: str = "s_chrom") -> DataFrame:
@@ -22,19 +23,13 @@ def binned_join(calls: DataFrame, sites: DataFrame, width: int, call_pos: str =
 
 def same_variant(pos: Column, ref: Column, qry: Column, tpos: Column, tref: Column, tqry: Column) -> Column:
     """Whether a call fits a site, by the call's class: start, exclusive end and length ratios within tolerance."""
-    start, end = F.abs(pos - tpos), F.abs((pos + ref) - (tpos + tref))
-    near = lambda d: (start <= d) & (end <= d)
-    r = F.abs(ref - tref) / tref <= 0.25
-    q = F.abs(qry - tqry) / tqry <= 0.25
-    return (
-        F.when((ref >= 50) & (qry < 50), near(200) & r)
-        .when((ref < 50) & (qry >= 50), near(200) & q)
-        .when((ref >= 50) & (qry >= 50), near(200) & r & q)
-        .when((ref == 1) & (qry == 1), near(1) & r & q)
-        .when((ref >= 3) & (qry <= 2), near(10) & r)
-        .when((ref <= 2) & (qry >= 3), near(10) & q)
-        .otherwise(near(1) & r & q)
-    )
+    # each test stands once, so that four of them side by side stay one small piece of generated code
+    grows, shrinks = (ref <= 2) & (qry >= 3), (ref >= 3) & (qry <= 2)
+    within = F.when((ref >= 50) | (qry >= 50), 200).when(grows | shrinks, 10).otherwise(1)
+    near = F.greatest(F.abs(pos - tpos), F.abs((pos + ref) - (tpos + tref))) <= within
+    any_ref = (ref < 50) & ((qry >= 50) | grows)  # insertions: the REF lengths may differ
+    any_qry = (qry < 50) & ((ref >= 50) | shrinks)  # deletions: the ALT lengths may differ
+    return near & (any_ref | (F.abs(ref - tref) / tref <= 0.25)) & (any_qry | (F.abs(qry - tqry) / tqry <= 0.25))
 
 
 def window_of(ref: Column, qry: Column) -> Column:
@@ -61,17 +56,18 @@ def match_sites(calls: DataFrame, sites: DataFrame, key: tuple[str, ...] = ("cal
     return out.select(*key, "m.hap", "m.site_id", "m.allele").where("site_id is not null and allele is not null")
 
 
-def matched_haplotypes(c: dict[str, Column], t: dict[str, Column]) -> tuple[Column, Column]:
-    """(haplotypes matched, first haplotype matched) of a call and a truth row, each with pos, ref, h0, h1, g0, g1. A truth
-    haplotype is used once."""
+def matched_haplotypes(pairs: DataFrame, c: dict[str, Column], t: dict[str, Column]) -> DataFrame:
+    """Pairs of a call and a truth row, each with pos, ref, h0, h1, g0, g1, that have a haplotype in common, with n_hap (haplotypes
+    matched) and first (whether the call's first is). A truth haplotype is used once."""
 
     def fit(i: int, k: int) -> Column:
         ok = same_variant(c["pos"], c["ref"], c[f"h{i}"], t["pos"], t["ref"], t[f"h{k}"])
         return F.coalesce(ok & ((c[f"g{i}"] == 0) == (t[f"g{k}"] == 0)), F.lit(False))
 
-    k0 = F.when(fit(0, 0), F.lit(0)).when(fit(0, 1), F.lit(1))
-    second = F.when(k0 == 0, fit(1, 1)).when(k0 == 1, fit(1, 0)).otherwise(fit(1, 0) | fit(1, 1))
-    return F.when(k0.isNotNull(), F.lit(1)).otherwise(F.lit(0)) + second.cast("int"), k0.isNotNull()
+    d = pairs.withColumns({f"_f{i}{k}": fit(i, k) for i in (0, 1) for k in (0, 1)}).where("_f00 or _f01 or _f10 or _f11")
+    second = F.when(F.col("_f00"), F.col("_f11")).when(F.col("_f01"), F.col("_f10")).otherwise(F.col("_f10") | F.col("_f11"))
+    first = F.col("_f00") | F.col("_f01")
+    return d.withColumns({"n_hap": first.cast("int") + second.cast("int"), "first": first}).drop("_f00", "_f01", "_f10", "_f11")
 
 
 def _sides(calls: DataFrame, truth: DataFrame, run: tuple[str, ...]) -> tuple[DataFrame, DataFrame, dict, dict]:
@@ -85,7 +81,7 @@ def match_exact(calls: DataFrame, truth: DataFrame, run: tuple[str, ...] = ()) -
     """(run, call_id, site_id, n_hap) of calls at a truth row's position with a haplotype that fits."""
     c, t, cc, tc = _sides(calls, truth, run)
     j = c.join(t, (F.col("chrom") == F.col("t_chrom")) & (F.col("c_pos") == F.col("t_pos")))
-    return j.withColumn("n_hap", matched_haplotypes(cc, tc)[0]).where("n_hap > 0").select(*run, "call_id", "site_id", "n_hap")
+    return matched_haplotypes(j, cc, tc).select(*run, "call_id", "site_id", "n_hap")
 
 
 def match_truth(calls: DataFrame, truth: DataFrame, run: tuple[str, ...] = (), rounds: int | None = None) -> DataFrame:
@@ -99,9 +95,7 @@ def match_truth(calls: DataFrame, truth: DataFrame, run: tuple[str, ...] = (), r
     c, t, cc, tc = _sides(calls, truth, run)
     near = binned_join(c.withColumnRenamed("c_pos", "pos"), t, WIDTH, "pos", "t_pos", "chrom", "t_chrom").withColumnRenamed("pos", "c_pos")
     near = near.where(F.abs(F.col("c_pos") - F.col("t_pos")) <= window_of(F.col("c_ref"), F.col("c_h0")))
-    n, first = matched_haplotypes(cc, tc)
-    pairs = near.withColumns({"n_hap": n, "first": first}).where("n_hap > 0")
-    pairs = pairs.select(*run, "call_id", "site_id", "n_hap", F.struct(~F.col("first"), F.col("t_pos"), F.col("site_id")).alias("rank"))
+    pairs = matched_haplotypes(near, cc, tc).select(*run, "call_id", "site_id", "n_hap", F.struct(~F.col("first"), F.col("t_pos"), F.col("site_id")).alias("rank"))
     left = checkpointed(pairs)
     done = 0
     while True:
@@ -133,17 +127,32 @@ def nearby_bin(n: Column) -> Column:
     return F.when(n.isin(0, 1, 2, 4, 6, 8), n.cast("string")).otherwise("more")
 
 
-def chunked(contigs: DataFrame, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """Contigs as (c_chrom, chunk, _bases): chunks that overlap, so that a span of up to `overlap` lies in one."""
+def chunked(contigs: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """Contigs as (c_chrom, chunk, _bases): pieces of `chunk` bases as binary, where a place is found without a walk."""
     n = F.greatest(F.floor((F.length("seq") - 1) / chunk), F.lit(0))
-    rows = contigs.select(F.col("chrom").alias("c_chrom"), "seq", F.explode(F.sequence(F.lit(0).cast("long"), n)).alias("chunk"))
-    return rows.select("c_chrom", "chunk", F.substring("seq", (F.col("chunk") * chunk + 1).cast("int"), F.lit(chunk + overlap)).alias("_bases"))
-
-
-def ref_lookup(df: DataFrame, contigs: DataFrame, start: Column, length: Column, name: str = "bases_at", chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """Adds the reference bases of [start, start + length), 1-based; null for unknown chromosomes. Spans are no longer than overlap."""
-    c = chunked(contigs, chunk, overlap)
-    d = df.withColumns({"_at": start.cast("long"), "_n": length.cast("int")}).withColumn("_chunk", F.greatest(F.floor((F.col("_at") - 1) / chunk), F.lit(0)))
-    d = d.withColumn("_n", F.when(F.col("_n") > overlap, F.raise_error(F.lit("span longer than the overlap")).cast("int")).otherwise(F.col("_n")))
-    j = d.join(c, (F.col("chrom") == F.col("c_chrom")) & (F.col("_chunk") == F.col("chunk")), "left")
-    return j.withColumn(name, F.substring("_bases", (F.col("_at") - F.col("_chunk") * chunk).cast("int"), F.col("_n"))).drop("_at", "_n", "_chunk", "c_chrom", "chunk", "_bases")
+    bytes_ = contigs.select(F.col("chrom").alias("c_chrom"), F.encode("seq", "UTF-8").alias("seq"), n.alias("n"))
+    rows = bytes_.select("c_chrom", F.posexplode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("n")), lambda k: F.substring("seq", (k * chunk + 1).cast("int"), F.lit(chunk)))).alias("chunk", "_bases"))
+    return rows.select("c_chrom", F.col("chunk").cast("long").alias("chunk"), "_bases")
+
+
+def ref_lookup(df: DataFrame, contigs: DataFrame, start: Column, length: Column, name: str = "bases_at", chunk: int = CHUNK) -> DataFrame:
+    """Adds the reference bases of [start, start + length), 1-based, as far as the contig goes; null for unknown chromosomes.
+
+    Each row asks for the pieces that its span covers, with its numbers alone; what they give is put together by row and joined
+    back. A span of any length is found; bases are one byte each."""
+    d = df.withColumns({"_at": start.cast("long"), "_n": F.greatest(length.cast("long"), F.lit(0).cast("long"))})
+    at = F.greatest(F.col("_at"), F.lit(1).cast("long"))
+    end = F.col("_at") + F.col("_n")  # exclusive
+    span = F.struct(at.alias("at"), end.alias("end"))
+    asked = d.select("chrom", span.alias("span")).where("span.end > span.at").distinct()
+    first, last = F.floor((F.col("span.at") - 1) / chunk), F.floor((F.col("span.end") - 2) / chunk)
+    asked = asked.select("chrom", "span", F.explode(F.sequence(first, last)).alias("_chunk"))
+    j = asked.join(chunked(contigs, chunk), (F.col("chrom") == F.col("c_chrom")) & (F.col("_chunk") == F.col("chunk")))
+    lo = F.greatest(F.col("span.at") - 1 - F.col("_chunk") * chunk, F.lit(0))
+    hi = F.least(F.col("span.end") - 1 - F.col("_chunk") * chunk, F.lit(chunk))
+    part = F.decode(F.substring("_bases", (lo + 1).cast("int"), (hi - lo).cast("int")), "UTF-8")
+    parts = j.select("chrom", "span", "_chunk", part.alias("part")).groupBy("chrom", "span").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_chunk", "part"))), lambda p: p["part"]), "").alias("_found"))  # as many as a span has
+    known = contigs.select(F.col("chrom").alias("k_chrom"))
+    out = d.withColumn("_span", span).join(parts.select(F.col("chrom").alias("p_chrom"), F.col("span").alias("p_span"), "_found"), (F.col("chrom") == F.col("p_chrom")) & (F.col("_span") == F.col("p_span")), "left")
+    out = out.join(known, F.col("chrom") == F.col("k_chrom"), "left")
+    return out.withColumn(name, F.when(F.col("k_chrom").isNotNull(), F.coalesce("_found", F.lit("")))).drop("_at", "_n", "_span", "p_chrom", "p_span", "_found", "k_chrom")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,7 +35,8 @@ def length_hist(df: DataFrame) -> DataFrame:
     a = variant_type_allele(df)
     family = F.when(F.col("type") == "Inversion", "inversion").when(F.col("type") == "Duplication", "duplication").otherwise("sv")
     a = a.withColumn("family", family).withColumn("v", F.when(F.col("family") == "inversion", F.col("alt_length")).otherwise(F.col("sv_len")))
-    g = a.withColumn("bin", bin_of(F.col("v"), COUNT_EDGES)).where("bin is not null").groupBy("family", "bin").agg(F.count("*").alias("n"), F.abs(F.sum("v")).alias("total"))
+    a = a.groupBy("family", "v").agg(F.count("*").alias("n"))  # bins are told of distinct lengths
+    g = a.withColumn("bin", bin_of(F.col("v"), COUNT_EDGES)).where("bin is not null").groupBy("family", "bin").agg(F.sum("n").alias("n"), F.abs(F.sum(F.col("v") * F.col("n"))).alias("total"))
     dim = df.sparkSession.createDataFrame([(f, k, lo, hi) for f in ("sv", "inversion", "duplication") for k, lo, hi in bins(COUNT_EDGES)], "family string, bin int, lo long, hi long")
     return F.broadcast(dim).join(g, ["family", "bin"], "left").na.fill(0, ["n", "total"])  # 69 rows
 
@@ -69,6 +72,30 @@ def window_density(df: DataFrame, lengths: DataFrame, size: int, step: int) -> D
     return wins.join(g, ["chrom", "start"], "left").select("chrom", "start", F.coalesce("n", F.lit(0).cast("long")).alias("n"), F.coalesce("total", F.lit(0).cast("long")).alias("total"), F.coalesce("types", F.lit("")).alias("types"))
 
 
+def window_groups(genotypes: DataFrame, groups: DataFrame, lengths: DataFrame, size: int, step: int) -> DataFrame:
+    """Sliding windows as in window_density with the sample groups that have a variant in them: non-reference genotypes as text, group:n.
+
+    genotypes: chrom, pos, sample, gt; groups: sample, grp. Samples without a group count for none. A window's groups are counted
+    before they are put together."""
+    g = genotypes.where(F.exists("gt", lambda a: a > 0)).join(groups, "sample").groupBy("chrom", "pos", "grp").agg(F.count("*").alias("n"))
+    first, last = F.greatest(F.floor((F.col("pos") - size) / step) + 1, F.lit(0)), F.floor(F.col("pos") / step)
+    v = g.withColumn("start", F.explode(F.sequence(first, last))).withColumn("start", F.col("start") * step).where(F.col("pos") < F.col("start") + size)
+    v = v.groupBy("chrom", "start", "grp").agg(F.sum("n").alias("n"))
+    text = F.concat("grp", F.lit(":"), F.col("n").cast("string"))
+    v = v.groupBy("chrom", "start").agg(F.array_join(F.array_sort(F.collect_list(text)), ",").alias("groups"), F.sum("n").alias("n"))  # an entry a group
+    wins = lengths.select("chrom", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("len") - 1, F.lit(0)), F.lit(step).cast("long"))).alias("start"))
+    return wins.join(v, ["chrom", "start"], "left").select("chrom", "start", F.coalesce("n", F.lit(0).cast("long")).alias("n"), F.coalesce("groups", F.lit("")).alias("groups"))
+
+
+def places(df: DataFrame) -> DataFrame:
+    """Adds `place`, each record's place on its chromosome by position, then site_id, from 1."""
+    from varspan.sources.text import ranked
+
+    d = ranked(df, "chrom", "pos", "site_id")
+    first = d.groupBy("chrom").agg(F.min("rank").alias("first"))  # a row a chromosome
+    return d.join(first, "chrom").withColumn("place", F.col("rank") - F.col("first") + 1).drop("rank", "first")
+
+
 def check_sorted(df: DataFrame, order: str = "ord") -> DataFrame:
     """Rows whose position drops within a run of one chromosome, in file order. Blocks of rows are ordered by themselves; the last row of
     the block before comes from one row a block."""
@@ -80,27 +107,73 @@ def check_sorted(df: DataFrame, order: str = "ord") -> DataFrame:
     return j.where((F.col("p.chrom") == F.col("chrom")) & (F.col("pos") < F.col("p.pos"))).select(order, "chrom", "pos", F.col("p.pos").alias("before"))
 
 
-def nonoverlap_greedy(df: DataFrame) -> DataFrame:
-    """Per chromosome a record is kept if it begins after the end of the last kept one. Needs id, chrom, pos, end.
+def _chains(last: bool):
+    """For records of one block of a chromosome, one at each position: where the chain that begins with a record ends (last), or the
+    records of the chain that begins at `entry`."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("pos")
+        pos, end = rows["pos"].to_numpy(), rows["end"].to_numpy()
+        after = np.searchsorted(pos, end, "right")
+        if last:
+            out = end.copy()
+            for k in range(len(pos) - 1, -1, -1):
+                if after[k] < len(pos):
+                    out[k] = out[after[k]]
+            return rows[["chrom", "_b", "pos"]].assign(out=out)
+        kept, k = [], int(np.searchsorted(pos, rows["entry"].iloc[0]))
+        while k < len(pos):
+            kept.append(k)
+            k = int(after[k])
+        return rows.iloc[kept][["id", "chrom", "pos", "end"]]
+
+    return run
 
-    A record after the largest end of all before begins an island; islands are folded by themselves. The running end goes over blocks of
-    positions, with one row a block carried on."""
-    d = df.select("id", "chrom", "pos", "end").withColumn("_b", F.floor(F.col("pos") / BLOCK))
-    tops = d.groupBy("chrom", "_b").agg(F.max("end").alias("top"))
-    carry = Window.partitionBy("chrom").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    tops = tops.select("chrom", "_b", F.max("top").over(carry).alias("before"))
-    w = Window.partitionBy("chrom", "_b").orderBy("pos", "end", "id")
-    d = d.join(tops, ["chrom", "_b"]).withColumn("reach", F.greatest(F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1)), "before"))
-    d = d.withColumn("head", F.when(F.col("reach").isNull() | (F.col("pos") > F.col("reach")), F.struct("pos", "end", "id")))
-    heads = d.groupBy("chrom", "_b").agg(F.max("head").alias("h")).select("chrom", "_b", F.max("h").over(carry).alias("h_before"))
-    d = d.join(heads, ["chrom", "_b"]).withColumn("island", F.coalesce(F.max("head").over(w.rowsBetween(Window.unboundedPreceding, 0)), "h_before"))
-    islands = d.groupBy("chrom", "island").agg(F.array_sort(F.collect_list(F.struct("pos", "end", "id"))).alias("rows"))  # overlapping records
 
-    def fold(s, r):
-        return F.when(s["end"].isNull() | (r["pos"] > s["end"]), F.struct(r["end"].alias("end"), F.concat(s["kept"], F.array(r)).alias("kept"))).otherwise(s)
+def _after(ends: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
+    """For ends that reach into a block the first position in it after each, where there is one."""
+    pos = np.sort(block["pos"].to_numpy())
+    at = np.searchsorted(pos, ends["out"].to_numpy(), "right")
+    ok = at < len(pos)
+    return ends.loc[ok, ["chrom", "out"]].assign(inside=pos[at[ok]])
 
-    start = F.struct(F.lit(None).cast("long").alias("end"), F.filter("rows", lambda r: F.lit(False)).alias("kept"))
-    return islands.select("chrom", F.explode(F.aggregate("rows", start, fold)["kept"]).alias("r")).select("r.id", "chrom", "r.pos", "r.end")
+
+def nonoverlap_greedy(df: DataFrame) -> DataFrame:
+    """Per chromosome a record is kept if it begins after the end of the last kept one. Needs id, chrom, pos, end (long).
+
+    Of records at one position only the one with the least end, then id, can be kept, so a block of positions is a bounded group. In
+    each block a chain leads from every record to where it leaves the block; the record that comes next is in a later block. Chains
+    soon run together, so few records are ever entered from outside: those that the first record of a chromosome leads to are
+    found by doubling. Each entered block then gives its chain."""
+    from varspan.sources.text import checkpointed
+
+    d = df.select("chrom", "pos", F.struct("end", "id").alias("r")).groupBy("chrom", "pos").agg(F.min("r").alias("r"))
+    d = checkpointed(d.select("r.id", "chrom", "pos", "r.end", F.floor(F.col("pos") / BLOCK).alias("_b")))
+    kinds = dict(d.dtypes)
+    leaves = d.select("chrom", "_b", "pos", "end").groupBy("chrom", "_b").applyInPandas(_chains(True), f"chrom string, _b long, pos {kinds['pos']}, out {kinds['end']}")
+    leaves = checkpointed(leaves)
+    # the next record after an end: in a later block that the end reaches into, or else the first of the block after it
+    heads = leaves.groupBy("chrom", "_b").agg(F.min("pos").alias("head"))  # a row a block
+    w = Window.partitionBy("chrom").orderBy("_b")
+    after = heads.select("chrom", "_b", F.lead("_b").over(w).alias("_nb"), F.lead("head").over(w).alias("_nhead")).where("_nb is not null")
+    after = after.select("chrom", F.explode(F.sequence("_b", F.col("_nb") - 1)).alias("_eb"), "_nhead")
+    ends = leaves.select("chrom", "out", "_b").withColumn("_eb", F.floor(F.col("out") / BLOCK)).groupBy("chrom", "out", "_eb").agg(F.max(F.col("_eb") > F.col("_b")).alias("on"))
+    reach = ends.where("on").groupBy("chrom", "_eb").cogroup(leaves.groupBy("chrom", "_b")).applyInPandas(_after, f"chrom string, out {kinds['end']}, inside {kinds['pos']}")
+    following = ends.join(after, ["chrom", "_eb"], "left").join(reach, ["chrom", "out"], "left").select("chrom", "out", F.coalesce("inside", "_nhead").alias("next"))
+    first = heads.groupBy("chrom").agg(F.min("head").alias("pos"))
+    targets = following.where("next is not null").select("chrom", F.col("next").alias("pos")).unionByName(first).distinct()
+    jump = checkpointed(leaves.join(targets, ["chrom", "pos"], "left_semi").join(following, ["chrom", "out"], "left").select("chrom", "pos", "next"))
+    entered = checkpointed(first)
+    while True:
+        more = entered.join(jump, ["chrom", "pos"]).where("next is not null").select("chrom", F.col("next").alias("pos"))
+        grown = checkpointed(entered.unionByName(more).distinct())
+        if grown.count() == entered.count():
+            break
+        entered = grown
+        twice = jump.select("chrom", F.col("pos").alias("next"), F.col("next").alias("far"))
+        jump = checkpointed(jump.join(twice, ["chrom", "next"], "left").select("chrom", "pos", F.col("far").alias("next")))
+    entry = entered.select("chrom", F.floor(F.col("pos") / BLOCK).alias("_b"), F.col("pos").alias("entry"))
+    return d.join(entry, ["chrom", "_b"]).groupBy("chrom", "_b").applyInPandas(_chains(False), f"id {kinds['id']}, chrom string, pos {kinds['pos']}, end {kinds['end']}")
 
 
 def seq_count(reads: DataFrame, by: tuple[str, ...] = (), seqs: tuple[str, ...] = ("seq",)) -> DataFrame:
@@ -114,8 +187,10 @@ def cohort_min(facts: DataFrame) -> DataFrame:
 
 
 def batch_assign(samples: DataFrame, size: int, name: str = "name") -> DataFrame:
-    """Samples in name order, `size` to a batch. A row a sample."""
-    return samples.withColumn("batch", F.floor((F.row_number().over(Window.orderBy(name)) - 1) / size))
+    """Samples in name order, `size` to a batch."""
+    from varspan.sources.text import ranked
+
+    return ranked(samples, name).withColumn("batch", F.floor(F.col("rank") / size)).drop("rank")
 
 
 def hash_share(idx: Column, seed: int) -> Column:

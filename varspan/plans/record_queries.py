@@ -21,7 +21,7 @@ _REC = """rec AS (SELECT ord, p[1] AS chrom, CAST(p[2] AS BIGINT) AS pos, p[3] A
   p[7] AS filter, p[8] AS info, p[9] AS format, p[10:] AS samples, length(p[4]) AS ref_len, CAST(p[2] AS BIGINT) + length(p[4]) - 1 AS ref_end
   FROM (SELECT ord, string_split(line, chr(9)) AS p FROM v_lines))"""
 #: Panel genotypes with the sample's index.
-_GT = "pan AS (SELECT site_id AS ord, a1, a2, CAST(row_number() OVER (PARTITION BY site_id ORDER BY sample_id) - 1 AS BIGINT) AS sample, sample_id FROM v_panel)"
+_GT = "pan AS (SELECT site_id AS ord, a1, a2, CAST(row_number() OVER (PARTITION BY site_id ORDER BY sample_id) - 1 AS BIGINT) AS sample, CAST(count(*) OVER (PARTITION BY site_id) AS BIGINT) AS n_samples, sample_id FROM v_panel)"
 
 
 def query(name: str, sql: str):
@@ -44,8 +44,8 @@ def recs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def header(spark: SparkSession, d: str) -> DataFrame:
-    """Header lines as the panel's samples make them; ten names."""
-    s = spark.read.parquet(f"{d}/supplier.parquet").where("s_suppkey < 10").select("s_suppkey")
+    """Header lines with the names of all samples, which are one line in any VCF file."""
+    s = spark.read.parquet(f"{d}/supplier.parquet").select("s_suppkey")
     names = s.agg(F.array_sort(F.collect_list("s_suppkey")).alias("k")).select(F.concat_ws("\t", F.lit(FIXED), F.array_join(F.transform("k", lambda k: F.concat(F.lit("s"), k.cast("string"))), "\t")).alias("line"))
     rest = names.select(F.explode(F.array(F.lit("##fileformat=VCFv4.2"), F.lit("##contig=<ID=old,length=1>"))).alias("line"))
     return rest.unionByName(names)
@@ -64,7 +64,7 @@ def scan_vcf(spark, d):
     return r.select("chrom", "pos", "id", "ref_len", "ref_end", "qual", "filter", F.size("alts").cast("long").alias("n_alts"), F.size("samples").cast("long").alias("n_samples"))
 
 
-_NAMES = "SELECT CAST(row_number() OVER (ORDER BY s_suppkey) - 1 AS BIGINT) AS idx, concat('s', CAST(s_suppkey AS VARCHAR)) AS sample FROM supplier WHERE s_suppkey < 10"
+_NAMES = "SELECT CAST(row_number() OVER (ORDER BY s_suppkey) - 1 AS BIGINT) AS idx, concat('s', CAST(s_suppkey AS VARCHAR)) AS sample FROM supplier"
 
 
 @query("scan_vcf_header", _NAMES)
@@ -110,7 +110,7 @@ def scan_intervals(spark, d):
 
 
 @query("write_vcf", oracle("v_lines", f""", {_REC}
-SELECT concat_ws(chr(9), chrom, CAST(pos AS VARCHAR), id, ref, array_to_string(alts, ','), CAST(CASE WHEN qual = '.' THEN 0.0 ELSE CAST(qual AS DOUBLE) END AS VARCHAR),
+SELECT concat_ws(chr(9), chrom, CAST(pos AS VARCHAR), id, ref, array_to_string(alts, ','), qual,
   filter, info, format, array_to_string(samples, chr(9))) AS line FROM rec
 UNION ALL SELECT '##fileformat=VCFv4.2' UNION ALL SELECT {_HEAD}"""))
 def write_vcf(spark, d):
@@ -136,12 +136,21 @@ def write_fasta_oneline(spark, d):
 
 @query("contig_header", oracle("v_contigs", f"""SELECT CAST(0 AS BIGINT) AS n, '##fileformat=VCFv4.2' AS line UNION ALL
 SELECT 1, concat('##contig=<ID=', chrom, ',length=', CAST(len AS VARCHAR), '>') FROM v_contigs UNION ALL
-SELECT 2, concat_ws(chr(9), {_HEAD}, string_agg(concat('s', CAST(s_suppkey AS VARCHAR)), chr(9) ORDER BY s_suppkey)) FROM supplier WHERE s_suppkey < 10"""))
+SELECT 2, concat_ws(chr(9), {_HEAD}, string_agg(concat('s', CAST(s_suppkey AS VARCHAR)), chr(9) ORDER BY s_suppkey)) FROM supplier"""))
 def contig_header(spark, d):
     return T.contig_header(header(spark, d), view(spark, d, "v_contigs")).select(F.col("n").cast("long").alias("n"), "line")
 
 
-@query("merge_header", "SELECT CAST(0 AS BIGINT) AS n, '##fileformat=VCFv4.2' AS line UNION ALL SELECT 0, '##contig=<ID=old,length=1>' UNION ALL " + " UNION ALL ".join(f"SELECT 1, '{x}'" for x in T.MERGE_FORMATS) + f" UNION ALL SELECT 2, concat_ws(chr(9), {_HEAD}, 's3') WHERE (SELECT count(*) FROM supplier WHERE s_suppkey = 3) > 0")
+# The FORMAT lines of a merged file, as the oracle has them.
+_MERGE_LINES = (
+    '##FORMAT=<ID=SO,Number=1,Type=String,Description="Software">',
+    '##FORMAT=<ID=DP,Number=1,Type=Float,Description="Total filtered read depth used for genotyping.">',
+    '##FORMAT=<ID=ADP,Number=1,Type=Float,Description="Average depth">',
+    '##FORMAT=<ID=NDP,Number=1,Type=Float,Description="Depth after z-score normalization">',
+)
+
+
+@query("merge_header", "SELECT CAST(0 AS BIGINT) AS n, '##fileformat=VCFv4.2' AS line UNION ALL SELECT 0, '##contig=<ID=old,length=1>' UNION ALL " + " UNION ALL ".join(f"SELECT 1, '{x}'" for x in _MERGE_LINES) + f" UNION ALL SELECT 2, concat_ws(chr(9), {_HEAD}, 's3') WHERE (SELECT count(*) FROM supplier WHERE s_suppkey = 3) > 0")
 def merge_header(spark, d):
     return T.merge_header(header(spark, d), "s3").select(F.col("n").cast("long").alias("n"), "line")
 
@@ -165,11 +174,11 @@ def gt_phase_all(spark, d):
 @query("gt_sample_merge", oracle("v_panel", f""", {_GT}
 SELECT ord, CASE WHEN a1 < 0 THEN '0,0' ELSE concat(CAST(a1 AS VARCHAR), ',', CAST(a2 AS VARCHAR)) END AS gt FROM pan WHERE sample = 3"""))
 def gt_sample_merge(spark, d):
-    return recs(spark, d).select("ord", F.array_join(V.gt_strict(F.col("format"), F.get("samples", F.lit(3))), ",").alias("gt"))
+    return recs(spark, d).where(F.size("samples") > 3).select("ord", F.array_join(V.gt_strict(F.col("format"), F.get("samples", F.lit(3))), ",").alias("gt"))
 
 
 @query("gt_sample_eval", oracle("v_panel", f""", {_GT}
-SELECT ord, CASE WHEN a1 < 0 THEN '0,0' ELSE concat(CAST(a1 AS VARCHAR), ',', CAST(a2 AS VARCHAR)) END AS gt FROM pan WHERE sample = (SELECT max(sample) FROM pan)"""))
+SELECT ord, CASE WHEN a1 < 0 THEN '0,0' ELSE concat(CAST(a1 AS VARCHAR), ',', CAST(a2 AS VARCHAR)) END AS gt FROM pan WHERE sample = n_samples - 1"""))
 def gt_sample_eval(spark, d):
     return recs(spark, d).select("ord", F.array_join(V.gt_parse(F.col("format"), F.element_at("samples", -1))["gt"], ",").alias("gt"))
 
@@ -183,7 +192,7 @@ def depth_extract(spark, d):
 
 @query("score_extract", oracle("v_sites v_panel", f""", {_GT}
 SELECT ord, CAST((ord + sample_id * 3) % 40 AS DOUBLE) AS dp_score, CAST(s.pos + s.ref_len - 1 AS DOUBLE) AS end_score, 0.0::DOUBLE AS no_score
-FROM pan JOIN v_sites s ON s.site_id = pan.ord WHERE sample = (SELECT max(sample) FROM pan)"""))
+FROM pan JOIN v_sites s ON s.site_id = pan.ord WHERE sample = n_samples - 1"""))
 def score_extract(spark, d):
     last = F.element_at("samples", -1)
     of = lambda key: V.score(F.col("info"), F.col("format"), last, key)
@@ -267,7 +276,7 @@ def sv_length(spark, d):
 
 
 @query("split_len", oracle("v_lines v_panel", f""", {_REC}, {_GT}
-SELECT rec.ord, CAST(ref_len AS BIGINT) AS ref_len, CAST(length(alts[greatest(a1, a2)]) AS BIGINT) AS qry_len FROM rec JOIN pan ON pan.ord = rec.ord AND sample = (SELECT max(sample) FROM pan)
+SELECT rec.ord, CAST(ref_len AS BIGINT) AS ref_len, CAST(length(alts[greatest(a1, a2)]) AS BIGINT) AS qry_len FROM rec JOIN pan ON pan.ord = rec.ord AND sample = n_samples - 1
 WHERE filter = 'PASS' AND a1 >= 0 AND a1 + a2 > 0"""))
 def split_len(spark, d):
     r = C.filter_pass(recs(spark, d)).withColumn("gt", V.gt_parse(F.col("format"), F.element_at("samples", -1))["gt"])
@@ -297,7 +306,7 @@ _BAD = """SELECT ord, CASE WHEN ord % 13 = 0 THEN regexp_replace(line, '^chr[0-9
 SELECT s.site_id AS ord, CASE WHEN s.site_id % 13 <> 0 AND s.site_id % 17 = 0 THEN 'no_gt' WHEN s.site_id % 13 = 0 THEN 'unknown_chrom'
   WHEN s.pos < 350 THEN 'near_start' WHEN s.pos + s.ref_len - 1 >= g.len THEN 'beyond_end'
   WHEN s.site_id % 19 = 0 AND EXISTS (SELECT 1 FROM v_panel p WHERE p.site_id = s.site_id AND p.a1 = 0 AND p.a2 = 1 AND p.sample_id % 2 = 0) THEN 'gt_index' END AS reject_reason
-FROM v_sites s JOIN v_contigs g ON g.chrom = s.chrom"""))
+FROM v_sites s JOIN v_contigs g ON g.chrom = s.chrom JOIN (SELECT DISTINCT site_id FROM v_panel) k ON k.site_id = s.site_id"""))
 def drop_bad_rows(spark, d):
     return C.reject_reason(T.records(sql_view(spark, d, "v_lines", _BAD)), view(spark, d, "v_contigs")).select("ord", "reject_reason")
 
@@ -313,7 +322,7 @@ def fix_ref(spark, d):
 @query("ref_lookup", oracle("v_sites v_contigs", "SELECT s.site_id, substr(g.seq, CAST(s.pos - 5 AS INT), CAST(s.ref_len + 10 AS INT)) AS bases FROM v_sites s JOIN v_contigs g ON g.chrom = s.chrom"))
 def ref_lookup(spark, d):
     s = view(spark, d, "v_sites").select("site_id", "chrom", "pos", "ref_len")
-    return C.ref_lookup(s, view(spark, d, "v_contigs"), F.col("pos") - 5, F.col("ref_len") + 10, "bases", chunk=50_000, overlap=10_000).select("site_id", "bases")
+    return C.ref_lookup(s, view(spark, d, "v_contigs"), F.col("pos") - 5, F.col("ref_len") + 10, "bases").select("site_id", "bases")
 
 
 _ANCHOR = "SELECT site_id, chrom, pos, ref, CASE WHEN shape = 'INS' AND site_id % 4 = 0 THEN concat('N', alt, 'R') WHEN shape = 'sDEL' AND site_id % 4 = 1 THEN ref ELSE alt END AS alt FROM v_alleles"
@@ -335,10 +344,7 @@ def anchor_alleles(spark, d):
 
 @query("local_reorder", oracle("v_alleles v_contigs", f", {_ANCHORED} SELECT site_id, chrom, pos, row_number() OVER (PARTITION BY chrom ORDER BY pos, site_id) AS place FROM ac"))
 def local_reorder(spark, d):
-    from pyspark.sql import Window
-
-    place = F.row_number().over(Window.partitionBy("chrom").orderBy("pos", "site_id")).cast("long")
-    return S.sort_variants(_anchored(spark, d).withColumn("place", place)).select("site_id", "chrom", "pos", "place")
+    return S.sort_variants(S.places(_anchored(spark, d).select("site_id", "chrom", "pos"))).select("site_id", "chrom", "pos", "place")
 
 
 _DUPS = "SELECT site_id, CASE WHEN site_id % 5 = 0 THEN concat(alt, ',', alt) ELSE concat(alt, ',', alt, 'T') END AS alt FROM v_alleles"
@@ -390,27 +396,72 @@ def symbolic_expand(spark, d):
     return C.symbolic_expand(rows, view(spark, d, "v_contigs")).select("site_id", "ref", "alt")
 
 
-_LOCI = """SELECT a.site_id AS ord, a.chrom, a.pos, a.ref, a.alt, p.a1, p.a2, q.a1 AS b1, q.a2 AS b2 FROM v_alleles a
-JOIN v_panel p ON p.site_id = a.site_id AND p.sample_id = 1 JOIN v_panel q ON q.site_id = a.site_id AND q.sample_id = 2"""
-_LOCI2 = f"SELECT * FROM ({_LOCI}) UNION ALL SELECT ord + 10000000, chrom, pos, concat(ref, 'C'), concat(alt, 'GG'), 1, 0, 0, 1 FROM ({_LOCI}) WHERE ord % 5 = 0"
+_LOCI = """SELECT a.site_id AS ord, a.chrom, a.pos, a.ref, a.alt, g.gts FROM v_alleles a JOIN v_genotypes g ON g.site_id = a.site_id"""
+_LOCI2 = f"""SELECT * FROM ({_LOCI}) x UNION ALL SELECT a.site_id + 10000000000, a.chrom, a.pos, concat(a.ref, 'C'), concat(a.alt, 'GG'), g.fresh
+FROM v_alleles a JOIN v_genotypes g ON g.site_id = a.site_id WHERE a.site_id % 5 = 0"""
+
+
+def _numbers(text: str):
+    return F.transform(F.split(text, ","), lambda g: F.transform(F.split(g, r"\|"), lambda a: a.cast("int")))
 
 
-@query("merge_loci", oracle("v_alleles v_panel", f""", l AS ({_LOCI}),
-z AS (SELECT *, ord % 5 = 0 AS two, greatest(a1, 0) AS x1, greatest(a2, 0) AS x2, greatest(b1, 0) AS y1, greatest(b2, 0) AS y2 FROM l)
-SELECT chrom, pos, CAST(CASE WHEN two THEN 2 ELSE 1 END AS BIGINT) AS n_rows, CASE WHEN two THEN concat(ref, 'C') ELSE ref END AS ref,
-  CASE WHEN two THEN concat(alt, 'C,', alt, 'GG') ELSE alt END AS alts,
-  concat(CASE WHEN two AND x1 + x2 = 0 THEN '2|0' ELSE concat(CAST(x1 AS VARCHAR), '|', CAST(x2 AS VARCHAR)) END, ',',
-         CASE WHEN two AND y1 + y2 = 0 THEN '0|2' ELSE concat(CAST(y1 AS VARCHAR), '|', CAST(y2 AS VARCHAR)) END) AS gts FROM z"""))
+@query("merge_loci", oracle("v_alleles v_panel", """, g AS (SELECT site_id, string_agg(CASE WHEN site_id % 5 <> 0 OR a1 > 0 OR a2 > 0 THEN concat(CAST(greatest(a1, 0) AS VARCHAR), '|', CAST(greatest(a2, 0) AS VARCHAR))
+  WHEN sample_id % 2 = 1 THEN '2|0' ELSE '0|2' END, ',' ORDER BY sample_id) AS gts FROM v_panel GROUP BY site_id)
+SELECT a.chrom, a.pos, CAST(CASE WHEN a.site_id % 5 = 0 THEN 2 ELSE 1 END AS BIGINT) AS n_rows, CASE WHEN a.site_id % 5 = 0 THEN concat(ref, 'C') ELSE ref END AS ref,
+  CASE WHEN a.site_id % 5 = 0 THEN concat(alt, 'C,', alt, 'GG') ELSE alt END AS alts, g.gts FROM v_alleles a JOIN g ON g.site_id = a.site_id"""))
 def merge_loci(spark, d):
-    rows = sql_view(spark, d, "v_alleles v_panel", _LOCI2)
-    one = lambda a, b: F.array(F.greatest(F.col(a), F.lit(0)).cast("int"), F.greatest(F.col(b), F.lit(0)).cast("int"))
-    m = C.merge_loci(rows.select("ord", "chrom", "pos", "ref", F.array("alt").alias("alts"), F.array(one("a1", "a2"), one("b1", "b2")).alias("gts")))
+    rows = sql_view(spark, d, "v_alleles v_genotypes", _LOCI2)
+    m = C.merge_loci(rows.select("ord", "chrom", "pos", "ref", F.array("alt").alias("alts"), _numbers("gts").alias("gts")))
     return m.select("chrom", "pos", F.col("n_rows").cast("long").alias("n_rows"), "ref", F.array_join("alts", ",").alias("alts"), F.array_join(F.transform("gts", lambda g: F.array_join(g, "|")), ",").alias("gts"))
 
 
-@query("dup_position_overwrite", oracle("v_alleles v_panel", f"""SELECT chrom, pos, CASE WHEN ord % 5 = 0 THEN ord + 10000000 ELSE ord END AS ord, CASE WHEN ord % 5 = 0 THEN concat(alt, 'GG') ELSE alt END AS alt FROM ({_LOCI})"""))
+@query("dup_position_overwrite", oracle("v_alleles v_panel", """SELECT chrom, pos, CASE WHEN site_id % 5 = 0 THEN site_id + 10000000000 ELSE site_id END AS ord,
+  CASE WHEN site_id % 5 = 0 THEN concat(alt, 'GG') ELSE alt END AS alt FROM v_alleles WHERE site_id IN (SELECT site_id FROM v_panel)"""))
 def dup_position_overwrite(spark, d):
-    return C.dup_position_overwrite(sql_view(spark, d, "v_alleles v_panel", _LOCI2).select("chrom", "pos", "ord", "alt"))
+    return C.dup_position_overwrite(sql_view(spark, d, "v_alleles v_genotypes", _LOCI2).select("chrom", "pos", "ord", "alt"))
+
+
+#: Lines with faults of each kind, with records of one position, and with a REF to mend.
+_FAULTY = """SELECT ord, CASE WHEN ord % 13 = 0 THEN regexp_replace(line, '^chr[0-9]', 'chrX') WHEN ord % 17 = 0 THEN replace(line, 'GT:DP', 'DP') WHEN ord % 19 = 0 THEN replace(line, '0/1:', '0/3:')
+  WHEN ord % 46 = 0 THEN 'chr1' || chr(9) || '5' WHEN ord % 23 = 0 THEN concat(line, chr(9), '0/0:1') ELSE line END AS line FROM v_lines
+UNION ALL SELECT a.site_id + 10000000000, concat_ws(chr(9), a.chrom, CAST(a.pos AS VARCHAR(20)), 'second', concat(a.ref, 'Z'), concat(a.alt, 'GG'), '7', 'PASS', 'SVLEN=5', 'GT', replace(g.fresh, ',', chr(9)))
+  FROM v_alleles a JOIN v_genotypes g ON g.site_id = a.site_id WHERE a.shape = 'sDEL' AND a.site_id % 5 = 0"""
+
+
+@query("convert_vcf", oracle("v_sites v_alleles v_panel v_contigs", """,
+x AS (SELECT s.site_id, s.chrom, s.pos, s.ref_len, s.alt_len, s.n_alts, a.ref, a.alt, substr(g.seq, CAST(s.pos - 1 AS INT), 1) AS base, substr(g.seq, CAST(s.pos + s.ref_len AS INT), 1) AS follows,
+  s.shape = 'sDEL' AND s.site_id % 5 = 0 AS two, substr(a.ref, 1, 1) <> substr(a.alt, 1, 1) AND (s.ref_len > 1 OR s.alt_len > 1 OR s.n_alts = 2) AS moved
+  FROM v_sites s JOIN v_alleles a ON a.site_id = s.site_id JOIN v_contigs g ON g.chrom = s.chrom),
+pa AS (SELECT site_id, sample_id, greatest(a1, 0) AS x1, a1 < 0 AS miss,
+  CASE WHEN a1 = 0 AND a2 = 1 AND sample_id % 2 = 0 AND site_id % 19 = 0 AND site_id % 13 <> 0 AND site_id % 17 <> 0 THEN 3 ELSE greatest(a2, 0) END AS x2 FROM v_panel),
+ct AS (SELECT site_id, a, count(*) AS c FROM (SELECT site_id, x1 AS a FROM pa WHERE NOT miss UNION ALL SELECT site_id, x2 FROM pa WHERE NOT miss) GROUP BY site_id, a),
+sec AS (SELECT site_id, c FROM (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY c DESC) AS k FROM ct) WHERE k = 2),
+ps AS (SELECT site_id, count(*) AS n, sum(CASE WHEN miss THEN 1 ELSE 0 END) AS m, max(greatest(x1, x2)) AS top, bool_or(x1 + x2 > 0) AS used FROM pa GROUP BY site_id),
+f AS (SELECT x.*, ps.used, CASE WHEN x.site_id % 13 <> 0 AND x.site_id % 17 <> 0 AND x.site_id % 19 <> 0 AND x.site_id % 23 = 0 THEN 'columns'
+    WHEN x.site_id % 13 <> 0 AND x.site_id % 17 = 0 THEN 'no_gt'
+    WHEN ref_len = 1 AND alt_len + n_alts - 1 = 1 AND NOT (n - m > 1 AND coalesce(c, 0) * 1.0 / (2 * n) >= 0.25 AND m * 1.0 / n <= 0.15) THEN 'frequency'
+    WHEN x.site_id % 13 = 0 THEN 'unknown_chrom' WHEN alt = ref THEN 'alleles' WHEN top > n_alts THEN 'gt_index' END AS reason
+  FROM x JOIN ps ON ps.site_id = x.site_id LEFT JOIN sec ON sec.site_id = x.site_id),
+t AS (SELECT f.site_id, string_agg(concat(CAST(x1 AS VARCHAR), '|', CAST(x2 AS VARCHAR)), chr(9) ORDER BY sample_id) AS own,
+  string_agg(CASE WHEN sample_id % 2 = 1 THEN '1|0' ELSE '0|1' END, chr(9) ORDER BY sample_id) AS fresh, bool_or(x1 + x2 = 0) AS zero,
+  string_agg(CASE WHEN x1 + x2 > 0 THEN concat(CAST(x1 AS VARCHAR), '|', CAST(x2 AS VARCHAR)) WHEN sample_id % 2 = 1 THEN concat(CASE WHEN used THEN '2' ELSE '1' END, '|0')
+    ELSE concat('0|', CASE WHEN used THEN '2' ELSE '1' END) END, chr(9) ORDER BY sample_id) AS mixed
+  FROM f JOIN pa ON pa.site_id = f.site_id GROUP BY f.site_id),
+h AS (SELECT f.*, t.own, t.fresh, t.mixed, t.zero, concat_ws(chr(9), concat('v', CAST(f.site_id AS VARCHAR))) AS id, CASE WHEN f.site_id % 10 = 9 THEN '.' ELSE CAST(f.site_id % 60 AS VARCHAR) END AS qual,
+  CASE WHEN f.site_id % 8 = 7 THEN 'LOWQ' ELSE 'PASS' END AS flt, concat('END=', CAST(pos + ref_len - 1 AS VARCHAR)) AS info FROM f JOIN t ON t.site_id = f.site_id)
+SELECT site_id AS ord, CASE WHEN reason IS NOT NULL THEN reason WHEN NOT two AND NOT used THEN 'no_alt' END AS reject_reason,
+  CASE WHEN reason IS NOT NULL OR (NOT two AND NOT used) THEN NULL
+    WHEN two THEN concat_ws(chr(9), chrom, CAST(pos AS VARCHAR), id, concat(ref, follows),
+      CASE WHEN used AND zero THEN concat(alt, follows, ',', alt, 'GG') WHEN used THEN concat(alt, follows) ELSE concat(alt, 'GG') END, qual, flt, info, 'GT', mixed)
+    ELSE concat_ws(chr(9), chrom, CAST(CASE WHEN moved THEN pos - 1 ELSE pos END AS VARCHAR), id, CASE WHEN moved THEN concat(base, ref) ELSE ref END,
+      CASE WHEN moved THEN concat(base, alt) ELSE alt END, qual, flt, info, 'GT', own) END AS line FROM h
+UNION ALL SELECT site_id + 10000000000, CASE WHEN reason IS NULL THEN 'merged' END,
+  CASE WHEN reason IS NOT NULL THEN concat_ws(chr(9), chrom, CAST(pos AS VARCHAR), 'second', concat(ref, follows), concat(alt, 'GG'), '7', 'PASS', '.', 'GT', fresh) END FROM h WHERE two"""))
+def convert_vcf(spark, d):
+    lines = sql_view(spark, d, "v_lines v_alleles v_genotypes", _FAULTY)
+    samples = view(spark, d, "v_genotypes").select("site_id", (F.regexp_count("gts", F.lit(",")) + 10).alias("columns"))
+    r = T.records(lines, strict=False).join(samples, F.col("ord") % 10_000_000_000 == F.col("site_id"))
+    return C.convert(r, view(spark, d, "v_contigs"), F.col("columns"), maf=0.25, missing=0.15).select("ord", "reject_reason", "line")
 
 
 _GRAM = "SELECT site_id, CAST(site_id % 2 AS VARCHAR(2)) AS gt, CASE WHEN site_id % 3 = 0 THEN '10,20' WHEN site_id % 3 = 1 THEN '0,20' ELSE '7,0' END AS cov, 'FAIL' AS filter FROM v_sites"

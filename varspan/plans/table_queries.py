@@ -14,6 +14,8 @@ from varspan.operators import intervals as I
 from varspan.operators import sites as S
 from varspan.plans.record_queries import _dim, sites
 from varspan.plans.views import oracle, view
+from varspan.sources import text as T
+from varspan.sources.text import checkpointed as written
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -100,7 +102,7 @@ def filter_maf(spark, d):
 # --- joins
 
 
-@query("match_sites", oracle("v_calls v_sites", f""", {_C},
+_MATCHED = f""", {_C},
 a AS (SELECT site_id, chrom, pos, ref_len, k AS allele, CASE k WHEN 0 THEN ref_len WHEN 1 THEN alt_len ELSE alt_len + 1 END AS q FROM v_sites, (SELECT unnest([0, 1, 2]) AS k) WHERE k <= n_alts),
 p AS (SELECT c.call_id, c.g0, c.g1, a.site_id, a.pos AS s_pos, a.allele,
   ({_fits('c.pos', 'c.ref_len', 'c.h0', 'a.pos', 'a.ref_len', 'a.q')}) AND ((c.g0 = 0) = (a.allele = 0)) AS f0,
@@ -108,12 +110,17 @@ p AS (SELECT c.call_id, c.g0, c.g1, a.site_id, a.pos AS s_pos, a.allele,
   FROM c JOIN a ON a.chrom = c.chrom AND abs(a.pos - c.pos) <= CASE WHEN c.ref_len <= 49 AND c.h0 <= 49 THEN 10 ELSE 200 END),
 m0 AS (SELECT call_id, site_id, allele FROM (SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY s_pos, site_id, allele) AS k FROM p WHERE f0) WHERE k = 1),
 any1 AS (SELECT call_id, site_id, allele FROM (SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY s_pos, site_id, allele) AS k FROM p WHERE f1) WHERE k = 1),
-same1 AS (SELECT p.call_id, p.site_id, min(p.allele) AS allele FROM p JOIN m0 ON m0.call_id = p.call_id AND m0.site_id = p.site_id WHERE p.f1 GROUP BY p.call_id, p.site_id)
-SELECT call_id, CAST(0 AS BIGINT) AS hap, site_id, CAST(allele AS BIGINT) AS allele FROM m0
+same1 AS (SELECT p.call_id, p.site_id, min(p.allele) AS allele FROM p JOIN m0 ON m0.call_id = p.call_id AND m0.site_id = p.site_id WHERE p.f1 GROUP BY p.call_id, p.site_id),
+mt AS (SELECT call_id, CAST(0 AS BIGINT) AS hap, site_id, CAST(allele AS BIGINT) AS allele FROM m0
 UNION ALL SELECT c.call_id, 1, CASE WHEN m0.call_id IS NULL THEN any1.site_id ELSE m0.site_id END,
   CASE WHEN m0.call_id IS NULL THEN any1.allele WHEN c.g0 = c.g1 THEN m0.allele ELSE same1.allele END
 FROM c LEFT JOIN m0 ON m0.call_id = c.call_id LEFT JOIN any1 ON any1.call_id = c.call_id LEFT JOIN same1 ON same1.call_id = c.call_id
-WHERE CASE WHEN m0.call_id IS NULL THEN any1.allele WHEN c.g0 = c.g1 THEN m0.allele ELSE same1.allele END IS NOT NULL"""))
+WHERE CASE WHEN m0.call_id IS NULL THEN any1.allele WHEN c.g0 = c.g1 THEN m0.allele ELSE same1.allele END IS NOT NULL)"""
+_SLOTS = """lw AS (SELECT * FROM (SELECT mt.site_id, c.sample_id, c.caller, mt.hap, mt.allele, mt.call_id, c.depth,
+  row_number() OVER (PARTITION BY mt.site_id, c.sample_id, c.caller, mt.hap ORDER BY c.pos DESC, c.call_id DESC) AS k FROM mt JOIN c ON c.call_id = mt.call_id) WHERE k = 1)"""
+
+
+@query("match_sites", oracle("v_calls v_sites", f"{_MATCHED} SELECT * FROM mt"))
 def match_sites(spark, d):
     return _matched(spark, d).select("call_id", F.col("hap").cast("long").alias("hap"), "site_id", F.col("allele").cast("long").alias("allele"))
 
@@ -123,11 +130,14 @@ def _matched(spark, d, key=("call_id",)) -> DataFrame:
     return I.match_sites(calls(spark, d), s, key)
 
 
-@query("last_writer", oracle("v_calls", """
-SELECT caller, sample_id, k AS slot, max(call_id) AS call_id, CAST(arg_max(depth, call_id) AS DOUBLE) AS depth FROM (SELECT *, pos // 900 AS k FROM v_calls WHERE flt = 'PASS') GROUP BY caller, sample_id, k"""))
+def _slots(spark, d) -> DataFrame:
+    return N.slots(_matched(spark, d), calls(spark, d), ("sample_id", "caller"))
+
+
+@query("last_writer", oracle("v_calls v_sites", f"{_MATCHED}, {_SLOTS} SELECT site_id, sample_id, caller, hap, allele, call_id, CAST(depth AS DOUBLE) AS depth FROM lw"))
 def last_writer(spark, d):
-    c = C.filter_pass(view(spark, d, "v_calls"), "flt").select("caller", "sample_id", F.floor(F.col("pos") / 900).alias("slot"), "call_id", F.col("depth").cast("double").alias("depth"))
-    return N.last_writer(c, ("caller", "sample_id", "slot"), "call_id")
+    s = _slots(spark, d)
+    return s.withColumns({k: F.col(k).cast("long") for k in ("hap", "allele")})
 
 
 _HAPS = """hp AS (SELECT c.*, t.site_id, t.true_len,
@@ -162,9 +172,23 @@ def match_exact(spark, d):
     return _exact(spark, d).withColumn("n_hap", F.col("n_hap").cast("long"))
 
 
-@query("match_truth", None)
+#: Calls in order, each taking its first row that isn't used yet, one call of each run and chromosome a step.
+_SEQUENTIAL = _HAPS.partition(",\nonce AS")[0].replace(
+    "t.chrom = c.chrom AND t.pos = c.pos", "t.chrom = c.chrom AND abs(t.pos - c.pos) <= CASE WHEN c.ref_len <= 49 AND c.h0 <= 49 THEN 10 ELSE 200 END"
+).replace("t.site_id, t.true_len,", "t.site_id, t.pos AS t_pos, t.true_len,") + """,
+cd AS (SELECT *, row_number() OVER (PARTITION BY caller, sample_id, chrom ORDER BY call_id) AS k FROM (SELECT caller, sample_id, chrom, call_id,
+  list({'s': site_id, 'n': n_hap} ORDER BY CASE WHEN f00 OR f01 THEN 0 ELSE 1 END, t_pos, site_id) AS opts FROM mx WHERE n_hap > 0 GROUP BY caller, sample_id, chrom, call_id)),
+sq AS (WITH RECURSIVE w AS (
+    SELECT caller, sample_id, chrom, k, call_id, opts[1] AS pick, [opts[1].s] AS used FROM cd WHERE k = 1
+    UNION ALL SELECT caller, sample_id, chrom, k, call_id, pick, CASE WHEN pick IS NULL THEN used ELSE list_append(used, pick.s) END FROM (
+      SELECT cd.caller, cd.sample_id, cd.chrom, cd.k, cd.call_id, w.used, list_filter(cd.opts, lambda x: NOT list_contains(w.used, x.s))[1] AS pick
+      FROM w JOIN cd ON cd.caller = w.caller AND cd.sample_id = w.sample_id AND cd.chrom = w.chrom AND cd.k = w.k + 1))
+  SELECT * FROM w)"""
+
+
+@query("match_truth", oracle("v_calls v_truth", f", {_C}, {_T}, {_SEQUENTIAL} SELECT caller, sample_id, call_id, pick.s AS site_id, CAST(pick.n AS BIGINT) AS n_hap FROM sq WHERE pick IS NOT NULL"))
 def match_truth(spark, d):
-    return I.match_truth(calls(spark, d), truth(spark, d), RUN)
+    return I.match_truth(calls(spark, d), truth(spark, d), RUN).withColumn("n_hap", F.col("n_hap").cast("long"))
 
 
 @query("use_once", oracle("v_calls v_truth", f", {_C}, {_T}, {_HAPS} SELECT caller, sample_id, call_id, site_id, CAST(n_hap AS BIGINT) AS n_hap FROM once"))
@@ -226,6 +250,18 @@ def roc_table(spark, d):
     return E.roc(_outcomes(spark, d), truth(spark, d), RUN)
 
 
+@query("evaluate_vcf", ORACLES["roc_table"])
+def evaluate_vcf(spark, d):
+    """The whole evaluation from lines: records, PASS and genotype filters, lengths, matching, outcomes, ROC by FORMAT.GQ."""
+    lines, kept = view(spark, d, "v_call_lines"), view(spark, d, "v_call_lines").select("ord", *RUN)
+    r = E.from_records(T.records(lines), "FORMAT.GQ").join(kept, "ord")
+    t = E.from_records(T.records(view(spark, d, "v_truth_lines")))
+    c = r.withColumnsRenamed({"ord": "call_id"})
+    t = t.select(F.col("ord").alias("site_id"), "chrom", "pos", "ref_len", "g0", "g1", "h0", "h1", F.col("sv_len").alias("true_len"))
+    m = E.use_once(I.match_exact(c, t, RUN), RUN)
+    return E.roc(E.outcomes(c, m, t.select("site_id", "true_len"), RUN), t, RUN).withColumn("score", F.col("score").cast("long"))
+
+
 @query("chrom_known", oracle("v_calls", "SELECT call_id FROM v_calls WHERE call_id % 11 <> 0"))
 def chrom_known(spark, d):
     c = view(spark, d, "v_calls").withColumn("chrom", F.when(F.col("call_id") % 11 == 0, "chrX").otherwise(F.col("chrom")))
@@ -245,10 +281,27 @@ def nearby_small(spark, d):
     return n.withColumn("bin", I.nearby_bin(F.col("n")))
 
 
+@query("split_number", oracle("v_lines v_sites", """,
+sv AS (SELECT site_id AS id, chrom, pos AS s, pos + ref_len - 1 AS e FROM v_sites WHERE ref_len >= 50 OR alt_len >= 50), sm AS (SELECT chrom, pos AS s, pos + ref_len - 1 AS e FROM v_sites WHERE ref_len < 50 AND alt_len < 50),
+n AS (SELECT sv.id, CAST(sum(CASE WHEN sm.e BETWEEN sv.s - 500 AND sv.s THEN 1 ELSE 0 END + CASE WHEN sm.s BETWEEN sv.e AND sv.e + 500 THEN 1 ELSE 0 END) AS BIGINT) AS n FROM sv JOIN sm ON sm.chrom = sv.chrom GROUP BY sv.id)
+SELECT CASE WHEN coalesce(n.n, 0) IN (0, 1, 2, 4, 6, 8) THEN CAST(coalesce(n.n, 0) AS VARCHAR) ELSE 'more' END AS neighbours, l.line FROM sv LEFT JOIN n ON n.id = sv.id JOIN v_lines l ON l.ord = sv.id"""))
+def split_number(spark, d):
+    """SVs of a VCF to one folder for each number of small variants nearby, these taken from a base VCF."""
+    base = view(spark, d, "v_sites").select("chrom", F.col("pos").alias("start"), (F.col("pos") + F.col("ref_len") - 1).alias("end"), "ref_len", "alt_len").where("ref_len < 50 and alt_len < 50")
+    sv = view(spark, d, "v_sites").where("ref_len >= 50 or alt_len >= 50").select(F.col("site_id").alias("id"), "chrom", F.col("pos").alias("start"), (F.col("pos") + F.col("ref_len") - 1).alias("end"))
+    n = I.nearby_small(sv, base, 500).select("id", I.nearby_bin(F.col("n")).alias("neighbours"))
+    path = T.shared_folder(spark)
+    T.write_split(view(spark, d, "v_lines").join(n, F.col("ord") == F.col("id")), path, "neighbours")
+    return spark.read.schema("value string, neighbours string").text(path).select("neighbours", F.col("value").alias("line"))
+
+
 # --- the ensemble
 
-_CUBE = f"""{_C}, st AS (SELECT caller, avg(depth) AS mean, var_pop(depth) AS variance, stddev_pop(depth) AS sd FROM v_calls GROUP BY caller),
-cube AS (SELECT c.source_site AS site_id, c.sample_id, c.caller, concat(CAST(g0 AS VARCHAR), '|', CAST(g1 AS VARCHAR)) AS gt, (c.depth - st.mean) / nullif(st.sd, 0) AS z, c.sv_len FROM c JOIN st ON st.caller = c.caller)"""
+_CUBE = f"""{_MATCHED}, {_SLOTS}, st AS (SELECT caller, avg(depth) AS mean, var_pop(depth) AS variance, stddev_pop(depth) AS sd FROM v_calls GROUP BY caller),
+cb AS (SELECT site_id, sample_id, caller, coalesce(max(CASE WHEN hap = 0 THEN allele END), 0) AS x, coalesce(max(CASE WHEN hap = 1 THEN allele END), 0) AS y, CAST(sum(depth) AS DOUBLE) AS depth FROM lw GROUP BY site_id, sample_id, caller),
+cube AS (SELECT cb.site_id, cb.sample_id, cb.caller, concat(CAST(x AS VARCHAR), '|', CAST(y AS VARCHAR)) AS gt, cb.depth, st.mean, (cb.depth - st.mean) / nullif(st.sd, 0) AS z,
+  CASE WHEN y <> 0 THEN s.alt_len + y - 1 - s.ref_len WHEN x <> 0 THEN s.alt_len + x - 1 - s.ref_len ELSE 0 END AS sv_len
+  FROM cb JOIN st ON st.caller = cb.caller JOIN v_sites s ON s.site_id = cb.site_id)"""
 _VOTE = """{name} AS (SELECT site_id, sample_id, n, f, len, CASE WHEN mode = 'specific' THEN CASE WHEN f < 2 THEN near ELSE best END WHEN n < 2 THEN NULL
     WHEN abs(len) <= 49 THEN CASE WHEN f < 2 THEN NULL ELSE best END ELSE CASE WHEN f < 2 THEN near ELSE best END END AS chosen
   FROM (SELECT site_id, sample_id, '{mode}' AS mode, count(*) AS n, max(same) AS f, min(CASE WHEN same = top THEN caller END) AS best,
@@ -258,19 +311,19 @@ _VOTE = """{name} AS (SELECT site_id, sample_id, n, f, len, CASE WHEN mode = 'sp
     GROUP BY site_id, sample_id))"""
 _VOTED = _CUBE + ", " + _VOTE.format(name="vt", mode="all", source="cube")
 _PAN = "pg AS (SELECT site_id, sample_id, CASE WHEN a1 < 0 THEN '0|0' ELSE concat(CAST(a1 AS VARCHAR), '|', CAST(a2 AS VARCHAR)) END AS gt FROM v_panel)"
-_SIM = f"""{_VOTED}, {_PAN}, vg AS (SELECT vt.site_id, cube.gt FROM vt JOIN cube ON cube.site_id = vt.site_id AND cube.sample_id = vt.sample_id AND cube.caller = vt.chosen WHERE vt.sample_id = 0),
-sm AS (SELECT pg.sample_id, count(*) AS n FROM vg JOIN pg ON pg.site_id = vg.site_id AND pg.gt = vg.gt WHERE pg.gt <> '0|0' GROUP BY pg.sample_id ORDER BY n DESC, pg.sample_id LIMIT 1)"""
+_SIM = f"""{_VOTED}, {_PAN}, vg AS (SELECT vt.site_id, vt.sample_id, cube.gt FROM vt JOIN cube ON cube.site_id = vt.site_id AND cube.sample_id = vt.sample_id AND cube.caller = vt.chosen),
+sm AS (SELECT sample_id, panel_sample, n FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY n DESC, panel_sample) AS k FROM (
+  SELECT vg.sample_id, pg.sample_id AS panel_sample, count(*) AS n FROM vg JOIN pg ON pg.site_id = vg.site_id AND pg.gt = vg.gt WHERE pg.gt <> '0|0' GROUP BY vg.sample_id, pg.sample_id)) WHERE k = 1)"""
 
 
 def _cube(spark, d) -> DataFrame:
-    stats = N.caller_depth(view(spark, d, "v_calls"))
-    c = calls(spark, d).select(F.col("source_site").alias("site_id"), "sample_id", "caller", F.array_join("gt", "|").alias("gt"), "depth", "sv_len")
-    return N.with_z(c, stats)
+    s = sites(spark, d).select("site_id", F.concat(F.array("ref_len"), "alt_lens").alias("lens"))
+    return N.with_z(N.cube(_slots(spark, d), s, ("sample_id", "caller")), N.caller_depth(view(spark, d, "v_calls")))
 
 
 def _panel_text(spark, d) -> DataFrame:
     text = F.when(F.exists("gt", lambda g: g.isNull()), "0|0").otherwise(F.array_join("gt", "|"))
-    return panel(spark, d).select("site_id", "sample_id", text.alias("gt"))
+    return panel(spark, d).select("site_id", F.col("sample_id").alias("panel_sample"), text.alias("gt"))
 
 
 KEY = ("site_id", "sample_id")
@@ -281,28 +334,37 @@ def caller_depth(spark, d):
     return N.caller_depth(view(spark, d, "v_calls")).select("caller", *[F.round(c, 6).alias(c) for c in ("mean", "variance", "sd")])
 
 
-@query("depth_rank", oracle("v_calls", f", {_CUBE} SELECT site_id, sample_id, caller, row_number() OVER (PARTITION BY site_id, sample_id ORDER BY abs(z) NULLS LAST, caller) AS rank FROM cube"))
+@query("depth_rank", oracle("v_calls v_sites", f"{_CUBE} SELECT site_id, sample_id, caller, row_number() OVER (PARTITION BY site_id, sample_id ORDER BY abs(z) NULLS LAST, caller) AS rank FROM cube"))
 def depth_rank(spark, d):
     return N.depth_rank(_cube(spark, d), KEY).select(*KEY, "caller", F.col("rank").cast("long").alias("rank"))
 
 
-@query("vote", oracle("v_calls", f", {_VOTED} SELECT vt.site_id, vt.sample_id, n, f, len, chosen, cube.gt FROM vt LEFT JOIN cube ON cube.site_id = vt.site_id AND cube.sample_id = vt.sample_id AND cube.caller = vt.chosen"))
+@query("vote", oracle("v_calls v_sites", f"{_VOTED} SELECT vt.site_id, vt.sample_id, n, f, len, chosen, cube.gt FROM vt LEFT JOIN cube ON cube.site_id = vt.site_id AND cube.sample_id = vt.sample_id AND cube.caller = vt.chosen"))
 def vote(spark, d):
     return N.vote(_cube(spark, d), KEY, len(CALLERS))
 
 
-def _similar(spark, d) -> DataFrame:
-    return N.similar_sample(N.vote(_cube(spark, d), KEY, len(CALLERS)).where("sample_id = 0"), _panel_text(spark, d))
+@query("merge_sites", oracle("v_calls v_lines", f"""{_VOTED} SELECT vt.site_id, vt.sample_id, concat_ws(chr(9), array_to_string(string_split(l.line, chr(9))[1:8], chr(9)), 'GT:SO:DP:ADP:NDP',
+  concat_ws(':', replace(cube.gt, '|', '/'), cube.caller, substr(printf('%.6f', cube.z), 1, 5), substr(printf('%.6f', cube.mean), 1, 5), substr(printf('%.6f', cube.depth), 1, 5))) AS line
+FROM vt JOIN cube ON cube.site_id = vt.site_id AND cube.sample_id = vt.sample_id AND cube.caller = vt.chosen JOIN v_lines l ON l.ord = vt.site_id"""))
+def merge_sites(spark, d):
+    """The whole merge: calls matched to sites, slots, vote, records."""
+    c = written(_cube(spark, d))
+    fixed = F.concat_ws("\t", F.slice(F.split("line", "\t"), 1, 8))
+    base = view(spark, d, "v_lines").select(F.col("ord").alias("site_id"), fixed.alias("fixed"))
+    return N.merged_lines(N.vote(c, KEY, len(CALLERS)), c, N.caller_depth(view(spark, d, "v_calls")), base, KEY)
 
 
-@query("similar_sample", oracle("v_calls v_panel", f", {_SIM} SELECT sample_id, n, round(n::DOUBLE / (SELECT count(*) FROM vg), 6) AS share FROM sm"))
+@query("similar_sample", oracle("v_calls v_sites v_panel", f"{_SIM} SELECT sm.sample_id, panel_sample, n, round(n::DOUBLE / t.total, 6) AS share FROM sm JOIN (SELECT sample_id, count(*) AS total FROM vg GROUP BY sample_id) t ON t.sample_id = sm.sample_id"))
 def similar_sample(spark, d):
-    return _similar(spark, d)
+    return N.similar_sample(N.vote(_cube(spark, d), KEY, len(CALLERS)), _panel_text(spark, d))
 
 
-@query("high_conf", oracle("v_calls v_panel", f", {_SIM}, hs AS (SELECT cube.* FROM cube WHERE sample_id = 0 AND site_id IN (SELECT pg.site_id FROM pg JOIN sm ON sm.sample_id = pg.sample_id WHERE pg.gt <> '0|0')), " + _VOTE.format(name="hv", mode="specific", source="hs") + " SELECT site_id, sample_id, f, chosen FROM hv"))
+@query("high_conf", oracle("v_calls v_sites v_panel", f"{_SIM}, hs AS (SELECT cube.* FROM cube JOIN sm ON sm.sample_id = cube.sample_id JOIN pg ON pg.sample_id = sm.panel_sample AND pg.site_id = cube.site_id WHERE pg.gt <> '0|0'), " + _VOTE.format(name="hv", mode="specific", source="hs") + " SELECT site_id, sample_id, f, chosen FROM hv"))
 def high_conf(spark, d):
-    return N.high_conf(_cube(spark, d).where("sample_id = 0"), _panel_text(spark, d), _similar(spark, d), KEY, len(CALLERS)).select(*KEY, "f", "chosen")
+    c, p = written(_cube(spark, d)), _panel_text(spark, d)
+    similar = N.similar_sample(N.vote(c, KEY, len(CALLERS)), p)
+    return N.high_conf(c, p, similar, KEY, len(CALLERS)).select(*KEY, "f", "chosen")
 
 
 # --- ordered passes, windows, sorting
@@ -332,6 +394,16 @@ def window_density(spark, d):
     return S.window_density(s, view(spark, d, "v_contigs").select("chrom", "len"), 10_000, 2_500)
 
 
+@query("window_groups", oracle("v_sites v_panel v_contigs", """, wn AS (SELECT chrom, unnest(generate_series(0, len - 1, 2500)) AS start FROM v_contigs),
+g AS (SELECT p.chrom, p.pos, concat('n', CAST(u.s_nationkey AS VARCHAR)) AS grp FROM v_panel p JOIN supplier u ON u.s_suppkey = p.sample_id WHERE p.a1 > 0 OR p.a2 > 0),
+c AS (SELECT wn.chrom, wn.start, grp, count(*) AS n FROM wn JOIN g ON g.chrom = wn.chrom AND g.pos >= wn.start AND g.pos < wn.start + 10000 GROUP BY wn.chrom, wn.start, grp),
+k AS (SELECT chrom, start, sum(n) AS n, string_agg(concat(grp, ':', CAST(n AS VARCHAR)), ',' ORDER BY concat(grp, ':', CAST(n AS VARCHAR))) AS groups FROM c GROUP BY chrom, start)
+SELECT wn.chrom, CAST(wn.start AS BIGINT) AS start, CAST(coalesce(k.n, 0) AS BIGINT) AS n, coalesce(groups, '') AS groups FROM wn LEFT JOIN k ON k.chrom = wn.chrom AND k.start = wn.start"""))
+def window_groups(spark, d):
+    groups = spark.read.parquet(f"{d}/supplier.parquet").select(F.col("s_suppkey").alias("sample"), F.concat(F.lit("n"), F.col("s_nationkey").cast("string")).alias("grp"))
+    return S.window_groups(panel(spark, d).withColumnRenamed("sample_id", "sample"), groups, view(spark, d, "v_contigs").select("chrom", "len"), 10_000, 2_500)
+
+
 @query("sort_variants", oracle("v_sites", "SELECT site_id, chrom, pos FROM v_sites ORDER BY chrom, pos"))
 def sort_variants(spark, d):
     return S.sort_variants(view(spark, d, "v_sites").select("site_id", "chrom", "pos"))

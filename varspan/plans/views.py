@@ -19,22 +19,27 @@ SELECT p_partkey AS site_id, concat('chr', CAST(p_partkey % 5 + 1 AS VARCHAR(8))
        ELSE 1 END AS BIGINT) AS alt_len,
   CAST(CASE WHEN p_size % 10 = 0 THEN 2 ELSE 1 END AS BIGINT) AS n_alts
 FROM part"""),
-    "v_panel": (("supplier",), ("v_sites",), """
-SELECT s.site_id, s.chrom, s.pos, p.s_suppkey AS sample_id,
-  CASE WHEN (s.site_id * 7 + p.s_suppkey * 13) % 11 = 0 THEN -1
-       WHEN (s.site_id * 7 + p.s_suppkey * 13) % 11 < 6 THEN 0 ELSE 1 END AS a1,
-  CASE WHEN (s.site_id * 7 + p.s_suppkey * 13) % 11 = 0 THEN -1
-       WHEN (s.site_id * 3 + p.s_suppkey * 5) % 7 < 4 THEN 0 ELSE 1 END AS a2
-FROM v_sites s CROSS JOIN (SELECT s_suppkey FROM supplier WHERE s_suppkey < 10) p"""),
+    "v_panel": (("lineitem",), ("v_sites",), """
+SELECT s.site_id, s.chrom, s.pos, p.sample_id,
+  CASE WHEN (s.site_id * 7 + p.sample_id * 13) % 11 = 0 THEN -1
+       WHEN (s.site_id * 7 + p.sample_id * 13) % 11 < 6 THEN 0 ELSE 1 END AS a1,
+  CASE WHEN (s.site_id * 7 + p.sample_id * 13) % 11 = 0 THEN -1
+       WHEN (s.site_id * 3 + p.sample_id * 5) % 7 < 4 THEN 0 ELSE 1 END AS a2
+FROM (SELECT DISTINCT l_partkey, l_suppkey AS sample_id FROM lineitem) p JOIN v_sites s ON s.site_id = p.l_partkey"""),
+    "v_genotypes": ((), ("v_panel",), """
+SELECT site_id, @GTS@ AS gts, @FRESH@ AS fresh FROM (
+  SELECT site_id, sample_id, concat(CAST(greatest(a1, 0) AS VARCHAR(4)), '|', CAST(greatest(a2, 0) AS VARCHAR(4))) AS gt,
+    CASE WHEN sample_id % 2 = 1 THEN '1|0' ELSE '0|1' END AS other FROM v_panel) x GROUP BY site_id"""),
     "v_calls": (("lineitem",), ("v_sites",), """
 SELECT c.call_id, c.caller, c.sample_id, s.site_id AS source_site, s.chrom,
   CAST(s.pos + CASE WHEN s.shape = 'SNP' THEN c.jit % 2
        WHEN s.shape IN ('sINS','sDEL') THEN c.jit % 13 ELSE (c.jit % 13) * 18 END AS BIGINT) AS pos,
   CAST(CASE WHEN s.ref_len > 2 THEN s.ref_len + floor(s.ref_len * c.stretch) ELSE s.ref_len END AS BIGINT) AS ref_len,
   CAST(CASE WHEN s.alt_len > 2 THEN s.alt_len + floor(s.alt_len * c.stretch) ELSE s.alt_len END AS BIGINT) AS alt_len,
-  c.a1, c.a2, c.flt, c.depth, c.score, c.ord
+  c.a1, c.a2, c.flt, c.depth, c.score
 FROM (
-  SELECT l_partkey * 16 + l_linenumber * 2 + l_orderkey % 2 AS call_id,
+  SELECT (l_orderkey * 8 + l_linenumber) * 1000 + row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+      ORDER BY l_partkey, l_suppkey, l_extendedprice, l_shipdate, l_discount, l_tax, l_quantity, l_returnflag, l_linestatus) AS call_id,
     CASE l_linenumber WHEN 1 THEN 'BayesTyper' WHEN 2 THEN 'GraphAligner' WHEN 3 THEN 'GraphTyper2'
       WHEN 4 THEN 'PanGenie' WHEN 5 THEN 'Paragraph' WHEN 6 THEN 'VG-Giraffe' ELSE 'VG-MAP' END AS caller,
     l_orderkey % 2 AS sample_id, l_partkey, l_orderkey % 17 AS jit,
@@ -42,11 +47,8 @@ FROM (
     CASE l_returnflag WHEN 'R' THEN 0 WHEN 'A' THEN 0 ELSE 1 END AS a1,
     CASE l_returnflag WHEN 'R' THEN 0 ELSE 1 END AS a2,
     CASE WHEN l_linestatus = 'O' AND l_quantity < 10 THEN 'LOWQ' ELSE 'PASS' END AS flt,
-    l_quantity AS depth, CAST(floor(l_quantity / 5.0) AS BIGINT) AS score,
-    row_number() OVER (PARTITION BY l_linenumber, l_orderkey % 2, l_partkey
-      ORDER BY l_orderkey, l_suppkey, l_extendedprice, l_shipdate, l_discount, l_tax) AS ord
-  FROM lineitem) c JOIN v_sites s ON s.site_id = c.l_partkey
-WHERE c.ord = 1"""),
+    l_quantity AS depth, CAST(floor(l_quantity / 5.0) AS BIGINT) AS score
+  FROM lineitem) c JOIN v_sites s ON s.site_id = c.l_partkey"""),
     "v_truth": ((), ("v_sites",), """
 SELECT site_id, chrom, pos, ref_len, alt_len,
   CASE WHEN site_id % 4 = 0 THEN 1 ELSE 0 END AS a1, 1 AS a2
@@ -56,14 +58,25 @@ SELECT chrom, max(pos) + 4000 AS len,
   repeat(CASE chrom WHEN 'chr1' THEN 'ACGGTTCAAGTC' WHEN 'chr2' THEN 'TTGACCAGTACG' WHEN 'chr3' THEN 'GGATCCTTAACA'
     WHEN 'chr4' THEN 'CATGCATTGGAA' ELSE 'AGTCCGATTGCA' END, CAST(floor((max(pos) + 4000) / 12.0) AS INT) + 1) AS seq
 FROM v_sites GROUP BY chrom"""),
-    "v_alleles": ((), ("v_sites", "v_contigs"), """
-SELECT s.site_id, s.chrom, s.pos, s.shape, substr(g.seq, CAST(s.pos AS INT), CAST(s.ref_len AS INT)) AS ref,
-  CASE WHEN s.shape = 'SNP' THEN translate(substr(g.seq, CAST(s.pos AS INT), 1), 'ACGT', 'CGTA')
-       WHEN s.alt_len = 2 * s.ref_len THEN repeat(substr(g.seq, CAST(s.pos AS INT), CAST(s.ref_len AS INT)), 2)
-       WHEN s.alt_len = s.ref_len THEN reverse(substr(g.seq, CAST(s.pos AS INT), CAST(s.ref_len AS INT)))
-       WHEN s.alt_len = 1 THEN substr(g.seq, CAST(s.pos AS INT), 1)
-       ELSE concat(substr(g.seq, CAST(s.pos AS INT), 1), repeat('G', CAST(s.alt_len AS INT) - 1)) END AS alt
-FROM v_sites s JOIN v_contigs g ON g.chrom = s.chrom"""),
+    # contigs repeat twelve bases, so the bases at a position follow from it alone
+    "v_alleles": ((), ("v_sites",), """
+SELECT site_id, chrom, pos, shape, ref,
+  CASE WHEN shape = 'SNP' THEN translate(ref, 'ACGT', 'CGTA')
+       WHEN alt_len = 2 * ref_len THEN concat(ref, ref)
+       WHEN alt_len = ref_len THEN reverse(ref)
+       WHEN alt_len = 1 THEN substr(ref, 1, 1)
+       ELSE concat(substr(ref, 1, 1), repeat('G', CAST(alt_len AS INT) - 1)) END AS alt
+FROM (SELECT *, substr(repeat(CASE chrom WHEN 'chr1' THEN 'ACGGTTCAAGTC' WHEN 'chr2' THEN 'TTGACCAGTACG' WHEN 'chr3' THEN 'GGATCCTTAACA'
+    WHEN 'chr4' THEN 'CATGCATTGGAA' ELSE 'AGTCCGATTGCA' END, CAST(floor(ref_len / 12.0) AS INT) + 2), CAST((pos - 1) % 12 AS INT) + 1, CAST(ref_len AS INT)) AS ref FROM v_sites) x"""),
+    "v_call_lines": ((), ("v_calls",), """
+SELECT call_id AS ord, caller, sample_id, concat_ws(chr(9), chrom, CAST(pos AS VARCHAR(20)), concat('c', CAST(call_id AS VARCHAR(20))),
+  repeat('A', CAST(ref_len AS INT)), repeat('C', CAST(alt_len AS INT)), '.', flt, '.', 'GT:DP:GQ',
+  concat(CAST(a1 AS VARCHAR(4)), '/', CAST(a2 AS VARCHAR(4)), ':', CAST(depth AS VARCHAR(20)), ':', CAST(score AS VARCHAR(20)))) AS line
+FROM v_calls"""),
+    "v_truth_lines": ((), ("v_truth",), """
+SELECT site_id AS ord, concat_ws(chr(9), chrom, CAST(pos AS VARCHAR(20)), concat('t', CAST(site_id AS VARCHAR(20))),
+  repeat('A', CAST(ref_len AS INT)), repeat('C', CAST(alt_len AS INT)), '.', 'PASS', '.', 'GT', concat(CAST(a1 AS VARCHAR(4)), '|', CAST(a2 AS VARCHAR(4)))) AS line
+FROM v_truth"""),
     "v_lines": ((), ("v_alleles", "v_sites", "v_panel"), """
 SELECT a.site_id AS ord, concat_ws(chr(9), a.chrom, CAST(a.pos AS VARCHAR(20)), concat('v', CAST(a.site_id AS VARCHAR(20))), a.ref,
   CASE WHEN s.n_alts = 2 THEN concat(a.alt, ',', a.alt, 'T') ELSE a.alt END,
@@ -77,15 +90,15 @@ FROM v_alleles a JOIN v_sites s ON s.site_id = a.site_id JOIN (
       ':', CAST((site_id + sample_id * 3) % 40 AS VARCHAR(8))) AS col FROM v_panel) x GROUP BY site_id) p ON p.site_id = a.site_id"""),
     "v_reads": (("documents",), (), """
 SELECT doc_id AS idx, concat('read', CAST(doc_id AS VARCHAR(20))) AS name,
-  translate(substr(@LETTERS@, 1, 400),
+  translate(@LETTERS@,
             'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAN') AS seq,
   CASE WHEN doc_id % 2 = 0 THEN 'a' ELSE 'b' END AS sample_name
 FROM documents"""),
 }
 
 _DIALECT = {
-    "spark": {"@AGG@": "listagg(col, '\\t') WITHIN GROUP (ORDER BY sample_id)", "@LETTERS@": "regexp_replace(lower(text), '[^a-z]', '')"},
-    "duckdb": {"@AGG@": "string_agg(col, chr(9) ORDER BY sample_id)", "@LETTERS@": "regexp_replace(lower(text), '[^a-z]', '', 'g')"},
+    "spark": {"@GTS@": "listagg(gt, ',') WITHIN GROUP (ORDER BY sample_id)", "@FRESH@": "listagg(other, ',') WITHIN GROUP (ORDER BY sample_id)", "@AGG@": "listagg(col, '\\t') WITHIN GROUP (ORDER BY sample_id)", "@LETTERS@": "regexp_replace(lower(text), '[^a-z]', '')"},
+    "duckdb": {"@GTS@": "string_agg(gt, ',' ORDER BY sample_id)", "@FRESH@": "string_agg(other, ',' ORDER BY sample_id)", "@AGG@": "string_agg(col, chr(9) ORDER BY sample_id)", "@LETTERS@": "regexp_replace(lower(text), '[^a-z]', '', 'g')"},
 }
 
 

@@ -12,8 +12,11 @@ FIXED = ["CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT"]
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir, which all executors share; where that is unset (tests), one of our own."""
+    """A new folder below spark.checkpoint.dir, which all executors share. Where that is unset, a local master gets one of its own; on a
+    cluster it is an error, as executors on other machines wouldn't see it."""
     if not spark.conf.get("spark.checkpoint.dir", ""):
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         import tempfile
 
         spark.conf.set("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="spark-"))
@@ -27,6 +30,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ranked(df: DataFrame, *order: str, name: str = "rank") -> DataFrame:
+    """df with the place of each row in an order, from 0. Rows go to partitions by range and are sorted there; only the partitions'
+    counts are summed up. They are written before, so that lost executors change no place."""
+    d = df.repartitionByRange(*order).sortWithinPartitions(*order).select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_id"))
+    d = checkpointed(d)
+    parts = d.groupBy("_part").agg(F.count("*").alias("n"), F.min("_id").alias("first"))
+    base = parts.select("_part", (F.sum("n").over(Window.orderBy("_part")) - F.col("n") - F.col("first")).alias("_shift"))  # a row a partition
+    return d.join(F.broadcast(base), "_part").withColumn(name, F.col("_id") + F.col("_shift")).drop("_part", "_id", "_shift")
+
+
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line_no, value) of text files. Each split's lines are counted, counts are summed up within a file; no
     window goes over the lines themselves."""
@@ -37,19 +50,20 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     return raw.join(base, ["file", "block"]).select("file", (F.col("m") + F.col("shift")).alias("line_no"), "value")
 
 
-def records(lines: DataFrame, line: str = "line", ord_: str = "ord") -> DataFrame:
+def records(lines: DataFrame, line: str = "line", ord_: str = "ord", strict: bool = True) -> DataFrame:
     """VCF records of tab-separated lines: fixed columns, alts and samples as arrays, and derived lengths. Header lines start with
-    `#`. Lines with fewer than nine columns are an error."""
+    `#`. Lines with fewer than nine columns are an error, or where not strict records without the columns that are missing."""
     p = F.split(F.col(line), "\t")
     rows = lines.where(~F.col(line).startswith("#")).select(F.col(ord_).alias("ord"), p.alias("p"))
-    rows = rows.withColumn("p", F.when(F.size("p") >= len(FIXED), F.col("p")).otherwise(F.raise_error(F.concat(F.lit("fewer than 9 columns: "), F.array_join("p", "\t"))).cast("array<string>")))
+    if strict:
+        rows = rows.withColumn("p", F.when(F.size("p") >= len(FIXED), F.col("p")).otherwise(F.raise_error(F.concat(F.lit("fewer than 9 columns: "), F.array_join("p", "\t"))).cast("array<string>")))
     at = lambda k: F.get("p", k)
-    ref = at(3)
+    ref, pos = at(3), at(1).cast("long") if strict else at(1).try_cast("long")
     return rows.select(
-        "ord", at(0).alias("chrom"), at(1).cast("long").alias("pos"), at(2).alias("id"), ref.alias("ref"), F.split(at(4), ",").alias("alts"),
-        F.coalesce(at(5).try_cast("double"), F.lit(0.0)).alias("qual"), at(6).alias("filter"), at(7).alias("info"), at(8).alias("format"),
+        "ord", at(0).alias("chrom"), pos.alias("pos"), at(2).alias("id"), ref.alias("ref"), F.split(at(4), ",").alias("alts"),
+        F.coalesce(at(5).try_cast("double"), F.lit(0.0)).alias("qual"), at(5).alias("qual_text"), at(6).alias("filter"), at(7).alias("info"), at(8).alias("format"),
         F.slice("p", len(FIXED) + 1, F.greatest(F.size("p") - len(FIXED), F.lit(0))).alias("samples"),
-        F.length(ref).cast("long").alias("ref_len"), (at(1).cast("long") + F.length(ref) - 1).alias("ref_end"),
+        F.length(ref).cast("long").alias("ref_len"), (pos + F.length(ref) - 1).alias("ref_end"), F.size("p").alias("n_columns"),
     )
 
 
@@ -72,8 +86,8 @@ def sample_index(lines: DataFrame, name: str, line: str = "line") -> DataFrame:
 
 
 def vcf_line(df: DataFrame) -> DataFrame:
-    """Records back to lines, with chrom and pos for sorting."""
-    cols = ["chrom", F.col("pos").cast("string"), "id", "ref", F.array_join("alts", ","), F.col("qual").cast("string"), "filter", "info", "format", F.array_join("samples", "\t")]
+    """Records back to lines, with chrom and pos for sorting; QUAL keeps its text."""
+    cols = ["chrom", F.col("pos").cast("string"), "id", "ref", F.array_join("alts", ","), "qual_text", "filter", "info", "format", F.array_join("samples", "\t")]
     return df.select("chrom", "pos", "ord", F.concat_ws("\t", *cols).alias("line"))
 
 
@@ -167,10 +181,10 @@ def contig_header(header: DataFrame, contigs: DataFrame, line: str = "line") ->
 
 # The FORMAT lines of a merged file.
 MERGE_FORMATS = (
-    '##FORMAT=<ID=SO,Number=1,Type=String,Description="Name of the caller">',
-    '##FORMAT=<ID=DP,Number=1,Type=String,Description="Depth">',
-    '##FORMAT=<ID=ADP,Number=1,Type=String,Description="Mean depth of the caller">',
-    '##FORMAT=<ID=NDP,Number=1,Type=String,Description="Normalised depth">',
+    '##FORMAT=<ID=SO,Number=1,Type=String,Description="Software">',
+    '##FORMAT=<ID=DP,Number=1,Type=Float,Description="Total filtered read depth used for genotyping.">',
+    '##FORMAT=<ID=ADP,Number=1,Type=Float,Description="Average depth">',
+    '##FORMAT=<ID=NDP,Number=1,Type=Float,Description="Depth after z-score normalization">',
 )
 
 
