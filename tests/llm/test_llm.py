@@ -74,6 +74,13 @@ def test_repeats(spark, odd, none):
     assert repeats(docs) == brute_repeats([(r.doc_id, r.text) for r in docs.collect()])
 
 
+def test_repeats_of_hot_texts(spark, odd, monkeypatch):
+    monkeypatch.setattr(op02_repeats, "HOT_ROWS", 1)
+    assert repeats(odd) == brute_repeats(dict(TEXTS).items())
+    docs = spark.createDataFrame([(k, f"{k} " + P) for k in range(40)], "doc_id long, text string").repartition(4)
+    assert repeats(docs) == brute_repeats([(r.doc_id, r.text) for r in docs.collect()])
+
+
 def test_repeats_without_filters(spark, odd, monkeypatch):
     monkeypatch.setattr(op02_repeats, "FILTER_BITS", 0)
     assert repeats(odd) == brute_repeats(dict(TEXTS).items())
@@ -120,6 +127,55 @@ def test_license(spark, odd, none):
     assert labels[11] == "cc-by,cc-by-nc-4.0,reserved" and labels[15] == "gpl"
 
 
+def brute_notices(text, notices, idf):
+    """(labels, score) by trying every start: two of the three rarest words that the text holds agree on it within SLACK, and all key phrases are near."""
+    slack = op03_license.SLACK
+    w = [x.decode() for x in words(text)]
+    found, best = set(), 0.0
+    for t in notices:
+        own = t.words.split()
+        held = sorted({x for x in own if x in w}, key=lambda x: (-idf[x], x))[: op03_license.RARE]
+        starts = [{i - k for i, x in enumerate(w) if x == h for k, y in enumerate(own) if y == h} for h in held]
+        agreed = {a for i in range(len(starts)) for j in range(i + 1, len(starts)) for a in starts[i] if any(abs(a - b) <= slack for b in starts[j])}
+
+        def near(s, key):
+            k = key.split()
+            at = next(i for i in range(len(own)) if own[i : i + len(k)] == k)
+            return any(s + at + o >= 0 and w[s + at + o : s + at + o + len(k)] == k for o in range(-slack, slack + 1))
+
+        for s in agreed:
+            if all(near(s, k) for k in t.keys):
+                found.add(t.label)
+                best = max(best, sum(0 <= s + k < len(w) and w[s + k] == x for k, x in enumerate(own)) / len(own))
+    return found, best
+
+
+def test_license_labels_and_scores(spark, odd):
+    lines = [t.words for t in op03_license.NOTICES]
+    mixed = [x for k, line in enumerate(lines) for x in (line, "Some words. " + line.upper() + " and more " + lines[k - 1], " ".join(line.split()[2:]), line.replace(" license", " open license", 1), " ".join(reversed(line.split())))]
+    df = spark.createDataFrame([(k, x) for k, x in enumerate(mixed * 2)], "doc_id long, text string").repartition(5)
+    for docs in (df, odd, read(spark, "documents")):
+        rows = docs.select("doc_id", "text").collect()
+        n, counts = len(rows), defaultdict(int)
+        for r in rows:
+            for x in {y.decode() for y in words(r.text)}:
+                counts[x] += 1
+        idf = defaultdict(lambda: 0.0, {x: np.log((1 + n) / (1 + counts[x])) for t in op03_license.NOTICES for x in t.words.split()})
+        want = []
+        for r in rows:
+            labels, score = brute_notices(r.text, op03_license.NOTICES, idf)
+            base = brute_license(r.text)[-1]
+            want.append(repr((r.doc_id, ",".join(sorted(labels | set(filter(None, base.split(","))))), round(1.0 if base else score, 9))))
+        got = [repr((r.doc_id, r.labels, round(r.score, 9))) for r in op03_license.query(docs).collect()]
+        assert sorted(got) == sorted(want)
+
+
+def test_license_templates_from_a_table(spark):
+    table = spark.createDataFrame([("own", "Copying of this Thing is allowed on Tuesdays only.", ["allowed on Tuesdays"]), ("all", "No copying whatsoever", None)], "label string, text string, key_phrases array<string>")
+    docs = spark.createDataFrame([(1, "x. Copying of this fine thing is allowed on tuesdays only!"), (2, "no COPYING whatsoever"), (3, "copying of this thing is allowed on mondays only")], "doc_id long, text string")
+    assert {r.doc_id: r.labels for r in op03_license.scan(docs, notices=table).collect()} == {1: "own", 2: "all", 3: ""}
+
+
 # --- 4
 
 
@@ -132,18 +188,19 @@ def brute_hits(text, items):
         for k in range(len(w) - n + 1):
             if n and tuple(w[k : k + n]) in windows:
                 hit |= set(range(k, k + n))
-                found.add(str(i))
+                found.add("" if i is None else str(i))
     return len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)
 
 
 def test_decontaminate(spark, odd, none, monkeypatch):
-    items = [(1, P[20:200]), (2, "B c"), (3, None), (4, ""), (10, "quite unexpectedly it goes on to sleep beside the old mill the quick brown fox"), (2, "B c")]
+    items = [(1, P[20:200]), (2, "B c"), (3, None), (4, ""), (10, "quite unexpectedly it goes on to sleep beside the old mill the quick brown fox"), (2, "B c"), (None, "for " * 30), (None, "one two three four five")]
     few = spark.createDataFrame(items, "item_id long, text string")
     want = [repr(brute_hits(t, items)) for _, t in TEXTS]
     show = lambda df: sorted(repr((r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated)) for r in df.collect())
     assert show(op04_decontaminate.query(odd, few)) == sorted(want)
     monkeypatch.setattr(op04_decontaminate, "BLOCK_BYTES", 10)  # a block for each item
     assert show(op04_decontaminate.query(odd, few)) == sorted(want)
+    assert op04_decontaminate.remove(odd, few).count() == sum(not brute_hits(t, items)[-1] for _, t in TEXTS)
     monkeypatch.undo()
     assert op04_decontaminate.query(none, few).count() == 0
     assert op04_decontaminate.query(odd, few.limit(0)).where("contaminated").count() == 0
@@ -206,6 +263,15 @@ def test_propagation_is_pagerank(spark):
         assert all(abs(got.get(n, (0, 0))[kind] - rank[n]) < 1e-9 for n in names)
 
 
+def test_strangers_under_a_public_suffix(spark):
+    urls = ["http://bad.co.uk/", "http://good.co.uk/", "http://x.bad.example.org/", "http://bad.example.org/"]
+    df = spark.createDataFrame([(k, u, None) for k, u in enumerate(urls)], "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in op05_url_trust.judge(df, (("block", "bad.co.uk/"), ("block", "bad.example.org/"))).collect()}
+    assert got == {0: "block", 1: "allow", 2: "block", 3: "block"}
+    edges = op05_url_trust.host_edges(df.withColumn("host", op05_url_trust.host(F.col("url"))), df.select(op05_url_trust.host(F.col("url")).alias("host")).distinct())
+    assert {(r.src, r.dst) for r in edges.collect()} == {(a, b) for x, y in (("x.bad.example.org", "bad.example.org"), ("bad.example.org", "example.org")) for a, b in ((x, y), (y, x))}
+
+
 def test_trust_settles_on_a_long_chain(spark):
     hosts = ["bad.net", *(f"h{k}.xy" for k in range(12))]
     pages = [(k, f"http://{h}/", f'<a href="http://{hosts[k - 1]}/">x</a>' if k else None) for k, h in enumerate(hosts)]
@@ -229,9 +295,68 @@ def test_quality_held_out(spark, odd, none):
     assert op06_quality.judge(odd, labels).count() == len(TEXTS)
 
 
+def test_quality_shrinkage_by_hand(spark):
+    rows = [(k, f"h{k % 3}" if k % 7 else None, f"p{k % 2}", (k * 37 % 100) / 100, (k * 53 % 11 - 5) / 2) for k in range(60)] + [(60, "lone", "p0", 0.9, 1.0)]
+    df = spark.createDataFrame(rows, "doc_id long, host string, path string, p double, evidence double")
+    model = op06_quality.Model(((0.0,) * 8,) * 5, 0.5)
+    priors, strength = op06_quality.path_priors(df, model)
+    got = {r.doc_id: (r.host_mean, r.path_mean, r.posterior) for r in op06_quality._judged(df, priors, strength).collect()}
+
+    def moments(groups):  # (n, s, mean)
+        groups = [g for g in groups if g[0] >= 2]
+        v = [m * (1 - m) for _, _, m in groups]
+        n = sum(g[0] for g in groups)
+        spread = max(0.0, (sum(k * (s / k - m) ** 2 for k, s, m in groups) - sum(v)) / n)
+        return min(1000.0, max(1.0, sum(g[0] * x for g, x in zip(groups, v, strict=True)) / n / spread - 1)) if spread > 0 else 1000.0
+
+    total = sum(r[3] for r in rows) / len(rows)
+    of = lambda key: {k: [r[3] for r in rows if key(r) == k] for k in {key(r) for r in rows}}
+    hosts, paths = of(lambda r: r[1]), of(lambda r: (r[1], r[2]))
+    k1 = moments([(len(x), sum(x), total) for x in hosts.values()])
+    host_mean = {h: (sum(x) + k1 * total) / (len(x) + k1) for h, x in hosts.items()}
+    k2 = moments([(len(x), sum(x), host_mean[h]) for (h, _), x in paths.items()])
+    for d, h, p, own, evidence in rows:
+        x = paths[h, p]
+        path_mean = (sum(x) - own + k2 * host_mean[h]) / (len(x) - 1 + k2)
+        posterior = 1 / (1 + np.exp(-(evidence + np.log(path_mean / (1 - path_mean)))))
+        assert np.allclose(got[d], (host_mean[h], path_mean, posterior), atol=1e-9)
+
+
+def test_quality_words_tell(spark):
+    rows = [(k, ("fine words of a good kind " if k % 2 else "cheap pills buy now click ") * 5 + f"w{k}") for k in range(80)]
+    docs = spark.createDataFrame([(k, t, "s", "en") for k, t in rows], "doc_id long, text string, source string, lang string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, quality int")
+    got = {r.doc_id: r.keep for r in op06_quality.judge(docs, labels).collect()}
+    assert all(got[k] == bool(k % 2) for k in range(40, 80))
+
+
 # --- 1
 
 
+def test_forest_on_held_out_findings(spark):
+    from pyspark.ml.feature import VectorAssembler
+
+    docs = read(spark, "documents")
+    f = op01_secrets.features(op01_secrets.findings(docs), op01_secrets.dictionary(docs)).withColumn("half", F.pmod(F.xxhash64("doc_id"), F.lit(2))).cache()
+    model = op01_secrets.train(f.where("half = 0"))
+    rows = model.transform(VectorAssembler(inputCols=list(op01_secrets.INPUTS), outputCol="vector").transform(f.where("half = 1").withColumnRenamed("label", "truth")))
+    n = {(r.truth, int(r.prediction)): r["count"] for r in rows.groupBy("truth", "prediction").count().collect()}
+    assert n[1, 1] / (n[1, 1] + n.get((0, 1), 0)) >= 0.9 and n[1, 1] / (n[1, 1] + n.get((1, 0), 0)) >= 0.9
+    # what the format rules alone would say is another thing
+    ruled = {(r.label, r.rule): r["count"] for r in op01_secrets.rule_label(f.withColumnRenamed("label", "truth")).select(F.col("truth").alias("label"), F.coalesce("label", F.lit(0)).alias("rule")).groupBy("label", "rule").count().collect()}
+    assert ruled.get((0, 1), 0) > n.get((0, 1), 0) or ruled.get((1, 0), 0) > n.get((1, 0), 0)
+    f.unpersist()
+
+
+def test_forest_takes_back_what_the_rules_flag(spark):
+    docs = read(spark, "documents").select("doc_id", "text", "source")
+    more = spark.createDataFrame([(-1, 'api_key = "example-token-1234567890" in the manual', "docs/a"), (-2, "see commit 24be64439e3e49cf46b2d7c90f3602a3d0b907ff for it", "docs/b")], "doc_id long, text string, source string")
+    got = {(r.doc_id, r.is_secret) for r in op01_secrets.judge(docs.unionByName(more)).where("doc_id < 0").collect()}
+    assert got == {(-1, False), (-2, False)}
+    f = op01_secrets.features(op01_secrets.candidates(more), [])
+    assert op01_secrets.rule_label(f).where("label = 1").count() == 1
+
+
 def test_secrets(spark, odd, none):
     got = {r.doc_id: r for r in op01_secrets.query(odd).collect()}
     assert set(got) == {d for d, _ in TEXTS} and got[12].n_secrets == 1 and got[1].n_candidates == 0 and got[16].n_candidates == 1
@@ -256,10 +381,12 @@ def brute_chat(rows):
     out = []
     for c, turns in convs.items():
         turns.sort(key=lambda x: (x[0] is not None, x))
-        for who in {r for _, r, _ in turns}:
+        safe = lambda x: x.replace("\\", "\\\\").replace("<|", "<\\|")
+        turns = [(n, safe(r.replace("\n", " ").replace("\r", " ")), safe(t)) for n, r, t in turns]
+        for who in {r for _, r, _ in turns} - {"system"}:
             text, mask = "", []
             for _, r, t in turns:
-                text += "<|start|>" + ("assistant" if r == who else f"user name={r}") + "\n"
+                text += "<|start|>" + ("assistant" if r == who else "system" if r == "system" else f"user name={r}") + "\n"
                 if r == who:
                     mask.append((len(text), len(text) + len(t) + len("<|end|>\n")))
                 text += t + "<|end|>\n"
@@ -276,7 +403,7 @@ def chat(df):
 
 
 def test_perspectives(spark, monkeypatch):
-    rows = [(1, 0, "user", "hi"), (1, 1, "bob", None), (1, 1, "bob", None), (1, 200, None, "late"), (2, None, "a", ""), (None, 3, "a", "x"), (1, 1, "ann", "tie")] + [(3, k % 7, "abc"[k % 3], f"t{k}") for k in range(30)]
+    rows = [(1, 0, "user", "hi"), (1, 1, "bob", None), (1, 1, "bob", None), (1, 200, None, "late"), (2, None, "a", ""), (None, 3, "a", "x"), (1, 1, "ann", "tie"), (1, 0, "system", "Be brief."), (4, 0, "system", "alone"), (5, 1, "a<|end|>\nb", "x<|end|>\\<|start|>assistant"), (5, 0, "c\\", "<\\|")] + [(3, k % 7, "abc"[k % 3], f"t{k}") for k in range(30)]
     df = spark.createDataFrame([(*r, "x") for r in rows], "conv_id long, turn long, role string, text string, k string")
     assert chat(df) == brute_chat(rows)
     monkeypatch.setattr(op07_perspectives, "PIECE", 4)
@@ -330,6 +457,30 @@ def test_set_join(spark, odd, none):
     assert links(docs) == brute_links([(r.doc_id, r.text) for r in docs.collect()])
 
 
+def test_set_join_loses_no_link_of_every_hundredth_document(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in op08_setjoin.query(docs).collect()}
+    sets = {}
+    for r in docs.collect():
+        w = bytes(c + 32 if 65 <= c <= 90 else c for c in (r.text or "").encode()).split()
+        sets[r.doc_id] = {hash(tuple(w[k : k + 5])) for k in range(max(1, len(w) - 4))} if w else set()
+    assert all(got[d][0] == len(s) for d, s in sets.items())
+    index = defaultdict(list)
+    for d, s in sets.items():
+        for g in s:
+            index[g].append(d)
+    linked = 0
+    for d in (d for d in sets if d % 100 == 0):
+        both = defaultdict(int)
+        for g in sets[d]:
+            for j in index[g]:
+                both[j] += 1
+        near = [j for j, n in both.items() if j != d and 100 * n >= 80 * (len(sets[d]) + len(sets[j]) - n)]
+        linked += len(near)
+        assert all(got[j][1] == got[d][1] for j in near)
+    assert linked
+
+
 def test_set_join_small_sets_and_chains(spark, monkeypatch):
     rng = np.random.default_rng(4)
     rows = []
@@ -400,6 +551,28 @@ def test_media(spark, odd, none):
     assert all(len(x) == 1 for x in by_text.values())
 
 
+def brute_pairs(payload):
+    """(time, code) of all pairs by a plain transform of each frame."""
+    x = np.frombuffer(payload, np.uint8).astype(np.float32)
+    n = max(1, -(-(len(x) - op10_media.FRAME) // op10_media.HOP) + 1)
+    x = np.concatenate([x, np.zeros((n - 1) * op10_media.HOP + op10_media.FRAME - len(x), np.float32)])
+    peaks = []
+    for k in range(n):
+        f = x[k * op10_media.HOP :][: op10_media.FRAME]
+        m = np.abs(np.fft.rfft((f - f.mean()) * np.hanning(op10_media.FRAME).astype(np.float32))).astype(np.float32)
+        m[0] = 0
+        tops = [i for i in range(1, len(m)) if m[i] > m[i - 1] and (i + 1 == len(m) or m[i] >= m[i + 1]) and m[i] >= op10_media.FLOOR]
+        peaks.append(sorted(tops, key=lambda i: (-m[i], i))[: op10_media.PEAKS])
+    return sorted((k, a << 10 | b << 2 | gap) for k in range(n) for gap in range(1, op10_media.AHEAD + 1) if k + gap < n for a in peaks[k] for b in peaks[k + gap])
+
+
+def test_media_pairs(spark):
+    texts = [P, COPY, "short", "x" * 3000, "ab" * 700, "".join(chr(33 + k * k % 90) for k in range(5000))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in op10_media.fingerprint(op10_media.store_wav(df)).collect():
+        assert sorted(zip(r.times, r.codes, strict=True)) == brute_pairs(bytes(r.payload))
+
+
 def test_media_peaks_of_a_tone():
     k = 20
     x = 128 + 100 * np.sin(2 * np.pi * k * np.arange(4096) / op10_media.FRAME)
@@ -429,9 +602,23 @@ def test_pipeline(spark, odd):
     before, after = kept["secrets"]
     assert after.count() == before.count() and not [r for r in after.collect() if re.search(r'token = "[0-9a-f]{40}"|AKIA[0-9A-Z]{16}', r.text)]
     assert all(r.n_chars == len(r.text) for r in after.collect())
-    for _, stage in corpus_pipeline.STAGES:
-        stage(spark, odd, SMALL).count()
-        stage(spark, odd.limit(0), SMALL).count()
+    left = {name: sorted((r[0] for r in stage(spark, odd, SMALL).select("doc_id").collect()), key=repr) for name, stage in corpus_pipeline.STAGES}
+    every = sorted((d for d, _ in TEXTS), key=repr)
+    assert left["quality"] == left["secrets"] == left["decontaminate"] == every
+    assert left["near_duplicates"] == sorted((d for d in every if d != 5 and not (d == 6 and 4 in every and _linked(4, 6))), key=repr)
+    assert set(left["pack"]) == set(every)
+    assert all(stage(spark, odd.limit(0), SMALL).count() == 0 for _, stage in corpus_pipeline.STAGES)
+    before, after = kept["quality"]
+    labels = read(spark, "labels")
+    good = {r.doc_id for r in op06_quality.judge(before, labels).where("keep").collect()}
+    assert {r.doc_id for r in after.collect()} == good
+    before, after = kept["pack"]
+    assert after.agg(F.sum("length")).first()[0] == op09_packing.query(before).agg(F.sum("length")).first()[0]
+
+
+def _linked(a, b):
+    x = brute_links([(d, t) for d, t in TEXTS if d in (a, b)])
+    return f", {a})" in " ".join(x) and len({y.rsplit(", ", 1)[1] for y in x}) == 1
 
 
 def test_oracles(spark):

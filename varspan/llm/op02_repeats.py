@@ -13,8 +13,8 @@ hash; the identifier of 2k bytes at i is made from those of k bytes at i and at
 
 Each level reads the documents again and derives its rows anew (no text is shuffled); a bounded bit table of the buckets or
 rows that the level before left open tells which, and where that would be too large a join does.
-All comparing is by grouped minima, with map-side combining, and joins of rows with their minima, so a passage that a third of the
-documents share is no single group. Equal identifiers are taken for equal texts (64 bits within a 64-bit bucket).
+All comparing is by grouped minima, with map-side combining, and joins of rows with their minima; those of texts with very many
+rows are broadcast, so a passage that a third of the documents share is no single group and no single key. Equal identifiers are taken for equal texts (64 bits within a 64-bit bucket).
 
 Defined results: null and empty texts have 0 bytes and the digest of nothing; rows that repeat a doc_id with the same text are
 one document and don't make each other repeated; those with different texts are documents of their own, in the order of
@@ -40,6 +40,8 @@ LENGTH, GRAM = 100, 32
 STEP = 1 << 17
 #: Neighbouring windows in a group.
 GROUP = 12
+#: Texts with more rows than this, and than one in HOT_TEXTS of all, are told to all rows; there are no more than HOT_TEXTS.
+HOT_ROWS, HOT_TEXTS = 1000, 100_000
 #: Bits of a filter for each key, and at most; beyond, keys are joined.
 FILTER_X, FILTER_BITS = 32, 1 << 29
 _M = mix(np.arange(1, 9, dtype=np.uint64)) | np.uint64(1)
@@ -258,7 +260,12 @@ def _level(docs: DataFrame, tables: list, keys: DataFrame, keyed: bool) -> tuple
     rows = docs.mapInArrow(_rows(tables), RUNS)
     rows = written((rows if tables[-1] is not None else rows.join(keys, "key", "left_semi")).drop("key"))
     first = written(rows.groupBy("bucket", "text").agg(F.min("i").alias("first"), F.count("*").alias("n")))
-    found = rows.join(first.where("n > 1").drop("n").hint("merge"), ["bucket", "text"]).where(F.col("again") | (F.col("i") > F.col("first"))).select("i", "k", "at")
+    # texts of very many rows are few, by the bound: they go to the rows, and no key of the shuffled join is hot
+    total = first.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(first.where(F.col("n") > max(HOT_ROWS, total // HOT_TEXTS)).drop("n"))
+    often, others = rows.join(hot, ["bucket", "text"]), rows.join(hot, ["bucket", "text"], "left_anti")
+    others = others.join(first.where("n > 1").drop("n").hint("merge"), ["bucket", "text"])
+    found = often.unionByName(others).where(F.col("again") | (F.col("i") > F.col("first"))).select("i", "k", "at")
     if keyed:  # rows of one doc_id that have different texts: the one of least key stands first
         same = rows.where("k <> 0")
         least = same.groupBy("bucket", "text", "i").agg(F.min("k").alias("least"), F.max("k").alias("most")).where("least < most").drop("most")

@@ -1,13 +1,16 @@
 r"""Operator 3, license scans: a positional rare-token index, in DataFrame functions alone.
 
-Templates are short licence notices with a mandatory key phrase. One grouped pass over all documents counts how many
-hold each template word; a template's postings are its highest-IDF words with their positions. A document's words that are
-in some posting are looked up; word position minus posting position is where the template would start; places that
-postings propose are verified by the key phrase at its relative position, and scored by the share of template words that
-stand where they should. The base phrases are templates that are all key phrase, so every place of them is found.
+Templates are licence notices with mandatory key phrases: those below, or a table of them. One grouped pass over all documents
+counts how many hold each template word. A document's words of the templates' vocabulary are looked up, and for each
+template its rarest words (highest IDF) that the document holds. Each of them gives postings: word position minus
+template position is where the template would start. Postings of different words are intersected by these relative positions,
+with a tolerance for words put in or left out. Of the places where two agree, those with all key phrases near their relative
+positions are kept, and scored by the share of template words that stand where they should. The base phrases are
+templates that are all key phrase, so every place of them is found.
 
 Defined results: null and empty texts have no words, no places, empty labels and score 0; repeated rows give repeated
-rows; other columns are kept out. A row's result needs no other row, so no text is shuffled.
+rows; other columns are kept out. A row's result needs no other row, so no text is shuffled. A template in which a word stands
+several times has postings for each; a table with more than MOST_TEMPLATES rows is an error.
 """
 
 from __future__ import annotations
@@ -25,32 +28,37 @@ from varspan.llm.common import ascii_lower, with_columns_of
 class Template:
     label: str
     words: str
-    key: str
+    keys: tuple[str, ...]
     base: bool = False
 
 
 # The base phrases and their labels.
 BASE = (
-    Template("cc-by", "cc by", "cc by", True),
-    Template("gpl", "general public license", "general public license", True),
-    Template("reserved", "all rights reserved", "all rights reserved", True),
+    Template("cc-by", "cc by", ("cc by",), True),
+    Template("gpl", "general public license", ("general public license",), True),
+    Template("reserved", "all rights reserved", ("all rights reserved",), True),
 )
-# Public licence notices and the words that must stand in them.
+# Public licence notices and the phrases that must stand in them.
 NOTICES = (
-    Template("mit", "released under the mit license", "mit license"),
-    Template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", "permission is hereby granted free of charge"),
-    Template("apache-2.0", "licensed under the apache license version 2 0", "apache license version 2 0"),
-    Template("gpl-3.0", "this work is licensed under the gnu general public license version 3", "gnu general public license version 3"),
-    Template("gpl-2.0", "this work is licensed under the gnu general public license version 2", "gnu general public license version 2"),
-    Template("lgpl", "under the terms of the gnu lesser general public license", "gnu lesser general public license"),
-    Template("cc-by-nc-4.0", "licensed under cc by nc 4 0", "cc by nc 4 0"),
-    Template("cc-by-sa-4.0", "licensed under cc by sa 4 0", "cc by sa 4 0"),
-    Template("cc-by-4.0", "licensed under cc by 4 0", "cc by 4 0"),
-    Template("mpl-2.0", "subject to the terms of the mozilla public license v 2 0", "mozilla public license v 2 0"),
-    Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "redistribution and use in source and binary forms"),
+    Template("mit", "released under the mit license", ("mit license",)),
+    Template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction", ("permission is hereby granted free of charge",)),
+    Template("apache-2.0", "licensed under the apache license version 2 0", ("apache license version 2 0",)),
+    Template("apache-2.0", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license", ("apache license version 2 0", "except in compliance with the license")),
+    Template("gpl-3.0", "this work is licensed under the gnu general public license version 3", ("gnu general public license version 3",)),
+    Template("gpl-2.0", "this work is licensed under the gnu general public license version 2", ("gnu general public license version 2",)),
+    Template("gpl-3.0", "under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version", ("gnu general public license as published by", "either version 3 of the license")),
+    Template("lgpl", "under the terms of the gnu lesser general public license", ("gnu lesser general public license",)),
+    Template("cc-by-nc-4.0", "licensed under cc by nc 4 0", ("cc by nc 4 0",)),
+    Template("cc-by-sa-4.0", "licensed under cc by sa 4 0", ("cc by sa 4 0",)),
+    Template("cc-by-4.0", "licensed under cc by 4 0", ("cc by 4 0",)),
+    Template("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0", ("mozilla public license v 2 0",)),
+    Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", ("redistribution and use in source and binary forms", "with or without modification")),
+    Template("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", ("permission to use copy modify and or distribute this software",)),
+    Template("unlicense", "this is free and unencumbered software released into the public domain", ("free and unencumbered software released into the public domain",)),
 )
-#: Postings of a template: so many of its rarest words.
-RARE = 3
+#: Postings of a template in a document: so many of its rarest words that the document holds; words put in or left out between two.
+RARE, SLACK = 3, 3
+MOST_TEMPLATES = 1000
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -72,51 +80,94 @@ def document_counts(docs: DataFrame, words: list[str]) -> tuple[int, dict[str, i
     return counts.pop("", 0), counts
 
 
-def rare_positions(t: Template, n: int, counts: dict[str, int]) -> list[tuple[str, int]]:
-    """The highest-IDF words of a template's key phrase with their positions in the template. A word that stands there twice is listed by each place."""
-    words, key = t.words.split(), t.key.split()
-    at = next(i for i in range(len(words)) if words[i : i + len(key)] == key)
-    idf = {w: math.log((1 + n) / (1 + counts.get(w, 0))) for w in key}
-    best = sorted(idf, key=lambda w: (-idf[w], w))[: 1 if t.base else RARE]
-    return [(w, i) for i, w in enumerate(words) if w in best and at <= i < at + len(key)]
+def templates_of(table: DataFrame) -> tuple[Template, ...]:
+    """Notices of a table (label, text, key_phrases array<string>); without key phrases the whole text is one."""
+    rows = table.select("label", "text", "key_phrases").limit(MOST_TEMPLATES + 1).collect()
+    if len(rows) > MOST_TEMPLATES:
+        raise ValueError(f"more than {MOST_TEMPLATES} templates")
+    import re
 
+    tidy = lambda t: " ".join(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda c: c[0].lower(), t)))
+    return tuple(Template(r.label, tidy(r.text), tuple(tidy(k) for k in r.key_phrases or [r.text])) for r in sorted(rows, key=lambda r: (r.label, r.text)))
 
-def _places(t: Template, rare: list[tuple[str, int]], words: Column, hits: Column) -> Column:
-    """Starts of the template in the document: proposed by postings, verified by the key phrase."""
-    key, all_words = t.key.split(), t.words.split()
-    at = next(i for i in range(len(all_words)) if all_words[i : i + len(key)] == key)
 
-    def starts(word: str, i: int) -> Column:
-        return F.transform(F.filter(hits, lambda h: h["w"] == word), lambda h: h["i"] - i)
+def _find(phrase: list[str], words: list[str]) -> int:
+    return next(i for i in range(len(words)) if words[i : i + len(phrase)] == phrase)
 
-    proposed = F.array_distinct(F.flatten(F.array(*[starts(w, i) for w, i in rare])))
-    phrase = F.array(*[F.lit(w) for w in key])
-    return F.filter(proposed, lambda s: (s + at >= 0) & (F.slice(words, F.greatest(s + at + 1, F.lit(1)), len(key)) == phrase))
+
+def _at(words: Column, place: Column, phrase: list[str]) -> Column:
+    """Whether a phrase stands at a place."""
+    return (place >= 0) & (F.slice(words, F.greatest(place + 1, F.lit(1)), len(phrase)) == F.array(*[F.lit(w) for w in phrase]))
+
+
+def _base_places(t: Template, idf: dict[str, float], words: Column, hits: Column) -> Column:
+    """All places of a base phrase: proposed by its rarest word, verified."""
+    phrase = t.words.split()
+    rare = max(phrase, key=lambda w: (idf[w], w))
+    k = phrase.index(rare)
+    return F.filter(F.transform(F.filter(hits, lambda h: h["w"] == rare), lambda h: h["i"] - k), lambda s: _at(words, s, phrase))
+
+
+def _places(t: Template, idf: dict[str, float], words: Column, hits: Column) -> Column:
+    """Starts of a notice: relative positions on which two of the document's rarest words of it agree, with all key phrases near."""
+    own = t.words.split()
+    order = sorted(set(own), key=lambda w: (-idf[w], w))
+    literal = lambda ws: F.array(*[F.lit(w) for w in ws])
+
+    def starts(word: Column) -> Column:
+        # postings of a word: its places in the document less those in the template
+        at = F.filter(F.transform(literal(own), lambda w, i: F.when(w == word, i)), lambda i: i.isNotNull())
+        return F.flatten(F.transform(F.filter(hits, lambda h: h["w"] == word), lambda h: F.transform(at, lambda i: h["i"] - i)))
+
+    held = F.slice(F.filter(literal(order), lambda w: F.exists(hits, lambda h: h["w"] == w)), 1, RARE)
+    near = lambda s: F.flatten(F.transform(s, lambda x: F.sequence(x - SLACK, x + SLACK)))
+
+    def agreed(lists: Column) -> Column:
+        pair = lambda a, b: F.array_intersect(F.get(lists, a), near(F.get(lists, b)))
+        none = F.array().cast("array<int>")
+        two = lambda a, b: F.when(F.size(lists) > b, pair(a, b)).otherwise(none)
+        return F.array_distinct(F.concat(*[two(a, b) for b in range(1, RARE) for a in range(b)]))
+
+    def near_key(s: Column, key: str) -> Column:
+        phrase = key.split()
+        at = _find(phrase, own)
+        return F.exists(F.sequence(F.lit(-SLACK), F.lit(SLACK)), lambda o: _at(words, s + at + o, phrase))
+
+    verified = lambda s: F.forall(F.array(*[near_key(s, k) for k in t.keys]), lambda ok: ok)
+    found = F.filter(bound(F.transform(held, starts), agreed), verified)
+    return F.when(F.size(held) >= 2, found).otherwise(F.array().cast("array<int>")) if len(order) > 1 else F.filter(bound(held, lambda h: F.flatten(F.transform(h, starts))), verified)
 
 
 def _score(t: Template, words: Column, places: Column) -> Column:
     """The best place's share of template words at their positions; 0 without a place."""
     own = t.words.split()
-    share = lambda s: sum((F.when(s + k >= 0, F.get(words, s + k) == w).otherwise(F.lit(False)).cast("int") for k, w in enumerate(own)), F.lit(0)) / F.lit(float(len(own)))
-    return F.coalesce(F.array_max(F.transform(places, lambda s: F.coalesce(share(s), F.lit(0.0)))), F.lit(0.0))
+    whole = F.array(*[F.lit(w) for w in own])
+    same = lambda s: F.size(F.filter(F.transform(whole, lambda w, k: F.when(s + k >= 0, F.get(words, s + k) == w)), lambda x: x)) / F.lit(float(len(own)))
+    return F.coalesce(F.array_max(F.transform(places, same)), F.lit(0.0))
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", notices: tuple[Template, ...] = NOTICES) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", notices: tuple[Template, ...] | DataFrame = NOTICES) -> DataFrame:
     """Per document: words, places of the base phrases, labels with their places, and the best notice's score."""
+    notices = templates_of(notices) if isinstance(notices, DataFrame) else notices
     docs, templates = with_columns_of(docs, doc_id=id_col, text=text_col), [*BASE, *notices]
-    n, counts = document_counts(docs, sorted({w for t in templates for w in t.words.split()}))
-    rare = [rare_positions(t, n, counts) for t in templates]
-    looked_up = sorted({w for r in rare for w, _ in r})
+    vocabulary = sorted({w for t in templates for w in t.words.split()})
+    n, counts = document_counts(docs, vocabulary)
+    idf = {w: math.log((1 + n) / (1 + counts.get(w, 0))) for w in vocabulary}
+
+    def looked(t: Template, words: Column, hits: Column) -> Column:
+        places = _base_places(t, idf, words, hits) if t.base else F.when(F.exists(hits, lambda h: h["w"].isin(_telling(t))), _places(t, idf, words, hits)).otherwise(F.array().cast("array<int>"))
+        return bound(places, lambda p: F.struct(p.alias("places"), _score(t, words, p).alias("score")))
 
-    def looked(t: Template, r: list[tuple[str, int]], words: Column, hits: Column) -> Column:
-        return bound(_places(t, r, words, hits), lambda p: F.struct(p.alias("places"), _score(t, words, p).alias("score")))
+    def _telling(t: Template) -> list[str]:
+        # without one word of a key phrase the phrase can't stand: the rarest of them is looked for first
+        return [max((w for k in t.keys for w in k.split()), key=lambda w: (idf[w], w))]
 
     def matches_of(k: int, t: Template) -> Column:
         return F.transform(f"t{k}.places", lambda s: F.struct(s.cast("long").alias("start"), F.lit(t.label).alias("label"), F.lit(len(t.words.split())).cast("long").alias("length")))
 
     def found(words: Column) -> Column:
-        hits = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda h: h["w"].isin(looked_up))
-        return bound(hits, lambda h: F.struct(F.size(words).cast("long").alias("n_words"), *[looked(t, r, words, h).alias(f"t{k}") for k, (t, r) in enumerate(zip(templates, rare, strict=True))]))
+        hits = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda h: h["w"].isin(vocabulary))
+        return bound(hits, lambda h: F.struct(F.size(words).cast("long").alias("n_words"), *[looked(t, words, h).alias(f"t{k}") for k, t in enumerate(templates)]))
 
     got = docs.select("doc_id", bound(words_of(F.col("text")), found).alias("r")).select("doc_id", "r.*")
     label = lambda k: F.when(F.size(f"t{k}.places") > 0, F.lit(templates[k].label))

@@ -4,10 +4,12 @@ A shard is a run of documents of bounded size inside a Spark task. Its suffix ar
 words (up to four) begin some benchmark suffix, sorted by their next ten words; all other positions can't match. Every
 suffix of every benchmark item is binary-searched in it. A match of a whole window (ten words, or the item's words where it
 has fewer) is a hit; consecutive hits on one diagonal join to the longest verbatim match, kept with its place.
-Benchmark items go to the tasks in blocks of bounded size, one pass over the documents for each block.
+Benchmark items go to the tasks in blocks of bounded size: one block at a time is held and broadcast, and read with one pass over
+the documents. Of several blocks each pass writes what it found by the texts' digests, and these are joined at the end.
 
-Defined results: null and empty texts have no words and no hits; null benchmark texts are no items; repeated rows give
-repeated rows; repeated item ids count once; other columns are kept out.
+Defined results: null and empty texts have no words and no hits; null benchmark texts are no items; a null item id is the
+empty string; repeated rows give repeated rows; repeated item ids count once; a window that an item holds several times
+counts by its first place; other columns are kept out.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varspan.llm.common import ALNUM, Words, mix, text_chunks, with_columns_of
+from varspan.llm.common import ALNUM, Words, mix, restrict, text_chunks, with_columns_of, written
 
 WINDOW, HEAD, BITS = 10, 4, 22
 #: Bytes of benchmark text in one block.
@@ -52,9 +54,11 @@ class Tests:
         for k, (a, b) in enumerate(zip(w.first, w.last, strict=True)):
             if n := min(window, int(b - a)):
                 keys, items_, starts = self.by_length.setdefault(n, ([], [], []))
-                keys.append(np.lib.stride_tricks.sliding_window_view(w.hash[a:b], n))
-                items_.append(np.full(b - a - n + 1, k))
-                starts.append(np.arange(b - a - n + 1))
+                own = np.lib.stride_tricks.sliding_window_view(w.hash[a:b], n)
+                first = np.sort(np.unique(_rows(own), return_index=True)[1])  # else equal words in both multiply
+                keys.append(own[first])
+                items_.append(np.full(len(first), k))
+                starts.append(first)
         for n, (keys, items_, starts) in self.by_length.items():
             keys = np.concatenate(keys)
             head, bits = min(HEAD, n), np.zeros(1 << BITS, bool)
@@ -101,22 +105,27 @@ def search(w: Words, tests: Tests) -> list[list[dict]]:
     return found
 
 
-def _search(tests: Tests):
+def _search(tests, whole: bool):
+    """tests: a broadcast block. Rows with their matches; unless whole, only those with some, by the text's digest."""
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("item_id", pa.string()), ("item_start", pa.int64())]))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("item_id", pa.string()), ("item_start", pa.int64())]))
         for b in batches:
             for i, docs in text_chunks(b, "text"):
                 w, part = Words(docs, ALNUM), b.slice(i, len(docs))
-                before = part.column("spans").to_pylist()
-                spans = [[*(x or []), *y] for x, y in zip(before, search(w, tests), strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text"), pa.array(w.last - w.first, pa.int64()), pa.array(spans, kind)], ["doc_id", "text", "n_words", "spans"])
+                spans = search(w, tests.value)
+                if whole:
+                    yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text"), pa.array(w.last - w.first, pa.int64()), pa.array(spans, kind)], ["doc_id", "text", "n_words", "spans"])
+                else:
+                    hit = [k for k, x in enumerate(spans) if x]
+                    yield pa.RecordBatch.from_arrays([pa.array([hashlib.sha256(docs[k]).digest() for k in hit], pa.binary()), pa.array([spans[k] for k in hit], kind)], ["digest", "spans"])
 
     return run
 
 
 def blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[str, bytes]]]:
     """Items with text, each id and text once, a block of bounded size at a time."""
-    rows = benchmark.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t")).where("t is not null and i is not null").distinct()
+    rows = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("i"), F.col(text_col).alias("t")).where("t is not null").distinct()
     block, size = [], 0
     for r in rows.toLocalIterator():
         block.append((r.i, r.t.encode()))
@@ -128,29 +137,51 @@ def blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tu
         yield block
 
 
+def _passes(docs: DataFrame, benchmark: DataFrame, window: int, item_col: str, item_text_col: str) -> tuple[object, DataFrame | None]:
+    """The only block, broadcast, and None; or of several blocks the matches (digest, spans) of each pass, written."""
+    every, spark, found, last = blocks(benchmark, item_col, item_text_col), docs.sparkSession, None, None
+    for block in every:
+        if last is not None:
+            hits = written(docs.mapInArrow(_search(last, False), f"digest binary, spans array<{SPAN}>"))
+            found = hits if found is None else found.unionByName(hits)
+            last.destroy()
+        last = spark.sparkContext.broadcast(Tests(block, window))
+    if found is None:
+        return last or spark.sparkContext.broadcast(Tests([], window)), None
+    hits = written(docs.mapInArrow(_search(last, False), f"digest binary, spans array<{SPAN}>"))
+    # equal texts have equal matches: of each block one row a text
+    return None, found.unionByName(hits).distinct().groupBy("digest").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+
+
 def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """doc_id, text, n_words and all maximal verbatim matches (start and length in words, item and place in it)."""
-    out = with_columns_of(docs, doc_id=id_col, text=text_col).select("doc_id", "text", F.lit(0).cast("long").alias("n_words"), F.array().cast(f"array<{SPAN}>").alias("spans"))
-    for block in [*blocks(benchmark, item_col, item_text_col)] or [[]]:
-        out = out.mapInArrow(_search(Tests(block, window)), HITS)
-    return out
+    docs = with_columns_of(docs, doc_id=id_col, text=text_col)
+    only, found = _passes(docs, benchmark, window, item_col, item_text_col)
+    if found is None:
+        return docs.mapInArrow(_search(only, True), HITS)
+    rows = docs.mapInArrow(_search(docs.sparkSession.sparkContext.broadcast(Tests([], window)), True), HITS).drop("spans")
+    rows = rows.withColumn("digest", F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))).join(found, "digest", "left")
+    return rows.select("doc_id", "text", "n_words", F.coalesce("spans", F.array().cast(f"array<{SPAN}>")).alias("spans"))
 
 
-def _clean(tests: Tests, text_col: str):
+def _clean(tests, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, docs in text_chunks(b, text_col):
-                hit = search(Words(docs, ALNUM), tests)
-                yield b.slice(i, len(docs)).filter(pa.array([not x for x in hit]))
+                hit = search(Words(docs, ALNUM), tests.value)
+                yield b.slice(i, len(docs)).filter(pa.array([not x for x in hit], pa.bool_()))
 
     return run
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """docs, with all columns, without the rows that hold a window of an item."""
-    for block in blocks(benchmark, item_col, item_text_col):
-        docs = docs.mapInArrow(_clean(Tests(block, window), text_col), docs.schema)
-    return docs
+    only, found = _passes(docs.select(F.col(text_col).alias("text")), benchmark, window, item_col, item_text_col)
+    if found is None:
+        return docs.mapInArrow(_clean(only, text_col), docs.schema)
+    digest = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
+    rows = docs.select(F.struct("*").alias("doc"), digest.alias("digest"))
+    return restrict(rows, found.select("digest"), "digest", "left_anti").select("doc.*")
 
 
 def _summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

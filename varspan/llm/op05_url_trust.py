@@ -23,6 +23,15 @@ from varspan.llm.common import ascii_lower, with_columns_of, written
 
 # Verdict and rule.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+# Common public suffixes of two labels, under which strangers register names; a single label is one anyway.
+SUFFIXES = (
+    "ac.uk", "co.uk", "gov.uk", "ltd.uk", "me.uk", "net.uk", "org.uk", "plc.uk", "sch.uk", "com.au", "edu.au", "gov.au", "id.au", "net.au", "org.au",
+    "ac.nz", "co.nz", "govt.nz", "net.nz", "org.nz", "ac.jp", "co.jp", "go.jp", "ne.jp", "or.jp", "ac.kr", "co.kr", "go.kr", "or.kr",
+    "com.cn", "edu.cn", "gov.cn", "net.cn", "org.cn", "com.tw", "edu.tw", "org.tw", "com.hk", "org.hk", "com.sg", "edu.sg", "com.my", "co.th", "co.id", "com.ph", "com.vn",
+    "ac.in", "co.in", "gov.in", "net.in", "org.in", "com.pk", "com.br", "gov.br", "net.br", "org.br", "com.ar", "com.mx", "com.co", "com.pe", "com.tr", "gov.tr", "org.tr",
+    "ac.za", "co.za", "org.za", "co.ke", "com.ng", "com.eg", "com.sa", "co.il", "org.il", "com.ua", "com.pl", "net.pl", "org.pl", "com.es", "org.es", "co.at", "or.at",
+    "github.io", "gitlab.io", "pages.dev", "web.app", "netlify.app", "vercel.app", "blogspot.com", "wordpress.com", "herokuapp.com", "amazonaws.com", "azurewebsites.net", "appspot.com", "cloudfront.net", "fly.dev", "onrender.com", "readthedocs.io",
+)
 DAMPING, ROUNDS, RATIO = 0.85, 8, 1.0
 #: Summed change of ranks, of which each kind has 1 in all, below which propagation has settled.
 TOLERANCE = 1e-9
@@ -49,11 +58,11 @@ def rule_of(host_: Column, path_: Column, rules=RULES) -> Column:
     return out
 
 
-def host_edges(pages: DataFrame, hosts: DataFrame) -> DataFrame:
-    """(src, dst, weight) of links between hosts and of domain kinship."""
+def host_edges(pages: DataFrame, hosts: DataFrame, suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
+    """(src, dst, weight) of links between hosts and of domain kinship; a public suffix is nobody's parent."""
     links = pages.select(F.col("host").alias("src"), F.explode(F.array_distinct(F.transform(F.regexp_extract_all("html", F.lit(_LINK), 1), ascii_lower))).alias("dst"))
     parent = F.regexp_extract("host", r"^[^.]+\.([^.]+\..+)$", 1)
-    kin = hosts.select("host", parent.alias("parent")).where("parent <> ''")
+    kin = hosts.select("host", parent.alias("parent")).where((F.col("parent") != "") & ~F.col("parent").isin(*suffixes))
     kin = kin.select(F.explode(F.array(F.struct(F.col("host").alias("src"), F.col("parent").alias("dst")), F.struct(F.col("parent").alias("src"), F.col("host").alias("dst")))).alias("e")).select("e.*")
     return links.unionByName(kin).where("src <> dst").groupBy("src", "dst").agg(F.count("*").cast("double").alias("weight"))
 

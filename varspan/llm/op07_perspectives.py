@@ -1,35 +1,44 @@
-"""Operator 7, chat formatting: a dialogue rendered once for each participant, with that speaker as the assistant.
+r"""Operator 7, chat formatting: a dialogue rendered once for each participant, with that speaker as the assistant.
 
 Turns stand in the order of turn number, then role, then text. In a participant's rendering the own turns are headed
 `assistant`, all others `user name=<role>`; the mask covers the own turns' text and end mark, so only these are learned.
+`system` takes no part in the dialogue: its turns are headed `system` in every rendering, and it has none of its own. Where a role or
+text holds `<|`, or a backslash, these get a backslash before or between (`<\|`, `\\`), so no text passes for a mark; line ends in a
+role are spaces.
 Turns are gathered in pieces of bounded size, by blocks of turn numbers: a dialogue of up to 64 turns is one piece, a
 longer one several, with the character offset of each in the whole. No dialogue is ever gathered as one row.
 
-Defined results: a null role is the participant `unknown`, a null text is empty, a null turn comes first; repeated rows
+Defined results: a dialogue of system turns alone has no rendering; a null role is the participant `unknown`, a null text is empty, a null turn comes first; repeated rows
 are repeated turns; other columns are kept out; rows with a null conv_id are one dialogue.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Turn numbers in a block, and turns in a piece of it (turn numbers may repeat).
 TURNS, PIECE = 64, 256
 START, END = "<|start|>", "<|end|>\n"
+SYSTEM = "system"
+
+
+def escaped(text: Column) -> Column:
+    """A text in which no mark stands; unescaped by taking away the backslash after `<` and one of two backslashes."""
+    return F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("<|"), F.lit("<\\|"))
 
 
 def rotate(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """conv_id, perspective, block, piece, n_turns, start, text, mask (array of start and end in this piece), n_masked."""
-    c = conversations.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).cast("long").alias("turn"), F.coalesce(F.col(role_col), F.lit("unknown")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    c = conversations.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).cast("long").alias("turn"), escaped(F.translate(F.coalesce(F.col(role_col), F.lit("unknown")), "\r\n", "  ")).alias("role"), escaped(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
     c = c.withColumn("block", F.coalesce(F.floor(F.col("turn") / TURNS), F.lit(-1)))
     order = Window.partitionBy("conv_id", "block").orderBy("turn", "role", "text")
     c = c.withColumn("k", F.row_number().over(order) - 1).withColumn("piece", F.floor(F.col("k") / PIECE))
     pieces = c.groupBy("conv_id", "block", "piece").agg(F.array_sort(F.collect_list(F.struct("k", "role", "text"))).alias("turns"))
-    speakers = c.select("conv_id", F.col("role").alias("perspective")).distinct()
+    speakers = c.select("conv_id", F.col("role").alias("perspective")).where(F.col("perspective") != SYSTEM).distinct()
     pair = pieces.join(speakers.withColumnRenamed("conv_id", "c"), F.col("conv_id").eqNullSafe(F.col("c"))).drop("c")
     own = lambda t: t["role"] == F.col("perspective")
-    head = lambda t: F.concat(F.lit(START), F.when(own(t), F.lit("assistant")).otherwise(F.concat(F.lit("user name="), t["role"])), F.lit("\n"))
+    head = lambda t: F.concat(F.lit(START), F.when(own(t), F.lit("assistant")).when(t["role"] == SYSTEM, F.lit(SYSTEM)).otherwise(F.concat(F.lit("user name="), t["role"])), F.lit("\n"))
     body = lambda t: F.concat(t["text"], F.lit(END))
     state = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:long,end:long>>").alias("mask"))
 
@@ -51,14 +60,15 @@ def query(conversations: DataFrame) -> DataFrame:
 
 ORACLE = r"""
 WITH c AS (
-  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
+  SELECT conv_id, turn, replace(replace(translate(coalesce(role, 'unknown'), concat(chr(13), chr(10)), '  '), '\', '\\'), '<|', '<\|') AS role,
+    replace(replace(coalesce(text, ''), '\', '\\'), '<|', '<\|') AS text,
     coalesce(CAST(floor(turn / 64.0) AS BIGINT), -1) AS block FROM conversations),
 k AS (SELECT *, (row_number() OVER (PARTITION BY conv_id, block ORDER BY turn NULLS FIRST, role, text) - 1) AS k FROM c),
 r AS (
   SELECT k.conv_id, p.perspective, k.block, k.k // 256 AS piece, k.k, k.role = p.perspective AS own,
-    concat('<|start|>', CASE WHEN k.role = p.perspective THEN 'assistant' ELSE concat('user name=', k.role) END, chr(10)) AS head,
+    concat('<|start|>', CASE WHEN k.role = p.perspective THEN 'assistant' WHEN k.role = 'system' THEN 'system' ELSE concat('user name=', k.role) END, chr(10)) AS head,
     concat(k.text, '<|end|>', chr(10)) AS body
-  FROM k JOIN (SELECT DISTINCT conv_id, role AS perspective FROM c) p ON p.conv_id IS NOT DISTINCT FROM k.conv_id),
+  FROM k JOIN (SELECT DISTINCT conv_id, role AS perspective FROM c WHERE role <> 'system') p ON p.conv_id IS NOT DISTINCT FROM k.conv_id),
 s AS (
   SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, perspective, block, piece ORDER BY k) AS hi FROM r),
 g AS (

@@ -22,6 +22,7 @@ goes with rows of an equal set alone; rows that repeat a doc_id and a text are o
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 from itertools import combinations, islice
 from math import comb
@@ -96,7 +97,7 @@ def _cells(tokens: np.ndarray) -> np.ndarray:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A task's counts of shingles: for each block the cells that aren't empty, and their counts."""
+    """A task's counts of shingles, block by block of cells."""
     counts, kept, size = np.zeros(1 << CELL, np.uint32), [], 0
 
     def add() -> None:
@@ -113,26 +114,28 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 kept, size = [], 0
     if kept:
         add()
-    cell = np.flatnonzero(counts)
-    block, first = np.unique(cell >> BLOCK, return_index=True)
-    bounds = np.append(first, len(cell))
-    binary = lambda x: pa.Array.from_buffers(pa.binary(), len(block), [None, pa.py_buffer((bounds * x.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(x))])
-    yield pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), binary((cell & ((1 << BLOCK) - 1)).astype(np.uint16)), binary(counts[cell])], ["block", "cells", "counts"])
+    # cells hold few shingles of one task each: a byte a cell, which deflates to a bit or two, and the few large counts apart
+    low, large = np.minimum(counts, 255).astype(np.uint8).reshape(-1, 1 << BLOCK), np.flatnonzero(counts > 255)
+    for k in np.flatnonzero(low.any(axis=1)).tolist():
+        own = large[np.searchsorted(large, k << BLOCK) : np.searchsorted(large, (k + 1) << BLOCK)]
+        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zlib.compress(low[k].tobytes(), 1)], pa.binary()), pa.array([own.astype(np.int64).tobytes() + counts[own].astype(np.int64).tobytes()], pa.binary())], ["block", "cells", "large"])
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Ranks of the cells of each block in this partition: eighths of the binary logarithm of the summed counts."""
     total: dict[int, np.ndarray] = {}
     for b in batches:
-        for block, cells, counts in zip(*(b.column(c).to_pylist() for c in ("block", "cells", "counts")), strict=True):
-            total.setdefault(block, np.zeros(1 << BLOCK, np.float64))[np.frombuffer(cells, np.uint16)] += np.frombuffer(counts, np.uint32)
+        for block, cells, large in zip(*(b.column(c).to_pylist() for c in ("block", "cells", "large")), strict=True):
+            n, (at, many) = np.frombuffer(zlib.decompress(cells), np.uint8).astype(np.float64), np.frombuffer(large, np.int64).reshape(2, -1)
+            n[at & ((1 << BLOCK) - 1)] = many
+            total[block] = total[block] + n if block in total else n
     for block, n in total.items():
         yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([np.minimum(np.log2(n + 1) * 8, 255).astype(np.uint8).tobytes()], pa.binary())], ["block", "ranks"])
 
 
 def ranks(docs: DataFrame) -> np.ndarray:
     """The rank of each cell by the number of shingles in it, over all documents: a table of 2 ** CELL bytes at any size of the input."""
-    parts = docs.select("text").mapInArrow(_counted, "block int, cells binary, counts binary")
+    parts = docs.select("text").mapInArrow(_counted, "block int, cells binary, large binary")
     out = np.zeros(1 << CELL, np.uint8)
     for r in parts.repartition("block").mapInArrow(_summed, "block int, ranks binary").collect():  # a row a block
         out[r.block << BLOCK : (r.block + 1) << BLOCK] = np.frombuffer(r.ranks, np.uint8)
@@ -250,7 +253,8 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     docs = with_columns_of(docs, doc_id=id_col, text=text_col)
     sets = written(docs.mapInArrow(_sets(docs.sparkSession.sparkContext.broadcast(ranks(docs))), SETS))
     classes = written(sets.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("cid").alias("cid"), F.first("n").alias("n")))
-    unique = restrict(sets.where("n > 0"), classes.select(F.col("rep").alias("doc_id"), "key"), ["doc_id", "key"])
+    row = F.xxhash64("doc_id", "key").alias("row")  # a row too many does no harm
+    unique = restrict(sets.where("n > 0").select("*", row), classes.select(F.xxhash64("rep", "key").alias("row")), "row").drop("row")
     lists = signatures(unique, boundary(unique))
     same = Window.partitionBy("sig")
     shared = written(lists.withColumns({"pivot": F.min("cid").over(same), "top": F.max("cid").over(same)}).where("pivot <> top").drop("top"))

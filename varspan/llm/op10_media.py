@@ -2,7 +2,7 @@
 
 A text's UTF-8 bytes, filled up with zero bytes to a positive multiple of 64, are the 8-bit mono samples of a WAV file
 that the `wave` module writes and reads. Frames of 256 samples, half overlapping, under a Hann window give magnitude
-spectra; the two strongest bins of each frame are its peaks; each peak is paired with the peaks of the three following
+spectra; the two strongest local maxima of each frame are its peaks (of equal neighbours the first is one); each peak is paired with the peaks of the three following
 frames. A pair is coded as (first bin, second bin, frames between) and stored with its time, the first frame's number.
 
 Defined results: null and empty texts are 64 zero samples (no peak passes the floor, so no pair); repeated rows give
@@ -58,6 +58,11 @@ def peaks(samples: np.ndarray) -> np.ndarray:
         block = frames[i : i + BLOCK]
         size = np.abs(np.fft.rfft((block - block.mean(axis=1, keepdims=True)) * window, axis=1)).astype(np.float32)
         size[:, 0] = 0
+        # a maximum is over the bin before and no less than the one after
+        low = np.ones(size.shape, bool)
+        low[:, 1:-1] = (size[:, 1:-1] <= size[:, :-2]) | (size[:, 1:-1] < size[:, 2:])
+        low[:, -1] = size[:, -1] <= size[:, -2]
+        size[low] = 0
         best = np.empty((len(size), PEAKS), np.int32)
         for k in range(PEAKS):
             at = size.argmax(axis=1)
