@@ -171,3 +171,49 @@ def test_scan_fastq_query_runs_over_several_files(spark, monkeypatch):
     assert R.QUERIES["scan_fastq"](spark, sf).count() == spark.read.parquet(f"{sf}/documents.parquet").count()
     assert seen[0].select("file").distinct().count() > 1
     assert seen[0].where("seq2 <> reverse(seq)").count() == 0
+
+
+def test_lookup_over_pieces_of_a_contig(spark):
+    seq = "".join(random.Random(2).choices("ACGT", k=1000))
+    rows = [(k, "chr1" if k % 9 else "chrX", p, n) for k, (p, n) in enumerate([(1, 1), (1, 0), (16, 2), (17, 16), (1, 1000), (990, 50), (500, 333), (1000, 1), (-3, 10), (33, 32)])]
+    df = spark.createDataFrame(rows, "k long, chrom string, pos long, n long")
+    contigs = spark.createDataFrame([("chr1", seq, 1000)], "chrom string, seq string, len long")
+    got = {r.k: r.bases for r in I.ref_lookup(df, contigs, F.col("pos"), F.col("n"), "bases", chunk=16).collect()}
+    assert got == {k: None if c == "chrX" else seq[max(p - 1, 0) : max(p - 1 + n, 0)] for k, c, p, n in rows}
+
+
+def test_rank_is_the_place_in_the_order(spark):
+    rows = [(k * 37 % 101 // 2, k) for k in range(300)]
+    df = spark.createDataFrame(rows, "a long, b long").repartition(7)
+    got = {(r.a, r.b): r["rank"] for r in T.ranked(df, "a", "b").collect()}
+    assert got == {r: k for k, r in enumerate(sorted(rows))}
+    assert T.ranked(df.limit(0), "a", "b").count() == 0
+
+
+def test_short_lines_are_told_by_convert(spark):
+    lines = spark.createDataFrame([(0, "chr1\t5"), (1, LINE.format(pos=400, alt="TC", fmt="GT", s="0/1")), (2, LINE.format(pos=400, alt="T", fmt="GT", s="1/0")), (3, LINE.format(pos=900, alt="T", fmt="GT", s="0/0"))], "ord long, line string")
+    contigs = spark.createDataFrame([("chr1", "A" * 2000, 2000)], "chrom string, seq string, len long")
+    got = {r.ord: (r.reject_reason, r.line) for r in C.convert(T.records(lines, strict=False), contigs, 10).collect()}
+    assert got[0] == ("columns", None) and got[3] == ("no_alt", None)
+    assert got[1][1] == "chr1\t399\tv\tAA\tATC\t.\tPASS\tX=a#b;END=400\tGT\t0|1" and got[2][1] == "chr1\t400\tv\tA\tT\t.\tPASS\tX=a#b;END=400\tGT\t1|0"
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    from types import SimpleNamespace as N
+
+    import pytest
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        T.shared_folder(N(conf=N(get=lambda *_: ""), sparkContext=N(master="spark://host:7077")))
+
+
+def test_stages_compile_whole(spark):
+    """Generated code over 64 KB would make a stage fall back to slow paths without a word; here it is an error."""
+    from varspan.plans import catalog
+
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    try:
+        for name in ("match_exact", "match_sites", "match_truth", "roc_table", "eval_summary", "eval_hist", "length_hist", "evaluate_vcf"):
+            assert catalog.QUERIES[name](spark, "/root/testdata/sf0.001").count() >= 0
+    finally:
+        spark.conf.unset("spark.sql.codegen.fallback")
