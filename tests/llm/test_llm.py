@@ -408,6 +408,7 @@ def test_perspectives(spark, monkeypatch):
     assert chat(df) == brute_chat(rows)
     monkeypatch.setattr(op07_perspectives, "PIECE", 4)
     monkeypatch.setattr(op07_perspectives, "TURNS", 3)
+    monkeypatch.setattr(op07_perspectives, "SPAN", 2)
     assert chat(df) == brute_chat(rows)
     assert op07_perspectives.query(df.limit(0)).count() == 0
 

@@ -6,7 +6,8 @@ Turns stand in the order of turn number, then role, then text. In a participant'
 text holds `<|`, or a backslash, these get a backslash before or between (`<\|`, `\\`), so no text passes for a mark; line ends in a
 role are spaces.
 Turns are gathered in pieces of bounded size, by blocks of turn numbers: a dialogue of up to 64 turns is one piece, a
-longer one several, with the character offset of each in the whole. No dialogue is ever gathered as one row.
+longer one several, with the character offset of each in the whole. No dialogue is ever gathered as one row, and offsets come
+from the pieces' sizes, summed in two steps.
 
 Defined results: a dialogue of system turns alone has no rendering; a null role is the participant `unknown`, a null text is empty, a null turn comes first; repeated rows
 are repeated turns; other columns are kept out; rows with a null conv_id are one dialogue.
@@ -17,8 +18,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Turn numbers in a block, and turns in a piece of it (turn numbers may repeat).
-TURNS, PIECE = 64, 256
+from varspan.llm.common import written
+
+#: Turn numbers in a block, turns in a piece of it (turn numbers may repeat), and blocks whose sizes are summed up together.
+TURNS, PIECE, SPAN = 64, 256, 1024
 START, END = "<|start|>", "<|end|>\n"
 SYSTEM = "system"
 
@@ -48,9 +51,19 @@ def rotate(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str =
         return F.struct(hi.alias("at"), F.when(own(t), F.concat(s["mask"], F.array(F.struct(lo.alias("start"), hi.alias("end"))))).otherwise(s["mask"]).alias("mask"))
 
     done = pair.select("conv_id", "perspective", "block", "piece", F.size("turns").cast("long").alias("n_turns"), F.array_join(F.transform("turns", lambda t: F.concat(head(t), body(t))), "").alias("text"), F.aggregate("turns", state, step).alias("s"))
-    before = Window.partitionBy("conv_id", "perspective").orderBy("block", "piece").rowsBetween(Window.unboundedPreceding, -1)
+    # a null conv_id is a dialogue too; keys of the joins below are never null
+    key = F.struct(F.col("conv_id").isNull().alias("null"), F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("id")).alias("key")
+    done = written(done.select(key, F.floor(F.col("block") / SPAN).alias("span"), "*"))
+    # offsets from sizes alone: sums within spans of blocks, and of the spans before
+    place = ["key", "perspective", "span"]
+    sizes = done.select(*place, "block", "piece", F.col("s.at").alias("size"))
+    inside = Window.partitionBy(*place).orderBy("block", "piece")
+    before = Window.partitionBy("key", "perspective").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    spans = sizes.groupBy(*place).agg(F.sum("size").alias("size")).select(*place, F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base"))
+    starts = sizes.select(*place, "block", "piece", (F.sum("size").over(inside) - F.col("size")).alias("own")).join(spans, place)
+    done = done.join(starts.select(*place, "block", "piece", (F.col("base") + F.col("own")).alias("start")), [*place, "block", "piece"])
     masked = F.aggregate("s.mask", F.lit(0).cast("long"), lambda n, m: n + m["end"] - m["start"])
-    return done.select("conv_id", "perspective", "block", "piece", "n_turns", F.coalesce(F.sum("s.at").over(before), F.lit(0)).alias("start"), "text", F.col("s.mask").alias("mask"), masked.alias("n_masked"))
+    return done.select("conv_id", "perspective", "block", "piece", "n_turns", "start", "text", F.col("s.mask").alias("mask"), masked.alias("n_masked"))
 
 
 def query(conversations: DataFrame) -> DataFrame:
