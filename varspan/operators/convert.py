@@ -112,6 +112,8 @@ def convert(records: DataFrame, contigs: DataFrame, columns: int | Column, read_
     In order: number of columns and GT; with maf over 0 and missing under 1 SNPs by frequency and missing rate; chromosome, symbolic
     ALTs, start and end; REF from the contig; END and SVLEN; anchoring, equal and odd alleles; diploid phased genotypes alone; allele
     numbers; end at the contig's end; records of one position to one; ALTs that no sample has removed; repeated ALTs."""
+    from varspan.sources.text import checkpointed
+
     lens = contigs.select(F.col("chrom").alias("c_chrom"), F.col("len").alias("c_len"))
     near = read_length if read_length <= LONG_READ else 0
     gt_at = F.array_position(F.split("format", ":"), "GT")
@@ -132,9 +134,9 @@ def convert(records: DataFrame, contigs: DataFrame, columns: int | Column, read_
         .when(F.col("pos") < near, "near_start")
         .when(F.col("ref_end") > F.col("c_len"), "beyond_end")
     )
-    d = d.withColumn("reject_reason", reason)
+    d = checkpointed(d.withColumn("reject_reason", reason).drop("_maf", "_missing", "_called"))  # read by both branches
     good, bad = d.where("reject_reason is null"), d.where("reject_reason is not null")
-    good = fix_info(fix_ref(good.drop("_maf", "_missing", "_called"), contigs).drop("changed"))
+    good = fix_info(fix_ref(good, contigs).drop("changed"))
     moved = _anchored(good, contigs)
     top = F.coalesce(F.array_max(F.flatten("gts")), F.lit(0))
     odd = F.exists("alts", lambda a: (a == F.col("ref")) | a.rlike("[^ATGCNatgcn]"))
@@ -145,6 +147,7 @@ def convert(records: DataFrame, contigs: DataFrame, columns: int | Column, read_
         .when(F.col("ref_end") == F.col("c_len"), "beyond_end")
     )
     moved = moved.withColumns({"reject_reason": late, "gts": F.transform(F.transform("raw", gt_diploid), lambda g: F.transform(F.split(g, r"\|"), lambda a: a.try_cast("int")))})
+    moved = checkpointed(moved.drop("samples", "raw"))
     kept, bad2 = moved.where("reject_reason is null"), moved.where("reject_reason is not null")
     fixed = F.struct("id", "qual_text", "filter", "info")
     merged = trim_alleles(merge_loci(kept.select("chrom", "pos", "ord", "ref", "alts", "gts")))
@@ -152,7 +155,8 @@ def convert(records: DataFrame, contigs: DataFrame, columns: int | Column, read_
     line = F.concat_ws("\t", "chrom", F.col("pos").cast("string"), "f.id", "ref", F.array_join("alts", ","), "f.qual_text", "f.filter", "f.info", F.lit("GT"), F.array_join(F.transform("gts", lambda g: F.array_join(g, "|")), "\t"))
     last = F.when(F.size("alts") == 0, "no_alt").when(F.size(F.array_distinct("alts")) < F.size("alts"), "repeated")
     out = merged.select("ord", "chrom", "pos", last.alias("reject_reason"), F.when(last.isNull(), line).alias("line"))
-    swallowed = kept.select("ord", "chrom", "pos").join(merged.select("ord"), "ord", "left_anti").withColumns({"reject_reason": F.lit("merged"), "line": F.lit(None).cast("string")})
+    first = kept.groupBy("chrom", "pos").agg(F.min("ord").alias("first"))
+    swallowed = kept.select("ord", "chrom", "pos").join(first, ["chrom", "pos"]).where("ord > first").select("ord", "chrom", "pos").withColumns({"reject_reason": F.lit("merged"), "line": F.lit(None).cast("string")})
     gone = bad.select("ord", "chrom", "pos", "reject_reason").unionByName(bad2.select("ord", "chrom", "pos", "reject_reason")).withColumn("line", F.lit(None).cast("string"))
     return out.unionByName(swallowed).unionByName(gone)
 
