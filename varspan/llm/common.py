@@ -54,6 +54,16 @@ def restrict(big: DataFrame, ids: DataFrame, on: str | list[str], how: str = "le
     return big.join(F.broadcast(ids) if few else ids.hint("shuffle_hash"), on, how)
 
 
+def labelled_sample(df: DataFrame, most: int, *by: str) -> DataFrame:
+    """Up to `most` rows, for fitting: all, or of more those whose hash of the given columns falls in a share that a count sets, a tenth under
+    the bound so that it cuts next to nothing. No row goes through a sort or a single task."""
+    n = df.count()
+    if n <= most:
+        return df
+    share = F.lit(int(0.9 * most / n * 2**62))
+    return df.where(F.shiftrightunsigned(F.xxhash64(*by), 2) < share).limit(most)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z alone."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -6,8 +6,8 @@ distinct characters; dictionary coverage, the share of its triples that are comm
 depth and test-like names of the path; names of keys, names of digests and ids, an assignment or a quote in the word
 itself and the two words before, and the word after being an ordinary one.
 
-The forest is trained from labelled findings: given ones, or those of findings(), which are planted: up to `SEEDS` documents, the
-first by a hash, lend their words, paths and digests. A planted key is a secret wherever it stands, also in prose; a
+The forest is trained from labelled findings: given ones, or those of findings(), which are planted: up to `SEEDS` documents, taken
+by a hash, lend their words, paths and digests. A planted key is a secret wherever it stands, also in prose; a
 digest in the place of a checksum, commit or id, a name made of words and a placeholder are none, also behind the
 name of a key. So neither form nor place alone tells the label. With too few documents for both labels, format rules decide.
 
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from varspan.llm.common import written
+from varspan.llm.common import labelled_sample, written
 
 #: Labelled findings of each kind for training, at most; documents that planted findings are made of, and findings for each.
 MOST_LABELLED, SEEDS, EACH = 10_000, 400, 48
@@ -71,7 +71,8 @@ def dictionary(docs: DataFrame, text_col: str = "text") -> list[str]:
 def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
     """Planted findings with `label`: doc_id, path, word, w, prev, prev2, next, value as candidates() has them. Bounded by SEEDS and EACH."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    seeds = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(path_col).cast("string").alias("path"), F.substring(text, 1, 4000).alias("text")).orderBy(F.xxhash64("doc_id", "path", "text"), "text").limit(SEEDS)
+    seeds = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(path_col).cast("string").alias("path"), text.alias("text"))
+    seeds = written(labelled_sample(seeds, SEEDS, "doc_id", "path", "text").withColumn("text", F.substring("text", 1, 4000)))  # SEEDS rows
     words = F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda w: F.length(w).between(3, 12))
     words = F.when(F.size(words) >= 4, words).otherwise(F.array(*[F.lit(x) for x in ("first", "second", "third", "fourth")]))
     d = seeds.select("doc_id", "path", words.alias("ws"), F.explode(F.sequence(F.lit(0), F.lit(EACH - 1))).alias("j"))

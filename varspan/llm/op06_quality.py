@@ -3,7 +3,7 @@ r"""Operator 6, quality classifier: hierarchical empirical Bayes over document,
 A naive Bayes classifier of binned text features is counted from all labelled documents: the evidence of a document is its log
 likelihood ratio. The features are the share of symbols, capitals, words that repeat the word before, repeated lines, and the
 words themselves: words are hashed to `BUCKETS`, whose counts in good and bad documents (a grouped aggregation over up to
-`WORD_SAMPLE` labelled documents, the first by a hash) give each a log ratio, and the mean over a document is its fifth
+`WORD_SAMPLE` labelled documents, taken by a hash) give each a log ratio, and the mean over a document is its fifth
 feature. Under the global prior the evidence gives a first probability; grouped sums of these make a mean for each host (`source`) and each path (host and
 `lang`). A host's mean is shrunk toward the global mean, a path's toward its host's, by strengths that the method of moments
 takes from the spread between groups, so sparse sites fall back to the prior. The path's mean without the document itself is
@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from varspan.llm.common import written
+from varspan.llm.common import labelled_sample, written
 
 # Upper edges of the bins of each feature.
 EDGES = (0.0, 0.004, 0.01, 0.03, 0.06, 0.12, 0.3)
@@ -62,7 +62,7 @@ def _buckets(text: Column) -> Column:
 def word_ratios(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> list[float]:
     """The log ratio of each bucket of words; a row for each bucket and class comes to the driver. All 0 without both classes."""
     l = labels.select(F.col(id_col).alias("i"), F.col(label_col).alias("q")).where("q is not null and i is not null").groupBy("i").agg((F.max("q") > 0).alias("q"))
-    sample = F.broadcast(l.orderBy(F.xxhash64("i"), "i").limit(WORD_SAMPLE))  # bounded
+    sample = F.broadcast(labelled_sample(l, WORD_SAMPLE, "i"))  # bounded
     words = docs.select(F.col(id_col).alias("d"), F.col(text_col).alias("t")).join(sample, F.col("d") == F.col("i")).select("q", F.explode(_buckets(F.col("t"))).alias("b"))
     counts = {(r.b, r.q): r["count"] for r in words.groupBy("b", "q").count().collect()}
     total = [sum(n for (_, q), n in counts.items() if q == k) for k in (False, True)]
