@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varspan.llm.common import ALNUM, Words, mix, restrict, text_chunks, with_columns_of, written
+from varspan.llm.common import ALNUM, Words, mix, restrict, text_chunks, tidied, with_columns_of, written
 
 WINDOW, HEAD, BITS = 10, 4, 22
 #: Bytes of benchmark text in one block.
@@ -120,7 +120,7 @@ def _search(tests, whole: bool):
                     hit = [k for k, x in enumerate(spans) if x]
                     yield pa.RecordBatch.from_arrays([pa.array([hashlib.sha256(docs[k]).digest() for k in hit], pa.binary()), pa.array([spans[k] for k in hit], kind)], ["digest", "spans"])
 
-    return run
+    return tidied(run)
 
 
 def blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[str, bytes]]]:
@@ -171,7 +171,7 @@ def _clean(tests, text_col: str):
                 hit = search(Words(docs, ALNUM), tests.value)
                 yield b.slice(i, len(docs)).filter(pa.array([not x for x in hit], pa.bool_()))
 
-    return run
+    return tidied(run)
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:

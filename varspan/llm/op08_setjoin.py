@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from varspan.llm.common import BROADCAST_IDS, NON_SPACE, Words, components, mix, restrict, text_chunks, utf8, with_columns_of, written
+from varspan.llm.common import BROADCAST_IDS, NON_SPACE, Words, components, mix, restrict, text_chunks, tidied, utf8, with_columns_of, written
 
 SHINGLE, PERCENT = 5, 80
 #: Largest set that subsets may be enumerated for, and the largest partner of such a set.
@@ -96,6 +96,7 @@ def _cells(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(64 - CELL)).astype(np.int64)
 
 
+@tidied
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A task's counts of shingles, block by block of cells."""
     counts, kept, size = np.zeros(1 << CELL, np.uint32), [], 0
@@ -159,7 +160,7 @@ def _sets(rank):
                 cid = pa.array([int.from_bytes(k[:8], "little", signed=True) if k else None for k in key], pa.int64())
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, len(docs)), pa.array([len(s) for s in sets], pa.int64()), cid, pa.array(key, pa.binary()), lists, pa.array([parity(s) for s in sets], pa.list_(pa.int64()))], ["doc_id", "n", "cid", "key", "tokens", "bits"])
 
-    return run
+    return tidied(run)
 
 
 def boundary(sets: DataFrame) -> int:
@@ -210,6 +211,7 @@ def signatures(sets: DataFrame, limit: int) -> DataFrame:
     return tokens.unionByName(small.mapInArrow(_subsets(limit), "sig long, cid long, n long, lead boolean"))
 
 
+@tidied
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kept: dict[int, np.ndarray] = {}
     for b in batches:
@@ -288,6 +290,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     return out.select("doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+@tidied
 def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for i, docs in text_chunks(b, "text"):

@@ -23,11 +23,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from varspan.llm.common import with_columns_of, written
+from varspan.llm.common import tidied, with_columns_of, written
 
 WINDOW, CLOSING_ID = 1024, 0
 #: Bytes of text that one step encodes, and the characters of strings whose ids a Python worker keeps before it starts afresh.
-STEP, KEPT = 1 << 22, 4 << 20
+STEP, KEPT = 1 << 21, 3 << 20
 #: Missing words that are encoded as one string.
 JOINED = 500
 #: Pieces that have neither white space nor separators at an end, and those of Latin letters alone with stops after them.
@@ -74,8 +74,8 @@ class Encoder:
 
     def _learn(self, strings: list[str], words: bool) -> None:
         """Adds the ids of new strings; words are plain pieces with the space before them."""
-        for i in range(0, len(strings), 20 * JOINED):
-            new = strings[i : i + 20 * JOINED]  # a bounded number of tokens at a time
+        for i in range(0, len(strings), 4 * JOINED):
+            new = strings[i : i + 4 * JOINED]  # a bounded number of tokens at a time
             got = self._encode(["".join(new[k : k + JOINED]) for k in range(0, len(new), JOINED)] if words else new)
             ids = np.fromiter(chain.from_iterable(got), np.uint32)
             size = np.diff(np.append(np.flatnonzero(self.opens[ids]), len(ids))) if words else np.array([len(g) for g in got], np.int64)
@@ -178,7 +178,7 @@ def _tokenize(tokenizer: str):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), part, np.int32)), pa.array(before + end - n), b.column("doc_id").slice(i, len(n)), pa.array(n), lists], ["part", "before", "doc_id", "doc_tokens", "ids"])
                 before += int(end[-1])
 
-    return run
+    return tidied(run)
 
 
 def tokenize(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
