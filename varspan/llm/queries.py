@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from varspan.llm import op01_secrets, op02_repeats, op03_license, op04_decontaminate, op05_url_trust, op06_quality, op07_perspectives, op08_setjoin, op09_packing, op10_media
+from varspan.llm import op01_secrets, op02_repeats, op03_license, op04_decontaminate, op05_url_trust, op06_quality, op07_perspectives, op08_setjoin, op09_packing, op10_media, op11_langid, op12_structure, op13_variants
 from varspan.llm.common import table
 
 QUERIES = {
@@ -16,5 +16,8 @@ QUERIES = {
     "op8_setjoin": lambda spark, d: op08_setjoin.query(table(spark, d, "documents")),
     "op9_packing": lambda spark, d: op09_packing.query(table(spark, d, "documents")),
     "op10_media": lambda spark, d: op10_media.query(table(spark, d, "documents")),
+    "op11_langid": lambda spark, d: op11_langid.query(table(spark, d, "documents")),
+    "op12_structure": lambda spark, d: op12_structure.query(table(spark, d, "conversations")),
+    "op13_variants": lambda spark, d: op13_variants.query(table(spark, d, "documents")),
 }
 ORACLES: dict[str, str] = {"op7_perspectives": op07_perspectives.ORACLE}
