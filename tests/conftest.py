@@ -22,6 +22,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.codegen.fallback", "false")  # code that doesn't compile is an error
         .config("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="spark-"))
         .getOrCreate()
     )

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 COUNT_EDGES = (-999999, -9999, -4999, -2499, -999, -499, -399, -299, -199, -99, -49, 0, 1, 50, 100, 200, 300, 400, 500, 1000, 2500, 5000, 10000, 1000000)
 EVAL_EDGES = (-999999, -9999, -4999, -2499, -999, -499, -399, -299, -199, -99, -49, -19, 0, 1, 20, 50, 100, 200, 300, 400, 500, 1000, 2500, 5000, 10000, 1000000)
 
+#: Types that variant_type tells.
+TYPES = ("SNP", "InDel", "Inversion", "Duplication", "Deletion", "Insertion", "Other")
+
 
 def bins(edges: tuple[int, ...]) -> list[tuple[int, int, int]]:
     """(number, lo, hi) of the closed bins that start at the edges; the last edge ends the last bin."""
@@ -17,10 +20,8 @@ def bins(edges: tuple[int, ...]) -> list[tuple[int, int, int]]:
 
 def bin_of(length: Column, edges: tuple[int, ...]) -> Column:
     """Number of the bin that holds a length; null outside all."""
-    out = F.lit(None).cast("int")
-    for k, lo, hi in bins(edges):
-        out = F.when(length.between(lo, hi), F.lit(k)).otherwise(out)
-    return out
+    below = F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e <= length))
+    return F.when((below > 0) & (below < len(edges)), below - 1)
 
 
 def field(format_: Column, sample: Column, key: str) -> Column:

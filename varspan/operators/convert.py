@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from varspan.functions.variant import alleles, field, gt_diploid, info_number
 from varspan.operators.intervals import ref_lookup
+from varspan.operators.order import running
 
 #: Read length that positions must leave before them; beyond the second, positions aren't tested.
 READ_LENGTH, LONG_READ = 350, 1000
@@ -35,9 +36,17 @@ def fix_info(df: DataFrame) -> DataFrame:
     return df.withColumn("info", F.regexp_replace(out, r"^SVLEN=-?\d+$", "."))
 
 
+def _lengths(contigs: DataFrame) -> DataFrame:
+    """(c_chrom, c_len) of contigs with seq and len, or in pieces."""
+    from varspan.sources.text import contig_lengths
+
+    c = contigs if "len" in contigs.columns else contig_lengths(contigs)
+    return c.select(F.col("chrom").alias("c_chrom"), F.col("len").alias("c_len"))
+
+
 def reject_reason(df: DataFrame, contigs: DataFrame, read_length: int = READ_LENGTH) -> DataFrame:
     """Adds reject_reason, null for good rows. Only the lengths of contigs are read."""
-    lens = contigs.select(F.col("chrom").alias("c_chrom"), F.col("len").alias("c_len"))
+    lens = _lengths(contigs)
     near = read_length if read_length <= LONG_READ else 0
     top = F.array_max(F.transform("samples", lambda s: F.coalesce(F.array_max(alleles(F.coalesce(field(F.col("format"), s, "GT"), F.lit("0")))), F.lit(0))))
     reason = (
@@ -83,7 +92,8 @@ def anchor_alleles(df: DataFrame, contigs: DataFrame) -> DataFrame:
 
 
 def drop_dup_alleles(df: DataFrame) -> DataFrame:
-    return df.where(F.size(F.array_distinct("alts")) == F.size("alts"))
+    # alts stand once: an expression behind them isn't copied into the code for each use
+    return df.where(F.forall(F.array("alts"), lambda a: F.size(F.array_distinct(a)) == F.size(a)))
 
 
 def trim_alleles(df: DataFrame) -> DataFrame:
@@ -114,11 +124,11 @@ def convert(records: DataFrame, contigs: DataFrame, columns: int | Column, read_
     numbers; end at the contig's end; records of one position to one; ALTs that no sample has removed; repeated ALTs."""
     from varspan.sources.text import checkpointed
 
-    lens = contigs.select(F.col("chrom").alias("c_chrom"), F.col("len").alias("c_len"))
+    lens = _lengths(contigs)
     near = read_length if read_length <= LONG_READ else 0
     gt_at = F.array_position(F.split("format", ":"), "GT")
     raw = F.transform("samples", lambda s: F.coalesce(F.get(F.split(s, ":"), (gt_at - 1).cast("int")), F.lit("0|0")))
-    d = records.join(F.broadcast(lens), F.col("chrom") == F.col("c_chrom"), "left").withColumn("raw", F.when(gt_at > 0, raw))  # a row a contig
+    d = records.join(lens, F.col("chrom") == F.col("c_chrom"), "left").withColumn("raw", F.when(gt_at > 0, raw))
     d = d.withColumn("gts", F.transform("raw", lambda g: alleles(g)))
     rare = F.lit(False)
     if maf > 0 and missing < 1:
@@ -168,42 +178,45 @@ def sv_only(df: DataFrame, ref_len: str = "ref_len", alt_len: str = "alt_len") -
 
 def symbolic_expand(df: DataFrame, contigs: DataFrame, complement: bool = False) -> DataFrame:
     """Rows of symbolic deletions, duplications and inversions with their bases: PASS alone, END needed, no longer than LONGEST; insertions
-    and breakends are dropped. <INV> is the reversed REF, or its reverse complement."""
+    and breakends are dropped, other ALTs stay and only REF is replaced. <INV> is the reversed REF, or its reverse complement."""
     end = info_number(F.col("info"), "END").cast("long")
     alt = F.regexp_replace("alt", r"[\[\]]", "")
     d = df.where("filter = 'PASS'").withColumns({"alt": alt, "_end": end})
-    d = d.where(F.col("_end").isNotNull() & (F.col("_end") - F.col("pos") <= LONGEST) & (F.col("_end") >= F.col("pos")) & ~F.col("alt").contains(":") & F.col("alt").isin("<INV>", "<DEL>", "<DUP>"))
+    d = d.where(F.col("_end").isNotNull() & (F.col("_end") - F.col("pos") < LONGEST) & (F.col("_end") >= F.col("pos")) & ~F.col("alt").contains(":") & (F.col("alt") != "<INS>"))
     j = ref_lookup(d, contigs, F.col("pos"), F.col("_end") - F.col("pos") + 1)
     seq = F.col("bases_at")
     flipped = F.reverse(F.translate(seq, "ACGTacgt", "TGCAtgca") if complement else seq)
-    new = F.when(F.col("alt") == "<INV>", flipped).when(F.col("alt") == "<DEL>", F.substring(seq, 1, 1)).otherwise(F.repeat(seq, F.lit(2)))
+    new = F.when(F.col("alt") == "<INV>", flipped).when(F.col("alt") == "<DEL>", F.substring(seq, 1, 1)).when(F.col("alt") == "<DUP>", F.repeat(seq, F.lit(2))).otherwise(F.col("alt"))
     return j.where(seq.isNotNull()).withColumns({"ref": seq, "alt": new}).drop("bases_at", "_end")
 
 
 def merge_loci(df: DataFrame, key: tuple[str, ...] = ("chrom", "pos")) -> DataFrame:
-    """Records of one position folded in file order to one: the longest REF, ALTs of the shorter side filled up with the bases missing,
-    ALTs appended; genotypes (gts) of samples still 0 take the new record's, renumbered."""
-    item = F.struct("ord", "ref", "alts", "gts")
-    g = df.groupBy(*key).agg(F.array_sort(F.collect_list(item)).alias("rows"))  # records of one position
-
-    def fold(s, x):
-        longer = F.length(s["ref"]) > F.length(x["ref"])
-        ref = F.when(longer, s["ref"]).otherwise(x["ref"])
-        fill = F.expr("''")
-        rest = lambda short: F.substring(ref, F.length(short) + 1, F.length(ref))
-        own = F.when(longer, s["alts"]).otherwise(F.transform(s["alts"], lambda a: F.concat(a, rest(s["ref"]), fill)))
-        new = F.when(longer, F.transform(x["alts"], lambda a: F.concat(a, rest(x["ref"]), fill))).otherwise(x["alts"])
-        n = F.size(s["alts"])
-
-        def one(p, q):
-            keep = F.exists(p, lambda v: v > 0) | ~F.exists(q, lambda v: v > 0)
-            return F.when(keep, p).otherwise(F.zip_with(p, q, lambda a, b: F.when(b > 0, b + n).otherwise(a)))
-
-        return F.struct(s["ord"].alias("ord"), ref.alias("ref"), F.concat(own, new).alias("alts"), F.zip_with(s["gts"], x["gts"], one).alias("gts"))
-
-    first = F.col("rows")[0]
-    merged = F.aggregate(F.slice("rows", 2, F.size("rows")), first, fold)
-    return g.select(*key, F.size("rows").alias("n_rows"), merged.alias("m")).select(*key, "n_rows", "m.ord", "m.ref", "m.alts", "m.gts")
+    """Records of one position to one, in file order (ord, unique): the longest REF (of equal ones the last), ALTs of shorter ones filled up with the bases
+    missing, ALTs appended; genotypes (gts) of samples still 0 take the next record's, renumbered by the ALTs before it. Gives n_rows and the first record's ord.
+
+    Positions of one record are only given a new form. Of the others REF is a grouped maximum, the ALTs before a record are a running sum,
+    and a sample's genotype is that of its first record that isn't 0: records and samples are rows, so no row holds a position's records."""
+    plain = df.select(*key, "ord", "ref", "alts", "gts")
+    stats = plain.groupBy(*key).agg(F.count("*").alias("n_rows"), F.min("ord").alias("first"), F.max_by("ref", F.struct(F.length("ref"), F.col("ord"))).alias("long_ref"))
+    same = lambda a, b: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in key]
+    both = plain.alias("r").join(stats.alias("s"), same("r", "s")).select("r.*", "s.n_rows", "s.first", "s.long_ref")
+    one = both.where("n_rows = 1").select(*key, "n_rows", "ord", "ref", "alts", "gts")
+    many = both.where("n_rows > 1").withColumn("n_alts", F.size("alts"))
+    offsets = running(many.select(*key, "ord", "n_alts"), list(key), ["ord"], ["n_alts"]).select(F.col("ord").alias("o_ord"), (F.col("n_alts_upto") - F.col("n_alts")).cast("int").alias("before"))
+    many = many.join(offsets, F.col("ord") == F.col("o_ord")).drop("o_ord")
+    rest = F.substring("long_ref", F.length("ref") + 1, F.length("long_ref"))
+    own = many.select(*key, "ord", F.transform("alts", lambda a: F.concat(a, rest)).alias("alts"))
+    alts = own.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("ord", "alts"))).alias("a")).select(*key, F.flatten(F.transform("a", lambda x: x["alts"])).alias("alts"))  # the merged record's own
+    gts = many.select(*key, "ord", "first", "before", F.posexplode("gts").alias("sample", "gt"))
+    used = F.coalesce(F.exists("gt", lambda v: v > 0), F.lit(False))
+    gts = gts.where((F.col("ord") == F.col("first")) | used).groupBy(*key, "sample").agg(
+        F.max(F.when(F.col("ord") == F.col("first"), F.col("gt"))).alias("base"), F.min_by(F.when(used, F.struct("gt", "before")), F.when(used, F.col("ord"))).alias("q"))
+    taken = F.zip_with("base", F.col("q.gt"), lambda a, b: F.when(b > 0, b + F.col("q.before")).otherwise(a))
+    gts = gts.select(*key, "sample", F.when(F.col("q").isNull() | F.exists("base", lambda v: v > 0), F.col("base")).otherwise(taken).alias("gt"))
+    gts = gts.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("sample", "gt"))).alias("g")).select(*key, F.transform("g", lambda x: x["gt"]).alias("gts"))  # an entry a sample
+    merged = stats.where("n_rows > 1").alias("s").join(alts.alias("a"), same("s", "a")).join(gts.alias("g"), same("s", "g"), "left")
+    merged = merged.select(*[f"s.{k}" for k in key], "s.n_rows", F.col("s.first").alias("ord"), F.col("s.long_ref").alias("ref"), "a.alts", F.coalesce("g.gts", F.array().cast(df.schema["gts"].dataType)).alias("gts"))
+    return one.unionByName(merged)
 
 
 def dup_position_overwrite(df: DataFrame, key: tuple[str, ...] = ("chrom", "pos"), order: str = "ord") -> DataFrame:
@@ -218,6 +231,15 @@ def gramtools_gt(df: DataFrame) -> DataFrame:
     return df.withColumns({"gt": F.when(F.col("gt") == "0", "0/0").when(zero, "1/1").otherwise("0/1"), "filter": F.lit("PASS")})
 
 
+def gramtools_records(records: DataFrame) -> DataFrame:
+    """VCF records with the last sample's haploid genotype made diploid by its COV; other fields stay, FILTER is PASS."""
+    last = F.element_at("samples", -1)
+    r = records.withColumns({"gt": F.coalesce(field(F.col("format"), last, "GT"), F.lit("0")), "cov": F.coalesce(field(F.col("format"), last, "COV"), F.lit(""))})
+    at = F.array_position(F.split("format", ":"), "GT") - 1
+    new = F.array_join(F.transform(F.split(last, ":"), lambda x, i: F.when(i == at, F.col("gt")).otherwise(x)), ":")
+    return gramtools_gt(r).withColumn("samples", F.array(new)).drop("gt", "cov")
+
+
 def chrom_known(df: DataFrame, contigs: DataFrame, known: bool = True) -> DataFrame:
     """Rows on chromosomes that are (or aren't) among the contigs."""
     return df.join(contigs.select("chrom").distinct(), "chrom", "left_semi" if known else "left_anti")

@@ -27,8 +27,10 @@ def with_z(cube: DataFrame, stats: DataFrame, by: tuple[str, ...] = ("caller",))
 
 def slots(matches: DataFrame, calls: DataFrame, by: tuple[str, ...]) -> DataFrame:
     """(site_id, by, hap, allele, call_id, depth): of the calls of one caller that take a haplotype of a site the last one, by position,
-    then call_id. matches: call_id, hap, site_id, allele; calls: call_id, by, pos, depth."""
-    m = matches.join(calls.select("call_id", *by, "pos", "depth"), "call_id").withColumn("_o", F.struct("pos", "call_id"))
+    then call_id. matches: call_id, hap, site_id, allele; calls: call_id, by, pos, and depth, or depths (of each haplotype; one counts for both)."""
+    own = F.get("depths", F.least("hap", F.size("depths") - 1)) if "depths" in calls.columns else F.col("depth")
+    held = "depths" if "depths" in calls.columns else "depth"
+    m = matches.join(calls.select("call_id", *by, "pos", held), "call_id").withColumn("depth", own).withColumn("_o", F.struct("pos", "call_id"))
     return last_writer(m, ("site_id", *by, "hap"), "_o").select("site_id", *by, "hap", "allele", "call_id", F.col("depth").cast("double").alias("depth"))
 
 
@@ -85,10 +87,14 @@ def vote(cube: DataFrame, key: tuple[str, ...], n_callers: int, mode: str = "all
 
 def similar_sample(voted: DataFrame, panel: DataFrame, sample: str = "sample_id", site: str = "site_id") -> DataFrame:
     """For each voted sample the panel sample whose non-reference genotype equals the voted one most often, the lowest number on ties, and
-    the share of voted sites; no row without a match. voted: sample, site, gt; panel: site, panel_sample, gt."""
+    the share of voted sites; no row without a match. voted: sample, site (a whole number), gt; panel: site, panel_sample, gt; each site once.
+
+    Sites with one genotype are bits: a row holds 64 of them, and equal genotypes are counted by AND."""
     v = voted.where("gt is not null")
-    hits = v.select(sample, site, "gt").join(panel.where("gt <> '0|0'").select(site, "panel_sample", "gt"), [site, "gt"])
-    n = hits.groupBy(sample, "panel_sample").agg(F.count("*").alias("n"))
+    packed = lambda df, who: df.groupBy(who, "gt", F.floor(F.col(site) / 64).alias("block")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.col(site), F.lit(64)).cast("int"))).alias("sites"))
+    own, other = packed(v, sample), packed(panel.where("gt <> '0|0'"), "panel_sample").withColumnRenamed("sites", "held")
+    both = own.join(other, ["gt", "block"]).withColumn("same", F.bit_count(F.col("sites").bitwiseAND(F.col("held"))))
+    n = both.groupBy(sample, "panel_sample").agg(F.sum(F.col("same").cast("long")).alias("n")).where("n > 0")
     top = n.groupBy(sample).agg(F.max(F.struct("n", (-F.col("panel_sample")).alias("k"))).alias("t"))
     total = v.groupBy(sample).agg(F.count("*").alias("total"))
     return top.join(total, sample).select(sample, (-F.col("t.k")).alias("panel_sample"), F.col("t.n").alias("n"), F.round(F.col("t.n") / F.col("total"), 6).alias("share"))

@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from varspan.functions.variant import EVAL_EDGES, allele_lengths, bin_of, bins, gt_parse, hap_lengths, score, sv_length
 from varspan.operators.convert import filter_nonref, filter_pass
+from varspan.operators.order import running
 
 #: Runs (caller and sample, say) that one evaluation takes.
 MOST_RUNS = 10_000
 METRICS = ("genotype_recall", "misgenotype_call", "recall", "mis_call", "call", "fail_call", "all")
 
 
-def from_records(records: DataFrame, score_field: str | None = None) -> DataFrame:
-    """VCF records as one side of an evaluation: PASS, a non-reference genotype of the last sample, lengths by ID, REF and ALT, and the
+def from_records(records: DataFrame, score_field: str | None = None, passed: bool = True) -> DataFrame:
+    """VCF records as one side of an evaluation: PASS (unless passed is false), a non-reference genotype of the last sample, lengths by ID, REF and ALT, and the
     score by a field (FORMAT.<key> or INFO.<key>). Gives ord, chrom, pos, ref_len, g0, g1, h0, h1, sv_len, score."""
     last = F.element_at("samples", -1)
-    r = filter_pass(records).withColumn("gt", gt_parse(F.col("format"), last)["gt"])
+    r = (filter_pass(records) if passed else records).withColumn("gt", gt_parse(F.col("format"), last)["gt"])
     r = filter_nonref(r).withColumn("l", allele_lengths(F.col("id"), F.col("ref"), F.col("alts")))
     r = r.withColumn("hap", hap_lengths(F.col("l"), F.col("gt")))
     value = score(F.col("info"), F.col("format"), last, score_field) if score_field else F.lit(0.0)
@@ -30,8 +31,9 @@ def from_records(records: DataFrame, score_field: str | None = None) -> DataFram
 
 def use_once(matches: DataFrame, run: tuple[str, ...] = ()) -> DataFrame:
     """Of the calls that match one truth row the first alone."""
-    w = Window.partitionBy(*run, "site_id").orderBy("call_id")
-    return matches.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    rest = [c for c in matches.columns if c not in (*run, "site_id", "call_id")]
+    first = F.min(F.struct("call_id", *rest)).alias("m")
+    return matches.groupBy(*run, "site_id").agg(first).select(*run, "site_id", "m.*").select(*matches.columns)
 
 
 def outcomes(calls: DataFrame, matches: DataFrame, truth_lengths: DataFrame, run: tuple[str, ...] = ()) -> DataFrame:
@@ -126,12 +128,13 @@ def _classes(length: Column) -> Column:
 
 
 def roc(out: DataFrame, truth: DataFrame, run: tuple[str, ...] = (), by: str = "genotype") -> DataFrame:
-    """Per class and descending score: cumulative TP, FP, TN (0), FN, recall, precision, F. by: genotype, or recall for any match."""
+    """Per class and descending score: cumulative TP, FP, TN (0), FN, recall, precision, F. by: genotype, or recall for any match. Sums run over range
+    partitions, so that a run whose calls all have scores of their own is no single group."""
     tp = F.col("outcome") == "genotype" if by == "genotype" else F.col("outcome") != "miscall"
     scored = out.withColumn("class", _classes(F.col("sv_len"))).groupBy(*run, "class", "score").agg(F.sum(tp.cast("long")).alias("t"), F.count("*").alias("n"))
     total = truth.select(_classes(F.col("true_len")).alias("class")).groupBy("class").agg(F.count("*").alias("total"))
-    w = Window.partitionBy(*run, "class").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    c = scored.withColumns({"tp": F.sum("t").over(w), "calls": F.sum("n").over(w)}).join(F.broadcast(total), "class", "left").withColumn("total", F.coalesce("total", F.lit(0)))  # five rows
+    c = running(scored, [*run, "class"], [F.desc("score")], ["t", "n"]).withColumnsRenamed({"t_upto": "tp", "n_upto": "calls"})
+    c = c.join(F.broadcast(total), "class", "left").withColumn("total", F.coalesce("total", F.lit(0)))  # five rows
     r, p = F.try_divide(F.col("tp").cast("double"), F.col("total").cast("double")), F.try_divide(F.col("tp").cast("double"), F.col("calls").cast("double"))
     c = c.withColumns({"r": F.coalesce(r, F.lit(0.0)), "p": F.coalesce(p, F.lit(0.0))})
     f = F.coalesce(F.try_divide(2 * F.col("r") * F.col("p"), F.col("r") + F.col("p")), F.lit(0.0))

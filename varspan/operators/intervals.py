@@ -2,23 +2,36 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from varspan.operators.order import LARGEST, running
+
 #: Widest start tolerance of any class, and so the bin width.
 WIDTH = 200
 #: Bases in a piece of a contig.
 CHUNK = 1 << 13
+#: Calls of a bin that are one key.
+HOT_BIN = 100_000
+#: Pairs of a cluster that one task settles in one pass.
+MOST_PAIRS = 100_000
 
 
-def binned_join(calls: DataFrame, sites: DataFrame, width: int, call_pos: str = "pos", site_pos: str = "s_pos", chrom: str = "chrom", site_chrom: str = "s_chrom") -> DataFrame:
-    """All (call, site) of a chromosome whose positions are within `width`, each once. The key is (chromosome, bin), so a dense
-    chromosome is many keys."""
-    b = F.floor(F.col(site_pos) / width)
-    s = sites.withColumn("_bin", F.explode(F.sequence(b - 1, b + 1)))
+def binned_join(calls: DataFrame, sites: DataFrame, width: int, call_pos: str = "pos", site_pos: str = "s_pos", chrom: str = "chrom", site_chrom: str = "s_chrom", most: int = HOT_BIN) -> DataFrame:
+    """All (call, site) of a chromosome whose positions are within `width`, each once. The key is (chromosome, bin, salt), so a dense
+    chromosome is many keys. Bins with more than `most` calls, found by a count, are dealt over salts, and their sites copied to each: calls of one
+    place go to many tasks. At most one bin in `most` calls is such a bin, and their list is broadcast."""
     c = calls.withColumn("_bin", F.floor(F.col(call_pos) / width))
-    joined = c.join(s.withColumnRenamed("_bin", "_sbin"), (F.col(chrom) == F.col(site_chrom)) & (F.col("_bin") == F.col("_sbin")))
-    return joined.where(F.abs(F.col(call_pos) - F.col(site_pos)) <= width).drop("_bin", "_sbin")
+    hot = c.groupBy(F.col(chrom).alias("_hchrom"), F.col("_bin").alias("_hbin")).agg(F.count("*").alias("_calls")).where(F.col("_calls") > most)
+    hot = F.broadcast(hot.select("_hchrom", "_hbin", F.ceil(F.col("_calls") / most).alias("_salts")))
+    dealt = lambda df, at: df.join(hot, (F.col(at) == F.col("_hchrom")) & (F.col("_bin") == F.col("_hbin")), "left").withColumn("_salts", F.coalesce("_salts", F.lit(1).cast("long"))).drop("_hchrom", "_hbin")
+    c = dealt(c, chrom).withColumn("_salt", F.when(F.col("_salts") > 1, F.pmod(F.xxhash64(*calls.columns), F.col("_salts"))).otherwise(F.lit(0).cast("long"))).drop("_salts")
+    b = F.floor(F.col(site_pos) / width)
+    s = dealt(sites.withColumn("_bin", F.explode(F.sequence(b - 1, b + 1))), site_chrom)
+    s = s.withColumn("_ssalt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1))).drop("_salts").withColumnRenamed("_bin", "_sbin")
+    joined = c.join(s, (F.col(chrom) == F.col(site_chrom)) & (F.col("_bin") == F.col("_sbin")) & (F.col("_salt") == F.col("_ssalt")))
+    return joined.where(F.abs(F.col(call_pos) - F.col(site_pos)) <= width).drop("_bin", "_sbin", "_salt", "_ssalt")
 
 
 def same_variant(pos: Column, ref: Column, qry: Column, tpos: Column, tref: Column, tqry: Column) -> Column:
@@ -84,42 +97,97 @@ def match_exact(calls: DataFrame, truth: DataFrame, run: tuple[str, ...] = ()) -
     return matched_haplotypes(j, cc, tc).select(*run, "call_id", "site_id", "n_hap")
 
 
-def match_truth(calls: DataFrame, truth: DataFrame, run: tuple[str, ...] = (), rounds: int | None = None) -> DataFrame:
+def _settled_together(run: tuple[str, ...]):
+    """Calls of whole clusters in order, each taking its first unused truth row."""
+
+    def settle(pairs: pd.DataFrame) -> pd.DataFrame:
+        pairs = pairs.sort_values(["call_id", "late", "t_pos", "site_id"])
+        used, calls, kept = set(), set(), []
+        for k, row in enumerate(zip(*(pairs[c] for c in (*run, "call_id", "site_id")), strict=True)):
+            call, site = row[:-1], (*row[:-2], row[-1])
+            if call not in calls and site not in used:
+                calls.add(call)
+                used.add(site)
+                kept.append(k)
+        return pairs.iloc[kept][[*run, "call_id", "site_id", "n_hap"]]
+
+    return settle
+
+
+def clusters(pairs: DataFrame, run: tuple[str, ...] = ()) -> DataFrame:
+    """Adds `cluster`, the first base of each pair's cluster on its chromosome: pairs whose spans (lo, hi) meet, directly or by others between.
+    A span begins a cluster if it lies beyond the furthest end so far, which partitions carry on."""
+    spans = pairs.groupBy(*run, "chrom", "lo").agg(F.max("hi").alias("hi"))
+    group = [*run, "chrom"]
+    far = running(spans, group, ["lo"], ["hi"], "max")
+    first = far.withColumn("cut", F.when(F.col("hi_before").isNull() | (F.col("lo") > F.col("hi_before")), F.col("lo")))
+    named = running(first.select(*group, "lo", F.coalesce("cut", F.lit(-LARGEST + 1)).alias("cut")), group, ["lo"], ["cut"], "max")
+    named = named.select(*group, "lo", F.greatest("cut", "cut_before").alias("cluster"))
+    return pairs.join(named, [*group, "lo"])
+
+
+def match_truth(calls: DataFrame, truth: DataFrame, run: tuple[str, ...] = (), rounds: int | None = None, most: int = MOST_PAIRS) -> DataFrame:
     """(run, call_id, site_id, n_hap): each call, in order of call_id, takes its first unused truth row.
 
-    A call's list is fixed: truth rows that fit its first haplotype by position, then those that fit its second. Proposal
-    rounds give the sequential result: every call without a row asks for its next; a row keeps the lowest call_id; later calls strike
-    the row off. The loop ends when nothing changes; it is an error if that takes more than `rounds`, where given."""
+    A call's list is fixed: truth rows that fit its first haplotype by position, then those that fit its second. Pairs fall into clusters of
+    touching spans, which don't concern each other: those of up to `most` pairs are settled in one pass, many in a task. The pairs of larger
+    ones go through rounds: a call whose first row no earlier call lists takes it, and both leave; what is settled is written once. The
+    loop ends when no pair is left; it is an error if that takes more than `rounds`, where given."""
     from varspan.sources.text import checkpointed
 
     c, t, cc, tc = _sides(calls, truth, run)
     near = binned_join(c.withColumnRenamed("c_pos", "pos"), t, WIDTH, "pos", "t_pos", "chrom", "t_chrom").withColumnRenamed("pos", "c_pos")
     near = near.where(F.abs(F.col("c_pos") - F.col("t_pos")) <= window_of(F.col("c_ref"), F.col("c_h0")))
-    pairs = matched_haplotypes(near, cc, tc).select(*run, "call_id", "site_id", "n_hap", F.struct(~F.col("first"), F.col("t_pos"), F.col("site_id")).alias("rank"))
-    left = checkpointed(pairs)
-    done = 0
+    pairs = matched_haplotypes(near, cc, tc).select(
+        *run, "chrom", F.least("c_pos", "t_pos").alias("lo"), F.greatest("c_pos", "t_pos").alias("hi"), "call_id", "site_id", "n_hap", (~F.col("first")).alias("late"), "t_pos")
+    pairs = clusters(checkpointed(pairs), run)
+    key = [*run, "chrom", "cluster"]
+    sizes = pairs.groupBy(*key).agg(F.count("*").alias("size"))
+    pairs = checkpointed(pairs.join(sizes, key))
+    small, left = pairs.where(F.col("size") <= most), pairs.where(F.col("size") > most)
+    facts = pairs.agg(F.sum((F.col("size") <= most).cast("long")).alias("n"), F.max("size").alias("top")).first()
+    # clusters of a task: about `most` pairs together
+    bucket = F.pmod(F.xxhash64(*key), F.lit(1 + (facts.n or 0) // max(most, 1)))
+    kinds = ", ".join(f"{x} {k}" for x, k in pairs.select(*run, "call_id", "site_id", "n_hap").dtypes)
+    done = small.select(*run, "call_id", "site_id", "n_hap", "late", "t_pos", bucket.alias("_b")).groupBy("_b").applyInPandas(_settled_together(run), kinds)
+    if (facts.top or 0) <= most:
+        return done
+    done_parts, left, n = [done], left.select(*run, "call_id", "site_id", "n_hap", F.struct("late", "t_pos", "site_id").alias("rank")), 0
     while True:
-        asked = left.groupBy(*run, "call_id").agg(F.min_by("site_id", "rank").alias("site_id"))
-        held = asked.groupBy(*run, "site_id").agg(F.min("call_id").alias("holder"))
-        # whoever comes after the holder never gets the row
-        kept = left.join(held, [*run, "site_id"], "left").where("holder is null or call_id <= holder").drop("holder")
-        before, left = left.count(), checkpointed(kept)
-        if left.count() == before:
+        earliest = left.groupBy(*run, "site_id").agg(F.min("call_id").alias("earliest"))
+        wish = left.groupBy(*run, "call_id").agg(F.min_by(F.struct("site_id", "n_hap"), "rank").alias("b")).select(*run, "call_id", "b.site_id", "b.n_hap")
+        got = checkpointed(wish.join(earliest, [*run, "site_id"]).where("call_id = earliest").select(*run, "call_id", "site_id", "n_hap"))
+        done_parts.append(got)
+        left = left.join(got.select(*run, "call_id"), [*run, "call_id"], "left_anti").join(got.select(*run, "site_id"), [*run, "site_id"], "left_anti")
+        left = checkpointed(left)
+        if not left.limit(1).count():
             break
-        done += 1
-        if done == rounds:
+        n += 1
+        if n == rounds:
             raise RuntimeError(f"match_truth: not settled after {rounds} rounds")
-    best = left.groupBy(*run, "call_id").agg(F.min_by(F.struct("site_id", "n_hap"), "rank").alias("b"))
-    return best.select(*run, "call_id", "b.site_id", "b.n_hap")
+    out = done_parts[0]
+    for part in done_parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def nearby_small(sv: DataFrame, small: DataFrame, length: int = 100) -> DataFrame:
-    """Per SV (id, chrom, start, end) the small variants (chrom, start, end) that end in [start - length, start] or begin in [end, end + length]."""
-    s = small.select(F.col("chrom").alias("s_chrom"), F.col("start").alias("s_start"), F.col("end").alias("s_end"))
-    before = binned_join(sv, s, length, "start", "s_end").where(F.col("s_end").between(F.col("start") - length, F.col("start")))
-    after = binned_join(sv, s, length, "end", "s_start").where(F.col("s_start").between(F.col("end"), F.col("end") + length))
-    n = before.select("id").unionByName(after.select("id")).groupBy("id").agg(F.count("*").alias("n"))
-    return sv.select("id").join(n, "id", "left").select("id", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
+    """Per SV (id, chrom, start, end) the small variants (chrom, start, end) that end in [start - length, start] or begin in [end, end + length].
+
+    Counts up to the bounds, taken in one order of bounds and variants, are subtracted from each other; no pair is made. Variants at one place
+    are counted first."""
+    points = lambda side, at: small.groupBy("chrom", F.col(at).cast("long").alias("at")).agg(F.count("*").alias("w")).select(F.lit(side).alias("side"), "chrom", "at", F.lit(1).alias("k"), "w", *[F.lit(None).cast("long").alias(x) for x in ("start", "end", "sign")])
+    places = sv.select("chrom", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end")).distinct()
+    # a lower bound stands before the variants of its place, an upper one after them
+    bound = lambda side, at, upper: F.struct(F.lit(side).alias("side"), at.alias("at"), F.lit(2 * upper).alias("k"), F.lit(2 * upper - 1).cast("long").alias("sign"))
+    start, end = F.col("start"), F.col("end")
+    bounds = places.select("chrom", "start", "end", F.explode(F.array(bound(0, start - length, 0), bound(0, start, 1), bound(1, end, 0), bound(1, end + length, 1))).alias("b"))
+    bounds = bounds.select("b.side", "chrom", "b.at", "b.k", F.lit(0).cast("long").alias("w"), "start", "end", "b.sign")
+    both = points(0, "end").unionByName(points(1, "start")).unionByName(bounds)
+    counted = running(both, ["side", "chrom"], ["at", "k", "start", "end"], ["w"]).where("sign is not null")
+    n = counted.groupBy("chrom", "start", "end").agg(F.sum(F.col("sign") * F.col("w_upto")).alias("n"))
+    keys = [F.col("v.chrom").eqNullSafe(F.col("p.chrom")), F.col("v.start") == F.col("p.start"), F.col("v.end") == F.col("p.end")]
+    return sv.alias("v").join(n.alias("p"), keys, "left").select("v.id", F.coalesce("p.n", F.lit(0).cast("long")).alias("n"))
 
 
 def nearby_bin(n: Column) -> Column:
@@ -136,7 +204,8 @@ def chunked(contigs: DataFrame, chunk: int = CHUNK) -> DataFrame:
 
 
 def ref_lookup(df: DataFrame, contigs: DataFrame, start: Column, length: Column, name: str = "bases_at", chunk: int = CHUNK) -> DataFrame:
-    """Adds the reference bases of [start, start + length), 1-based, as far as the contig goes; null for unknown chromosomes.
+    """Adds the reference bases of [start, start + length), 1-based, as far as the contig goes; null for unknown chromosomes. contigs: chrom and
+    seq, or pieces of `chunk` bases (chrom, piece, bases), as sources.text.scan_contigs gives them.
 
     Each row asks for the pieces that its span covers, with its numbers alone; what they give is put together by row and joined
     back. A span of any length is found; bases are one byte each."""
@@ -147,12 +216,14 @@ def ref_lookup(df: DataFrame, contigs: DataFrame, start: Column, length: Column,
     asked = d.select("chrom", span.alias("span")).where("span.end > span.at").distinct()
     first, last = F.floor((F.col("span.at") - 1) / chunk), F.floor((F.col("span.end") - 2) / chunk)
     asked = asked.select("chrom", "span", F.explode(F.sequence(first, last)).alias("_chunk"))
-    j = asked.join(chunked(contigs, chunk), (F.col("chrom") == F.col("c_chrom")) & (F.col("_chunk") == F.col("chunk")))
+    whole = "seq" in contigs.columns
+    pieces = chunked(contigs, chunk) if whole else contigs.select(F.col("chrom").alias("c_chrom"), F.col("piece").alias("chunk"), F.col("bases").alias("_bases"))
+    j = asked.join(pieces, (F.col("chrom") == F.col("c_chrom")) & (F.col("_chunk") == F.col("chunk")))
     lo = F.greatest(F.col("span.at") - 1 - F.col("_chunk") * chunk, F.lit(0))
     hi = F.least(F.col("span.end") - 1 - F.col("_chunk") * chunk, F.lit(chunk))
     part = F.decode(F.substring("_bases", (lo + 1).cast("int"), (hi - lo).cast("int")), "UTF-8")
     parts = j.select("chrom", "span", "_chunk", part.alias("part")).groupBy("chrom", "span").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_chunk", "part"))), lambda p: p["part"]), "").alias("_found"))  # as many as a span has
-    known = contigs.select(F.col("chrom").alias("k_chrom"))
+    known = (contigs if whole else contigs.where("piece = 0")).select(F.col("chrom").alias("k_chrom"))
     out = d.withColumn("_span", span).join(parts.select(F.col("chrom").alias("p_chrom"), F.col("span").alias("p_span"), "_found"), (F.col("chrom") == F.col("p_chrom")) & (F.col("_span") == F.col("p_span")), "left")
     out = out.join(known, F.col("chrom") == F.col("k_chrom"), "left")
     return out.withColumn(name, F.when(F.col("k_chrom").isNotNull(), F.coalesce("_found", F.lit("")))).drop("_at", "_n", "_span", "p_chrom", "p_span", "_found", "k_chrom")

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from varspan.functions.variant import COUNT_EDGES, bin_of, bins, variant_type
+from varspan.functions.variant import COUNT_EDGES, TYPES, bin_of, bins, variant_type
+from varspan.operators.order import running
 
-#: Positions, or file rows, in one block of an ordered pass.
+#: Positions in one block of an ordered pass.
 BLOCK = 1_000_000
 
 
@@ -60,30 +63,48 @@ def filter_maf(sites: DataFrame, stats: DataFrame, maf: float = 0.01, geno: floa
     return j.where((F.col("type") != "SNP") | F.coalesce(good, F.lit(False)))
 
 
-def window_density(df: DataFrame, lengths: DataFrame, size: int, step: int) -> DataFrame:
+def _windows(lengths: DataFrame, step: int) -> DataFrame:
+    return lengths.select("chrom", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("len") - 1, F.lit(0)), F.lit(step).cast("long"))).alias("start"))
+
+
+def _window_sums(panes: DataFrame, windows: DataFrame, group: list[str], sums: list[str], size: int) -> DataFrame:
+    """(group, start, sums) of windows [start, start + size): panes (group, at, sums) are counted up to both ends, and the ends subtracted. Rows in
+    order are panes and twice the windows, whatever the size and step."""
+    end = lambda at, sign: F.struct(at.alias("at"), F.lit(sign).cast("long").alias("sign"))
+    bounds = windows.select(*group, "start", F.explode(F.array(end(F.col("start"), -1), end(F.col("start") + size, 1))).alias("b"))
+    bounds = bounds.select(*group, "b.at", F.lit(0).alias("k"), "start", "b.sign", *[F.lit(0).cast("long").alias(s) for s in sums])
+    own = panes.select(*group, F.col("at").cast("long").alias("at"), F.lit(1).alias("k"), *[F.lit(None).cast("long").alias(x) for x in ("start", "sign")], *[F.col(s).cast("long").alias(s) for s in sums])
+    r = running(own.unionByName(bounds), group, ["at", "k", "start"], sums).where("sign is not null")
+    return r.groupBy(*group, "start").agg(*[F.sum(F.col("sign") * F.col(f"{s}_upto")).alias(s) for s in sums])
+
+
+def window_density(df: DataFrame, lengths: DataFrame, size: int, step: int, types: tuple[str, ...] = TYPES) -> DataFrame:
     """Sliding windows [start, start + size) of each chromosome, every step bases: variants, their summed lengths, and types as text.
 
-    Each variant goes to the windows that its position is in; empty windows have zeros."""
-    wins = lengths.select("chrom", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("len") - 1, F.lit(0)), F.lit(step).cast("long"))).alias("start"))
-    last = F.floor(F.col("pos") / step)
-    first = F.greatest(F.floor((F.col("pos") - size) / step) + 1, F.lit(0))
-    v = df.withColumn("start", F.explode(F.sequence(first, last))).withColumn("start", F.col("start") * step).where(F.col("pos") < F.col("start") + size)
-    g = v.groupBy("chrom", "start").agg(F.count("*").alias("n"), F.sum("length").alias("total"), F.array_join(F.array_sort(F.collect_set("type")), ",").alias("types"))  # seven types
-    return wins.join(g, ["chrom", "start"], "left").select("chrom", "start", F.coalesce("n", F.lit(0).cast("long")).alias("n"), F.coalesce("total", F.lit(0).cast("long")).alias("total"), F.coalesce("types", F.lit("")).alias("types"))
+    Variants are counted in panes, of which windows are made up; empty windows have zeros. A type that isn't among the given ones is an error."""
+    width = math.gcd(size, step)
+    strange = F.raise_error(F.concat(F.lit("window_density: type "), F.col("type"))).cast("long")
+    n = F.when(F.col("type").isin(*types) | F.col("type").isNull(), F.lit(1).cast("long")).otherwise(strange)
+    kinds = [f"t{k}" for k in range(len(types))]
+    panes = df.groupBy("chrom", (F.floor(F.col("pos") / width) * width).alias("at")).agg(
+        F.sum(n).alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("total"), *[F.count(F.when(F.col("type") == t, 1)).alias(k) for k, t in zip(kinds, types, strict=True)])
+    w = _window_sums(panes, _windows(lengths, step), ["chrom"], ["n", "total", *kinds], size)
+    held = F.array_compact(F.array(*[F.when(F.col(k) > 0, F.lit(t)) for k, t in zip(kinds, types, strict=True)]))
+    return w.select("chrom", "start", "n", "total", F.array_join(F.array_sort(held), ",").alias("types"))
 
 
 def window_groups(genotypes: DataFrame, groups: DataFrame, lengths: DataFrame, size: int, step: int) -> DataFrame:
     """Sliding windows as in window_density with the sample groups that have a variant in them: non-reference genotypes as text, group:n.
 
-    genotypes: chrom, pos, sample, gt; groups: sample, grp. Samples without a group count for none. A window's groups are counted
-    before they are put together."""
-    g = genotypes.where(F.exists("gt", lambda a: a > 0)).join(groups, "sample").groupBy("chrom", "pos", "grp").agg(F.count("*").alias("n"))
-    first, last = F.greatest(F.floor((F.col("pos") - size) / step) + 1, F.lit(0)), F.floor(F.col("pos") / step)
-    v = g.withColumn("start", F.explode(F.sequence(first, last))).withColumn("start", F.col("start") * step).where(F.col("pos") < F.col("start") + size)
-    v = v.groupBy("chrom", "start", "grp").agg(F.sum("n").alias("n"))
+    genotypes: chrom, pos, sample, gt; groups: sample, grp. Samples without a group count for none. A chromosome's windows are counted for each of its groups."""
+    width = math.gcd(size, step)
+    g = genotypes.where(F.exists("gt", lambda a: a > 0)).join(groups, "sample")
+    panes = g.groupBy("chrom", "grp", (F.floor(F.col("pos") / width) * width).alias("at")).agg(F.count("*").alias("n"))
+    wins = _windows(lengths, step)
+    each = wins.join(panes.select("chrom", "grp").distinct(), "chrom")
+    v = _window_sums(panes, each, ["chrom", "grp"], ["n"], size).where("n > 0")
     text = F.concat("grp", F.lit(":"), F.col("n").cast("string"))
     v = v.groupBy("chrom", "start").agg(F.array_join(F.array_sort(F.collect_list(text)), ",").alias("groups"), F.sum("n").alias("n"))  # an entry a group
-    wins = lengths.select("chrom", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("len") - 1, F.lit(0)), F.lit(step).cast("long"))).alias("start"))
     return wins.join(v, ["chrom", "start"], "left").select("chrom", "start", F.coalesce("n", F.lit(0).cast("long")).alias("n"), F.coalesce("groups", F.lit("")).alias("groups"))
 
 
@@ -97,14 +118,13 @@ def places(df: DataFrame) -> DataFrame:
 
 
 def check_sorted(df: DataFrame, order: str = "ord") -> DataFrame:
-    """Rows whose position drops within a run of one chromosome, in file order. Blocks of rows are ordered by themselves; the last row of
-    the block before comes from one row a block."""
-    d = df.withColumn("_b", F.floor(F.col(order) / BLOCK))
-    last = d.groupBy("_b").agg(F.max_by(F.struct("chrom", "pos"), order).alias("l"))
-    before = last.select("_b", F.lag("l").over(Window.orderBy("_b")).alias("prev"))  # a row a block
-    w = Window.partitionBy("_b").orderBy(order)
-    j = d.join(F.broadcast(before), "_b").withColumn("p", F.coalesce(F.lag(F.struct("chrom", "pos")).over(w), "prev"))
-    return j.where((F.col("p.chrom") == F.col("chrom")) & (F.col("pos") < F.col("p.pos"))).select(order, "chrom", "pos", F.col("p.pos").alias("before"))
+    """Rows whose position drops within a run of one chromosome, in file order. Rows get their places by range partitions and meet the
+    one before by its place."""
+    from varspan.sources.text import ranked
+
+    d = ranked(df.select(order, "chrom", "pos"), order)
+    before = d.select((F.col("rank") + 1).alias("rank"), F.col("chrom").alias("p_chrom"), F.col("pos").alias("before"))
+    return d.join(before, "rank").where((F.col("p_chrom") == F.col("chrom")) & (F.col("pos") < F.col("before"))).select(order, "chrom", "pos", "before")
 
 
 def _chains(last: bool):
@@ -203,23 +223,29 @@ def sample_frac(reads: DataFrame, fraction: float, seed: int = 11, idx: str = "i
     return reads.where(hash_share(F.col(idx), seed) < int(fraction * 2**32))
 
 
+def _first_by_hash(reads: DataFrame, want: Column, seed: int, idx: str) -> DataFrame:
+    """The first reads by hash, then index, as many as `want` says (of `total`, the number of reads). Hash ranges are counted, whole ranges are kept by
+    a filter, and only the range that holds the last place is ranked."""
+    bits = 20
+    place = F.shiftright(hash_share(F.col(idx), seed), 32 - bits)
+    counts = reads.groupBy(place.alias("_r")).agg(F.count("*").alias("c"))
+    whole = Window.orderBy("_r")
+    upto = counts.select("_r", "c", F.sum("c").over(whole).alias("u"), F.sum("c").over(Window.partitionBy()).alias("total")).withColumn("want", want)  # 2**20 rows at most
+    cut = upto.where("u >= want and u - c < want").select(F.col("_r").alias("_cut"), (F.col("want") - F.col("u") + F.col("c")).alias("_take"))
+    d = reads.withColumn("_r", place).join(F.broadcast(cut), F.col("_r") <= F.col("_cut"))  # one row, or none
+    last = d.where("_r = _cut").withColumn("_k", F.row_number().over(Window.partitionBy("_r").orderBy(hash_share(F.col(idx), seed), idx))).where("_k <= _take")
+    some = d.where("_r < _cut").select(*reads.columns).unionByName(last.select(*reads.columns))
+    return some
+
+
 def sample_n(reads: DataFrame, n: int, seed: int = 11, idx: str = "idx") -> DataFrame:
-    """A fixed number of reads, the first by hash."""
-    return reads.orderBy(hash_share(F.col(idx), seed), idx).limit(n)
+    """A fixed number of reads, the first by hash; all if there are no more."""
+    return _first_by_hash(reads, F.least(F.lit(n).cast("long"), F.col("total")), seed, idx)
 
 
 def sample_exact(reads: DataFrame, fraction: float, seed: int = 11, idx: str = "idx") -> DataFrame:
-    """floor(N * fraction) of the reads. Hash ranges are counted; only the range that holds the last place is ranked."""
-    bits = 20
-    h = reads.select(F.col(idx).alias("_i"), hash_share(F.col(idx), seed).alias("_h")).withColumn("_r", F.shiftright("_h", 32 - bits))
-    counts = h.groupBy("_r").agg(F.count("*").alias("c"))
-    total = F.sum("c").over(Window.partitionBy())
-    upto = counts.select("_r", "c", F.sum("c").over(Window.orderBy("_r")).alias("u"), F.floor(total * F.lit(fraction)).alias("want"))  # 2**20 rows at most
-    whole = upto.where("u <= want").select("_r")
-    cut = upto.where("u > want and u - c < want").select("_r", (F.col("want") - F.col("u") + F.col("c")).alias("take"))
-    k = F.row_number().over(Window.partitionBy("_r").orderBy("_h", "_i"))
-    ids = h.join(whole, "_r", "left_semi").select("_i").unionByName(h.join(F.broadcast(cut), "_r").withColumn("k", k).where("k <= take").select("_i"))  # one row
-    return reads.join(ids, F.col(idx) == F.col("_i"), "left_semi")
+    """floor(N * fraction) of the reads, the first by hash."""
+    return _first_by_hash(reads, F.floor(F.col("total") * F.lit(fraction)), seed, idx)
 
 
 def downsample(reads: DataFrame, plan: DataFrame, by: str, seed: int = 11, idx: str = "idx") -> DataFrame:

@@ -73,11 +73,16 @@ def scan_vcf_header(spark, d):
     return T.header_samples(lines).select(F.col("idx").cast("long").alias("idx"), "sample")
 
 
-@query("scan_fasta", oracle("v_contigs", "SELECT chrom AS name, CAST(length(seq) AS BIGINT) AS len, md5(seq) AS seq_md5 FROM v_contigs"))
+_PIECE = 1000
+
+
+@query("scan_fasta", oracle("v_contigs", f"""SELECT chrom AS name, k AS piece, length(part) AS len, md5(part) AS seq_md5 FROM (
+  SELECT chrom, k, substr(seq, CAST(k * {_PIECE} + 1 AS INT), {_PIECE}) AS part FROM (SELECT chrom, seq, unnest(range(CAST(ceil(length(seq) / {_PIECE}.0) AS BIGINT))) AS k FROM v_contigs))"""))
 def scan_fasta(spark, d):
     path = T.shared_folder(spark)
     T.write_fasta(view(spark, d, "v_contigs").select(F.col("chrom").alias("name"), "seq"), path, 60)
-    return T.scan_fasta(spark, path).select("name", "len", F.md5("seq").alias("seq_md5"))
+    p = T.scan_contigs(spark, path, _PIECE)
+    return p.select(F.col("chrom").alias("name"), "piece", F.length("bases").cast("long").alias("len"), F.md5("bases").alias("seq_md5"))
 
 
 @query("scan_fastq", oracle("v_reads", "SELECT name, md5(seq) AS seq_md5, CAST(length(seq) AS BIGINT) AS seq_len, CAST(length(seq) AS BIGINT) AS qual_len, CAST(length(seq) AS BIGINT) AS mate_len FROM v_reads"))

@@ -391,7 +391,7 @@ SELECT wn.chrom, CAST(wn.start AS BIGINT) AS start, count(s.site_id) AS n, CAST(
 FROM wn LEFT JOIN v_sites s ON s.chrom = wn.chrom AND s.pos >= wn.start AND s.pos < wn.start + 10000 GROUP BY wn.chrom, wn.start"""))
 def window_density(spark, d):
     s = view(spark, d, "v_sites").select("chrom", "pos", F.col("alt_len").alias("length"), F.col("shape").alias("type"))
-    return S.window_density(s, view(spark, d, "v_contigs").select("chrom", "len"), 10_000, 2_500)
+    return S.window_density(s, view(spark, d, "v_contigs").select("chrom", "len"), 10_000, 2_500, ("SNP", "sINS", "sDEL", "INS", "BIG"))
 
 
 @query("window_groups", oracle("v_sites v_panel v_contigs", """, wn AS (SELECT chrom, unnest(generate_series(0, len - 1, 2500)) AS start FROM v_contigs),

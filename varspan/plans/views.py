@@ -49,10 +49,11 @@ FROM (
     CASE WHEN l_linestatus = 'O' AND l_quantity < 10 THEN 'LOWQ' ELSE 'PASS' END AS flt,
     l_quantity AS depth, CAST(floor(l_quantity / 5.0) AS BIGINT) AS score
   FROM lineitem) c JOIN v_sites s ON s.site_id = c.l_partkey"""),
-    "v_truth": ((), ("v_sites",), """
-SELECT site_id, chrom, pos, ref_len, alt_len,
-  CASE WHEN site_id % 4 = 0 THEN 1 ELSE 0 END AS a1, 1 AS a2
-FROM v_sites WHERE site_id % 4 <> 3"""),
+    # truth lacks the parts of one name, so some calls have none
+    "v_truth": (("part",), ("v_sites",), """
+SELECT s.site_id, s.chrom, s.pos, s.ref_len, s.alt_len,
+  CASE WHEN s.site_id % 4 = 0 THEN 1 ELSE 0 END AS a1, 1 AS a2
+FROM v_sites s JOIN part p ON p.p_partkey = s.site_id WHERE p.p_name NOT LIKE 'hot %'"""),
     "v_contigs": ((), ("v_sites",), """
 SELECT chrom, max(pos) + 4000 AS len,
   repeat(CASE chrom WHEN 'chr1' THEN 'ACGGTTCAAGTC' WHEN 'chr2' THEN 'TTGACCAGTACG' WHEN 'chr3' THEN 'GGATCCTTAACA'

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -50,6 +52,14 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     return raw.join(base, ["file", "block"]).select("file", (F.col("m") + F.col("shift")).alias("line_no"), "value")
 
 
+def lines_of(spark: SparkSession, path: str) -> DataFrame:
+    """(ord, line) of text files taken as one, in order of their paths: ord goes on from file to file."""
+    lines = numbered_lines(spark, path)
+    sizes = lines.groupBy("file").agg(F.count("*").alias("n"))
+    base = sizes.select("file", (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("base"))  # a row a file
+    return lines.join(base, "file").select((F.col("line_no") + F.col("base")).alias("ord"), F.col("value").alias("line"))
+
+
 def records(lines: DataFrame, line: str = "line", ord_: str = "ord", strict: bool = True) -> DataFrame:
     """VCF records of tab-separated lines: fixed columns, alts and samples as arrays, and derived lengths. Header lines start with
     `#`. Lines with fewer than nine columns are an error, or where not strict records without the columns that are missing."""
@@ -101,19 +111,85 @@ def write_lines(df: DataFrame, path: str, line: str = "line", header: list[str]
     body.write.mode("append").option("compression", codec).text(path + "/part=1")
 
 
+def write_vcf(header: DataFrame, body: DataFrame, path: str, order: tuple[str, ...] = ("chrom", "pos", "ord")) -> None:
+    """Header lines (n, ord, line) and records (line and the columns of the order) as a folder whose files, by name, are the VCF; gzip if the path
+    ends so."""
+    codec = "gzip" if path.endswith(".gz") else "none"
+    put = lambda df, part, by: df.orderBy(*by).select(F.col("line").alias("value")).write.option("compression", codec).text(f"{path}/part={part}")
+    put(header, 0, ("n", "ord", "line"))
+    put(body, 1, order)
+
+
 def write_split(df: DataFrame, path: str, by: str, line: str = "line") -> None:
     """One folder of lines for each class."""
     df.select(F.col(by), F.col(line).alias("value")).write.partitionBy(by).text(path)
 
 
 def scan_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """(name, seq, len): records are split at `>`, line ends inside a sequence are dropped."""
+    """(name, seq, len): records are split at `>`, line ends inside a sequence are dropped. A record is a row; long contigs are read by scan_contigs."""
     raw = spark.read.option("lineSep", ">").text(path).where(F.trim("value") != "")
     head = F.split("value", "\n", 2)
     seq = F.regexp_replace(F.coalesce(F.get(head, 1), F.lit("")), r"\s", "")
     return raw.select(F.get(F.split(F.trim(head[0]), r"\s+"), 0).alias("name"), seq.alias("seq"), F.length(seq).cast("long").alias("len"))
 
 
+def _located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines of file splits, in order, as (file, block, n, contig, at, bases, head): the contig whose header came before in the same split (null before the
+    first), the bases since then, and whether the line is the header."""
+    where, n, contig, at = None, 0, None, 0
+    for b in batches:
+        names, starts, bases, numbers, heads = [], [], [], [], []
+        for file, block, line in zip(*(b.column(k).to_pylist() for k in ("file", "block", "value")), strict=True):
+            if (file, block) != where:
+                where, n, contig, at = (file, block), 0, None, 0
+            heads.append(line.startswith(">"))
+            if heads[-1]:
+                contig, at, line = (line[1:].split() or [""])[0], 0, ""
+            else:
+                line = "".join(line.split())
+            names.append(contig)
+            starts.append(at)
+            bases.append(line.encode())
+            numbers.append(n)
+            at += len(bases[-1])
+            n += 1
+        yield pa.RecordBatch.from_arrays([b.column("file"), b.column("block"), pa.array(numbers, pa.int64()), pa.array(names, pa.string()), pa.array(starts, pa.int64()), pa.array(bases, pa.binary()), pa.array(heads)], ["file", "block", "n", "contig", "at", "bases", "head"])
+
+
+def scan_contigs(spark: SparkSession, path: str, chunk: int = 1 << 13) -> DataFrame:
+    """FASTA files as pieces (chrom, piece, bases): `chunk` bases each (binary, the last one shorter), so that no row holds a contig. A contig without
+    bases is one empty piece; a name that comes twice is an error; a byte is a base.
+
+    Each split of a file counts its own lines; the contig that a split begins in, and the bases of it so far, are carried over from the
+    splits before, a row each. Lines go once through a shuffle, by piece."""
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    rows = raw.mapInArrow(_located, "file string, block long, n long, contig string, at long, bases binary, head boolean")
+    tail = F.max_by(F.struct("contig", (F.col("at") + F.length("bases")).alias("size")), "n")
+    ends = rows.groupBy("file", "block").agg(tail.alias("t")).select("file", "block", "t.contig", "t.size")
+    order = Window.partitionBy("file").orderBy("block")  # a row a split
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    upto = ends.withColumn("upto", F.sum("size").over(order)).withColumn("from", F.when(F.col("contig").isNotNull(), F.col("upto") - F.col("size")))
+    carried = upto.select("file", "block", F.last("contig", True).over(earlier).alias("c_contig"), (F.last("upto").over(earlier) - F.coalesce(F.last("from", True).over(earlier), F.lit(0))).alias("c_size"))
+    lines = rows.join(carried, ["file", "block"])
+    own = F.col("contig").isNotNull()
+    lines = lines.select(F.coalesce("contig", "c_contig").alias("chrom"), F.when(own, F.col("at")).otherwise(F.col("at") + F.coalesce("c_size", F.lit(0))).alias("at"), "bases", "head").where("chrom is not null and (head or length(bases) > 0)")
+    first, last = F.floor(F.col("at") / chunk), F.floor((F.col("at") + F.greatest(F.length("bases"), F.lit(1)) - 1) / chunk)
+    parts = lines.select("chrom", "at", "bases", "head", F.explode(F.sequence(first, last)).alias("piece"))
+    lo = F.greatest(F.col("piece") * chunk - F.col("at"), F.lit(0))
+    hi = F.least((F.col("piece") + 1) * chunk - F.col("at"), F.length("bases").cast("long"))
+    parts = parts.select("chrom", "piece", (F.col("at") + lo).alias("at"), F.substring("bases", (lo + 1).cast("int"), (hi - lo).cast("int")).alias("bases"), "head")
+    held = F.array_sort(F.collect_list(F.struct("at", "bases")))  # a piece's lines
+    out = parts.groupBy("chrom", "piece").agg(F.transform(held, lambda x: x["bases"]).alias("b"), F.sum(F.length("bases")).alias("size"), F.sum(F.col("head").cast("int")).alias("heads"))
+    twice = F.raise_error(F.concat(F.lit("contig name twice: "), F.col("chrom"))).cast("binary")
+    joined = F.aggregate("b", F.lit(b"").cast("binary"), lambda x, y: F.concat(x, y))
+    return out.select("chrom", "piece", F.when((F.col("heads") > 1) | (F.col("size") > chunk), twice).otherwise(joined).alias("bases"))
+
+
+def contig_lengths(pieces: DataFrame) -> DataFrame:
+    """(chrom, len) of contigs in pieces."""
+    return pieces.groupBy("chrom").agg(F.sum(F.length("bases")).cast("long").alias("len"))
+
+
 def fasta_record(name: Column, seq: Column, width: int | None = None) -> Column:
     """One FASTA record without the final line end; lines of `width` bases, or one line."""
     body = seq if width is None else F.regexp_replace(seq, f"(.{{{width}}})(?=.)", "$1\n")
