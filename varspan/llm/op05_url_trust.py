@@ -4,8 +4,8 @@ Hosts are nodes. An edge goes from a page's host to each host that its html link
 domain, both ways, as they are run together. Personalised PageRank spreads trust from hosts with pages that a rule
 allows along the edges, and distrust from hosts with pages that a rule blocks against them, each seed in proportion to its
 pages. A host whose distrust is over `ratio` times its trust is blocked. Rounds go on until
-four of them change the ranks of each kind by less than TOLERANCE in sum. All steps are grouped sums and joins by host;
-pages of one host meet only as partial counts.
+LOOK of them change the ranks of each kind by less than TOLERANCE in sum. All steps are grouped sums and joins by host;
+edges are dealt out once and stay where they are, so a round shuffles its sums alone; pages of one host meet only as partial counts.
 
 Defined results: a null url, or one without ://, has empty host and path, fits no rule and is allowed unless that empty
 host is blocked; null html has no links; repeated rows give repeated rows; other columns are kept out. Of rules of equal
@@ -33,8 +33,8 @@ SUFFIXES = (
     "github.io", "gitlab.io", "pages.dev", "web.app", "netlify.app", "vercel.app", "blogspot.com", "wordpress.com", "herokuapp.com", "amazonaws.com", "azurewebsites.net", "appspot.com", "cloudfront.net", "fly.dev", "onrender.com", "readthedocs.io",
 )
 DAMPING, ROUNDS, RATIO = 0.85, 8, 1.0
-#: Summed change of ranks, of which each kind has 1 in all, below which propagation has settled.
-TOLERANCE = 1e-9
+#: Summed change of ranks over LOOK rounds, of which each kind has 1 in all, below which propagation has settled.
+TOLERANCE, LOOK = 1e-5, 8
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _LINK = r"""(?i)(?:href|src)\s*=\s*["']?(?:https?:)?//([^/"'?#\s>]+)"""
 
@@ -73,6 +73,8 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int | None = ROUNDS, d
     both = edges.select(F.explode(F.array(F.struct(F.lit("trust").alias("kind"), F.col("src").alias("u"), F.col("dst").alias("v"), "weight"), F.struct(F.lit("distrust").alias("kind"), F.col("dst").alias("u"), F.col("src").alias("v"), "weight"))).alias("e")).select("e.*")
     out = both.groupBy("kind", "u").agg(F.sum("weight").alias("total"))
     flow = written(both.join(out, ["kind", "u"]).select("kind", "u", "v", (F.col("weight") / F.col("total")).alias("share")))
+    # cached as dealt out; a lost part is read again from what is written
+    flow = flow.repartition(int(flow.sparkSession.conf.get("spark.sql.shuffle.partitions")), "kind", "u").persist()
     mass = seeds.select("host", F.explode(F.create_map(F.lit("trust"), "n_allow", F.lit("distrust"), "n_block")).alias("kind", "n")).where("n > 0")
     total = mass.groupBy("kind").agg(F.sum("n").alias("total"))
     seed = written(mass.join(F.broadcast(total), "kind").select("kind", F.col("host").alias("u"), (F.col("n") / F.col("total")).alias("rank")))  # two rows
@@ -80,7 +82,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int | None = ROUNDS, d
     for k in count() if rounds is None else range(rounds):
         moved = flow.join(rank, ["kind", "u"]).select("kind", F.col("v").alias("u"), (F.col("share") * F.col("rank") * damping).alias("rank"))
         rank = moved.unionByName(seed.select("kind", "u", (F.col("rank") * (1 - damping)).alias("rank"))).groupBy("kind", "u").agg(F.sum("rank").alias("rank"))
-        if k % 4 == 3:
+        if k % LOOK == LOOK - 1:
             rank = written(rank)
             if rounds is None:
                 change = rank.unionByName(last.select("kind", "u", (-F.col("rank")).alias("rank"))).groupBy("kind", "u").agg(F.sum("rank").alias("d")).groupBy("kind").agg(F.sum(F.abs("d")).alias("d"))
@@ -88,7 +90,9 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int | None = ROUNDS, d
                     break
                 last = rank
     one = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("rank"))), F.lit(0.0)).alias(kind)
-    return rank.groupBy(F.col("u").alias("host")).agg(one("trust"), one("distrust"))
+    ranks = written(rank.groupBy(F.col("u").alias("host")).agg(one("trust"), one("distrust")))
+    flow.unpersist()
+    return ranks
 
 
 def judge(pages: DataFrame, rules=RULES, ratio: float = RATIO, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -97,7 +101,7 @@ def judge(pages: DataFrame, rules=RULES, ratio: float = RATIO, id_col: str = "pa
     p = p.withColumn("fits", rule_of(F.col("host"), F.col("path"), rules))
     n_of = lambda verdict: F.sum((F.coalesce(F.col("fits.verdict"), F.lit("")) == verdict).cast("long"))
     hosts = written(p.groupBy("host").agg(n_of("allow").alias("n_allow"), n_of("block").alias("n_block")))
-    ranks = written(propagate(host_edges(p, hosts), hosts, None))
+    ranks = propagate(host_edges(p, hosts), hosts, None)
     return p.drop("html").join(ranks, "host", "left").select(
         "page_id", "host", "path", F.col("fits.rule").alias("rule"),
         F.coalesce("fits.verdict", F.when(F.col("distrust") > ratio * F.col("trust"), "block"), F.lit("allow")).alias("verdict"),
