@@ -16,7 +16,7 @@ small stars.
 
 Words are runs of non-white-space with A-Z lower-cased; with fewer than five the whole sequence is one shingle.
 Defined results: null, empty and blank texts have empty sets, size 0, and are their own component; a row with a null doc_id
-goes with rows of an equal set alone; rows that repeat a doc_id and a text are one class; other columns are kept out.
+links as others do, and its component is the smallest doc_id that is not null; rows that repeat a doc_id and a text are one class; other columns are kept out.
 """
 
 from __future__ import annotations
@@ -244,8 +244,12 @@ def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """(a, b, linked) of class pairs, on whole texts. Only texts of classes in some pair leave the scan."""
     pairs = written(pairs)
     ids = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-    reps = written(classes.select("cid", "rep").join(ids, "cid").select(F.col("rep").alias("doc_id")).distinct())
-    texts = restrict(docs, reps, "doc_id").mapInArrow(_named, "cid long, text string")
+    # rows without an id are all read where a class has no other; each text then stands once
+    named = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias("doc")
+    reps = written(classes.select("cid", "rep").join(ids, "cid").select(named("rep")).distinct())
+    texts = restrict(docs.select(named("doc_id"), "text"), reps, "doc").mapInArrow(_named, "cid long, text string")
+    if not reps.where("doc = ''").isEmpty():
+        texts = texts.dropDuplicates(["cid"])
     x, y = (texts.select(F.col("cid").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
     return written(pairs.join(x, "a").join(y, "b").select("a", "b", "text_a", "text_b").mapInArrow(_linked, "a long, b long, linked boolean"))
 
@@ -284,7 +288,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     groups = components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more.where("linked").select("a", "b")))
 
     of_class = classes.join(groups.withColumnRenamed("node", "cid"), "cid", "left").withColumn("group", F.coalesce("component", "cid"))
-    least = of_class.groupBy("group").agg(F.min("rep").alias("component_id"))
+    least = of_class.groupBy("group").agg(F.min("rep").alias("component_id"))  # null where no row has an id
     named = of_class.join(least, "group").select("key", F.col("rep").alias("class_id"), "component_id")
     out = sets.select("doc_id", F.col("n").alias("n_shingles"), "key").join(named, "key", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"))
