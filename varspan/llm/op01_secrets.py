@@ -7,13 +7,13 @@ depth and test-like names of the path; names of keys, names of digests and ids,
 itself and the two words before, and the word after being an ordinary one.
 
 The forest is trained from labelled findings: given ones, or those of findings(), which are planted: up to `SEEDS` documents, taken
-by a hash, lend their words, paths and digests. A planted key is a secret wherever it stands, also in prose; a
+by a hash, lend their paths, digests and the words of their first SEED_LETTERS letters. A planted key is a secret wherever it stands, also in prose; a
 digest in the place of a checksum, commit or id, a name made of words and a placeholder are none, also behind the
 name of a key. So neither form nor place alone tells the label. With too few documents for both labels, format rules decide.
 
 Defined results: null and empty texts have no candidates; a null path has depth 0; rows of one doc_id are counted together;
 secrets of fewer than 16 characters or over several words are no candidates; without labelled findings of both kinds no
-forest can be trained and a rule's label decides; other columns are kept out of scan() and pass through redact().
+forest can be trained and a rule's label decides; a score of exactly THRESHOLD is no secret; other columns are kept out of scan() and pass through redact().
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ from varspan.llm.common import labelled_sample, written
 
 #: Labelled findings of each kind for training, at most; documents that planted findings are made of, and findings for each.
 MOST_LABELLED, SEEDS, EACH = 10_000, 400, 48
+#: Letters of such a document that words are taken from; documents that are scanned are taken whole.
+SEED_LETTERS = 4000
 TREES, DEPTH, SEED, THRESHOLD = 20, 8, 7, 0.5
 #: Share of all triples of words that the common ones make up.
 COMMON = 0.95
@@ -72,7 +74,7 @@ def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
     """Planted findings with `label`: doc_id, path, word, w, prev, prev2, next, value as candidates() has them. Bounded by SEEDS and EACH."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     seeds = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(path_col).cast("string").alias("path"), text.alias("text"))
-    seeds = written(labelled_sample(seeds, SEEDS, "doc_id", "path", "text").withColumn("text", F.substring("text", 1, 4000)))  # SEEDS rows
+    seeds = written(labelled_sample(seeds, SEEDS, "doc_id", "path", "text").withColumn("text", F.substring("text", 1, SEED_LETTERS)))  # SEEDS rows
     words = F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda w: F.length(w).between(3, 12))
     words = F.when(F.size(words) >= 4, words).otherwise(F.array(*[F.lit(x) for x in ("first", "second", "third", "fourth")]))
     d = seeds.select("doc_id", "path", words.alias("ws"), F.explode(F.sequence(F.lit(0), F.lit(EACH - 1))).alias("j"))
@@ -91,6 +93,7 @@ def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
     random = [part("h", 40), part("h", 18), part("h", 32), part("code", 40), F.concat(part("code", 43), lit("=")), F.concat(lit("eyJ"), plain("code", 17), lit("."), F.substring(F.translate("code", "+/=", "xyz"), 20, 40))]
     sums = [part("h", 40), part("h", 32), F.col("h"), uuid]
     names = [F.concat_ws(sep, own(1), own(2), own(3), own(4)) for sep in ("_", "-", "/")] + [F.concat(own(1), F.initcap(own(2)), F.initcap(own(3)), F.initcap(own(4))), F.concat(own(1), own(2), own(3), own(4))]
+    names += [F.upper(F.concat(own(1), own(2), own(3), own(4))), F.concat(F.concat_ws("/", lit("src"), own(1), own(2), F.initcap(own(3))), part(F.translate("h", "abcdef", "123456"), 1), F.initcap(own(4)))]
     holders = [lit("your_api_key_goes_here"), lit("xxxxxxxxxxxxxxxxxxxxxxxx"), lit("0000000000000000000000"), lit("example-token-1234567890"), lit("changeme_changeme_changeme"), lit("1234567890123456")]
     kinds = [(1, random, key), (1, random, key), (1, formats, key + prose + digest), (0, sums, digest), (0, names, key + prose + digest), (0, holders, key + prose)]
     case = lambda f: F.element_at(F.array(*[f(k) for k in kinds]), F.pmod(F.col("j"), F.lit(len(kinds))) + 1)
@@ -160,7 +163,7 @@ def judge(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc
     else:
         vectors = VectorAssembler(inputCols=list(INPUTS), outputCol="vector").transform(f)
         scored = model.transform(vectors).withColumn("score", F.get(vector_to_array("probability"), 1))
-    return scored.select("doc_id", "path", "word", "value", "score", (F.col("score") >= THRESHOLD).alias("is_secret"))
+    return scored.select("doc_id", "path", "word", "value", "score", (F.col("score") > THRESHOLD).alias("is_secret"))
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
