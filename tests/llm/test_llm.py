@@ -170,6 +170,15 @@ def test_license_labels_and_scores(spark, odd):
         assert sorted(got) == sorted(want)
 
 
+def test_license_of_a_thousand_templates(spark):
+    """1000 templates of 200 words over the documents: each text made of a template is told, no other is."""
+    made = lambda k: " ".join(f"t{(k * 7919 + i * i * 31) % 5003}" for i in range(200))
+    table = spark.createDataFrame([(f"l{k}", made(k), [" ".join(made(k).split()[50:56])]) for k in range(1000)], "label string, text string, key_phrases array<string>")
+    docs = spark.createDataFrame([(-k, "Before it. " + made(k * 100)) for k in range(1, 10)], "doc_id long, text string").unionByName(read(spark, "documents").select("doc_id", "text"))
+    got = {r.doc_id: r for r in op03_license.scan(docs, notices=table).where("score > 0 and doc_id < 0").collect()}
+    assert {d: (r.labels, r.score) for d, r in got.items()} == {-k: (f"l{k * 100}", 1.0) for k in range(1, 10)}
+
+
 def test_license_templates_from_a_table(spark):
     table = spark.createDataFrame([("own", "Copying of this Thing is allowed on Tuesdays only.", ["allowed on Tuesdays"]), ("all", "No copying whatsoever", None)], "label string, text string, key_phrases array<string>")
     docs = spark.createDataFrame([(1, "x. Copying of this fine thing is allowed on tuesdays only!"), (2, "no COPYING whatsoever"), (3, "copying of this thing is allowed on mondays only")], "doc_id long, text string")
@@ -367,8 +376,34 @@ def test_secrets(spark, odd, none):
     assert op01_secrets.query(none).count() == 0 and op01_secrets.redact(none).count() == 0
     docs = read(spark, "documents")
     hits = {(r.doc_id, r.value) for r in op01_secrets.judge(docs).where("is_secret").collect()}
-    planted = {(r.doc_id, v) for r in docs.collect() for v in re.findall(r'token = "([0-9a-f]{40})"|password=([0-9a-f]{18})|(AKIA[0-9A-Z]{16})', r.text) for v in v if v}
-    assert hits == planted
+    assert hits == planted_secrets(docs)
+
+
+def planted_secrets(docs):
+    return {(r.doc_id, v) for r in docs.collect() for v in re.findall(r'token = "([0-9a-f]{40})"|password=([0-9a-f]{18})|(AKIA[0-9A-Z]{16})', r.text) for v in v if v}
+
+
+def test_secrets_of_more_documents(spark):
+    """Precision and recall of 0.95 on the tables of the next size; a name with digits in a path is no secret."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "source")
+    more = spark.createDataFrame([(-1, "see src/main/java/org/apache/Example1Test2 for it", "docs/a"), (-2, "ERSCHSCHBERBERTZ und mehr", "docs/b")], "doc_id long, text string, source string")
+    hits = {(r.doc_id, r.value) for r in op01_secrets.judge(docs.unionByName(more)).where("is_secret").collect()}
+    planted = planted_secrets(docs)
+    assert len(hits & planted) >= 0.95 * len(hits) and len(hits & planted) >= 0.95 * len(planted)
+    assert not any(d < 0 for d, _ in hits)
+
+
+def test_forest_tells_a_form_that_it_was_not_trained_with(spark):
+    """Keys of one form are held out as a whole; the forest finds most of them behind other evidence."""
+    from pyspark.ml.feature import VectorAssembler
+
+    docs = read(spark, "documents")
+    f = op01_secrets.features(op01_secrets.findings(docs), op01_secrets.dictionary(docs)).cache()
+    own = F.col("value").startswith("ghp_")
+    rows = op01_secrets.train(f.where(~own)).transform(VectorAssembler(inputCols=list(op01_secrets.INPUTS), outputCol="vector").transform(f.where(own)))
+    n = rows.agg(F.count("*").alias("n"), F.sum(F.col("prediction")).alias("found")).first()
+    assert n.n > 100 and n.found / n.n >= 0.8
+    f.unpersist()
 
 
 # --- 7
@@ -421,8 +456,7 @@ def brute_links(rows):
         w = bytes(c + 32 if 65 <= c <= 90 else c for c in (t or "").encode()).split()
         return frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset()
 
-    lone = [repr((d, len(shingles(t)), None)) for d, t in rows if d is None]
-    sets = [(d, shingles(t)) for d, t in rows if d is not None]
+    sets = [(d, shingles(t)) for d, t in rows]
     top = list(range(len(sets)))
 
     def find(k):
@@ -444,7 +478,8 @@ def brute_links(rows):
     least = defaultdict(list)
     for k, (d, _) in enumerate(sets):
         least[find(k)].append(d)
-    return sorted([*lone, *(repr((d, len(s), min(least[find(k)]))) for k, (d, s) in enumerate(sets))])
+    first = lambda ids: min((d for d in ids if d is not None), default=None)
+    return sorted(repr((d, len(s), first(least[find(k)]))) for k, (d, s) in enumerate(sets))
 
 
 def links(df):
@@ -458,6 +493,16 @@ def test_set_join(spark, odd, none):
     assert links(docs) == brute_links([(r.doc_id, r.text) for r in docs.collect()])
 
 
+def test_rows_without_an_id_link_and_bridge(spark):
+    w = [f"w{k}" for k in range(100)]
+    near = lambda n: " ".join(["x"] * n + w[n:])  # noqa: E731  neighbours by five words link, those by ten don't
+    rows = [(1, near(0)), (None, near(5)), (3, near(10)), (None, "a lone text without any id at all"), (None, near(5)), (7, "another text that is on its own here")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert links(df) == brute_links(rows)
+    assert {r.component_id for r in op08_setjoin.query(df).where("doc_id = 3").collect()} == {1}
+    assert op08_setjoin.keep_one(df).count() == 5
+
+
 def test_set_join_loses_no_link_of_every_hundredth_document(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in op08_setjoin.query(docs).collect()}

@@ -6,7 +6,8 @@ template its rarest words (highest IDF) that the document holds. Each of them gi
 template position is where the template would start. Postings of different words are intersected by these relative positions,
 with a tolerance for words put in or left out. Of the places where two agree, those with all key phrases near their relative
 positions are kept, and scored by the share of template words that stand where they should. The base phrases are
-templates that are all key phrase, so every place of them is found.
+templates that are all key phrase, so every place of them is found. All notices are one constant that one expression goes through,
+whatever their number; only those whose rarest key word the document holds are looked at.
 
 Defined results: null and empty texts have no words, no places, empty labels and score 0; repeated rows give repeated
 rows; other columns are kept out. A row's result needs no other row, so no text is shuffled. A template in which a word stands
@@ -15,6 +16,7 @@ several times has postings for each; a table with more than MOST_TEMPLATES rows
 
 from __future__ import annotations
 
+import json
 import math
 from dataclasses import dataclass
 
@@ -95,9 +97,9 @@ def _find(phrase: list[str], words: list[str]) -> int:
     return next(i for i in range(len(words)) if words[i : i + len(phrase)] == phrase)
 
 
-def _at(words: Column, place: Column, phrase: list[str]) -> Column:
+def _at(words: Column, place: Column, phrase: Column) -> Column:
     """Whether a phrase stands at a place."""
-    return (place >= 0) & (F.slice(words, F.greatest(place + 1, F.lit(1)), len(phrase)) == F.array(*[F.lit(w) for w in phrase]))
+    return (place >= 0) & (F.slice(words, F.greatest(place + 1, F.lit(1)), F.size(phrase)) == phrase)
 
 
 def _base_places(t: Template, idf: dict[str, float], words: Column, hits: Column) -> Column:
@@ -105,78 +107,87 @@ def _base_places(t: Template, idf: dict[str, float], words: Column, hits: Column
     phrase = t.words.split()
     rare = max(phrase, key=lambda w: (idf[w], w))
     k = phrase.index(rare)
-    return F.filter(F.transform(F.filter(hits, lambda h: h["w"] == rare), lambda h: h["i"] - k), lambda s: _at(words, s, phrase))
+    whole = F.array(*[F.lit(w) for w in phrase])
+    return F.filter(F.transform(F.filter(hits, lambda h: h["w"] == rare), lambda h: h["i"] - k), lambda s: _at(words, s, whole))
 
 
-def _places(t: Template, idf: dict[str, float], words: Column, hits: Column) -> Column:
-    """Starts of a notice: relative positions on which two of the document's rarest words of it agree, with all key phrases near."""
-    own = t.words.split()
-    order = sorted(set(own), key=lambda w: (-idf[w], w))
-    literal = lambda ws: F.array(*[F.lit(w) for w in ws])
+INDEX = "array<struct<label:string,own:array<string>,order:array<string>,telling:string,keys:array<struct<at:int,phrase:array<string>>>>>"
+
+
+def index_of(notices: tuple[Template, ...], idf: dict[str, float]) -> Column:
+    """The notices as one constant: words, the same by rarity, the rarest word of a key phrase (without which the phrase can't stand), key phrases with
+    their places."""
+    rows = []
+    for t in notices:
+        own = t.words.split()
+        telling = max((w for k in t.keys for w in k.split()), key=lambda w: (idf[w], w))
+        keys = [{"at": _find(k.split(), own), "phrase": k.split()} for k in t.keys]
+        rows.append({"label": t.label, "own": own, "order": sorted(set(own), key=lambda w: (-idf[w], w)), "telling": telling, "keys": keys})
+    return F.from_json(F.lit(json.dumps(rows)), INDEX)
+
+
+def _places(t: Column, words: Column, hits: Column, held: Column) -> Column:
+    """Starts of a notice: relative positions on which two of the document's rarest words of it agree, with all key phrases near. held: the document's
+    words of the vocabulary."""
 
     def starts(word: Column) -> Column:
         # postings of a word: its places in the document less those in the template
-        at = F.filter(F.transform(literal(own), lambda w, i: F.when(w == word, i)), lambda i: i.isNotNull())
+        at = F.filter(F.transform(t["own"], lambda w, i: F.when(w == word, i)), lambda i: i.isNotNull())
         return F.flatten(F.transform(F.filter(hits, lambda h: h["w"] == word), lambda h: F.transform(at, lambda i: h["i"] - i)))
 
-    held = F.slice(F.filter(literal(order), lambda w: F.exists(hits, lambda h: h["w"] == w)), 1, RARE)
+    rare = F.slice(F.array_intersect(t["order"], held), 1, RARE)  # in the order of the first
     near = lambda s: F.flatten(F.transform(s, lambda x: F.sequence(x - SLACK, x + SLACK)))
+    none = F.array().cast("array<int>")
 
     def agreed(lists: Column) -> Column:
-        pair = lambda a, b: F.array_intersect(F.get(lists, a), near(F.get(lists, b)))
-        none = F.array().cast("array<int>")
-        two = lambda a, b: F.when(F.size(lists) > b, pair(a, b)).otherwise(none)
-        return F.array_distinct(F.concat(*[two(a, b) for b in range(1, RARE) for a in range(b)]))
-
-    def near_key(s: Column, key: str) -> Column:
-        phrase = key.split()
-        at = _find(phrase, own)
-        return F.exists(F.sequence(F.lit(-SLACK), F.lit(SLACK)), lambda o: _at(words, s + at + o, phrase))
+        pair = lambda a, b: F.when(F.size(lists) > b, F.array_intersect(F.get(lists, a), near(F.get(lists, b)))).otherwise(none)
+        both = F.array_distinct(F.concat(*[pair(a, b) for b in range(1, RARE) for a in range(b)]))
+        return F.when(F.size(t["order"]) == 1, F.get(lists, 0)).otherwise(both)  # a template of one word
 
-    verified = lambda s: F.forall(F.array(*[near_key(s, k) for k in t.keys]), lambda ok: ok)
-    found = F.filter(bound(F.transform(held, starts), agreed), verified)
-    return F.when(F.size(held) >= 2, found).otherwise(F.array().cast("array<int>")) if len(order) > 1 else F.filter(bound(held, lambda h: F.flatten(F.transform(h, starts))), verified)
+    key = lambda s, k: F.exists(F.sequence(F.lit(-SLACK), F.lit(SLACK)), lambda o: _at(words, s + k["at"] + o, k["phrase"]))
+    return F.filter(bound(F.transform(rare, starts), agreed), lambda s: F.forall(t["keys"], lambda k: key(s, k)))
 
 
-def _score(t: Template, words: Column, places: Column) -> Column:
+def _score(t: Column, words: Column, places: Column) -> Column:
     """The best place's share of template words at their positions; 0 without a place."""
-    own = t.words.split()
-    whole = F.array(*[F.lit(w) for w in own])
-    same = lambda s: F.size(F.filter(F.transform(whole, lambda w, k: F.when(s + k >= 0, F.get(words, s + k) == w)), lambda x: x)) / F.lit(float(len(own)))
+    same = lambda s: F.size(F.filter(F.transform(t["own"], lambda w, k: F.when(s + k >= 0, F.get(words, s + k) == w)), lambda x: x)) / F.size(t["own"])
     return F.coalesce(F.array_max(F.transform(places, same)), F.lit(0.0))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", notices: tuple[Template, ...] | DataFrame = NOTICES) -> DataFrame:
     """Per document: words, places of the base phrases, labels with their places, and the best notice's score."""
     notices = templates_of(notices) if isinstance(notices, DataFrame) else notices
-    docs, templates = with_columns_of(docs, doc_id=id_col, text=text_col), [*BASE, *notices]
-    vocabulary = sorted({w for t in templates for w in t.words.split()})
+    docs = with_columns_of(docs, doc_id=id_col, text=text_col)
+    vocabulary = sorted({w for t in (*BASE, *notices) for w in t.words.split()})
     n, counts = document_counts(docs, vocabulary)
     idf = {w: math.log((1 + n) / (1 + counts.get(w, 0))) for w in vocabulary}
+    index = index_of(notices, idf)
 
-    def looked(t: Template, words: Column, hits: Column) -> Column:
-        places = _base_places(t, idf, words, hits) if t.base else F.when(F.exists(hits, lambda h: h["w"].isin(_telling(t))), _places(t, idf, words, hits)).otherwise(F.array().cast("array<int>"))
-        return bound(places, lambda p: F.struct(p.alias("places"), _score(t, words, p).alias("score")))
-
-    def _telling(t: Template) -> list[str]:
-        # without one word of a key phrase the phrase can't stand: the rarest of them is looked for first
-        return [max((w for k in t.keys for w in k.split()), key=lambda w: (idf[w], w))]
+    def in_words(words: Column, hits: Column) -> Column:
+        def with_held(held: Column) -> Column:
+            # one expression for all templates: those with their telling word in the text
+            likely = F.filter(index, lambda t: F.array_contains(held, t["telling"]))
+            told = F.transform(likely, lambda t: bound(_places(t, words, hits, held), lambda p: F.struct(t["label"].alias("label"), F.size(t["own"]).cast("long").alias("length"), p.alias("places"), _score(t, words, p).alias("score"))))
+            return F.struct(F.size(words).cast("long").alias("n_words"), *[_base_places(t, idf, words, hits).alias(f"b{k}") for k, t in enumerate(BASE)], F.filter(told, lambda x: F.size(x["places"]) > 0).alias("told"))
 
-    def matches_of(k: int, t: Template) -> Column:
-        return F.transform(f"t{k}.places", lambda s: F.struct(s.cast("long").alias("start"), F.lit(t.label).alias("label"), F.lit(len(t.words.split())).cast("long").alias("length")))
+        return bound(F.array_distinct(F.transform(hits, lambda h: h["w"])), with_held)
 
     def found(words: Column) -> Column:
         hits = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda h: h["w"].isin(vocabulary))
-        return bound(hits, lambda h: F.struct(F.size(words).cast("long").alias("n_words"), *[looked(t, words, h).alias(f"t{k}") for k, t in enumerate(templates)]))
+        return bound(hits, lambda h: in_words(words, h))
 
     got = docs.select("doc_id", bound(words_of(F.col("text")), found).alias("r")).select("doc_id", "r.*")
-    label = lambda k: F.when(F.size(f"t{k}.places") > 0, F.lit(templates[k].label))
-    matches = F.array_sort(F.flatten(F.array(*[matches_of(k, t) for k, t in enumerate(templates)])))
-    names = lambda ks: F.array_join(F.array_sort(F.array_distinct(F.array_compact(F.array(*[label(k) for k in ks])))), ",")
-    base = F.flatten(F.array(*[F.col(f"t{k}.places") for k in range(len(BASE))]))
+    base = F.flatten(F.array(*[F.col(f"b{k}") for k in range(len(BASE))]))
+    base_labels = F.array_compact(F.array(*[F.when(F.size(f"b{k}") > 0, F.lit(t.label)) for k, t in enumerate(BASE)]))
+    names = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+    match = lambda s, label, length: F.struct(s.cast("long").alias("start"), label.alias("label"), length.alias("length"))
+    in_base = lambda t: lambda s: match(s, F.lit(t.label), F.lit(len(t.words.split())).cast("long"))
+    own = [F.transform(f"b{k}", in_base(t)) for k, t in enumerate(BASE)]
+    others = F.flatten(F.transform("told", lambda x: F.transform(x["places"], lambda s: match(s, x["label"], x["length"]))))
     return got.select(
         "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(base).cast("long").alias("first_word"), F.array_max(base).cast("long").alias("last_word"),
-        names(range(len(BASE))).alias("base_labels"), names(range(len(templates))).alias("labels"), F.greatest(*[F.col(f"t{k}.score") for k in range(len(templates))]).alias("score"), matches.alias("matches"),
+        names(base_labels).alias("base_labels"), names(F.concat(base_labels, F.transform("told", lambda x: x["label"]))).alias("labels"),
+        F.when(F.size(base) > 0, F.lit(1.0)).otherwise(F.coalesce(F.array_max(F.transform("told", lambda x: x["score"])), F.lit(0.0))).alias("score"), F.array_sort(F.concat(*own, others)).alias("matches"),
     )
 
 
