@@ -196,12 +196,14 @@ def merge_loci(df: DataFrame, key: tuple[str, ...] = ("chrom", "pos")) -> DataFr
 
     Positions of one record are only given a new form. Of the others REF is a grouped maximum, the ALTs before a record are a running sum,
     and a sample's genotype is that of its first record that isn't 0: records and samples are rows, so no row holds a position's records."""
+    from varspan.sources.text import checkpointed
+
     plain = df.select(*key, "ord", "ref", "alts", "gts")
     stats = plain.groupBy(*key).agg(F.count("*").alias("n_rows"), F.min("ord").alias("first"), F.max_by("ref", F.struct(F.length("ref"), F.col("ord"))).alias("long_ref"))
     same = lambda a, b: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in key]
     both = plain.alias("r").join(stats.alias("s"), same("r", "s")).select("r.*", "s.n_rows", "s.first", "s.long_ref")
     one = both.where("n_rows = 1").select(*key, "n_rows", "ord", "ref", "alts", "gts")
-    many = both.where("n_rows > 1").withColumn("n_alts", F.size("alts"))
+    many = checkpointed(both.where("n_rows > 1").withColumn("n_alts", F.size("alts")))  # read four times
     offsets = running(many.select(*key, "ord", "n_alts"), list(key), ["ord"], ["n_alts"]).select(F.col("ord").alias("o_ord"), (F.col("n_alts_upto") - F.col("n_alts")).cast("int").alias("before"))
     many = many.join(offsets, F.col("ord") == F.col("o_ord")).drop("o_ord")
     rest = F.substring("long_ref", F.length("ref") + 1, F.length("long_ref"))
