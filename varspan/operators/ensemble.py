@@ -44,13 +44,15 @@ def cube(taken: DataFrame, sites: DataFrame, by: tuple[str, ...]) -> DataFrame:
     return j.select("site_id", *by, F.concat_ws("|", F.col("x").cast("string"), F.col("y").cast("string")).alias("gt"), "depth", (F.get("lens", last) - F.get("lens", F.lit(0))).alias("sv_len"))
 
 
-def merged_lines(voted: DataFrame, cube_: DataFrame, stats: DataFrame, base: DataFrame, key: tuple[str, ...]) -> DataFrame:
+def merged_lines(voted: DataFrame, cube_: DataFrame, stats: DataFrame, base: DataFrame, key: tuple[str, ...], as_named: bool = False) -> DataFrame:
     """(key, line) of sites with a chosen caller: the site's first eight columns, FORMAT, and the chosen genotype, caller, normalised
     depth, the caller's mean depth and the depth, numbers cut to five characters. The values stand in this order under the FORMAT
-    GT:SO:DP:ADP:NDP, as in merged files that the callers' users have. base: site_id, fixed (text); cube_ has z."""
+    GT:SO:DP:ADP:NDP, as in merged files that the callers' users have; with as_named each stands under its own name: depth, mean, normalised.
+    base: site_id, fixed (text); cube_ has z."""
     c = voted.where("chosen is not null").select(*key, F.col("chosen").alias("caller")).join(cube_.select(*key, "caller", "gt", "z", "depth"), [*key, "caller"])
     c = c.join(F.broadcast(stats.select("caller", "mean")), "caller").join(base.select("site_id", "fixed"), "site_id")  # a row a caller
-    value = F.concat_ws(":", F.replace("gt", F.lit("|"), F.lit("/")), "caller", short_number(F.col("z")), short_number(F.col("mean")), short_number(F.col("depth")))
+    numbers = [short_number(F.col(x)) for x in (("depth", "mean", "z") if as_named else ("z", "mean", "depth"))]
+    value = F.concat_ws(":", F.replace("gt", F.lit("|"), F.lit("/")), "caller", *numbers)
     return c.select(*key, F.concat_ws("\t", "fixed", F.lit("GT:SO:DP:ADP:NDP"), value).alias("line"))
 
 

@@ -3,7 +3,7 @@ plain or gzip; headers are tables too, so a draft assembly's million contig line
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from varspan.functions import variant as V
@@ -15,7 +15,7 @@ from varspan.operators import sites as S
 from varspan.sources import text as T
 from varspan.sources.text import checkpointed
 
-#: Lines of one file, and so the step between the call numbers of two callers.
+#: Lines of one caller, and so the step between the call numbers of two callers.
 CALLS = 1 << 40
 
 
@@ -61,23 +61,40 @@ def delly_files(spark: SparkSession, vcf: str, fasta: str, out: str, complement:
     T.write_vcf(header.withColumn("n", F.lit(0)), T.vcf_line(d), out, ("ord",))
 
 
-def _caller(spark: SparkSession, caller: str, path: str, sample: str, number: int) -> DataFrame:
-    """Calls of one caller's file: all rows, with the sample's depths, and whether they count (PASS, a genotype that isn't 0)."""
-    header, body = _read(spark, path)
-    place = T.sample_index(header, sample)
-    r = T.records(body).join(F.broadcast(place)).withColumn("s", F.get("samples", "idx"))  # one row
+def _callers(spark: SparkSession, callers: dict[str, str], sample: str) -> DataFrame:
+    """Calls of all callers' files, read as one: all rows, with the sample's depths, and whether they count (PASS, a genotype that isn't 0). Calls are
+    numbered in order of callers, files and lines."""
+    plain = lambda f: f.replace(":///", ":/")  # noqa: E731  as _metadata spells them
+    files = [(plain(f), caller, k) for k, (caller, path) in enumerate(sorted(callers.items())) for f in spark.read.text(path).inputFiles()]
+    lists = F.broadcast(spark.createDataFrame(files, "file string, caller string, number long"))  # a row a file, of lists that the driver has anyway
+    lines = T.numbered_lines(spark, list(callers.values())).withColumn("file", F.replace("file", F.lit(":///"), F.lit(":/"))).join(lists, "file")
+    lines = checkpointed(lines.where("trim(value) <> ''"))
+    sizes = lines.groupBy("caller", "number", "file").agg(F.max("line_no").alias("last"))
+    upto = F.sum(F.col("last") + 1).over(Window.partitionBy("caller").orderBy("file"))
+    base = sizes.select("file", (upto - F.col("last") - 1 + F.col("number") * CALLS).alias("base"))  # a row a file
+    names = F.split("value", "\t")
+    heads = lines.where(F.col("value").startswith("#CHROM")).select("caller", (F.array_position(F.slice(names, len(T.FIXED) + 1, F.greatest(F.size(names) - len(T.FIXED), F.lit(0))), sample) - 1).alias("idx"))
+    place = {r.caller: r.idx for r in heads.groupBy("caller").agg(F.max("idx").alias("idx")).collect()}  # a row a caller
+    for caller in callers:
+        if place.get(caller, -1) < 0:
+            raise ValueError(f"{caller}: no sample {sample}")
+    body = lines.where(~F.col("value").startswith("#")).join(base, "file").select("caller", (F.col("line_no") + F.col("base")).alias("ord"), F.col("value").alias("line"))
+    r = T.records(body).withColumn("number", F.floor(F.col("ord") / CALLS))
+    of = lambda values: F.element_at(F.array(*values), (F.col("number") + 1).cast("int"))
+    order = sorted(callers)
+    r = r.withColumn("caller", of([F.lit(c) for c in order])).withColumn("s", F.get("samples", of([F.lit(int(place[c])) for c in order])))
     r = r.withColumns({"gt": V.gt_strict(F.col("format"), F.col("s")), "depths": V.depths(F.col("format"), F.col("s")), "l": V.allele_lengths(F.col("id"), F.col("ref"), F.col("alts"))})
     hap = V.hap_lengths(F.col("l"), F.col("gt"))
     each = lambda c, k: F.get(c, F.least(F.lit(k), F.size(c) - 1))  # noqa: E731  one allele counts twice
     return r.select(
-        (F.col("ord") + number * CALLS).alias("call_id"), F.lit(caller).alias("caller"), "chrom", "pos", F.col("l.ref_len").alias("ref_len"), *[each(hap, k).alias(f"h{k}") for k in (0, 1)],
+        F.col("ord").alias("call_id"), "caller", "chrom", "pos", F.col("l.ref_len").alias("ref_len"), *[each(hap, k).alias(f"h{k}") for k in (0, 1)],
         *[each(F.col("gt"), k).alias(f"g{k}") for k in (0, 1)], "depths", F.aggregate("depths", F.lit(0.0), lambda a, x: a + x).alias("depth"), ((F.col("filter") == "PASS") & F.exists("gt", lambda g: g != 0)).alias("counts"),
     )
 
 
-def merge_files(spark: SparkSession, base: str, callers: dict[str, str], sample: str, out: str, mode: str = "all", second: str | None = None) -> DataFrame:
+def merge_files(spark: SparkSession, base: str, callers: dict[str, str], sample: str, out: str, mode: str = "all", second: str | None = None, as_named: bool = False) -> DataFrame:
     """Genotypes of several callers (name to VCF) for one sample, at the sites of a base VCF. In mode `all` a second file, if named, takes the sites where the
-    most similar sample of the base is not reference, by the rule `specific`. Gives (panel_sample, name, n, share), the most similar sample.
+    most similar sample of the base is not reference, by the rule `specific`. as_named: see merged_lines. Gives (panel_sample, name, n, share), the most similar sample.
 
     A base that isn't sorted, a file without the sample, and calls on a chromosome that the base doesn't have are errors. Of base records at one
     position the last one counts."""
@@ -91,11 +108,7 @@ def merge_files(spark: SparkSession, base: str, callers: dict[str, str], sample:
     fixed = F.concat_ws("\t", "chrom", F.col("pos").cast("string"), "id", "ref", F.array_join("alts", ","), "qual_text", "filter", "info")
     phased = F.transform("samples", lambda s: V.gt_phase(V.field(F.col("format"), s, "GT")))
     sites = checkpointed(records.select(F.col("ord").alias("site_id"), "chrom", "pos", F.concat(F.array(lens["ref_len"]), lens["lens"]).alias("lens"), fixed.alias("fixed"), phased.alias("gts")))
-    rows = None
-    for k, (caller, path) in enumerate(sorted(callers.items())):
-        one = _caller(spark, caller, path, sample, k)
-        rows = one if rows is None else rows.unionByName(one)
-    rows = checkpointed(rows)
+    rows = checkpointed(_callers(spark, callers, sample))
     calls = rows.where("counts")
     strange = calls.join(sites.select("chrom").distinct(), "chrom", "left_anti").select("caller", "chrom").limit(1).collect()
     if strange:
@@ -108,7 +121,7 @@ def merge_files(spark: SparkSession, base: str, callers: dict[str, str], sample:
     head = merged_header(header, sample)
 
     def write(chosen: DataFrame, path: str) -> None:
-        lines = N.merged_lines(chosen, cube, stats, sites, key).join(sites.select("site_id", "chrom", "pos"), "site_id")
+        lines = N.merged_lines(chosen, cube, stats, sites, key, as_named).join(sites.select("site_id", "chrom", "pos"), "site_id")
         T.write_vcf(head, lines.withColumnRenamed("site_id", "ord"), path)
 
     write(voted, out)

@@ -42,7 +42,7 @@ def ranked(df: DataFrame, *order: str, name: str = "rank") -> DataFrame:
     return d.join(F.broadcast(base), "_part").withColumn(name, F.col("_id") + F.col("_shift")).drop("_part", "_id", "_shift")
 
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file, line_no, value) of text files. Each split's lines are counted, counts are summed up within a file; no
     window goes over the lines themselves."""
     raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("m"))
