@@ -45,7 +45,8 @@ def ranked(df: DataFrame, *order: str, name: str = "rank") -> DataFrame:
 def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file, line_no, value) of text files. Each split's lines are counted, counts are summed up within a file; no
     window goes over the lines themselves."""
-    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("m"))
+    text = spark.read.text(path) if isinstance(path, str) else spark.read.option("recursiveFileLookup", "true").text(path)  # folders of several roots
+    raw = text.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("m"))
     blocks = raw.groupBy("file", "block").agg(F.min("m").alias("first"), F.count("*").alias("n"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     base = blocks.select("file", "block", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"))
