@@ -5,7 +5,6 @@ from __future__ import annotations
 import ctypes
 import functools
 import gc
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from varspan.sources.text import shared_folder
+
 #: Most ids that a semi- or anti-join sends to every executor (about 32 MB as a hash table); more are shuffled.
 BROADCAST_IDS = 1_000_000
 #: Bytes of text that one numpy step works on; a longer document is one step.
@@ -32,21 +33,9 @@ def with_columns_of(df: DataFrame, **wanted: str) -> DataFrame:
     return df.select(*[df[name].alias(alias) for alias, name in wanted.items()])
 
 
-def folder(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir, which all executors share. Where that is unset, a local master gets one of its own; on a
-    cluster it is an error, as executors on other machines wouldn't see it."""
-    if not spark.conf.get("spark.checkpoint.dir", ""):
-        if not spark.sparkContext.master.startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        import tempfile
-
-        spark.conf.set("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="spark-"))
-    return f"{spark.conf.get('spark.checkpoint.dir').rstrip('/')}/{uuid.uuid4().hex}"
-
-
 def written(df: DataFrame, codec: str = "zstd") -> DataFrame:
     """df written as Parquet to the shared folder and read again: cuts lineage, survives lost executors."""
-    spark, path = df.sparkSession, folder(df.sparkSession)
+    spark, path = df.sparkSession, shared_folder(df.sparkSession)
     df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

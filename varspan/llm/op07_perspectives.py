@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from varspan.llm.common import written
+from varspan.sources.text import ranked
 
 #: Turn numbers in a block, turns in a piece of it (turn numbers may repeat), and blocks whose sizes are summed up together.
 TURNS, PIECE, SPAN = 64, 256, 1024
@@ -35,8 +36,10 @@ def rotate(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str =
     """conv_id, perspective, block, piece, n_turns, start, text, mask (array of start and end in this piece), n_masked."""
     c = conversations.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).cast("long").alias("turn"), escaped(F.translate(F.coalesce(F.col(role_col), F.lit("unknown")), "\r\n", "  ")).alias("role"), escaped(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
     c = c.withColumn("block", F.coalesce(F.floor(F.col("turn") / TURNS), F.lit(-1)))
-    order = Window.partitionBy("conv_id", "block").orderBy("turn", "role", "text")
-    c = c.withColumn("k", F.row_number().over(order) - 1).withColumn("piece", F.floor(F.col("k") / PIECE))
+    # places in a block by ranks of a range sort: turns that are null or share a number go over many tasks
+    c = ranked(c.withColumn("conv", F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit(""))), "conv", "block", "turn", "role", "text")
+    first = written(c.groupBy("conv", "block").agg(F.min("rank").alias("first")))
+    c = c.join(first, ["conv", "block"]).withColumn("k", (F.col("rank") - F.col("first")).cast("int")).withColumn("piece", F.floor(F.col("k") / PIECE)).drop("conv", "rank", "first")
     pieces = c.groupBy("conv_id", "block", "piece").agg(F.array_sort(F.collect_list(F.struct("k", "role", "text"))).alias("turns"))
     speakers = c.select("conv_id", F.col("role").alias("perspective")).where(F.col("perspective") != SYSTEM).distinct()
     pair = pieces.join(speakers.withColumnRenamed("conv_id", "c"), F.col("conv_id").eqNullSafe(F.col("c"))).drop("c")
