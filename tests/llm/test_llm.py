@@ -653,7 +653,7 @@ def test_pipeline(spark, odd):
     assert left["quality"] == left["secrets"] == left["decontaminate"] == every
     import ast
 
-    assert left["near_duplicates"] == sorted((d for d, _, c in map(ast.literal_eval, brute_links(TEXTS)) if c is None or c == d), key=repr)
+    assert left["near_duplicates"] == sorted((d for d, _, c in map(ast.literal_eval, brute_links(TEXTS)) if d is None or c == d), key=repr)
     assert set(left["pack"]) == set(every)
     assert all(stage(spark, odd.limit(0), SMALL).count() == 0 for _, stage in corpus_pipeline.STAGES)
     before, after = kept["quality"]

@@ -326,7 +326,7 @@ def _rest(left: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs, with all columns, without those whose component has a smaller doc_id; rows that repeat a doc_id stay together."""
+    """docs, with all columns, without those whose component has a smaller doc_id; rows that repeat a doc_id stay together, and rows without one stay."""
     linked = link(docs, id_col, text_col)
     gone = linked.groupBy("doc_id").agg(F.min("component_id").alias("least")).where("least < doc_id").select(F.col("doc_id").alias(id_col))
     return restrict(docs, written(gone), id_col, "left_anti")
