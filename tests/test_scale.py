@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import time
 from collections import defaultdict
 
 import pytest
@@ -13,6 +14,7 @@ from varspan.operators import evaluate as E
 from varspan.operators import intervals as I
 from varspan.operators import sites as S
 from varspan.operators.order import running
+from varspan.plans.views import contig_pieces, view
 from varspan.sources import text as T
 
 
@@ -227,3 +229,26 @@ def test_similar_sample_is_the_join(spark):
         n = {p: sum(held.get((i, p)) == g for x, i, g in voted if x == s and g) for p in range(6)}
         best = min(n, key=lambda p: (-n[p], p))
         assert got[s] == (best, n[best])
+
+
+def test_a_long_contig_is_cut_in_proportion(spark):
+    """60 MB in one contig: each piece is copied once, not the contig for each piece."""
+    n = 60_000_000 // 12
+    contigs = spark.range(1).select(F.lit("chr1").alias("chrom"), F.repeat(F.lit("ACGGTTCAAGTC"), F.lit(n)).alias("seq"))
+    began = time.monotonic()
+    r = I.chunked(contigs).agg(F.count("*").alias("n"), F.sum(F.length("_bases")).alias("size"), F.max("chunk").alias("top")).first()
+    assert time.monotonic() - began < 20
+    assert (r.n, r["size"], r.top) == (-(-12 * n // I.CHUNK), 12 * n, 12 * n // I.CHUNK)
+    odd = spark.createDataFrame([("a", None), ("b", ""), ("c", "ACGTA")], "chrom string, seq string")
+    got = {(x.c_chrom, x.chunk): x._bases and bytes(x._bases) for x in I.chunked(odd, 3).collect()}
+    assert got == {("a", 0): None, ("b", 0): b"", ("c", 0): b"ACG", ("c", 1): b"TA"}
+
+
+def test_pieces_of_contigs_are_the_contigs(spark):
+    small = "/root/testdata/sf0.001"
+    want = {r.chrom: (r.len, r.seq) for r in view(spark, small, "v_contigs").collect()}
+    got = defaultdict(list)
+    for r in contig_pieces(spark, small, 1000).collect():
+        got[r.chrom, r.len].append((r.piece, bytes(r.bases).decode()))
+    assert {c: (n, "".join(b for _, b in sorted(ps))) for (c, n), ps in got.items()} == want
+    assert all(len(b) == 1000 for ps in got.values() for _, b in sorted(ps)[:-1])

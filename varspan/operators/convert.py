@@ -37,10 +37,11 @@ def fix_info(df: DataFrame) -> DataFrame:
 
 
 def _lengths(contigs: DataFrame) -> DataFrame:
-    """(c_chrom, c_len) of contigs with seq and len, or in pieces."""
+    """(c_chrom, c_len) of contigs with seq and len, or in pieces, which may have the contig's len."""
     from varspan.sources.text import contig_lengths
 
-    c = contigs if "len" in contigs.columns else contig_lengths(contigs)
+    own = contigs.where("piece = 0") if "piece" in contigs.columns else contigs
+    c = own if "len" in contigs.columns else contig_lengths(contigs)
     return c.select(F.col("chrom").alias("c_chrom"), F.col("len").alias("c_len"))
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -195,12 +198,25 @@ def nearby_bin(n: Column) -> Column:
     return F.when(n.isin(0, 1, 2, 4, 6, 8), n.cast("string")).otherwise("more")
 
 
+def _cut(chunk: int):
+    """Contigs in pieces: each piece is copied once out of the contig, which an array function would copy whole for each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for chrom, seq in zip(b.column("chrom").to_pylist(), b.column("seq"), strict=True):
+                bases = seq.as_buffer()
+                n = 1 if bases is None else max(1, -(-bases.size // chunk))
+                for i in range(0, n, 1000):
+                    ks = range(i, min(n, i + 1000))
+                    parts = [None if bases is None else bases[k * chunk : (k + 1) * chunk].to_pybytes() for k in ks]
+                    yield pa.RecordBatch.from_arrays([pa.array([chrom] * len(ks), pa.string()), pa.array(ks, pa.int64()), pa.array(parts, pa.binary())], ["c_chrom", "chunk", "_bases"])
+
+    return run
+
+
 def chunked(contigs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """Contigs as (c_chrom, chunk, _bases): pieces of `chunk` bases as binary, where a place is found without a walk."""
-    n = F.greatest(F.floor((F.length("seq") - 1) / chunk), F.lit(0))
-    bytes_ = contigs.select(F.col("chrom").alias("c_chrom"), F.encode("seq", "UTF-8").alias("seq"), n.alias("n"))
-    rows = bytes_.select("c_chrom", F.posexplode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("n")), lambda k: F.substring("seq", (k * chunk + 1).cast("int"), F.lit(chunk)))).alias("chunk", "_bases"))
-    return rows.select("c_chrom", F.col("chunk").cast("long").alias("chunk"), "_bases")
+    return contigs.select("chrom", "seq").mapInArrow(_cut(chunk), "c_chrom string, chunk long, _bases binary")
 
 
 def ref_lookup(df: DataFrame, contigs: DataFrame, start: Column, length: Column, name: str = "bases_at", chunk: int = CHUNK) -> DataFrame:
@@ -218,12 +234,13 @@ def ref_lookup(df: DataFrame, contigs: DataFrame, start: Column, length: Column,
     asked = asked.select("chrom", "span", F.explode(F.sequence(first, last)).alias("_chunk"))
     whole = "seq" in contigs.columns
     pieces = chunked(contigs, chunk) if whole else contigs.select(F.col("chrom").alias("c_chrom"), F.col("piece").alias("chunk"), F.col("bases").alias("_bases"))
-    j = asked.join(pieces, (F.col("chrom") == F.col("c_chrom")) & (F.col("_chunk") == F.col("chunk")))
+    # sizes of contigs and of what is found say little of their bases, which deflate well: neither is broadcast
+    j = asked.join(pieces.hint("merge"), (F.col("chrom") == F.col("c_chrom")) & (F.col("_chunk") == F.col("chunk")))
     lo = F.greatest(F.col("span.at") - 1 - F.col("_chunk") * chunk, F.lit(0))
     hi = F.least(F.col("span.end") - 1 - F.col("_chunk") * chunk, F.lit(chunk))
     part = F.decode(F.substring("_bases", (lo + 1).cast("int"), (hi - lo).cast("int")), "UTF-8")
     parts = j.select("chrom", "span", "_chunk", part.alias("part")).groupBy("chrom", "span").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_chunk", "part"))), lambda p: p["part"]), "").alias("_found"))  # as many as a span has
-    known = (contigs if whole else contigs.where("piece = 0")).select(F.col("chrom").alias("k_chrom"))
-    out = d.withColumn("_span", span).join(parts.select(F.col("chrom").alias("p_chrom"), F.col("span").alias("p_span"), "_found"), (F.col("chrom") == F.col("p_chrom")) & (F.col("_span") == F.col("p_span")), "left")
+    known = (contigs if whole else contigs.where("piece = 0")).select(F.col("chrom").alias("k_chrom"))  # a name a contig
+    out = d.withColumn("_span", span).join(parts.select(F.col("chrom").alias("p_chrom"), F.col("span").alias("p_span"), "_found").hint("merge"), (F.col("chrom") == F.col("p_chrom")) & (F.col("_span") == F.col("p_span")), "left")
     out = out.join(known, F.col("chrom") == F.col("k_chrom"), "left")
     return out.withColumn(name, F.when(F.col("k_chrom").isNotNull(), F.coalesce("_found", F.lit("")))).drop("_at", "_n", "_span", "p_chrom", "p_span", "_found", "k_chrom")

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from varspan.functions import variant as V
 from varspan.operators import convert as C
 from varspan.operators import sites as S
-from varspan.plans.views import ctes, oracle, view
+from varspan.operators.intervals import CHUNK
+from varspan.plans.views import contig_pieces, ctes, oracle, register, view
 from varspan.sources import text as T
 
 QUERIES: dict = {}
@@ -34,8 +35,7 @@ def query(name: str, sql: str):
 
 def sql_view(spark: SparkSession, sf_dir: str, names: str, body: str) -> DataFrame:
     """A shared SQL text over the views, in Spark."""
-    for n in names.split():
-        view(spark, sf_dir, n)
+    register(spark, sf_dir, *names.split())
     return spark.sql(f"WITH {ctes(*names.split(), dialect='spark')} {body}")
 
 
@@ -321,13 +321,13 @@ _WRONG = """SELECT site_id, chrom, pos, CASE WHEN site_id % 9 = 0 THEN concat('A
 
 @query("fix_ref", oracle("v_alleles", f"SELECT w.site_id, a.ref, w.ref <> a.ref AS changed FROM ({_WRONG}) w JOIN v_alleles a ON a.site_id = w.site_id"))
 def fix_ref(spark, d):
-    return C.fix_ref(sql_view(spark, d, "v_alleles", _WRONG), view(spark, d, "v_contigs")).select("site_id", "ref", "changed")
+    return C.fix_ref(sql_view(spark, d, "v_alleles", _WRONG), contig_pieces(spark, d, CHUNK)).select("site_id", "ref", "changed")
 
 
 @query("ref_lookup", oracle("v_sites v_contigs", "SELECT s.site_id, substr(g.seq, CAST(s.pos - 5 AS INT), CAST(s.ref_len + 10 AS INT)) AS bases FROM v_sites s JOIN v_contigs g ON g.chrom = s.chrom"))
 def ref_lookup(spark, d):
     s = view(spark, d, "v_sites").select("site_id", "chrom", "pos", "ref_len")
-    return C.ref_lookup(s, view(spark, d, "v_contigs"), F.col("pos") - 5, F.col("ref_len") + 10, "bases").select("site_id", "bases")
+    return C.ref_lookup(s, contig_pieces(spark, d, CHUNK), F.col("pos") - 5, F.col("ref_len") + 10, "bases").select("site_id", "bases")
 
 
 _ANCHOR = "SELECT site_id, chrom, pos, ref, CASE WHEN shape = 'INS' AND site_id % 4 = 0 THEN concat('N', alt, 'R') WHEN shape = 'sDEL' AND site_id % 4 = 1 THEN ref ELSE alt END AS alt FROM v_alleles"
@@ -339,7 +339,7 @@ ac AS (SELECT site_id, chrom, CASE WHEN moved THEN pos - 1 ELSE pos END AS pos,
 
 def _anchored(spark, d) -> DataFrame:
     rows = sql_view(spark, d, "v_alleles", _ANCHOR).withColumn("alts", F.array("alt"))
-    return C.anchor_alleles(rows, view(spark, d, "v_contigs"))
+    return C.anchor_alleles(rows, contig_pieces(spark, d, CHUNK))
 
 
 @query("anchor_alleles", oracle("v_alleles v_contigs", f", {_ANCHORED} SELECT site_id, pos, ref, alt FROM ac"))
@@ -398,7 +398,7 @@ _SYMBOLIC = """SELECT site_id, chrom, pos, CASE WHEN shape = 'INS' THEN '<INS>'
 FROM ({_SYMBOLIC}) WHERE filter = 'PASS' AND info <> 'PRECISE' AND alt IN ('<DEL>', '<DUP>', '<INV>', '[<INV>]')"""))
 def symbolic_expand(spark, d):
     rows = sql_view(spark, d, "v_alleles", _SYMBOLIC).drop("bases")
-    return C.symbolic_expand(rows, view(spark, d, "v_contigs")).select("site_id", "ref", "alt")
+    return C.symbolic_expand(rows, contig_pieces(spark, d, CHUNK)).select("site_id", "ref", "alt")
 
 
 _LOCI = """SELECT a.site_id AS ord, a.chrom, a.pos, a.ref, a.alt, g.gts FROM v_alleles a JOIN v_genotypes g ON g.site_id = a.site_id"""
@@ -466,7 +466,7 @@ def convert_vcf(spark, d):
     lines = sql_view(spark, d, "v_lines v_alleles v_genotypes", _FAULTY)
     samples = view(spark, d, "v_genotypes").select("site_id", (F.regexp_count("gts", F.lit(",")) + 10).alias("columns"))
     r = T.records(lines, strict=False).join(samples, F.col("ord") % 10_000_000_000 == F.col("site_id"))
-    return C.convert(r, view(spark, d, "v_contigs"), F.col("columns"), maf=0.25, missing=0.15).select("ord", "reject_reason", "line")
+    return C.convert(r, contig_pieces(spark, d, CHUNK), F.col("columns"), maf=0.25, missing=0.15).select("ord", "reject_reason", "line")
 
 
 _GRAM = "SELECT site_id, CAST(site_id % 2 AS VARCHAR(2)) AS gt, CASE WHEN site_id % 3 = 0 THEN '10,20' WHEN site_id % 3 = 1 THEN '0,20' ELSE '7,0' END AS cov, 'FAIL' AS filter FROM v_sites"
