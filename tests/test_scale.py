@@ -14,6 +14,7 @@ from varspan.operators import evaluate as E
 from varspan.operators import intervals as I
 from varspan.operators import sites as S
 from varspan.operators.order import running
+from varspan.plans import catalog
 from varspan.plans.views import contig_pieces, view
 from varspan.sources import text as T
 
@@ -252,3 +253,19 @@ def test_pieces_of_contigs_are_the_contigs(spark):
         got[r.chrom, r.len].append((r.piece, bytes(r.bases).decode()))
     assert {c: (n, "".join(b for _, b in sorted(ps))) for (c, n), ps in got.items()} == want
     assert all(len(b) == 1000 for ps in got.values() for _, b in sorted(ps)[:-1])
+
+
+@pytest.mark.parametrize("name", ["match_sites", "last_writer", "depth_rank", "vote", "merge_loci", "merge_sites", "similar_sample", "high_conf"])
+def test_sites_are_not_broadcast(spark, name):
+    """`part` is small as Parquet; its sites, alleles and lines as rows are not."""
+    plan = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    joins = [x for x in plan.splitlines() if "BroadcastHashJoin" in x and ("site_id#" in x.split(", Inner")[0] or "l_partkey" in x)]
+    assert not joins
+
+
+def test_a_line_is_split_once(spark):
+    """Filters on fields of a record do not split its line again."""
+    lines = spark.createDataFrame([(1, "\t".join(["chr1", "5", "v", "A", "C", ".", "PASS", ".", "GT:GQ", "0/1:7"])), (2, "\t".join(["chr1", "6", "v", "A", "C", ".", "LOWQ", ".", "GT:GQ", "0/1:7"]))], "ord long, line string")
+    r = E.from_records(T.records(lines), "FORMAT.GQ")
+    assert r._jdf.queryExecution().optimizedPlan().toString().count("split(line") == 1
+    assert [(x.ord, x.pos, x.g0, x.g1, x.score) for x in r.collect()] == [(1, 5, 0, 1, 7.0)]

@@ -39,7 +39,7 @@ def cube(taken: DataFrame, sites: DataFrame, by: tuple[str, ...]) -> DataFrame:
     the last allele other than 0 at the site. sites: site_id, lens (REF length, then each ALT's)."""
     allele = lambda k: F.coalesce(F.max(F.when(F.col("hap") == k, F.col("allele"))), F.lit(0))
     g = taken.groupBy("site_id", *by).agg(allele(0).alias("x"), allele(1).alias("y"), F.sum("depth").alias("depth"))
-    j = g.join(sites.select("site_id", "lens"), "site_id")
+    j = g.join(sites.select("site_id", "lens").hint("merge"), "site_id")
     last = F.when(F.col("y") != 0, F.col("y")).otherwise(F.col("x"))
     return j.select("site_id", *by, F.concat_ws("|", F.col("x").cast("string"), F.col("y").cast("string")).alias("gt"), "depth", (F.get("lens", last) - F.get("lens", F.lit(0))).alias("sv_len"))
 
@@ -49,8 +49,8 @@ def merged_lines(voted: DataFrame, cube_: DataFrame, stats: DataFrame, base: Dat
     depth, the caller's mean depth and the depth, numbers cut to five characters. The values stand in this order under the FORMAT
     GT:SO:DP:ADP:NDP, as in merged files that the callers' users have; with as_named each stands under its own name: depth, mean, normalised.
     base: site_id, fixed (text); cube_ has z."""
-    c = voted.where("chosen is not null").select(*key, F.col("chosen").alias("caller")).join(cube_.select(*key, "caller", "gt", "z", "depth"), [*key, "caller"])
-    c = c.join(F.broadcast(stats.select("caller", "mean")), "caller").join(base.select("site_id", "fixed"), "site_id")  # a row a caller
+    c = voted.where("chosen is not null").select(*key, F.col("chosen").alias("caller")).hint("merge").join(cube_.select(*key, "caller", "gt", "z", "depth"), [*key, "caller"])
+    c = c.join(F.broadcast(stats.select("caller", "mean")), "caller").join(base.select("site_id", "fixed").hint("merge"), "site_id")  # a row a caller
     numbers = [short_number(F.col(x)) for x in (("depth", "mean", "z") if as_named else ("z", "mean", "depth"))]
     value = F.concat_ws(":", F.replace("gt", F.lit("|"), F.lit("/")), "caller", *numbers)
     return c.select(*key, F.concat_ws("\t", "fixed", F.lit("GT:SO:DP:ADP:NDP"), value).alias("line"))

@@ -33,7 +33,8 @@ def binned_join(calls: DataFrame, sites: DataFrame, width: int, call_pos: str =
     b = F.floor(F.col(site_pos) / width)
     s = dealt(sites.withColumn("_bin", F.explode(F.sequence(b - 1, b + 1))), site_chrom)
     s = s.withColumn("_ssalt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1))).drop("_salts").withColumnRenamed("_bin", "_sbin")
-    joined = c.join(s, (F.col(chrom) == F.col(site_chrom)) & (F.col("_bin") == F.col("_sbin")) & (F.col("_salt") == F.col("_ssalt")))
+    # a list of sites is small on disk and large as rows, three to an allele: it is dealt out, not broadcast
+    joined = c.join(s.hint("merge"), (F.col(chrom) == F.col(site_chrom)) & (F.col("_bin") == F.col("_sbin")) & (F.col("_salt") == F.col("_ssalt")))
     return joined.where(F.abs(F.col(call_pos) - F.col(site_pos)) <= width).drop("_bin", "_sbin", "_salt", "_ssalt")
 
 
@@ -62,11 +63,13 @@ def match_sites(calls: DataFrame, sites: DataFrame, key: tuple[str, ...] = ("cal
     c = calls.select(*key, "chrom", "pos", "ref_len", "h0", "h1", "g0", "g1")
     near = binned_join(c, alleles, WIDTH).where(F.abs(F.col("pos") - F.col("s_pos")) <= window_of(F.col("ref_len"), F.col("h0")))
     fits = lambda h, g: same_variant(F.col("pos"), F.col("ref_len"), F.col(h), F.col("s_pos"), F.col("s_ref"), F.col("s_len")) & ((F.col(g) == 0) == (F.col("allele") == 0))
-    best = lambda ok: F.min(F.when(ok, F.struct("s_pos", "site_id", "allele")))
+    best = lambda ok: F.min(F.when(ok, F.struct("s_pos", "allele")))
     pairs = near.withColumns({"f0": fits("h0", "g0"), "f1": fits("h1", "g1")}).where("f0 or f1")
-    first = pairs.groupBy(*key).agg(best(F.col("f0")).alias("m0"), best(F.col("f1")).alias("any1"), F.first("g0").alias("g0"), F.first("g1").alias("g1"))
-    same = pairs.where("f1").select(*key, "site_id", "allele").groupBy(*key, "site_id").agg(F.min("allele").alias("a1"))
-    j = first.withColumn("site_id", F.col("m0.site_id")).join(same, [*key, "site_id"], "left")
+    # one exchange, by call: what a call has at each site, and of these the first
+    at = pairs.repartition(*key).groupBy(*key, "site_id").agg(best(F.col("f0")).alias("z0"), best(F.col("f1")).alias("z1"), F.min(F.when(F.col("f1"), F.col("allele"))).alias("a1"), F.first("g0").alias("g0"), F.first("g1").alias("g1"))
+    of = lambda z, *more: F.min(F.when(F.col(z).isNotNull(), F.struct(f"{z}.s_pos", "site_id", f"{z}.allele", *more)))
+    first = at.groupBy(*key).agg(of("z0", "a1").alias("m0"), of("z1").alias("any1"), F.first("g0").alias("g0"), F.first("g1").alias("g1"))
+    j = first.select("*", F.col("m0.site_id").alias("site_id"), F.col("m0.a1").alias("a1"))
     m1 = F.when(F.col("m0").isNull(), F.struct(F.col("any1.site_id").alias("s"), F.col("any1.allele").alias("a"))).when(F.col("g0") == F.col("g1"), F.struct(F.col("m0.site_id").alias("s"), F.col("m0.allele").alias("a"))).otherwise(F.struct(F.col("site_id").alias("s"), F.col("a1").alias("a")))
     out = j.select(*key, F.explode(F.array(F.struct(F.lit(0).alias("hap"), F.col("m0.site_id").alias("site_id"), F.col("m0.allele").alias("allele")), F.struct(F.lit(1).alias("hap"), m1["s"].alias("site_id"), m1["a"].alias("allele")))).alias("m"))
     return out.select(*key, "m.hap", "m.site_id", "m.allele").where("site_id is not null and allele is not null")

@@ -401,8 +401,8 @@ def symbolic_expand(spark, d):
     return C.symbolic_expand(rows, contig_pieces(spark, d, CHUNK)).select("site_id", "ref", "alt")
 
 
-_LOCI = """SELECT a.site_id AS ord, a.chrom, a.pos, a.ref, a.alt, g.gts FROM v_alleles a JOIN v_genotypes g ON g.site_id = a.site_id"""
-_LOCI2 = f"""SELECT * FROM ({_LOCI}) x UNION ALL SELECT a.site_id + 10000000000, a.chrom, a.pos, concat(a.ref, 'C'), concat(a.alt, 'GG'), g.fresh
+_LOCI = """SELECT /*+ MERGE(a, g) */ a.site_id AS ord, a.chrom, a.pos, a.ref, a.alt, g.gts FROM v_alleles a JOIN v_genotypes g ON g.site_id = a.site_id"""
+_LOCI2 = f"""SELECT * FROM ({_LOCI}) x UNION ALL SELECT /*+ MERGE(a, g) */ a.site_id + 10000000000, a.chrom, a.pos, concat(a.ref, 'C'), concat(a.alt, 'GG'), g.fresh
 FROM v_alleles a JOIN v_genotypes g ON g.site_id = a.site_id WHERE a.site_id % 5 = 0"""
 
 
@@ -429,7 +429,7 @@ def dup_position_overwrite(spark, d):
 #: Lines with faults of each kind, with records of one position, and with a REF to mend.
 _FAULTY = """SELECT ord, CASE WHEN ord % 13 = 0 THEN regexp_replace(line, '^chr[0-9]', 'chrX') WHEN ord % 17 = 0 THEN replace(line, 'GT:DP', 'DP') WHEN ord % 19 = 0 THEN replace(line, '0/1:', '0/3:')
   WHEN ord % 46 = 0 THEN 'chr1' || chr(9) || '5' WHEN ord % 23 = 0 THEN concat(line, chr(9), '0/0:1') ELSE line END AS line FROM v_lines
-UNION ALL SELECT a.site_id + 10000000000, concat_ws(chr(9), a.chrom, CAST(a.pos AS VARCHAR(20)), 'second', concat(a.ref, 'Z'), concat(a.alt, 'GG'), '7', 'PASS', 'SVLEN=5', 'GT', replace(g.fresh, ',', chr(9)))
+UNION ALL SELECT /*+ MERGE(a, g) */ a.site_id + 10000000000, concat_ws(chr(9), a.chrom, CAST(a.pos AS VARCHAR(20)), 'second', concat(a.ref, 'Z'), concat(a.alt, 'GG'), '7', 'PASS', 'SVLEN=5', 'GT', replace(g.fresh, ',', chr(9)))
   FROM v_alleles a JOIN v_genotypes g ON g.site_id = a.site_id WHERE a.shape = 'sDEL' AND a.site_id % 5 = 0"""
 
 

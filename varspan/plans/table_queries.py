@@ -122,16 +122,17 @@ _SLOTS = """lw AS (SELECT * FROM (SELECT mt.site_id, c.sample_id, c.caller, mt.h
 
 @query("match_sites", oracle("v_calls v_sites", f"{_MATCHED} SELECT * FROM mt"))
 def match_sites(spark, d):
-    return _matched(spark, d).select("call_id", F.col("hap").cast("long").alias("hap"), "site_id", F.col("allele").cast("long").alias("allele"))
+    return _matched(spark, d, written(calls(spark, d))).select("call_id", F.col("hap").cast("long").alias("hap"), "site_id", F.col("allele").cast("long").alias("allele"))
 
 
-def _matched(spark, d, key=("call_id",)) -> DataFrame:
+def _matched(spark, d, c: DataFrame) -> DataFrame:
     s = sites(spark, d).withColumn("lens", F.concat(F.array("ref_len"), "alt_lens"))
-    return I.match_sites(calls(spark, d), s, key)
+    return I.match_sites(c, s)
 
 
 def _slots(spark, d) -> DataFrame:
-    return N.slots(_matched(spark, d), calls(spark, d), ("sample_id", "caller"))
+    c = written(calls(spark, d))  # read several times
+    return N.slots(_matched(spark, d, c), c, ("sample_id", "caller"))
 
 
 @query("last_writer", oracle("v_calls v_sites", f"{_MATCHED}, {_SLOTS} SELECT site_id, sample_id, caller, hap, allele, call_id, CAST(depth AS DOUBLE) AS depth FROM lw"))
@@ -164,7 +165,8 @@ def _exact(spark, d) -> DataFrame:
 
 
 def _outcomes(spark, d) -> DataFrame:
-    return E.outcomes(calls(spark, d), E.use_once(_exact(spark, d), RUN), truth(spark, d).select("site_id", "true_len"), RUN)
+    c, t = written(calls(spark, d)), truth(spark, d)  # calls are read twice
+    return E.outcomes(c, E.use_once(I.match_exact(c, t, RUN), RUN), t.select("site_id", "true_len"), RUN)
 
 
 @query("match_exact", oracle("v_calls v_truth", f", {_C}, {_T}, {_HAPS} SELECT caller, sample_id, call_id, site_id, CAST(n_hap AS BIGINT) AS n_hap FROM mx WHERE n_hap > 0"))
@@ -188,7 +190,7 @@ sq AS (WITH RECURSIVE w AS (
 
 @query("match_truth", oracle("v_calls v_truth", f", {_C}, {_T}, {_SEQUENTIAL} SELECT caller, sample_id, call_id, pick.s AS site_id, CAST(pick.n AS BIGINT) AS n_hap FROM sq WHERE pick IS NOT NULL"))
 def match_truth(spark, d):
-    return I.match_truth(calls(spark, d), truth(spark, d), RUN).withColumn("n_hap", F.col("n_hap").cast("long"))
+    return I.match_truth(written(calls(spark, d)), truth(spark, d), RUN).withColumn("n_hap", F.col("n_hap").cast("long"))
 
 
 @query("use_once", oracle("v_calls v_truth", f", {_C}, {_T}, {_HAPS} SELECT caller, sample_id, call_id, site_id, CAST(n_hap AS BIGINT) AS n_hap FROM once"))
@@ -256,8 +258,9 @@ def evaluate_vcf(spark, d):
     lines, kept = view(spark, d, "v_call_lines"), view(spark, d, "v_call_lines").select("ord", *RUN)
     r = E.from_records(T.records(lines), "FORMAT.GQ").join(kept, "ord")
     t = E.from_records(T.records(view(spark, d, "v_truth_lines")))
-    c = r.withColumnsRenamed({"ord": "call_id"})
+    c = written(r.withColumnsRenamed({"ord": "call_id"}))  # lines are parsed once
     t = t.select(F.col("ord").alias("site_id"), "chrom", "pos", "ref_len", "g0", "g1", "h0", "h1", F.col("sv_len").alias("true_len"))
+    t = written(t)
     m = E.use_once(I.match_exact(c, t, RUN), RUN)
     return E.roc(E.outcomes(c, m, t.select("site_id", "true_len"), RUN), t, RUN).withColumn("score", F.col("score").cast("long"))
 
