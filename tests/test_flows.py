@@ -80,3 +80,33 @@ def test_evaluation_by_position_by_tolerance_and_of_haploid_calls(spark, tmp_pat
     assert parts(tmp_path / "g") == [("failcall", "c"), ("genotype", "x"), ("genotype", "y")]
     with pytest.raises(ValueError, match="model none"):
         flows.evaluate_files(spark, truth, calls, str(tmp_path / "x"), "none")
+
+
+def test_query_inputs_on_files(spark):
+    """FASTA files of the queries hold the contigs and come from pieces; their VCF files are gzip, as their lines deflate a hundredfold."""
+    from varspan.plans import flow_queries as Q
+    from varspan.plans.views import view
+
+    small = "/root/testdata/sf0.001"
+    got = {}
+    for r in sorted(T.scan_contigs(spark, Q._fasta(spark, small), 1000).collect(), key=lambda r: (r.chrom, r.piece)):
+        got[r.chrom] = got.get(r.chrom, "") + bytes(r.bases).decode()
+    assert got == {r.chrom: r.seq for r in view(spark, small, "v_contigs").collect()}
+    lines = view(spark, small, "v_truth_lines")
+    files = spark.read.text(Q._vcf(spark, lines, "t")).inputFiles()
+    assert files and all(f.endswith(".gz") for f in files)
+
+
+def test_parts_of_an_evaluation_as_gzip(spark):
+    line = lambda k, pos, gt: (k, "\t".join(["chr1", str(pos), f"v{k}", "A", "C", ".", "PASS", ".", "GT", gt]))
+    from varspan.plans import flow_queries as Q
+
+    truth, calls = (Q._vcf(spark, spark.createDataFrame(rows, "ord long, line string"), "s") for rows in ([line(1, 5, "0/1"), line(2, 9, "1/1")], [line(1, 5, "0/1"), line(2, 7, "1/1")]))
+    found = []
+    for compressed in (False, True):
+        out = T.shared_folder(spark)
+        flows.evaluate_files(spark, truth, calls, out, compressed=compressed)
+        df = spark.read.schema("value string, part string").text(f"{out}/records")
+        assert all(f.endswith(".gz") == compressed for f in df.inputFiles())
+        found.append(sorted((r.part, r.value) for r in df.collect()))
+    assert found[0] == found[1] == sorted([("genotype", line(1, 5, "0/1")[1]), ("miscall", line(2, 7, "1/1")[1]), ("failcall", line(2, 9, "1/1")[1])])

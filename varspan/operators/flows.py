@@ -143,12 +143,12 @@ def merged_header(header: DataFrame, sample: str) -> DataFrame:
     return rest.unionByName(formats)
 
 
-def evaluate_files(spark: SparkSession, truth: str, calls: str, out: str, model: str = "genotype", score: str | None = None, roc_by: str = "genotype") -> None:
+def evaluate_files(spark: SparkSession, truth: str, calls: str, out: str, model: str = "genotype", score: str | None = None, roc_by: str = "genotype", compressed: bool = False) -> None:
     """A call set against truth, to folders below `out`: records (lines, by part: genotype, misgenotype, miscall, failcall), summary, histogram, roc.
 
     model: genotype (a call meets truth at its own position), recall (within tolerances, each truth row once), gramtools (haploid genotypes made
     diploid by coverage, then as genotype). score: FORMAT.<key> or INFO.<key>. roc_by: genotype, or recall for any match. Calls on chromosomes
-    that truth doesn't have are miscalls; a truth file that isn't sorted is an error."""
+    that truth doesn't have are miscalls; a truth file that isn't sorted is an error. compressed: the lines are written as gzip."""
     if model not in ("genotype", "recall", "gramtools") or roc_by not in ("genotype", "recall"):
         raise ValueError(f"evaluate: model {model}, roc_by {roc_by}")
     t_lines, c_lines = (checkpointed(_read(spark, p)[1]) for p in (truth, calls))
@@ -164,7 +164,7 @@ def evaluate_files(spark: SparkSession, truth: str, calls: str, out: str, model:
     hit = o.where("site_id is not null").select("site_id")
     missed = t.join(hit, "site_id", "left_anti").select(F.col("site_id").alias("ord"), F.lit("failcall").alias("part"))
     records = o.select(F.col("call_id").alias("ord"), F.col("outcome").alias("part")).join(c_lines, "ord").unionByName(missed.join(t_lines, "ord").select("ord", "part", "line"))
-    T.write_split(records, f"{out}/records", "part")
+    T.write_split(records, f"{out}/records", "part", codec="gzip" if compressed else "none")
     E.summary(o, t).write.parquet(f"{out}/summary")
     E.histogram(o, t).write.parquet(f"{out}/histogram")
     E.roc(o, t, by=roc_by).write.parquet(f"{out}/roc")

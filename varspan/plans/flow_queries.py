@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varspan.operators import flows
+from varspan.operators.intervals import CHUNK, ref_lookup
 from varspan.plans.record_queries import _SYMBOLIC, FIXED, sql_view
 from varspan.plans.table_queries import _C, _HAPS, _T, _VOTED, CALLERS
-from varspan.plans.views import oracle, view
+from varspan.plans.views import contig_pieces, oracle, view
 from varspan.sources import text as T
 
 QUERIES: dict = {}
@@ -24,17 +25,20 @@ def query(name: str, sql: str):
 
 
 def _vcf(spark, lines: DataFrame, names: str) -> str:
-    """Lines (ord, line) as a VCF file, sorted, with a header of the given samples."""
+    """Lines (ord, line) as a VCF file, gzip, sorted, with a header of the given samples."""
     p = F.split("line", "\t")
     head = spark.createDataFrame([(0, 0, "##fileformat=VCFv4.2"), (1, 0, "##contig=<ID=old,length=1>"), (2, 0, "\t".join([FIXED, names]))], "n int, ord long, line string")
-    path = T.shared_folder(spark)
+    path = T.shared_folder(spark) + ".gz"
     T.write_vcf(head, lines.select("ord", "line", F.get(p, F.lit(0)).alias("chrom"), F.get(p, F.lit(1)).cast("long").alias("pos")), path)
     return path
 
 
 def _fasta(spark, d) -> str:
+    """The contigs as FASTA files, lines of 60 bases, one contig after another from pieces: no row holds a contig."""
     path = T.shared_folder(spark)
-    T.write_fasta(view(spark, d, "v_contigs").select(F.col("chrom").alias("name"), "seq"), path, 60)
+    pieces = contig_pieces(spark, d, 60 * 128).repartition("chrom").sortWithinPartitions("chrom", "piece")
+    lines = F.regexp_replace(F.decode("bases", "UTF-8"), r"(.{60})(?=.)", "$1\n")
+    pieces.select(F.when(F.col("piece") == 0, F.concat(F.lit(">"), F.col("chrom"), F.lit("\n"), lines)).otherwise(lines).alias("value")).write.text(path)
     return path
 
 
@@ -43,10 +47,11 @@ def _lines(spark, path: str) -> DataFrame:
 
 
 #: Lines of two samples, one position in seven with a second record, some on no contig, some with an ALT that no sample has.
-_TWO = """SELECT site_id AS ord, site_id, chrom, pos, ref, alt, CASE WHEN site_id % 13 = 0 THEN 'chrX' ELSE chrom END AS named, CASE WHEN site_id % 3 = 0 THEN '0/0' ELSE '0/1' END AS s1,
+_FOLLOWS = """
+  SELECT a.*, substr(g.seq, CAST(a.pos + length(a.ref) AS INT), 1) AS follows FROM v_alleles a JOIN v_contigs g ON g.chrom = a.chrom WHERE a.site_id % 7 = 0 AND a.site_id % 13 <> 0 AND substr(a.ref, 1, 1) = substr(a.alt, 1, 1)"""
+_TWO = f"""SELECT site_id AS ord, site_id, chrom, pos, ref, alt, CASE WHEN site_id % 13 = 0 THEN 'chrX' ELSE chrom END AS named, CASE WHEN site_id % 3 = 0 THEN '0/0' ELSE '0/1' END AS s1,
   CASE WHEN site_id % 4 = 0 THEN './.' ELSE '1/1' END AS s2, 0 AS second FROM v_alleles
-UNION ALL SELECT site_id + 10000000000, site_id, chrom, pos, concat(ref, follows), concat(alt, 'GG'), chrom, '1/0', '0/1', 1 FROM (
-  SELECT a.*, substr(g.seq, CAST(a.pos + length(a.ref) AS INT), 1) AS follows FROM v_alleles a JOIN v_contigs g ON g.chrom = a.chrom WHERE a.site_id % 7 = 0 AND a.site_id % 13 <> 0 AND substr(a.ref, 1, 1) = substr(a.alt, 1, 1)) x"""
+UNION ALL SELECT site_id + 10000000000, site_id, chrom, pos, concat(ref, follows), concat(alt, 'GG'), chrom, '1/0', '0/1', 1 FROM ({_FOLLOWS}) x"""
 _TWO_LINES = f"""SELECT ord, concat_ws(chr(9), named, CAST(pos AS VARCHAR(20)), concat('v', CAST(ord AS VARCHAR(20))), ref, alt, '.', 'PASS',
   concat('END=', CAST(pos + length(ref) - 1 AS VARCHAR(20))), 'GT', s1, s2) AS line FROM ({_TWO}) w"""
 
@@ -65,9 +70,12 @@ SELECT concat_ws(chr(9), chrom, CAST(pos AS VARCHAR), concat('v', CAST(ord AS VA
 UNION ALL SELECT '##fileformat=VCFv4.2' UNION ALL SELECT concat('##contig=<ID=', chrom, ',length=', CAST(length(seq) AS VARCHAR), '>') FROM v_contigs
 UNION ALL SELECT concat_ws(chr(9), '{FIXED}', 's1', 's2')"""))
 def convert_files(spark, d):
-    """A VCF and a FASTA to a VCF fit for genotypers."""
-    path = T.shared_folder(spark)
-    flows.convert_files(spark, _vcf(spark, sql_view(spark, d, "v_alleles v_contigs", _TWO_LINES), "s1\ts2"), _fasta(spark, d), path)
+    """A VCF and a FASTA to a VCF fit for genotypers. The base after a REF is looked up in pieces: Spark's substr walks the contig up to it for each row."""
+    some = sql_view(spark, d, "v_alleles", "SELECT * FROM v_alleles a WHERE a.site_id % 7 = 0 AND a.site_id % 13 <> 0 AND substr(a.ref, 1, 1) = substr(a.alt, 1, 1)")
+    ref_lookup(some, contig_pieces(spark, d, CHUNK), F.col("pos") + F.length("ref"), F.lit(1), "follows").createOrReplaceTempView("v_follows")
+    lines = sql_view(spark, d, "v_alleles", _TWO_LINES.replace(f"({_FOLLOWS})", "v_follows"))
+    path = T.shared_folder(spark) + ".gz"
+    flows.convert_files(spark, _vcf(spark, lines, "s1\ts2"), _fasta(spark, d), path)
     return _lines(spark, path)
 
 
@@ -96,7 +104,7 @@ def merge_files(spark, d):
     files = {c: _vcf(spark, lines.where(F.col("caller") == c), "s0\ts1") for c in CALLERS}
     out = None
     for sample in ("s0", "s1"):
-        path = T.shared_folder(spark)
+        path = T.shared_folder(spark) + ".gz"
         flows.merge_files(spark, base, files, sample, path)
         rows = _lines(spark, path).where("not startswith(line, '#')").select(F.lit(sample).alias("sample"), "line")
         out = rows if out is None else out.unionByName(rows)
@@ -112,7 +120,7 @@ SELECT outcome AS part, line FROM o JOIN v_call_lines l ON l.ord = o.call_id UNI
 def evaluate_files(spark, d):
     """A VCF of calls against one of truth: the lines of each part."""
     path = T.shared_folder(spark)
-    flows.evaluate_files(spark, _vcf(spark, view(spark, d, "v_truth_lines"), "t"), _vcf(spark, view(spark, d, "v_call_lines"), "s"), path, score="FORMAT.GQ")
+    flows.evaluate_files(spark, _vcf(spark, view(spark, d, "v_truth_lines"), "t"), _vcf(spark, view(spark, d, "v_call_lines"), "s"), path, score="FORMAT.GQ", compressed=True)
     return spark.read.schema("value string, part string").text(f"{path}/records").select("part", F.col("value").alias("line"))
 
 
@@ -125,5 +133,5 @@ FROM g LEFT JOIN tc ON tc.class = g.class WINDOW w AS (PARTITION BY g.class ORDE
 def evaluate_recall_roc(spark, d):
     """The ROC table of a file against truth, with any match a hit."""
     path = T.shared_folder(spark)
-    flows.evaluate_files(spark, _vcf(spark, view(spark, d, "v_truth_lines"), "t"), _vcf(spark, view(spark, d, "v_call_lines"), "s"), path, score="FORMAT.GQ", roc_by="recall")
+    flows.evaluate_files(spark, _vcf(spark, view(spark, d, "v_truth_lines"), "t"), _vcf(spark, view(spark, d, "v_call_lines"), "s"), path, score="FORMAT.GQ", roc_by="recall", compressed=True)
     return spark.read.parquet(f"{path}/roc").select("class", "score", "tp", "fp", "fn")

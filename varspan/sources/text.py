@@ -122,9 +122,9 @@ def write_vcf(header: DataFrame, body: DataFrame, path: str, order: tuple[str, .
     put(body, 1, order)
 
 
-def write_split(df: DataFrame, path: str, by: str, line: str = "line") -> None:
-    """One folder of lines for each class."""
-    df.select(F.col(by), F.col(line).alias("value")).write.partitionBy(by).text(path)
+def write_split(df: DataFrame, path: str, by: str, line: str = "line", codec: str = "none") -> None:
+    """One folder of lines for each class; codec: none or gzip."""
+    df.select(F.col(by), F.col(line).alias("value")).write.partitionBy(by).option("compression", codec).text(path)
 
 
 def scan_fasta(spark: SparkSession, path: str) -> DataFrame:
