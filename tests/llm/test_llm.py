@@ -670,3 +670,20 @@ def test_oracles(spark):
     con = connect(SMALL)
     for name, sql in queries.ORACLES.items():
         assert compare(spark, con, name, queries.QUERIES[name], sql, SMALL) == []
+
+
+def test_rounds_of_trust_write_few_files(spark):
+    """A small graph is handed on by one task, however many partitions a shuffle has."""
+    keys = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in keys}
+    edges = spark.createDataFrame([(f"h{k}", f"h{k + 1}", 1.0) for k in range(100)], "src string, dst string, weight double")
+    seeds = spark.createDataFrame([("h0", 1, 0), ("h90", 0, 1)], "host string, n_allow long, n_block long")
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        ranks = op05_url_trust.propagate(edges, seeds)
+        assert len(ranks.inputFiles()) == 1
+        assert ranks.count() > 2
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

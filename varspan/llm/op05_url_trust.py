@@ -35,6 +35,8 @@ SUFFIXES = (
 DAMPING, ROUNDS, RATIO = 0.85, 8, 1.0
 #: Summed change of ranks over LOOK rounds, of which each kind has 1 in all, below which propagation has settled.
 TOLERANCE, LOOK = 1e-5, 8
+#: Shares of edges that one task of a round hands on.
+EDGES = 100_000
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _LINK = r"""(?i)(?:href|src)\s*=\s*["']?(?:https?:)?//([^/"'?#\s>]+)"""
 
@@ -75,22 +77,24 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int | None = ROUNDS, d
     flow = written(both.join(out, ["kind", "u"]).select("kind", "u", "v", (F.col("weight") / F.col("total")).alias("share")))
     # cached as dealt out; a lost part is read again from what is written
     flow = flow.repartition(int(flow.sparkSession.conf.get("spark.sql.shuffle.partitions")), "kind", "u").persist()
+    # a round writes a file a task: as many tasks as the edges need, not as many as there are partitions
+    tasks = 1 + flow.count() // EDGES
     mass = seeds.select("host", F.explode(F.create_map(F.lit("trust"), "n_allow", F.lit("distrust"), "n_block")).alias("kind", "n")).where("n > 0")
     total = mass.groupBy("kind").agg(F.sum("n").alias("total"))
-    seed = written(mass.join(F.broadcast(total), "kind").select("kind", F.col("host").alias("u"), (F.col("n") / F.col("total")).alias("rank")))  # two rows
+    seed = written(mass.join(F.broadcast(total), "kind").select("kind", F.col("host").alias("u"), (F.col("n") / F.col("total")).alias("rank")).coalesce(tasks))  # two rows
     rank = last = seed
     for k in count() if rounds is None else range(rounds):
         moved = flow.join(rank, ["kind", "u"]).select("kind", F.col("v").alias("u"), (F.col("share") * F.col("rank") * damping).alias("rank"))
-        rank = moved.unionByName(seed.select("kind", "u", (F.col("rank") * (1 - damping)).alias("rank"))).groupBy("kind", "u").agg(F.sum("rank").alias("rank"))
+        rank = moved.unionByName(seed.select("kind", "u", (F.col("rank") * (1 - damping)).alias("rank"))).coalesce(tasks).groupBy("kind", "u").agg(F.sum("rank").alias("rank"))
         if k % LOOK == LOOK - 1:
-            rank = written(rank)
+            rank = written(rank.coalesce(tasks))
             if rounds is None:
                 change = rank.unionByName(last.select("kind", "u", (-F.col("rank")).alias("rank"))).groupBy("kind", "u").agg(F.sum("rank").alias("d")).groupBy("kind").agg(F.sum(F.abs("d")).alias("d"))
                 if all(r.d < tolerance for r in change.collect()):  # two rows
                     break
                 last = rank
     one = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("rank"))), F.lit(0.0)).alias(kind)
-    ranks = written(rank.groupBy(F.col("u").alias("host")).agg(one("trust"), one("distrust")))
+    ranks = written(rank.groupBy(F.col("u").alias("host")).agg(one("trust"), one("distrust")).coalesce(tasks))
     flow.unpersist()
     return ranks
 
