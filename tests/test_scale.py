@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_operators import truth_scan
 
+from varspan.functions import variant as V
 from varspan.operators import convert as C
 from varspan.operators import evaluate as E
 from varspan.operators import intervals as I
@@ -269,3 +270,27 @@ def test_a_line_is_split_once(spark):
     r = E.from_records(T.records(lines), "FORMAT.GQ")
     assert r._jdf.queryExecution().optimizedPlan().toString().count("split(line") == 1
     assert [(x.ord, x.pos, x.g0, x.g1, x.score) for x in r.collect()] == [(1, 5, 0, 1, 7.0)]
+
+
+def test_a_line_is_made_once(spark):
+    """The filter on a line's first letter doesn't make the line again below a join, and convert_vcf broadcasts no records."""
+    side = lambda name: spark.range(9).select("id", F.concat_ws("\t", F.lit("chr1"), F.col("id") + 1, *map(F.lit, "vAC.P.G"), F.lit("0/1")).alias(name))
+    lines = side("x").join(side("y").hint("merge"), "id").select(F.col("id").alias("ord"), F.upper(F.concat("x", F.lit("\t"), "y")).alias("line"))
+    assert T.records(lines)._jdf.queryExecution().optimizedPlan().toString().count("upper(") == 1
+    plan = catalog.QUERIES["convert_vcf"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "BroadcastHashJoin [ord#" in x or "BroadcastHashJoin [chrom#" in x and "pos#" in x]
+
+
+def test_convert_looks_up_once(spark):
+    """REF and the base before it by one lookup, as fix_ref, fix_info and anchoring by two."""
+    rng = random.Random(7)
+    bases = lambda n: "".join(rng.choices("ACGTacgt", k=n))
+    spots = [*range(-1, 5), *range(95, 104), *(rng.randrange(5, 95) for _ in range(60))]
+    rows = [(k, "chrX" if k % 11 == 10 else "chr1", p, bases(n := rng.randrange(0, 5)), [bases(rng.randrange(1, 4)) for _ in range(rng.randrange(3))], f"SVLEN=3;END={p}", p + n - 1) for k, p in enumerate(spots * 3)]
+    df = spark.createDataFrame(rows, "ord long, chrom string, pos long, ref string, alts array<string>, info string, ref_end long")
+    contigs = spark.createDataFrame([("chr1", bases(100))], "chrom string, seq string")
+    want = C._anchored(C.fix_info(C.fix_ref(df, contigs).drop("changed")), contigs)
+    assert sorted(C._fixed_and_anchored(df, contigs).select(*want.columns).collect()) == sorted(want.collect())
+    texts = [".", "0", "1", "./.", "1/.", "0|2", "x", "", "1/2/3", "x|1", "10/."]
+    g = spark.createDataFrame([(t,) for t in texts], "t string").select(V.diploid_alleles(F.col("t")).alias("a"), F.transform(F.split(V.gt_diploid(F.col("t")), r"\|"), lambda a: a.try_cast("int")).alias("b"))
+    assert all(r.a == r.b for r in g.collect())

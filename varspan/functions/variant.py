@@ -37,7 +37,8 @@ def info_number(info: Column, key: str) -> Column:
 
 def alleles(gt: Column) -> Column:
     """Allele numbers of a genotype text; `.` and bad numbers are null."""
-    return F.transform(F.split(gt, r"[/|]"), lambda x: x.try_cast("int"))
+    # split at one character: a class of characters would be compiled anew for each sample; a `.` that is cast is an exception caught
+    return F.transform(F.split(F.translate(gt, "|", "/"), "/"), lambda x: F.when(x != ".", x.try_cast("int")))
 
 
 def gt_parse(format_: Column, sample: Column) -> Column:
@@ -63,6 +64,12 @@ def gt_diploid(gt: Column) -> Column:
     return F.when(F.size(a) == 1, F.concat(a[0], F.lit("|0"))).otherwise(F.array_join(F.slice(a, 1, 2), "|"))
 
 
+def diploid_alleles(gt: Column) -> Column:
+    """The two allele numbers of gt_diploid(); `.` is 0, a bad number null."""
+    a = F.transform(F.split(F.translate(gt, "|", "/"), "/"), lambda x: F.when(x == ".", F.lit(0)).otherwise(x.try_cast("int")))
+    return F.slice(F.concat(a, F.array(F.lit(0))), 1, 2)
+
+
 def depths(format_: Column, sample: Column) -> Column:
     """Depth list of a sample: key DP, else MAC, else KC; -1 is 0; absent or bad is [0, 0]; one value serves both alleles."""
     text = F.coalesce(*[field(format_, sample, k) for k in ("DP", "MAC", "KC")])

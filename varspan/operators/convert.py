@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from varspan.functions.variant import alleles, field, gt_diploid, info_number
+from varspan.functions.variant import alleles, diploid_alleles, field, info_number
 from varspan.operators.intervals import ref_lookup
 from varspan.operators.order import running
 
@@ -72,17 +72,36 @@ def fix_ref(df: DataFrame, contigs: DataFrame) -> DataFrame:
     return j.withColumns({"changed": F.coalesce(new != F.col("ref"), F.lit(False)), "ref": F.coalesce(new, "ref")}).drop("bases_at")
 
 
-def _anchored(df: DataFrame, contigs: DataFrame) -> DataFrame:
-    """Records whose first bases differ (and aren't SNPs) moved one base back, for each such ALT in turn."""
+def _steps() -> Column:
+    """How far anchoring moves a record back: one base, or none."""
     steps = F.aggregate(
         F.transform("alts", lambda a: F.struct(F.substring(a, 1, 1).alias("b"), F.length(a).alias("n"))), F.struct(F.lit(0).alias("k"), F.substring("ref", 1, 1).alias("b")),
         # once moved, every ALT begins with the reference base, so later ones don't differ
         lambda s, a: F.when((s["k"] == 0) & (a["b"] != s["b"]) & ((a["n"] > 1) | (F.length("ref") > 1)), F.struct((s["k"] + 1).alias("k"), s["b"].alias("b"))).otherwise(s),
     )["k"]
-    d = df.withColumn("_k", F.when(F.size("alts") > 0, steps).otherwise(F.lit(0)))
+    return F.when(F.size("alts") > 0, steps).otherwise(F.lit(0))
+
+
+def _moved(df: DataFrame, base: Column) -> DataFrame:
+    """Records moved `_k` bases back, with the base that stands there before their alleles."""
+    return df.withColumns({"pos": F.col("pos") - F.col("_k"), "ref": F.concat(base, F.col("ref")), "alts": F.transform("alts", lambda a: F.concat(base, a))}).drop("_k", "_base")
+
+
+def _anchored(df: DataFrame, contigs: DataFrame) -> DataFrame:
+    """Records whose first bases differ (and aren't SNPs) moved one base back, for each such ALT in turn."""
+    d = df.withColumn("_k", _steps())
     j = ref_lookup(d, contigs, F.greatest(F.col("pos") - F.col("_k"), F.lit(1)), F.col("_k"), "_base")
-    base = F.coalesce(F.col("_base"), F.lit(""))
-    return j.withColumns({"pos": F.col("pos") - F.col("_k"), "ref": F.concat(base, F.col("ref")), "alts": F.transform("alts", lambda a: F.concat(base, a))}).drop("_k", "_base")
+    return _moved(j, F.coalesce(F.col("_base"), F.lit("")))
+
+
+def _fixed_and_anchored(df: DataFrame, contigs: DataFrame) -> DataFrame:
+    """fix_ref() and fix_info(), then _anchored(), by one lookup: of the bases of REF and of the one before them."""
+    n, first = F.length("ref"), F.greatest(F.col("pos") - 1, F.lit(1))
+    j = ref_lookup(df, contigs, first, F.greatest(F.col("pos") + n - first, F.lit(1)), "_bases")
+    own = F.when(F.col("pos") > 1, F.substring("_bases", F.lit(2), n)).otherwise(F.substring("_bases", F.lit(1), F.greatest(F.col("pos") + n - 1, F.lit(0)).cast("int")))
+    j = j.withColumns({"_own": own, "_base": F.substring("_bases", 1, 1)}).drop("_bases")
+    j = fix_info(j.withColumn("ref", F.coalesce(F.when((F.col("_own") != F.col("ref")) & (F.upper("_own") != F.upper("ref")), F.col("_own")), "ref")).drop("_own"))
+    return _moved(j.withColumn("_k", _steps()), F.when(F.col("_k") > 0, F.coalesce("_base", F.lit(""))).otherwise(F.lit("")))
 
 
 def anchor_alleles(df: DataFrame, contigs: DataFrame) -> DataFrame:
@@ -109,11 +128,11 @@ def trim_alleles(df: DataFrame) -> DataFrame:
 
 def _row_maf(record: DataFrame) -> DataFrame:
     """Adds _maf, _missing and _called of a record's own genotypes (gts, array of arrays; null alleles are missing)."""
-    held = F.filter(F.flatten("gts"), lambda a: a.isNotNull())
-    counts = F.array_sort(F.transform(F.array_distinct(held), lambda a: -F.size(F.filter(held, lambda b: b == a))))
+    record = record.withColumn("_held", F.filter(F.flatten("gts"), lambda a: a.isNotNull()))  # a column: counted in the loop, not made there
+    counts = F.array_sort(F.transform(F.array_distinct("_held"), lambda a: -F.size(F.filter("_held", lambda b: b == a))))
     n, absent = F.size("gts"), F.size(F.filter("gts", lambda g: F.exists(g, lambda a: a.isNull())))
     ploidy = F.array_max(F.transform("gts", lambda g: F.size(g)))
-    return record.withColumns({"_maf": -F.coalesce(F.get(counts, F.lit(1)), F.lit(0)) / (ploidy * n), "_missing": absent / n, "_called": n - absent})
+    return record.withColumns({"_maf": -F.coalesce(F.get(counts, F.lit(1)), F.lit(0)) / (ploidy * n), "_missing": absent / n, "_called": n - absent}).drop("_held")
 
 
 def convert(records: DataFrame, contigs: DataFrame, columns: int | Column, read_length: int = READ_LENGTH, maf: float = 0.0, missing: float = 1.0) -> DataFrame:
@@ -127,9 +146,10 @@ def convert(records: DataFrame, contigs: DataFrame, columns: int | Column, read_
 
     lens = _lengths(contigs)
     near = read_length if read_length <= LONG_READ else 0
-    gt_at = F.array_position(F.split("format", ":"), "GT")
+    gt_at = F.col("gt_at")  # a column, so that it is found once a record and not once a sample
     raw = F.transform("samples", lambda s: F.coalesce(F.get(F.split(s, ":"), (gt_at - 1).cast("int")), F.lit("0|0")))
-    d = records.join(lens, F.col("chrom") == F.col("c_chrom"), "left").withColumn("raw", F.when(gt_at > 0, raw))
+    d = records.withColumn("gt_at", F.array_position(F.split("format", ":"), "GT"))
+    d = d.join(lens, F.col("chrom") == F.col("c_chrom"), "left").withColumn("raw", F.when(gt_at > 0, raw))
     d = d.withColumn("gts", F.transform("raw", lambda g: alleles(g)))
     rare = F.lit(False)
     if maf > 0 and missing < 1:
@@ -145,10 +165,10 @@ def convert(records: DataFrame, contigs: DataFrame, columns: int | Column, read_
         .when(F.col("pos") < near, "near_start")
         .when(F.col("ref_end") > F.col("c_len"), "beyond_end")
     )
-    d = checkpointed(d.withColumn("reject_reason", reason).drop("_maf", "_missing", "_called"))  # read by both branches
+    held = ("ord", "chrom", "pos", "id", "ref", "alts", "qual_text", "filter", "info", "ref_end", "c_len", "raw", "gts")
+    d = checkpointed(d.withColumn("reject_reason", reason).select(*held, "reject_reason"))  # read by both branches
     good, bad = d.where("reject_reason is null"), d.where("reject_reason is not null")
-    good = fix_info(fix_ref(good, contigs).drop("changed"))
-    moved = _anchored(good, contigs)
+    moved = _fixed_and_anchored(good, contigs)
     top = F.coalesce(F.array_max(F.flatten("gts")), F.lit(0))
     odd = F.exists("alts", lambda a: (a == F.col("ref")) | a.rlike("[^ATGCNatgcn]"))
     late = (
@@ -157,17 +177,17 @@ def convert(records: DataFrame, contigs: DataFrame, columns: int | Column, read_
         .when(top > F.size("alts"), "gt_index")
         .when(F.col("ref_end") == F.col("c_len"), "beyond_end")
     )
-    moved = moved.withColumns({"reject_reason": late, "gts": F.transform(F.transform("raw", gt_diploid), lambda g: F.transform(F.split(g, r"\|"), lambda a: a.try_cast("int")))})
-    moved = checkpointed(moved.drop("samples", "raw"))
+    moved = moved.withColumns({"reject_reason": late, "gts": F.transform("raw", diploid_alleles)})
+    moved = checkpointed(moved.drop("raw"))
     kept, bad2 = moved.where("reject_reason is null"), moved.where("reject_reason is not null")
     fixed = F.struct("id", "qual_text", "filter", "info")
     merged = trim_alleles(merge_loci(kept.select("chrom", "pos", "ord", "ref", "alts", "gts")))
-    merged = merged.join(kept.select("ord", fixed.alias("f")), "ord")
+    merged = merged.hint("merge").join(kept.select("ord", fixed.alias("f")).hint("merge"), "ord")  # of long alleles that deflate well: not broadcast
     line = F.concat_ws("\t", "chrom", F.col("pos").cast("string"), "f.id", "ref", F.array_join("alts", ","), "f.qual_text", "f.filter", "f.info", F.lit("GT"), F.array_join(F.transform("gts", lambda g: F.array_join(g, "|")), "\t"))
     last = F.when(F.size("alts") == 0, "no_alt").when(F.size(F.array_distinct("alts")) < F.size("alts"), "repeated")
     out = merged.select("ord", "chrom", "pos", last.alias("reject_reason"), F.when(last.isNull(), line).alias("line"))
     first = kept.groupBy("chrom", "pos").agg(F.min("ord").alias("first"))
-    swallowed = kept.select("ord", "chrom", "pos").join(first, ["chrom", "pos"]).where("ord > first").select("ord", "chrom", "pos").withColumns({"reject_reason": F.lit("merged"), "line": F.lit(None).cast("string")})
+    swallowed = kept.select("ord", "chrom", "pos").join(first.hint("merge"), ["chrom", "pos"]).where("ord > first").select("ord", "chrom", "pos").withColumns({"reject_reason": F.lit("merged"), "line": F.lit(None).cast("string")})
     gone = bad.select("ord", "chrom", "pos", "reject_reason").unionByName(bad2.select("ord", "chrom", "pos", "reject_reason")).withColumn("line", F.lit(None).cast("string"))
     return out.unionByName(swallowed).unionByName(gone)
 
@@ -202,11 +222,11 @@ def merge_loci(df: DataFrame, key: tuple[str, ...] = ("chrom", "pos")) -> DataFr
     plain = df.select(*key, "ord", "ref", "alts", "gts")
     stats = plain.groupBy(*key).agg(F.count("*").alias("n_rows"), F.min("ord").alias("first"), F.max_by("ref", F.struct(F.length("ref"), F.col("ord"))).alias("long_ref"))
     same = lambda a, b: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in key]
-    both = plain.alias("r").join(stats.alias("s"), same("r", "s")).select("r.*", "s.n_rows", "s.first", "s.long_ref")
+    both = plain.alias("r").join(stats.hint("merge").alias("s"), same("r", "s")).select("r.*", "s.n_rows", "s.first", "s.long_ref")
     one = both.where("n_rows = 1").select(*key, "n_rows", "ord", "ref", "alts", "gts")
     many = checkpointed(both.where("n_rows > 1").withColumn("n_alts", F.size("alts")))  # read four times
     offsets = running(many.select(*key, "ord", "n_alts"), list(key), ["ord"], ["n_alts"]).select(F.col("ord").alias("o_ord"), (F.col("n_alts_upto") - F.col("n_alts")).cast("int").alias("before"))
-    many = many.join(offsets, F.col("ord") == F.col("o_ord")).drop("o_ord")
+    many = many.join(offsets.hint("merge"), F.col("ord") == F.col("o_ord")).drop("o_ord")
     rest = F.substring("long_ref", F.length("ref") + 1, F.length("long_ref"))
     own = many.select(*key, "ord", F.transform("alts", lambda a: F.concat(a, rest)).alias("alts"))
     alts = own.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("ord", "alts"))).alias("a")).select(*key, F.flatten(F.transform("a", lambda x: x["alts"])).alias("alts"))  # the merged record's own

@@ -464,8 +464,8 @@ UNION ALL SELECT site_id + 10000000000, CASE WHEN reason IS NULL THEN 'merged' E
   CASE WHEN reason IS NOT NULL THEN concat_ws(chr(9), chrom, CAST(pos AS VARCHAR), 'second', concat(ref, follows), concat(alt, 'GG'), '7', 'PASS', '.', 'GT', fresh) END FROM h WHERE two"""))
 def convert_vcf(spark, d):
     lines = sql_view(spark, d, "v_lines v_alleles v_genotypes", _FAULTY)
-    samples = view(spark, d, "v_genotypes").select("site_id", (F.regexp_count("gts", F.lit(",")) + 10).alias("columns"))
-    r = T.records(lines, strict=False).join(samples, F.col("ord") % 10_000_000_000 == F.col("site_id"))
+    samples = view(spark, d, "v_panel").groupBy("site_id").agg((F.count("*") + len(T.FIXED)).alias("columns"))
+    r = T.records(lines, strict=False).join(samples.hint("merge"), F.col("ord") % 10_000_000_000 == F.col("site_id"))
     return C.convert(r, contig_pieces(spark, d, CHUNK), F.col("columns"), maf=0.25, missing=0.15).select("ord", "reject_reason", "line")
 
 

@@ -65,8 +65,9 @@ def records(lines: DataFrame, line: str = "line", ord_: str = "ord", strict: boo
     """VCF records of tab-separated lines: fixed columns, alts and samples as arrays, and derived lengths. Header lines start with
     `#`. Lines with fewer than nine columns are an error, or where not strict records without the columns that are missing."""
     # exploded, so that no filter on a field is taken below the split and splits the line again
-    p = F.explode(F.array(F.split(F.col(line), "\t")))
-    rows = lines.where(~F.col(line).startswith("#")).select(F.col(ord_).alias("ord"), p.alias("p"))
+    p = F.explode(F.array(F.split(F.col("line"), "\t")))
+    # and the line likewise, so that the filter on it isn't taken below and makes the line again
+    rows = lines.select(F.col(ord_).alias("ord"), F.explode(F.array(line)).alias("line")).where(~F.col("line").startswith("#")).select("ord", p.alias("p"))
     if strict:
         rows = rows.withColumn("p", F.when(F.size("p") >= len(FIXED), F.col("p")).otherwise(F.raise_error(F.concat(F.lit("fewer than 9 columns: "), F.array_join("p", "\t"))).cast("array<string>")))
     at = lambda k: F.get("p", k)
