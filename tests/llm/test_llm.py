@@ -81,6 +81,16 @@ def test_repeats_of_hot_texts(spark, odd, monkeypatch):
     assert repeats(docs) == brute_repeats([(r.doc_id, r.text) for r in docs.collect()])
 
 
+def test_hot_texts_are_a_share_of_the_rows(spark):
+    """The same texts at two sizes of the input, and few of them."""
+    rows = [(k, k, 0, 200 if k < 3 else 1 + k % 9) for k in range(2000)]
+    for x in (1, 100):
+        first = spark.createDataFrame([(b, t, i, n * x) for b, t, i, n in rows], "bucket long, text long, first long, n long")
+        assert {r.text for r in op02_repeats.hot_texts(first).collect()} >= {0, 1, 2}
+        assert op02_repeats.hot_texts(first).count() <= op02_repeats.HOT_TEXTS
+    assert op02_repeats.hot_texts(spark.createDataFrame([(1, 1, 0, 200)], first.schema)).count() == 1
+
+
 def test_repeats_without_filters(spark, odd, monkeypatch):
     monkeypatch.setattr(op02_repeats, "FILTER_BITS", 0)
     assert repeats(odd) == brute_repeats(dict(TEXTS).items())

@@ -40,8 +40,8 @@ LENGTH, GRAM = 100, 32
 STEP = 1 << 17
 #: Neighbouring windows in a group.
 GROUP = 12
-#: Texts with more rows than this, and than one in HOT_TEXTS of all, are told to all rows; there are no more than HOT_TEXTS.
-HOT_ROWS, HOT_TEXTS = 1000, 100_000
+#: Texts with more rows than one in HOT_TEXTS of all, and than a few, are told to all rows; there are no more than HOT_TEXTS.
+HOT_ROWS, HOT_TEXTS = 10, 10_000
 #: Bits of a filter for each key, and at most; beyond, keys are joined.
 FILTER_X, FILTER_BITS = 32, 1 << 29
 _M = mix(np.arange(1, 9, dtype=np.uint64)) | np.uint64(1)
@@ -254,6 +254,12 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(rows[0], pa.int64()), pa.array(rows[1], kind), pa.array(rows[2], pa.binary())], ["doc_id", "n_bytes", "spans", "kept"])
 
 
+def hot_texts(first: DataFrame) -> DataFrame:
+    """Texts that have more than a share of all rows: a group in proportion to the input is hot at every size of it."""
+    total = first.agg(F.sum("n")).first()[0] or 0
+    return first.where(F.col("n") > max(HOT_ROWS, total // HOT_TEXTS))
+
+
 def _level(docs: DataFrame, tables: list, keys: DataFrame, keyed: bool) -> tuple[DataFrame, DataFrame]:
     """One refinement: (i, k, at) of the rows that repeat an earlier one of their bucket, and the keys of first rows in buckets with
     different texts. All sides grow with the input, so none is ever broadcast, however small the input."""
@@ -261,8 +267,7 @@ def _level(docs: DataFrame, tables: list, keys: DataFrame, keyed: bool) -> tuple
     rows = written((rows if tables[-1] is not None else rows.join(keys, "key", "left_semi")).drop("key"))
     first = written(rows.groupBy("bucket", "text").agg(F.min("i").alias("first"), F.count("*").alias("n")))
     # texts of very many rows are few, by the bound: they go to the rows, and no key of the shuffled join is hot
-    total = first.agg(F.sum("n")).first()[0] or 0
-    hot = F.broadcast(first.where(F.col("n") > max(HOT_ROWS, total // HOT_TEXTS)).drop("n"))
+    hot = F.broadcast(hot_texts(first).drop("n"))
     often, others = rows.join(hot, ["bucket", "text"]), rows.join(hot, ["bucket", "text"], "left_anti")
     others = others.join(first.where("n > 1").drop("n").hint("merge"), ["bucket", "text"])
     found = often.unionByName(others).where(F.col("again") | (F.col("i") > F.col("first"))).select("i", "k", "at")
