@@ -27,7 +27,7 @@ from varspan.llm.common import tidied, with_columns_of, written
 
 WINDOW, CLOSING_ID = 1024, 0
 #: Bytes of text that one step encodes, and the characters of strings whose ids a Python worker keeps before it starts afresh.
-STEP, KEPT = 1 << 22, 4 << 20
+STEP, KEPT = 1 << 21, 1 << 20
 #: Missing words that are encoded as one string.
 JOINED = 500
 #: Pieces that have neither white space nor separators at an end, and those of Latin letters alone with stops after them.
