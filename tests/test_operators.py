@@ -1,6 +1,7 @@
 """Operators on hand-made rows, and those without an oracle against a plain scan."""
 
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -172,6 +173,20 @@ def test_scan_fastq_query_runs_over_several_files(spark, monkeypatch):
     assert seen[0].where("seq2 <> reverse(seq)").count() == 0
 
 
+def test_scan_fastq_shuffles_texts_once_and_writes_gzip(spark, monkeypatch):
+    from varspan.plans import record_queries as R
+
+    seen, plain = [], T.scan_fastq
+    monkeypatch.setattr(T, "scan_fastq", lambda s, *paths: seen.extend(paths) or plain(s, *paths))
+    df = R.QUERIES["scan_fastq"](spark, "/root/testdata/sf0.001")
+    files = [f for p in seen for f in spark.read.text(p).inputFiles()]
+    assert len(files) > 2 and all(f.endswith(".gz") for f in files)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    of_texts = [x for x in plan.splitlines() if re.search(r"Join |Aggregate ", x) and "seq" in x]
+    assert len(of_texts) == 1 and "Aggregate" in of_texts[0]
+    assert "SortMergeJoin" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_lookup_over_pieces_of_a_contig(spark):
     seq = "".join(random.Random(2).choices("ACGT", k=1000))
     rows = [(k, "chr1" if k % 9 else "chrX", p, n) for k, (p, n) in enumerate([(1, 1), (1, 0), (16, 2), (17, 16), (1, 1000), (990, 50), (500, 333), (1000, 1), (-3, 10), (33, 32)])]

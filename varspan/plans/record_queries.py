@@ -88,10 +88,11 @@ def scan_fasta(spark, d):
 @query("scan_fastq", oracle("v_reads", "SELECT name, md5(seq) AS seq_md5, CAST(length(seq) AS BIGINT) AS seq_len, CAST(length(seq) AS BIGINT) AS qual_len, CAST(length(seq) AS BIGINT) AS mate_len FROM v_reads"))
 def scan_fastq(spark, d):
     path, mates, reads = T.shared_folder(spark), T.shared_folder(spark), view(spark, d, "v_reads")
-    n = 8 + reads.count() // 10_000  # files of a few thousand reads; both mates of a read go to one part, in one order
-    reads = reads.withColumn("part", F.pmod(F.xxhash64("idx"), F.lit(n))).repartition(n, "part").sortWithinPartitions("part", "idx", "name", "seq")
-    reads.select("part", T.fastq_record(F.col("name"), F.col("seq")).alias("value")).write.partitionBy("part").text(path)
-    reads.select("part", T.fastq_record(F.concat("name", F.lit("/2")), F.reverse("seq")).alias("value")).write.partitionBy("part").text(mates)
+    n = reads.count()
+    # files of a few thousand reads; both writes take the same splits in the same order, so a read and its mate are in files of one rank
+    put = lambda name, seq, to: reads.select(T.fastq_record(name, seq).alias("value")).write.option("maxRecordsPerFile", n // (8 + n // 10_000) + 1).option("compression", "gzip").text(to)
+    put(F.col("name"), F.col("seq"), path)
+    put(F.concat("name", F.lit("/2")), F.reverse("seq"), mates)
     n = lambda c: F.length(c).cast("long")
     return T.scan_fastq(spark, path, mates).select("name", F.md5("seq").alias("seq_md5"), n("seq").alias("seq_len"), n("qual").alias("qual_len"), n("seq2").alias("mate_len"))
 

@@ -44,13 +44,13 @@ def ranked(df: DataFrame, *order: str, name: str = "rank") -> DataFrame:
 
 def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file, line_no, value) of text files. Each split's lines are counted, counts are summed up within a file; no
-    window goes over the lines themselves."""
+    window goes over the lines themselves. The sums, a row a split, are broadcast, so no line is shuffled."""
     text = spark.read.text(path) if isinstance(path, str) else spark.read.option("recursiveFileLookup", "true").text(path)  # folders of several roots
     raw = text.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("m"))
     blocks = raw.groupBy("file", "block").agg(F.min("m").alias("first"), F.count("*").alias("n"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     base = blocks.select("file", "block", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"))
-    return raw.join(base, ["file", "block"]).select("file", (F.col("m") + F.col("shift")).alias("line_no"), "value")
+    return raw.join(F.broadcast(base), ["file", "block"]).select("file", (F.col("m") + F.col("shift")).alias("line_no"), "value")
 
 
 def lines_of(spark: SparkSession, path: str) -> DataFrame:
@@ -216,22 +216,20 @@ def mate_files(spark: SparkSession, path: str, mates: str) -> DataFrame:
 
 def scan_fastq(spark: SparkSession, path: str, mates: str | None = None) -> DataFrame:
     """(file, idx, name, seq, qual[, seq2, qual2]): four lines a read; mates are joined by pair of files and index, so the shorter
-    file of a pair ends both."""
-
-    def one(p: str) -> DataFrame:
-        part = F.col("line_no") % 4
-        of = lambda k: F.max(F.when(part == k, F.col("value")))
-        reads = numbered_lines(spark, p).groupBy("file", F.floor(F.col("line_no") / 4).alias("idx"))
-        return reads.agg(F.substring_index(F.substring(of(0), 2, 1 << 30), " ", 1).alias("name"), of(1).alias("seq"), of(3).alias("qual"))
-
-    first = one(path)
+    file of a pair ends both. Lines of a read, and of its mate, meet in one grouping: each text is shuffled once."""
+    name = lambda head: F.substring_index(F.substring(head, 2, 1 << 30), " ", 1).alias("name")
+    lines = lambda p: numbered_lines(spark, p).select("file", F.floor(F.col("line_no") / 4).alias("idx"), (F.col("line_no") % 4).alias("k"), "value")
+    of = lambda k, side=F.lit(True): F.max(F.when((F.col("k") == k) & side, F.col("value")))
     if mates is None:
-        return first
+        return lines(path).groupBy("file", "idx").agg(name(of(0)), of(1).alias("seq"), of(3).alias("qual"))
     files = F.broadcast(mate_files(spark, path, mates))  # a row a file, of lists that the driver has anyway
     no_pair = F.raise_error(F.concat(F.lit("no pair for "), F.col("file"))).cast("long")
-    paired = lambda df: df.withColumn("file", F.replace("file", F.lit(":///"), F.lit(":/"))).join(files, "file", "left").withColumn("pair", F.coalesce("pair", no_pair))
-    second = paired(one(mates)).select("pair", "idx", F.col("seq").alias("seq2"), F.col("qual").alias("qual2"))
-    return paired(first).join(second, ["pair", "idx"]).select("file", "idx", "name", "seq", "qual", "seq2", "qual2")
+    both = lines(path).withColumn("mate", F.lit(False)).unionByName(lines(mates).withColumn("mate", F.lit(True)))
+    both = both.withColumn("file", F.replace("file", F.lit(":///"), F.lit(":/"))).join(files, "file", "left").withColumn("pair", F.coalesce("pair", no_pair))
+    own, other = ~F.col("mate"), F.col("mate")
+    texts = [name(of(0, own)), of(1, own).alias("seq"), of(3, own).alias("qual"), of(1, other).alias("seq2"), of(3, other).alias("qual2")]
+    reads = both.groupBy("pair", "idx").agg(F.max(F.when(own, F.col("file"))).alias("file"), *texts, F.bool_or("mate").alias("some"), F.bool_and("mate").alias("all"))
+    return reads.where("some and not all").select("file", "idx", "name", "seq", "qual", "seq2", "qual2")
 
 
 def fastq_record(name: Column, seq: Column) -> Column:
