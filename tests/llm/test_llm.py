@@ -2,6 +2,7 @@
 
 import hashlib
 import io
+import random
 import re
 import wave
 import zlib
@@ -492,6 +493,26 @@ def brute_links(rows):
     return sorted(repr((d, len(s), first(least[find(k)]))) for k, (d, s) in enumerate(sets))
 
 
+def test_components_of_few_edges_take_no_round(spark, monkeypatch):
+    from varspan.llm import common
+
+    rng = random.Random(3)
+    edges = [(k, k + 1) for k in range(60)] + [(-rng.randrange(1, 90), -rng.randrange(1, 90)) for _ in range(60)] + [(5, 5), (None, 3)]
+    least = {x: x for e in edges if None not in e and e[0] != e[1] for x in e}
+    for _ in least:
+        for a, b in edges:
+            if a in least and b in least:
+                least[a] = least[b] = min(least[a], least[b])
+    found, plain, tables = [], common.written, []
+    monkeypatch.setattr(common, "written", lambda df: tables.append(1) or plain(df))
+    for most, parts in ((common.EDGES, 1), (3, 4)):  # all in one step; steps of three edges
+        monkeypatch.setattr(common, "EDGES", most)
+        df = spark.createDataFrame(edges, "a long, b long").repartition(parts)
+        assert dict(common.components(df).collect()) == least
+        found.append(len(tables))
+    assert found[0] == 1
+
+
 def links(df):
     return sorted(repr((r.doc_id, r.n_shingles, r.component_id)) for r in op08_setjoin.query(df).collect())
 

@@ -166,10 +166,10 @@ def _sets(rank):
 def boundary(sets: DataFrame) -> int:
     """Size up to which enumerating subsets costs no more rows than scanning lists; a row for each small size comes to the driver."""
     small = sets.where(F.col("n").between(1, SMALL_PARTNER))
-    entry = small.select("n", F.explode(F.slice("tokens", F.lit(1), (F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1).cast("int"))).alias("t"))
+    entry = small.select("n", F.posexplode(F.slice("tokens", F.lit(1), (F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1).cast("int"))).alias("k", "t"))
     length = entry.groupBy("t").agg(F.count("*").alias("size"))
-    scan = dict(entry.join(length, "t").groupBy("n").agg(F.sum("size")).collect())
-    number = dict(small.groupBy("n").count().collect())
+    counts = entry.join(length, "t").groupBy("n").agg(F.sum("size").alias("scan"), F.count_if(F.col("k") == 0).alias("number")).collect()
+    scan, number = ({r.n: r[c] for r in counts} for c in ("scan", "number"))
 
     def cost(limit: int) -> int:
         subsets = sum(number.get(n, 0) * sum(comb(n, subset_size(m)) for m in range(-(-PERCENT * n // 100), min(n, limit) + 1)) for n in range(1, limit * 100 // PERCENT + 1))
@@ -268,7 +268,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     sketches = written(restrict(unique.select("cid", "n", "bits"), wanted, "cid"))
 
     # pivot rounds; lists of one component are closed for good
-    done, left = None, shared.withColumn("group", F.col("cid"))
+    done, groups, left = None, None, shared.withColumn("group", F.col("cid"))
     for k in range(PIVOT_ROUNDS):
         if k:
             drawn = F.min_by(F.struct("cid", "group"), F.xxhash64("cid", "sig", F.lit(k))).over(same)
@@ -282,10 +282,11 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         done = found if done is None else done.unionByName(found)
         if k and found.where("linked").isEmpty():
             break
-        groups = components(done.where("linked").select("a", "b"))
+        links = found.where("linked").select("a", "b")
+        groups = components(links if groups is None else _and(groups, links))
         left = written(_open(left, groups))
     more = verify(promising(_rest(left).join(done.select("a", "b"), ["a", "b"], "left_anti"), sketches), docs, classes)
-    groups = components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more.where("linked").select("a", "b")))
+    groups = components(_and(groups, more.where("linked").select("a", "b")))
 
     of_class = classes.join(groups.withColumnRenamed("node", "cid"), "cid", "left").withColumn("group", F.coalesce("component", "cid"))
     least = of_class.groupBy("group").agg(F.min("rep").alias("component_id"))  # null where no row has an id
@@ -303,6 +304,11 @@ def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(cid, pa.int64()), b.column("text").slice(i, len(docs))], ["cid", "text"])
 
 
+def _and(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect what groups and links do."""
+    return groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links)
+
+
 def _open(left: DataFrame, groups: DataFrame) -> DataFrame:
     """List entries of lists whose members are in different components so far."""
     g = groups.select(F.col("node").alias("cid"), F.col("component"))
