@@ -513,6 +513,41 @@ def test_components_of_few_edges_take_no_round(spark, monkeypatch):
     assert found[0] == 1
 
 
+def test_components_of_few_edges_are_one_step_however_many_partitions(spark, monkeypatch):
+    from varspan.llm import common
+
+    plain, tables = common.written, []
+    monkeypatch.setattr(common, "written", lambda df: tables.append(1) or plain(df))
+    chain = [(k, k + 1) for k in range(80)]
+    random.Random(5).shuffle(chain)
+    few = [(a % 12, b % 12) for a, b in chain * 2]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.createDataFrame(chain, "a long, b long").repartition(7)
+        assert dict(common.components(df).collect()) == dict.fromkeys(range(81), 0)
+        assert len(tables) == 1
+        monkeypatch.setattr(common, "EDGES", 20)  # many edges of few nodes: few are left after the tasks' own steps
+        df = spark.createDataFrame(few, "a long, b long").repartition(7)
+        assert sorted(common.components(df).collect()) == [(k, 0) for k in range(12)]
+        none = spark.createDataFrame([(3, 3), (None, 4)], "a long, b long")
+        assert common.components(none).collect() == []
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_small_tasks_collect_no_garbage(monkeypatch):
+    import pyarrow as pa
+
+    from varspan.llm import common
+
+    calls = []
+    monkeypatch.setattr(common.gc, "collect", lambda: calls.append(1))
+    for n, want in ((10, 0), (common.TIDY_BYTES // 8, 1)):
+        b = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64())], ["x"])
+        assert [x.num_rows for x in common.tidied(lambda batches: batches)([b])] == [n]
+        assert len(calls) == want
+
+
 def links(df):
     return sorted(repr((r.doc_id, r.n_shingles, r.component_id)) for r in op08_setjoin.query(df).collect())
 

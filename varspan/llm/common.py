@@ -16,8 +16,10 @@ from varspan.sources.text import shared_folder
 
 #: Most ids that a semi- or anti-join sends to every executor (about 32 MB as a hash table); more are shuffled.
 BROADCAST_IDS = 1_000_000
-#: Edges that components() joins up in one step of a task.
+#: Edges that components() joins up in one step of a task; so many or fewer are one step in all.
 EDGES = 1 << 18
+#: Bytes of batches from which a task gives its memory back; a full collection takes longer than the work on fewer.
+TIDY_BYTES = 1 << 18
 #: Bytes of text that one numpy step works on; a longer document is one step.
 CHUNK_BYTES = 1 << 18
 
@@ -140,11 +142,23 @@ def utf8(batch: pa.RecordBatch, name: str) -> list[bytes]:
 
 def tidied(run):
     """A function over batches that gives its memory back when a task ends: Spark keeps Python workers, and what one operator has
-    freed but not returned would stand beside the next operator's arrays."""
+    freed but not returned would stand beside the next operator's arrays. A task that has seen next to nothing leaves it to later ones."""
 
     @functools.wraps(run)
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from run(batches)
+        seen = 0
+
+        def told(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            nonlocal seen
+            for b in found:
+                seen += b.nbytes
+                yield b
+
+        for b in run(told(batches)):
+            seen += b.nbytes
+            yield b
+        if seen < TIDY_BYTES:
+            return
         gc.collect()
         pa.default_memory_pool().release_unused()
         if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc alone has it
@@ -160,12 +174,10 @@ def text_chunks(batch: pa.RecordBatch, name: str, most: int = CHUNK_BYTES) -> It
             yield s + i, docs
 
 
-@tidied
-def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A task's edges (u, v), EDGES at a time, as stars: each node and the smallest one that it reaches over them."""
-    kept, size = [], 0
+def _stars(roots: bool = False):
+    """A task's edges (u, v), EDGES at a time, as stars: each node and the smallest one that it reaches over them. roots: the smallest ones too."""
 
-    def star() -> pa.RecordBatch:
+    def star(kept: list[pa.RecordBatch]) -> pa.RecordBatch:
         nodes, at = np.unique(np.concatenate([b.column(c).to_numpy() for c in "uv" for b in kept]), return_inverse=True)
         u, v = np.split(at, 2)
         low, last = np.arange(len(nodes)), None
@@ -175,37 +187,46 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for k in (u, v, last[u], last[v]):  # a node, and the one that it hangs on
                 np.minimum.at(low, k, least)
             low = low[low]
-        leaf = np.flatnonzero(low != np.arange(len(nodes)))
-        return pa.RecordBatch.from_arrays([pa.array(nodes[leaf]), pa.array(nodes[low[leaf]])], ["u", "v"])
+        own = np.flatnonzero(roots | (low != np.arange(len(nodes))))
+        return pa.RecordBatch.from_arrays([pa.array(nodes[own]), pa.array(nodes[low[own]])], ["u", "v"])
 
-    for b in batches:
-        for i in range(0, b.num_rows, EDGES):
-            kept.append(b.slice(i, EDGES))
-            size += kept[-1].num_rows
-            if size >= EDGES:
-                yield star()
-                kept, size = [], 0
-    if size:
-        yield star()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, size = [], 0
+        for b in batches:
+            for i in range(0, b.num_rows, EDGES):
+                kept.append(b.slice(i, EDGES))
+                size += kept[-1].num_rows
+                if size >= EDGES:
+                    yield star(kept)
+                    kept, size = [], 0
+        if size:
+            yield star(kept)
+
+    return tidied(run)
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable over edges (a, b), longs, by alternating large and small stars.
 
     Each round is two grouped minima and joins; a node with very many edges is a skewed join key, which adaptive execution splits.
-    Before and after, each task joins up what is connected by its own edges alone, so that few edges, in few tasks, take no round. Rounds end when all edges are stars: no node hangs on two, and none on a node that hangs on another."""
-    joined = lambda e: e.distinct().mapInArrow(_stars, "u long, v long")
+    Before and after, each task joins up what is connected by its own edges alone. Once EDGES or fewer are left, by a count, they are one
+    step of one task and take no round, however many partitions shuffles have. Rounds end when all edges are stars: no node hangs on two, and none on a node that hangs on another."""
+    joined = lambda e: e.distinct().mapInArrow(_stars(), "u long, v long")
+    settled = lambda e: written(e.repartition(1).mapInArrow(_stars(True), "u long, v long")).toDF("node", "component")
     own = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    now = written(joined(own.mapInArrow(_stars, "u long, v long")))
-    while True:
+    stars = own.mapInArrow(_stars(), "u long, v long")
+    if own.count() <= EDGES:
+        return settled(stars)
+    now = written(joined(stars))
+    while now.count() > EDGES:
         ends = now.select(F.col("u").alias("node"), F.lit(1).alias("leaf"), F.lit(0).alias("root")).unionByName(now.select(F.col("v").alias("node"), F.lit(0).alias("leaf"), F.lit(1).alias("root")))
         odd = ends.groupBy("node").agg(F.sum("leaf").alias("leaf"), F.max("root").alias("root")).where("leaf > 1 or (leaf > 0 and root > 0)")
         if not odd.agg(F.count("*")).first()[0]:
-            break
+            return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").where("u <> v")
         now = written(joined(small))
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
+    return settled(now)

@@ -220,7 +220,8 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             a, c = part.column("a").to_pylist(), part.column("b").to_pylist()
             ta, tb = utf8(part, "text_a"), utf8(part, "text_b")
             new = {k: t for k, t in zip(a, ta, strict=True) if k not in kept}
-            kept = {k: v for k, v in kept.items() if k in set(a)} | dict(zip(new, shingle_sets(list(new.values())), strict=True))
+            here = set(a)
+            kept = {k: v for k, v in kept.items() if k in here} | dict(zip(new, shingle_sets(list(new.values())), strict=True))
             ok = []
             for k, s in zip(a, shingle_sets(tb), strict=True):
                 both = len(np.intersect1d(kept[k], s, assume_unique=True))
