@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 import time
 from collections import defaultdict
 
@@ -233,6 +234,59 @@ def test_similar_sample_is_the_join(spark):
         assert got[s] == (best, n[best])
 
 
+def test_similar_sample_of_lists_is_that_of_rows(spark):
+    from varspan.operators import ensemble as N
+
+    rng = random.Random(4)
+    voted = spark.createDataFrame([(s, i, rng.choice(["0|0", "0|1", "1|1", None])) for s in (0, 1) for i in range(0, 300, 1 + s)], "sample_id long, site_id long, gt string")
+    lists = [(i, [rng.choice(["0|0", "0|1", "1|1"]) for _ in range(rng.randrange(6))]) for i in range(300)]
+    rows = spark.createDataFrame([(i, p, g) for i, gts in lists for p, g in enumerate(gts)], "site_id long, panel_sample int, gt string")
+    got = N.similar_sample(voted, spark.createDataFrame(lists, "site_id long, gts array<string>")).collect()
+    assert len(got) == 2 and sorted(got) == sorted(N.similar_sample(voted, rows).collect())
+
+
+def test_pairs_and_panel_are_shuffled_once(spark):
+    """Pairs of a call stay in its bin, all that follows of a site after one exchange, and so does the panel; votes are counted from what is written."""
+    def exchanges(df):
+        return re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", re.sub(r"#\d+L?", "", df._jdf.queryExecution().executedPlan().toString()))
+
+    small = "/root/testdata/sf0.001"
+    assert not [x for x in exchanges(catalog.QUERIES["match_sites"](spark, small)) if "call_id" in x or "site_id" in x]
+    assert {x for x in exchanges(catalog.QUERIES["vote"](spark, small)) if "site_id" in x} == {"site_id"}
+    similar = exchanges(catalog.QUERIES["similar_sample"](spark, small))
+    assert not [x for x in similar if "caller" in x or "call_id" in x or "l_suppkey" in x] and sum("l_partkey" in x for x in similar) == 1
+    assert all("," not in x or "site_id" not in x for x in similar)
+
+
+def test_match_takes_the_first_haplotypes_site(spark):
+    """By brute force: lowest position, site, allele; a second haplotype takes its own lowest allele at the first one's site, or its own site."""
+    rng = random.Random(11)
+    calls = [(i, rng.randrange(0, 3000), rng.choice([1, 1, 5, 60]), rng.choice([1, 4, 5, 60, 70]), rng.choice([1, 4, 5, 60, 70]), rng.choice([0, 1, 1, None]), rng.choice([0, 1])) for i in range(400)]
+    sites = [(j, rng.randrange(0, 3000), [rng.choice([1, 1, 5, 60]), *(rng.choice([1, 4, 5, 60, 70]) for _ in range(rng.randrange(1, 4)))]) for j in range(300)]
+    got = {(r.call_id, r.hap): (r.site_id, r.allele) for r in I.match_sites(spark.createDataFrame([(*c, "chr1") for c in calls], "call_id long, pos long, ref_len long, h0 long, h1 long, g0 int, g1 int, chrom string"), spark.createDataFrame([(*s, "chr1") for s in sites], "site_id long, pos long, lens array<long>, chrom string")).collect()}
+
+    def fits(p, r, q, tp, tr, tq):
+        within = 200 if r >= 50 or q >= 50 else 10 if (r <= 2 and q >= 3) or (r >= 3 and q <= 2) else 1
+        if max(abs(p - tp), abs(p + r - tp - tr)) > within:
+            return False
+        any_ref, any_qry = r < 50 and (q >= 50 or (r <= 2 and q >= 3)), q < 50 and (r >= 50 or (r >= 3 and q <= 2))
+        return (any_ref or abs(r - tr) / tr <= 0.25) and (any_qry or abs(q - tq) / tq <= 0.25)
+
+    want = {}
+    for i, p, r, h0, h1, g0, g1 in calls:
+        near = [(tp, j, k, lens[0], q) for j, tp, lens in sites if abs(p - tp) <= (10 if r <= 49 and h0 <= 49 else 200) for k, q in enumerate(lens)]
+        of = lambda h, g: sorted(x[:3] for x in near if g is not None and (g == 0) == (x[2] == 0) and fits(p, r, h, x[0], x[3], x[4]))  # noqa: E731, B023
+        f0, f1 = of(h0, g0), of(h1, g1)
+        if f0:
+            want[i, 0] = f0[0][1:]
+            same = [f0[0]] if g0 == g1 else [x for x in f1 if x[1] == f0[0][1]]
+        else:
+            same = f1
+        if same:
+            want[i, 1] = same[0][1:]
+    assert len(want) > 50 and got == want
+
+
 def test_a_long_contig_is_cut_in_proportion(spark):
     """60 MB in one contig: each piece is copied once, not the contig for each piece."""
     n = 60_000_000 // 12

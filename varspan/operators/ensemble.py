@@ -25,23 +25,30 @@ def with_z(cube: DataFrame, stats: DataFrame, by: tuple[str, ...] = ("caller",))
     return j.withColumn("z", F.try_divide(F.col("depth") - F.col("mean"), F.col("sd")))
 
 
-def slots(matches: DataFrame, calls: DataFrame, by: tuple[str, ...]) -> DataFrame:
-    """(site_id, by, hap, allele, call_id, depth): of the calls of one caller that take a haplotype of a site the last one, by position,
-    then call_id. matches: call_id, hap, site_id, allele; calls: call_id, by, pos, and depth, or depths (of each haplotype; one counts for both)."""
-    own = F.get("depths", F.least("hap", F.size("depths") - 1)) if "depths" in calls.columns else F.col("depth")
-    held = "depths" if "depths" in calls.columns else "depth"
-    m = matches.join(calls.select("call_id", *by, "pos", held), "call_id").withColumn("depth", own).withColumn("_o", F.struct("pos", "call_id"))
-    return last_writer(m, ("site_id", *by, "hap"), "_o").select("site_id", *by, "hap", "allele", "call_id", F.col("depth").cast("double").alias("depth"))
+def taken(matches: DataFrame, by: tuple[str, ...], place: tuple[str, ...] = (), depths: tuple[str, str] = ("depth", "depth")) -> DataFrame:
+    """(site_id, by, x, y): of the calls of one caller that take a first haplotype (x) or a second one (y) of a site the last, by position, then
+    call_id: pos, call_id, allele, depth; null where none does. matches: call_id, by, pos, site_id, a0, a1 (alleles of the haplotypes), and their depths.
+
+    place: columns that matches are partitioned by, where the last calls are found first. What is left is dealt out once, by site, for all that follows."""
+    last = lambda k: F.max(F.when(F.col(f"a{k}").isNotNull(), F.struct("pos", "call_id", F.col(f"a{k}").alias("allele"), F.col(depths[k]).cast("double").alias("depth"))))
+    own = matches.groupBy(*place, "site_id", *by).agg(last(0).alias("x"), last(1).alias("y")).select("site_id", *by, "x", "y")
+    return own.repartition("site_id").groupBy("site_id", *by).agg(F.max("x").alias("x"), F.max("y").alias("y"))
+
+
+def slots(taken: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """(site_id, by, hap, allele, call_id, depth) of taken(): a row for each haplotype that a call takes."""
+    haps = F.explode(F.array(*[F.struct(F.lit(k).alias("hap"), F.col(v).alias("v")) for k, v in enumerate("xy")])).alias("m")
+    return taken.select("site_id", *by, haps).where("m.v is not null").select("site_id", *by, "m.hap", "m.v.allele", "m.v.call_id", "m.v.depth")
 
 
 def cube(taken: DataFrame, sites: DataFrame, by: tuple[str, ...]) -> DataFrame:
-    """(site_id, by, gt, depth, sv_len) of slots: a haplotype that nobody took is 0, depths of the two add up, and the length is that of
+    """(site_id, by, gt, depth, sv_len) of taken(): a haplotype that nobody took is 0, depths of the two add up, and the length is that of
     the last allele other than 0 at the site. sites: site_id, lens (REF length, then each ALT's)."""
-    allele = lambda k: F.coalesce(F.max(F.when(F.col("hap") == k, F.col("allele"))), F.lit(0))
-    g = taken.groupBy("site_id", *by).agg(allele(0).alias("x"), allele(1).alias("y"), F.sum("depth").alias("depth"))
-    j = g.join(sites.select("site_id", "lens").hint("merge"), "site_id")
-    last = F.when(F.col("y") != 0, F.col("y")).otherwise(F.col("x"))
-    return j.select("site_id", *by, F.concat_ws("|", F.col("x").cast("string"), F.col("y").cast("string")).alias("gt"), "depth", (F.get("lens", last) - F.get("lens", F.lit(0))).alias("sv_len"))
+    j = taken.join(sites.select("site_id", "lens").hint("merge"), "site_id")
+    x, y = (F.coalesce(F.col(f"{v}.allele"), F.lit(0)) for v in "xy")
+    depth = F.coalesce(F.col("x.depth") + F.col("y.depth"), "x.depth", "y.depth")
+    last = F.when(y != 0, y).otherwise(x)
+    return j.select("site_id", *by, F.concat_ws("|", x.cast("string"), y.cast("string")).alias("gt"), depth.alias("depth"), (F.get("lens", last) - F.get("lens", F.lit(0))).alias("sv_len"))
 
 
 def merged_lines(voted: DataFrame, cube_: DataFrame, stats: DataFrame, base: DataFrame, key: tuple[str, ...], as_named: bool = False) -> DataFrame:
@@ -68,7 +75,7 @@ def vote(cube: DataFrame, key: tuple[str, ...], n_callers: int, mode: str = "all
     cube: key, caller, gt (text), z, sv_len. f is the size of the largest group of equal genotypes, best the first caller by name in a group of
     that size, near the caller with the smallest |z|; the length is that of the last caller's genotype."""
     w = Window.partitionBy(*key)
-    cube = cube.repartition(*key)  # one exchange for both windows and the groups
+    cube = cube.repartition(key[0])  # one exchange for both windows and the groups, and none for a cube that is dealt out by site
     g = cube.withColumn("same", F.count("*").over(Window.partitionBy(*key, "gt"))).withColumn("f", F.max("same").over(w))
     far = F.struct(F.col("z").isNull(), F.abs("z"), F.col("caller"))
     s = g.groupBy(*key).agg(
@@ -89,14 +96,18 @@ def vote(cube: DataFrame, key: tuple[str, ...], n_callers: int, mode: str = "all
 
 def similar_sample(voted: DataFrame, panel: DataFrame, sample: str = "sample_id", site: str = "site_id") -> DataFrame:
     """For each voted sample the panel sample whose non-reference genotype equals the voted one most often, the lowest number on ties, and
-    the share of voted sites; no row without a match. voted: sample, site (a whole number), gt; panel: site, panel_sample, gt; each site once.
-
-    Sites with one genotype are bits: a row holds 64 of them, and equal genotypes are counted by AND."""
-    v = voted.where("gt is not null")
-    packed = lambda df, who: df.groupBy(who, "gt", F.floor(F.col(site) / 64).alias("block")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.col(site), F.lit(64)).cast("int"))).alias("sites"))
-    own, other = packed(v, sample), packed(panel.where("gt <> '0|0'"), "panel_sample").withColumnRenamed("sites", "held")
-    both = own.join(other, ["gt", "block"]).withColumn("same", F.bit_count(F.col("sites").bitwiseAND(F.col("held"))))
-    n = both.groupBy(sample, "panel_sample").agg(F.sum(F.col("same").cast("long")).alias("n")).where("n > 0")
+    the share of voted sites; no row without a match. voted: sample, site, gt; panel: site, panel_sample, gt; each site once. Or panel: site, gts, an
+    array with a genotype for each sample, numbered from 0.
+
+    What is voted is written, as it is read twice. It meets the panel at each site, and equal genotypes are counted before they are shuffled."""
+    from varspan.sources.text import checkpointed
+
+    v = checkpointed(voted.where("gt is not null").select(sample, site, "gt"))
+    both = v.join((panel if "gts" in panel.columns else panel.where("gt <> '0|0'")).withColumnRenamed("gt", "own").hint("merge"), site)
+    if "gts" in panel.columns:
+        both = both.where("gt <> '0|0'").select(sample, "gt", F.posexplode("gts").alias("panel_sample", "own"))
+    # no filter on equal genotypes, which would become a key of the join and shuffle the panel once more
+    n = both.groupBy(sample, "panel_sample").agg(F.count(F.when(F.col("gt") == F.col("own"), 1)).alias("n")).where("n > 0")
     top = n.groupBy(sample).agg(F.max(F.struct("n", (-F.col("panel_sample")).alias("k"))).alias("t"))
     total = v.groupBy(sample).agg(F.count("*").alias("total"))
     return top.join(total, sample).select(sample, (-F.col("t.k")).alias("panel_sample"), F.col("t.n").alias("n"), F.round(F.col("t.n") / F.col("total"), 6).alias("share"))

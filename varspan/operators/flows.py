@@ -114,7 +114,8 @@ def merge_files(spark: SparkSession, base: str, callers: dict[str, str], sample:
     if strange:
         raise ValueError(f"{strange[0].caller}: chromosome {strange[0].chrom} is not in {base}")
     stats = checkpointed(N.caller_depth(rows))
-    taken = N.slots(I.match_sites(calls, sites), calls, ("caller",))
+    each = calls.withColumns({"d0": F.get("depths", F.lit(0)), "d1": F.get("depths", F.least(F.lit(1), F.size("depths") - 1))})  # one depth counts for both
+    taken = N.taken(I.match_calls(each, sites, carry=("caller", "pos", "d0", "d1")), ("caller",), I.PLACE, ("d0", "d1"))
     cube = checkpointed(N.with_z(N.cube(taken, sites, ("caller",)), stats))
     key = ("site_id",)
     voted = checkpointed(N.vote(cube, key, len(callers), mode))
@@ -126,7 +127,7 @@ def merge_files(spark: SparkSession, base: str, callers: dict[str, str], sample:
 
     write(voted, out)
     panel = sites.select("site_id", F.posexplode("gts").alias("panel_sample", "gt"))
-    similar = checkpointed(N.similar_sample(voted.withColumn("sample_id", F.lit(sample)), panel))
+    similar = checkpointed(N.similar_sample(voted.withColumn("sample_id", F.lit(sample)), sites.select("site_id", "gts")))
     if mode == "all" and second:
         again = N.high_conf(cube.withColumn("sample_id", F.lit(sample)), panel, similar, ("site_id", "sample_id"), len(callers))
         write(again.drop("sample_id"), second)

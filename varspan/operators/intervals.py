@@ -21,10 +21,10 @@ HOT_BIN = 100_000
 MOST_PAIRS = 100_000
 
 
-def binned_join(calls: DataFrame, sites: DataFrame, width: int, call_pos: str = "pos", site_pos: str = "s_pos", chrom: str = "chrom", site_chrom: str = "s_chrom", most: int = HOT_BIN) -> DataFrame:
+def binned_join(calls: DataFrame, sites: DataFrame, width: int, call_pos: str = "pos", site_pos: str = "s_pos", chrom: str = "chrom", site_chrom: str = "s_chrom", most: int = HOT_BIN, keep: bool = False) -> DataFrame:
     """All (call, site) of a chromosome whose positions are within `width`, each once. The key is (chromosome, bin, salt), so a dense
     chromosome is many keys. Bins with more than `most` calls, found by a count, are dealt over salts, and their sites copied to each: calls of one
-    place go to many tasks. At most one bin in `most` calls is such a bin, and their list is broadcast."""
+    place go to many tasks. At most one bin in `most` calls is such a bin, and their list is broadcast. keep: _bin and _salt stay, the call's."""
     c = calls.withColumn("_bin", F.floor(F.col(call_pos) / width))
     hot = c.groupBy(F.col(chrom).alias("_hchrom"), F.col("_bin").alias("_hbin")).agg(F.count("*").alias("_calls")).where(F.col("_calls") > most)
     hot = F.broadcast(hot.select("_hchrom", "_hbin", F.ceil(F.col("_calls") / most).alias("_salts")))
@@ -35,7 +35,7 @@ def binned_join(calls: DataFrame, sites: DataFrame, width: int, call_pos: str =
     s = s.withColumn("_ssalt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1))).drop("_salts").withColumnRenamed("_bin", "_sbin")
     # a list of sites is small on disk and large as rows, three to an allele: it is dealt out, not broadcast
     joined = c.join(s.hint("merge"), (F.col(chrom) == F.col(site_chrom)) & (F.col("_bin") == F.col("_sbin")) & (F.col("_salt") == F.col("_ssalt")))
-    return joined.where(F.abs(F.col(call_pos) - F.col(site_pos)) <= width).drop("_bin", "_sbin", "_salt", "_ssalt")
+    return joined.where(F.abs(F.col(call_pos) - F.col(site_pos)) <= width).drop("_sbin", "_ssalt", *(() if keep else ("_bin", "_salt")))
 
 
 def same_variant(pos: Column, ref: Column, qry: Column, tpos: Column, tref: Column, tqry: Column) -> Column:
@@ -54,25 +54,38 @@ def window_of(ref: Column, qry: Column) -> Column:
     return F.when((ref <= 49) & (qry <= 49), F.lit(10)).otherwise(F.lit(200))
 
 
+#: Where a call's pairs are made.
+PLACE = ("chrom", "_bin", "_salt")
+
+
+def match_calls(calls: DataFrame, sites: DataFrame, key: tuple[str, ...] = ("call_id",), carry: tuple[str, ...] = ()) -> DataFrame:
+    """(PLACE, key, carry, site_id, a0, a1): the site that a call takes, a row a call, and the allele there of each haplotype (null: none). carry: more
+    columns of the calls. Else as match_sites.
+
+    A call is in one bin, so its pairs are grouped where they are made: none is shuffled."""
+    s = sites.select("site_id", F.col("chrom").alias("s_chrom"), F.col("pos").alias("s_pos"), "lens")
+    own = [*dict.fromkeys([*key, *carry, "g0", "g1"])]
+    c = calls.select(*dict.fromkeys([*own, "chrom", "pos", "ref_len", "h0", "h1"]))
+    near = binned_join(c, s, WIDTH, keep=True).where(F.abs(F.col("pos") - F.col("s_pos")) <= window_of(F.col("ref_len"), F.col("h0")))
+
+    def lowest(h: str, g: str) -> Column:
+        fits = lambda q, k: same_variant(F.col("pos"), F.col("ref_len"), F.col(h), F.col("s_pos"), F.get("lens", F.lit(0)), q) & ((F.col(g) == 0) == (k == 0))
+        return F.array_min(F.transform("lens", lambda q, k: F.when(fits(q, k), k)))
+
+    at = near.select(*dict.fromkeys([*PLACE, *own]), "site_id", "s_pos", lowest("h0", "g0").alias("n0"), lowest("h1", "g1").alias("n1"))
+    first = lambda n: F.min(F.when(F.col(n).isNotNull(), F.struct("s_pos", "site_id", "n0", "n1")))
+    j = at.where("n0 is not null or n1 is not null").groupBy(*dict.fromkeys([*PLACE, *own])).agg(first("n0").alias("m0"), first("n1").alias("m1"))
+    a1 = F.when(F.col("m0").isNull(), F.col("m1.n1")).when(F.col("g0") == F.col("g1"), F.col("m0.n0")).otherwise(F.col("m0.n1"))
+    return j.select(*dict.fromkeys([*PLACE, *key, *carry]), F.coalesce("m0.site_id", "m1.site_id").alias("site_id"), F.col("m0.n0").alias("a0"), a1.alias("a1"))
+
+
 def match_sites(calls: DataFrame, sites: DataFrame, key: tuple[str, ...] = ("call_id",)) -> DataFrame:
     """(key, hap, site_id, allele): the site and allele that each haplotype takes.
 
     calls: key, chrom, pos, ref_len, h0, h1 (haplotype lengths), g0, g1 (alleles); sites: site_id, chrom, pos, lens (REF length,
     then each ALT's). Lowest position wins, then site_id, then allele. A second haplotype may use only the first's site."""
-    alleles = sites.select("site_id", F.col("chrom").alias("s_chrom"), F.col("pos").alias("s_pos"), F.col("lens")[0].alias("s_ref"), F.posexplode("lens").alias("allele", "s_len"))
-    c = calls.select(*key, "chrom", "pos", "ref_len", "h0", "h1", "g0", "g1")
-    near = binned_join(c, alleles, WIDTH).where(F.abs(F.col("pos") - F.col("s_pos")) <= window_of(F.col("ref_len"), F.col("h0")))
-    fits = lambda h, g: same_variant(F.col("pos"), F.col("ref_len"), F.col(h), F.col("s_pos"), F.col("s_ref"), F.col("s_len")) & ((F.col(g) == 0) == (F.col("allele") == 0))
-    best = lambda ok: F.min(F.when(ok, F.struct("s_pos", "allele")))
-    pairs = near.withColumns({"f0": fits("h0", "g0"), "f1": fits("h1", "g1")}).where("f0 or f1")
-    # one exchange, by call: what a call has at each site, and of these the first
-    at = pairs.repartition(*key).groupBy(*key, "site_id").agg(best(F.col("f0")).alias("z0"), best(F.col("f1")).alias("z1"), F.min(F.when(F.col("f1"), F.col("allele"))).alias("a1"), F.first("g0").alias("g0"), F.first("g1").alias("g1"))
-    of = lambda z, *more: F.min(F.when(F.col(z).isNotNull(), F.struct(f"{z}.s_pos", "site_id", f"{z}.allele", *more)))
-    first = at.groupBy(*key).agg(of("z0", "a1").alias("m0"), of("z1").alias("any1"), F.first("g0").alias("g0"), F.first("g1").alias("g1"))
-    j = first.select("*", F.col("m0.site_id").alias("site_id"), F.col("m0.a1").alias("a1"))
-    m1 = F.when(F.col("m0").isNull(), F.struct(F.col("any1.site_id").alias("s"), F.col("any1.allele").alias("a"))).when(F.col("g0") == F.col("g1"), F.struct(F.col("m0.site_id").alias("s"), F.col("m0.allele").alias("a"))).otherwise(F.struct(F.col("site_id").alias("s"), F.col("a1").alias("a")))
-    out = j.select(*key, F.explode(F.array(F.struct(F.lit(0).alias("hap"), F.col("m0.site_id").alias("site_id"), F.col("m0.allele").alias("allele")), F.struct(F.lit(1).alias("hap"), m1["s"].alias("site_id"), m1["a"].alias("allele")))).alias("m"))
-    return out.select(*key, "m.hap", "m.site_id", "m.allele").where("site_id is not null and allele is not null")
+    haps = F.explode(F.array(*[F.struct(F.lit(k).alias("hap"), F.col(f"a{k}").alias("allele")) for k in (0, 1)])).alias("m")
+    return match_calls(calls, sites, key).select(*key, "site_id", haps).select(*key, "m.hap", "site_id", "m.allele").where("allele is not null")
 
 
 def matched_haplotypes(pairs: DataFrame, c: dict[str, Column], t: dict[str, Column]) -> DataFrame:

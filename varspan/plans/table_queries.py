@@ -122,22 +122,24 @@ _SLOTS = """lw AS (SELECT * FROM (SELECT mt.site_id, c.sample_id, c.caller, mt.h
 
 @query("match_sites", oracle("v_calls v_sites", f"{_MATCHED} SELECT * FROM mt"))
 def match_sites(spark, d):
-    return _matched(spark, d, written(calls(spark, d))).select("call_id", F.col("hap").cast("long").alias("hap"), "site_id", F.col("allele").cast("long").alias("allele"))
+    return I.match_sites(written(calls(spark, d)), _lens(spark, d)).select("call_id", F.col("hap").cast("long").alias("hap"), "site_id", F.col("allele").cast("long").alias("allele"))
 
 
-def _matched(spark, d, c: DataFrame) -> DataFrame:
-    s = sites(spark, d).withColumn("lens", F.concat(F.array("ref_len"), "alt_lens"))
-    return I.match_sites(c, s)
+def _lens(spark, d) -> DataFrame:
+    return sites(spark, d).withColumn("lens", F.concat(F.array("ref_len"), "alt_lens"))
 
 
-def _slots(spark, d) -> DataFrame:
-    c = written(calls(spark, d))  # read several times
-    return N.slots(_matched(spark, d, c), c, ("sample_id", "caller"))
+SLOT = ("sample_id", "caller")
+
+
+def _taken(spark, d) -> DataFrame:
+    kept = calls(spark, d).select("call_id", *SLOT, "chrom", "pos", "ref_len", "h0", "h1", "g0", "g1", "depth")
+    return N.taken(I.match_calls(written(kept), _lens(spark, d), carry=(*SLOT, "pos", "depth")), SLOT, I.PLACE)
 
 
 @query("last_writer", oracle("v_calls v_sites", f"{_MATCHED}, {_SLOTS} SELECT site_id, sample_id, caller, hap, allele, call_id, CAST(depth AS DOUBLE) AS depth FROM lw"))
 def last_writer(spark, d):
-    s = _slots(spark, d)
+    s = N.slots(_taken(spark, d), SLOT)
     return s.withColumns({k: F.col(k).cast("long") for k in ("hap", "allele")})
 
 
@@ -320,8 +322,7 @@ sm AS (SELECT sample_id, panel_sample, n FROM (SELECT *, row_number() OVER (PART
 
 
 def _cube(spark, d) -> DataFrame:
-    s = sites(spark, d).select("site_id", F.concat(F.array("ref_len"), "alt_lens").alias("lens"))
-    return N.with_z(N.cube(_slots(spark, d), s, ("sample_id", "caller")), N.caller_depth(view(spark, d, "v_calls")))
+    return N.with_z(N.cube(_taken(spark, d), _lens(spark, d), SLOT), N.caller_depth(view(spark, d, "v_calls")))
 
 
 def _panel_text(spark, d) -> DataFrame:
