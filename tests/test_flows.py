@@ -110,3 +110,49 @@ def test_parts_of_an_evaluation_as_gzip(spark):
         assert all(f.endswith(".gz") == compressed for f in df.inputFiles())
         found.append(sorted((r.part, r.value) for r in df.collect()))
     assert found[0] == found[1] == sorted([("genotype", line(1, 5, "0/1")[1]), ("miscall", line(2, 7, "1/1")[1]), ("failcall", line(2, 9, "1/1")[1])])
+
+
+def test_samples_merged_together_are_those_merged_alone(spark, tmp_path):
+    base = vcf(tmp_path / "base.vcf", [*BASE[:2], "chr1 500 d A ACGT . PASS . GT 0/1 1/1", BASE[2]], "p1 p2")
+    rows = lambda k: [f"chr1 100 x A C . PASS . GT:DP 0/1:1{k} 0/0:7", f"chr1 500 y A ACGT . PASS . GT:DP 1/1:{k},2 0/1:4{k}", "", f"chr2 50 z A G . {'LowQual' if k == 2 else 'PASS'} . GT:DP ./.:3 1|0:{k}"]
+    files = {f"c{k}": vcf(tmp_path / f"c{k}.vcf", rows(k), "s t" if k != 1 else "s t") for k in range(3)}
+    alone = {s: flows.merge_files(spark, base, files, s, str(tmp_path / f"alone-{s}"), second=str(tmp_path / f"second-{s}")).collect() for s in "st"}
+    outs, seconds = {s: str(tmp_path / f"out-{s}") for s in "st"}, {s: str(tmp_path / f"again-{s}") for s in "st"}
+    together = flows.merge_samples(spark, base, files, outs, seconds=seconds).collect()
+    assert {r.sample: (r.panel_sample, r["name"], r.n, r.share) for r in together} == {s: tuple(r[0]) for s, r in alone.items()}
+    for s in "st":
+        assert lines(spark, outs[s]) == lines(spark, tmp_path / f"alone-{s}") and lines(spark, seconds[s]) == lines(spark, tmp_path / f"second-{s}")
+        assert [x for x in lines(spark, outs[s]) if x[0] != "#"]
+    with pytest.raises(ValueError, match="c0: no sample u"):
+        flows.merge_samples(spark, base, files, {"s": str(tmp_path / "x"), "u": str(tmp_path / "y")})
+
+
+def test_lines_of_files_are_not_shuffled(spark, tmp_path):
+    """Whatever the size of the files: what tells a line its number is a row a split and a row a file, and is broadcast."""
+    files = {k: vcf(tmp_path / f"{k}.vcf", ["chr1 100 x A C . PASS . GT:DP 0/1:10"], "s") for k in ("a", "b")}
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in (T.lines_of(spark, files["a"]), flows._callers(spark, files, ["s"]))]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+    assert not [p for p in plans if "SortMergeJoin" in p]
+
+
+def test_files_of_callers_from_one_pass(spark):
+    """Each caller's file has its header first and is sorted, and holds the lines that the view has."""
+    from varspan.plans import flow_queries as Q
+    from varspan.plans.views import view
+
+    small = "/root/testdata/sf0.001"
+    rows = view(spark, small, "v_call_lines").collect()
+    files = Q._caller_vcfs(spark, small)
+    want = {c: [] for c in files}
+    for r in sorted(rows, key=lambda r: (r.line.split("\t")[0], int(r.line.split("\t")[1]), r.ord)):
+        *fixed, value = r.line.split("\t")
+        other = "0/0" + value[value.index(":"):]
+        want[r.caller].append("\t".join([*fixed, *((other, value) if r.sample_id else (value, other))]))
+    for c, path in files.items():
+        got = lines(spark, path)
+        assert [x[:6] for x in got[:3]] == ["##file", "##cont", "#CHROM"] and got[2].endswith("FORMAT\ts0\ts1")
+        assert want[c] and got[3:] == want[c]

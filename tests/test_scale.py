@@ -287,6 +287,16 @@ def test_match_takes_the_first_haplotypes_site(spark):
     assert len(want) > 50 and got == want
 
 
+def test_lengths_of_plain_and_symbolic_alleles(spark):
+    rows = [
+        ("v", "AC", ["ACGT", "A"], (2, [4, 1])), ("Duplication1", "A", ["ACG"], (3, [6])), ("Duplication1", "ACG", ["A"], (3, [1])), ("v", "A", ["<INS:SVSIZE=7>"], (1, [7])),
+        ("v", "A", ["<DEL:SVSIZE=9>", "AC"], (9, [1, 2])), ("v", "A", ["<DUP:SVSIZE=5>"], (5, [10])), (None, "A", ["AC"], (1, [2])), (None, "A", ["<DEL>"], (1, [5])), ("v", "A", None, (1, None)),
+    ]
+    df = spark.createDataFrame([(k, *r[:3]) for k, r in enumerate(rows)], "k int, id string, ref string, alts array<string>")
+    got = {r.k: (r.l.ref_len, r.l.lens) for r in df.select("k", V.allele_lengths(F.col("id"), F.col("ref"), F.col("alts")).alias("l")).collect()}
+    assert got == {k: r[3] for k, r in enumerate(rows)}
+
+
 def test_a_long_contig_is_cut_in_proportion(spark):
     """60 MB in one contig: each piece is copied once, not the contig for each piece."""
     n = 60_000_000 // 12

@@ -116,7 +116,9 @@ def allele_lengths(id_: Column, ref: Column, alts: Column) -> Column:
 
     each = F.transform(alts, one)
     last = F.element_at(F.filter(each, lambda x: x["sets"]), -1)
-    return F.struct(F.coalesce(F.when(F.size(F.filter(each, lambda x: x["sets"])) > 0, last["r"]), n).alias("ref_len"), F.transform(each, lambda x: x["q"]).alias("lens"))
+    named = F.struct(F.coalesce(F.when(F.size(F.filter(each, lambda x: x["sets"])) > 0, last["r"]), n).alias("ref_len"), F.transform(each, lambda x: x["q"]).alias("lens"))
+    # most records have neither symbols nor such an ID, and nothing to search their bases for
+    return F.when(F.exists(alts, lambda a: a.contains(">")) | id_.contains("Duplication"), named).otherwise(F.struct(n.alias("ref_len"), F.transform(alts, lambda a: F.length(a).cast("long")).alias("lens")))
 
 
 def hap_lengths(lengths: Column, gt: Column) -> Column:

@@ -51,13 +51,15 @@ def cube(taken: DataFrame, sites: DataFrame, by: tuple[str, ...]) -> DataFrame:
     return j.select("site_id", *by, F.concat_ws("|", x.cast("string"), y.cast("string")).alias("gt"), depth.alias("depth"), (F.get("lens", last) - F.get("lens", F.lit(0))).alias("sv_len"))
 
 
-def merged_lines(voted: DataFrame, cube_: DataFrame, stats: DataFrame, base: DataFrame, key: tuple[str, ...], as_named: bool = False) -> DataFrame:
+def merged_lines(voted: DataFrame, cube_: DataFrame | None, stats: DataFrame, base: DataFrame, key: tuple[str, ...], as_named: bool = False, by: tuple[str, ...] = ("caller",)) -> DataFrame:
     """(key, line) of sites with a chosen caller: the site's first eight columns, FORMAT, and the chosen genotype, caller, normalised
     depth, the caller's mean depth and the depth, numbers cut to five characters. The values stand in this order under the FORMAT
     GT:SO:DP:ADP:NDP, as in merged files that the callers' users have; with as_named each stands under its own name: depth, mean, normalised.
-    base: site_id, fixed (text); cube_ has z."""
-    c = voted.where("chosen is not null").select(*key, F.col("chosen").alias("caller")).hint("merge").join(cube_.select(*key, "caller", "gt", "z", "depth"), [*key, "caller"])
-    c = c.join(F.broadcast(stats.select("caller", "mean")), "caller").join(base.select("site_id", "fixed").hint("merge"), "site_id")  # a row a caller
+    base: site_id, fixed (text); cube_ has z. Without cube_, voted has z and depth, as vote gives them where asked. stats: by (a caller, or a caller of a sample), mean."""
+    c = voted.where("chosen is not null").withColumnRenamed("chosen", "caller")
+    if cube_ is not None:
+        c = c.select(*key, "caller").hint("merge").join(cube_.select(*key, "caller", "gt", "z", "depth"), [*key, "caller"])
+    c = c.join(F.broadcast(stats.select(*by, "mean")), list(by)).join(base.select("site_id", "fixed").hint("merge"), "site_id")  # a row a caller
     numbers = [short_number(F.col(x)) for x in (("depth", "mean", "z") if as_named else ("z", "mean", "depth"))]
     value = F.concat_ws(":", F.replace("gt", F.lit("|"), F.lit("/")), "caller", *numbers)
     return c.select(*key, F.concat_ws("\t", "fixed", F.lit("GT:SO:DP:ADP:NDP"), value).alias("line"))
@@ -69,8 +71,8 @@ def depth_rank(cube: DataFrame, key: tuple[str, ...]) -> DataFrame:
     return cube.withColumn("rank", F.row_number().over(w))
 
 
-def vote(cube: DataFrame, key: tuple[str, ...], n_callers: int, mode: str = "all") -> DataFrame:
-    """One caller for each site, or none: key, n, f, chosen and the chosen genotype and length.
+def vote(cube: DataFrame, key: tuple[str, ...], n_callers: int, mode: str = "all", more: tuple[str, ...] = ()) -> DataFrame:
+    """One caller for each site, or none: key, n, f, chosen and the chosen genotype and length, and more columns of the chosen caller.
 
     cube: key, caller, gt (text), z, sv_len. f is the size of the largest group of equal genotypes, best the first caller by name in a group of
     that size, near the caller with the smallest |z|; the length is that of the last caller's genotype."""
@@ -82,7 +84,7 @@ def vote(cube: DataFrame, key: tuple[str, ...], n_callers: int, mode: str = "all
         F.count("*").alias("n"), F.max("f").alias("f"), F.min(F.when(F.col("same") == F.col("f"), F.col("caller"))).alias("best"),
         F.min_by("caller", far).alias("near"), F.max_by("sv_len", "caller").alias("len"),
         F.max(F.when(F.col("caller") == "Paragraph", 1).otherwise(0)).alias("paragraph"),
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("caller", "gt")))).alias("gts"),  # one entry a caller
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("caller", F.struct("gt", *more))))).alias("held"),  # one entry a caller
     )
     many, near, best, none = F.col("f") >= 2, F.col("near"), F.col("best"), F.lit(None).cast("string")
     if mode == "specific":
@@ -91,7 +93,8 @@ def vote(cube: DataFrame, key: tuple[str, ...], n_callers: int, mode: str = "all
         short = F.when(F.lit(n_callers == 1), best).when(F.lit(n_callers == 2) & (F.col("paragraph") == 1), near).when(~many, none).otherwise(best)
         long = F.when(F.lit(n_callers == 1), best).when(~many, near).otherwise(best)
         chosen = F.when(F.lit(n_callers >= 2) & (F.col("n") < 2), none).when(F.abs("len") <= 49, short).otherwise(long)
-    return s.withColumn("chosen", chosen).select(*key, "n", "f", "len", "chosen", F.element_at("gts", F.col("chosen")).alias("gt"))
+    of = F.element_at("held", F.col("chosen"))
+    return s.withColumn("chosen", chosen).select(*key, "n", "f", "len", "chosen", *[of[c].alias(c) for c in ("gt", *more)])
 
 
 def similar_sample(voted: DataFrame, panel: DataFrame, sample: str = "sample_id", site: str = "site_id") -> DataFrame:
@@ -113,7 +116,7 @@ def similar_sample(voted: DataFrame, panel: DataFrame, sample: str = "sample_id"
     return top.join(total, sample).select(sample, (-F.col("t.k")).alias("panel_sample"), F.col("t.n").alias("n"), F.round(F.col("t.n") / F.col("total"), 6).alias("share"))
 
 
-def high_conf(cube: DataFrame, panel: DataFrame, similar: DataFrame, key: tuple[str, ...], n_callers: int, sample: str = "sample_id") -> DataFrame:
+def high_conf(cube: DataFrame, panel: DataFrame, similar: DataFrame, key: tuple[str, ...], n_callers: int, sample: str = "sample_id", more: tuple[str, ...] = ()) -> DataFrame:
     """A second vote, by the specific rule, at sites where the panel sample most similar to the voted one is non-reference."""
     sites = panel.where("gt <> '0|0'").join(similar.select(sample, "panel_sample"), "panel_sample").select("site_id", sample)
-    return vote(cube.join(sites, ["site_id", sample], "left_semi"), key, n_callers, "specific")
+    return vote(cube.join(sites, ["site_id", sample], "left_semi"), key, n_callers, "specific", more)

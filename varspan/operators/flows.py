@@ -61,78 +61,101 @@ def delly_files(spark: SparkSession, vcf: str, fasta: str, out: str, complement:
     T.write_vcf(header.withColumn("n", F.lit(0)), T.vcf_line(d), out, ("ord",))
 
 
-def _callers(spark: SparkSession, callers: dict[str, str], sample: str) -> DataFrame:
-    """Calls of all callers' files, read as one: all rows, with the sample's depths, and whether they count (PASS, a genotype that isn't 0). Calls are
-    numbered in order of callers, files and lines."""
+def _callers(spark: SparkSession, callers: dict[str, str], samples: list[str]) -> DataFrame:
+    """Calls of all callers' files, read as one, a row for each sample (its number in the list): all rows, with the sample's depths, and whether they count
+    (PASS, a genotype that isn't 0); lengths are told where it is PASS. Calls are numbered in order of callers, files and lines.
+
+    A first pass counts the lines of each split and finds the samples' columns, a second one parses each line once; no line is shuffled."""
     plain = lambda f: f.replace(":///", ":/")  # noqa: E731  as _metadata spells them
     files = [(plain(f), caller, k) for k, (caller, path) in enumerate(sorted(callers.items())) for f in spark.read.text(path).inputFiles()]
     lists = F.broadcast(spark.createDataFrame(files, "file string, caller string, number long"))  # a row a file, of lists that the driver has anyway
-    lines = T.numbered_lines(spark, list(callers.values())).withColumn("file", F.replace("file", F.lit(":///"), F.lit(":/"))).join(lists, "file")
-    lines = checkpointed(lines.where("trim(value) <> ''"))
-    sizes = lines.groupBy("caller", "number", "file").agg(F.max("line_no").alias("last"))
-    upto = F.sum(F.col("last") + 1).over(Window.partitionBy("caller").orderBy("file"))
-    base = sizes.select("file", (upto - F.col("last") - 1 + F.col("number") * CALLS).alias("base"))  # a row a file
+    text = spark.read.option("recursiveFileLookup", "true").text(list(callers.values()))  # folders of several roots
+    raw = text.select("value", F.replace(F.col("_metadata.file_path"), F.lit(":///"), F.lit(":/")).alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("m"))
     names = F.split("value", "\t")
-    heads = lines.where(F.col("value").startswith("#CHROM")).select("caller", (F.array_position(F.slice(names, len(T.FIXED) + 1, F.greatest(F.size(names) - len(T.FIXED), F.lit(0))), sample) - 1).alias("idx"))
-    place = {r.caller: r.idx for r in heads.groupBy("caller").agg(F.max("idx").alias("idx")).collect()}  # a row a caller
+    own = F.slice(names, len(T.FIXED) + 1, F.greatest(F.size(names) - len(T.FIXED), F.lit(0)))
+    head = F.col("value").startswith("#CHROM")
+    splits = raw.groupBy("file", "block").agg(F.min("m").alias("first"), F.count("*").alias("n"), *[F.max(F.when(head, F.array_position(own, s) - 1)).alias(f"i{k}") for k, s in enumerate(samples)])
+    splits = checkpointed(splits.join(lists, "file"))
+    upto = F.sum("n").over(Window.partitionBy("caller").orderBy("file", "block"))
+    base = splits.select("file", "block", (upto - F.col("n") - F.col("first") + F.col("number") * CALLS).alias("base"))  # a row a split
+    found = splits.groupBy("caller").agg(*[F.max(f"i{k}").alias(f"i{k}") for k in range(len(samples))]).collect()  # a row a caller
+    place = {r.caller: [r[f"i{k}"] for k in range(len(samples))] for r in found}
     for caller in callers:
-        if place.get(caller, -1) < 0:
-            raise ValueError(f"{caller}: no sample {sample}")
-    body = lines.where(~F.col("value").startswith("#")).join(base, "file").select("caller", (F.col("line_no") + F.col("base")).alias("ord"), F.col("value").alias("line"))
+        for k, sample in enumerate(samples):
+            if caller not in place or place[caller][k] is None or place[caller][k] < 0:
+                raise ValueError(f"{caller}: no sample {sample}")
+    body = raw.where("trim(value) <> '' and not startswith(value, '#')").join(F.broadcast(base), ["file", "block"]).select((F.col("m") + F.col("base")).alias("ord"), F.col("value").alias("line"))
     r = T.records(body).withColumn("number", F.floor(F.col("ord") / CALLS))
     of = lambda values: F.element_at(F.array(*values), (F.col("number") + 1).cast("int"))
     order = sorted(callers)
-    r = r.withColumn("caller", of([F.lit(c) for c in order])).withColumn("s", F.get("samples", of([F.lit(int(place[c])) for c in order])))
-    r = r.withColumns({"gt": V.gt_strict(F.col("format"), F.col("s")), "depths": V.depths(F.col("format"), F.col("s")), "l": V.allele_lengths(F.col("id"), F.col("ref"), F.col("alts"))})
-    hap = V.hap_lengths(F.col("l"), F.col("gt"))
-    each = lambda c, k: F.get(c, F.least(F.lit(k), F.size(c) - 1))  # noqa: E731  one allele counts twice
+    r = r.withColumn("caller", of([F.lit(c) for c in order]))
+    passed = F.col("filter") == "PASS"
+    each = [F.struct(F.lit(k).alias("sample"), F.get("samples", of([F.lit(int(place[c][k])) for c in order])).alias("s")) for k in range(len(samples))]
+    # texts of alleles end here: what is multiplied by samples is numbers
+    r = r.withColumns({"passed": passed, "l": F.when(passed, V.allele_lengths(F.col("id"), F.col("ref"), F.col("alts")))})
+    r = r.select("ord", "caller", "chrom", "pos", "format", "passed", "l", F.explode(F.array(*each)).alias("x"))
+    r = r.select("ord", "x.sample", "caller", "chrom", "pos", "l", "passed", V.gt_strict(F.col("format"), F.col("x.s")).alias("gt"), V.depths(F.col("format"), F.col("x.s")).alias("depths"))
+    pick = lambda c, k: F.get(c, F.least(F.lit(k), F.size(c) - 1))  # noqa: E731  one allele counts twice
+    r = r.withColumns({f"g{k}": pick(F.col("gt"), k) for k in (0, 1)})
+    length = lambda g: F.when(F.col(g) == 0, F.col("l.ref_len")).otherwise(F.get("l.lens", F.col(g) - 1))
     return r.select(
-        F.col("ord").alias("call_id"), "caller", "chrom", "pos", F.col("l.ref_len").alias("ref_len"), *[each(hap, k).alias(f"h{k}") for k in (0, 1)],
-        *[each(F.col("gt"), k).alias(f"g{k}") for k in (0, 1)], "depths", F.aggregate("depths", F.lit(0.0), lambda a, x: a + x).alias("depth"), ((F.col("filter") == "PASS") & F.exists("gt", lambda g: g != 0)).alias("counts"),
+        F.col("ord").alias("call_id"), "sample", "caller", "chrom", "pos", F.col("l.ref_len").alias("ref_len"), *[length(f"g{k}").alias(f"h{k}") for k in (0, 1)], "g0", "g1",
+        *[pick(F.col("depths"), k).alias(f"d{k}") for k in (0, 1)], F.aggregate("depths", F.lit(0.0), lambda a, x: a + x).alias("depth"), (F.col("passed") & F.exists("gt", lambda g: g != 0)).alias("counts"),
     )
 
 
 def merge_files(spark: SparkSession, base: str, callers: dict[str, str], sample: str, out: str, mode: str = "all", second: str | None = None, as_named: bool = False) -> DataFrame:
-    """Genotypes of several callers (name to VCF) for one sample, at the sites of a base VCF. In mode `all` a second file, if named, takes the sites where the
-    most similar sample of the base is not reference, by the rule `specific`. as_named: see merged_lines. Gives (panel_sample, name, n, share), the most similar sample.
+    """merge_samples() of one sample: gives (panel_sample, name, n, share)."""
+    return merge_samples(spark, base, callers, {sample: out}, mode, {sample: second} if second else None, as_named).drop("sample")
+
+
+def merge_samples(spark: SparkSession, base: str, callers: dict[str, str], outs: dict[str, str], mode: str = "all", seconds: dict[str, str] | None = None, as_named: bool = False) -> DataFrame:
+    """Genotypes of several callers (name to VCF) for each of some samples (name to the file to write), at the sites of a base VCF; files are read once for
+    all samples. In mode `all` a second file, where named for a sample, takes the sites where the most similar sample of the base is not reference, by the
+    rule `specific`. as_named: see merged_lines. Gives (sample, panel_sample, name, n, share), the most similar sample of each.
 
-    A base that isn't sorted, a file without the sample, and calls on a chromosome that the base doesn't have are errors. Of base records at one
+    A base that isn't sorted, a file without a sample, and calls on a chromosome that the base doesn't have are errors. Of base records at one
     position the last one counts."""
     if mode not in ("all", "specific"):
         raise ValueError(f"merge: mode {mode}")
+    names = list(outs)
     header, body = _read(spark, base)
-    records = checkpointed(T.records(body))
-    _need_sorted(records, base)
-    records = C.dup_position_overwrite(records)
-    lens = V.allele_lengths(F.col("id"), F.col("ref"), F.col("alts"))
     fixed = F.concat_ws("\t", "chrom", F.col("pos").cast("string"), "id", "ref", F.array_join("alts", ","), "qual_text", "filter", "info")
     phased = F.transform("samples", lambda s: V.gt_phase(V.field(F.col("format"), s, "GT")))
-    sites = checkpointed(records.select(F.col("ord").alias("site_id"), "chrom", "pos", F.concat(F.array(lens["ref_len"]), lens["lens"]).alias("lens"), fixed.alias("fixed"), phased.alias("gts")))
-    rows = checkpointed(_callers(spark, callers, sample))
+    records = T.records(body).withColumn("l", V.allele_lengths(F.col("id"), F.col("ref"), F.col("alts")))
+    records = checkpointed(records.select("ord", "chrom", "pos", F.concat(F.array(F.col("l.ref_len")), F.col("l.lens")).alias("lens"), fixed.alias("fixed"), phased.alias("gts")))
+    _need_sorted(records, base)
+    # places alone are dealt out; texts and genotypes wait in the records, whose numbers voted sites keep
+    sites = checkpointed(C.dup_position_overwrite(records.select("ord", "chrom", "pos", "lens")).withColumnRenamed("ord", "site_id"))
+    records = records.withColumnRenamed("ord", "site_id")
+    rows = checkpointed(_callers(spark, callers, names))
     calls = rows.where("counts")
     strange = calls.join(sites.select("chrom").distinct(), "chrom", "left_anti").select("caller", "chrom").limit(1).collect()
     if strange:
         raise ValueError(f"{strange[0].caller}: chromosome {strange[0].chrom} is not in {base}")
-    stats = checkpointed(N.caller_depth(rows))
-    each = calls.withColumns({"d0": F.get("depths", F.lit(0)), "d1": F.get("depths", F.least(F.lit(1), F.size("depths") - 1))})  # one depth counts for both
-    taken = N.taken(I.match_calls(each, sites, carry=("caller", "pos", "d0", "d1")), ("caller",), I.PLACE, ("d0", "d1"))
-    cube = checkpointed(N.with_z(N.cube(taken, sites, ("caller",)), stats))
-    key = ("site_id",)
-    voted = checkpointed(N.vote(cube, key, len(callers), mode))
-    head = merged_header(header, sample)
-
-    def write(chosen: DataFrame, path: str) -> None:
-        lines = N.merged_lines(chosen, cube, stats, sites, key, as_named).join(sites.select("site_id", "chrom", "pos"), "site_id")
-        T.write_vcf(head, lines.withColumnRenamed("site_id", "ord"), path)
-
-    write(voted, out)
-    panel = sites.select("site_id", F.posexplode("gts").alias("panel_sample", "gt"))
-    similar = checkpointed(N.similar_sample(voted.withColumn("sample_id", F.lit(sample)), sites.select("site_id", "gts")))
-    if mode == "all" and second:
-        again = N.high_conf(cube.withColumn("sample_id", F.lit(sample)), panel, similar, ("site_id", "sample_id"), len(callers))
-        write(again.drop("sample_id"), second)
-    names = T.header_samples(header).withColumnRenamed("idx", "panel_sample").withColumnRenamed("sample", "name")
-    return similar.join(names, "panel_sample", "left").select("panel_sample", "name", "n", "share")
+    by, key = ("sample", "caller"), ("site_id", "sample")
+    stats = checkpointed(N.caller_depth(rows, by))
+    matches = I.match_calls(calls, sites, ("call_id", "sample"), ("caller", "pos", "d0", "d1"))
+    cube = N.with_z(N.cube(N.taken(matches, by, I.PLACE, ("d0", "d1")), sites, by), stats, by)
+    again = mode == "all" and bool(seconds)
+    if again:
+        cube = checkpointed(cube)
+    voted = checkpointed(N.vote(cube, key, len(callers), mode, ("z", "depth")))
+
+    def write(chosen: DataFrame, paths: dict[str, str]) -> None:
+        lines = N.merged_lines(chosen, None, stats, records, key, as_named, by).join(records.select("site_id", "chrom", "pos"), "site_id")
+        lines = checkpointed(lines.withColumnRenamed("site_id", "ord"))
+        for sample, path in paths.items():
+            T.write_vcf(merged_header(header, sample), lines.where(F.col("sample") == names.index(sample)), path)
+
+    write(voted, outs)
+    similar = checkpointed(N.similar_sample(voted, records.select("site_id", "gts"), "sample"))
+    if again:
+        panel = records.select("site_id", F.posexplode("gts").alias("panel_sample", "gt"))
+        write(N.high_conf(cube, panel, similar, key, len(callers), "sample", ("z", "depth")), seconds)
+    panel_names = T.header_samples(header).withColumnRenamed("idx", "panel_sample").withColumnRenamed("sample", "name")
+    of = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("sample") + 1)
+    return similar.join(panel_names, "panel_sample", "left").select(of.alias("sample"), "panel_sample", "name", "n", "share")
 
 
 def merged_header(header: DataFrame, sample: str) -> DataFrame:

@@ -9,7 +9,7 @@ from varspan.operators import flows
 from varspan.operators.intervals import CHUNK, ref_lookup
 from varspan.plans.record_queries import _SYMBOLIC, FIXED, sql_view
 from varspan.plans.table_queries import _C, _HAPS, _T, _VOTED, CALLERS
-from varspan.plans.views import contig_pieces, oracle, view
+from varspan.plans.views import VIEWS, contig_pieces, oracle, view
 from varspan.sources import text as T
 
 QUERIES: dict = {}
@@ -92,23 +92,32 @@ def delly_files(spark, d):
     return _lines(spark, path)
 
 
+def _caller_vcfs(spark, d) -> dict[str, str]:
+    """A VCF of two samples for each caller, gzip, sorted, all from one pass over the calls: they are sorted as numbers, and lines are made after that."""
+    head = dict(enumerate(["##fileformat=VCFv4.2", "##contig=<ID=old,length=1>", "\t".join([FIXED, "s0\ts1"])], -3))
+    heads = spark.createDataFrame([(k, c) for c in CALLERS for k in head], "call_id long, caller string")  # no chromosome: they come first
+    calls = view(spark, d, "v_calls").unionByName(heads, allowMissingColumns=True)
+    calls.orderBy("caller", "chrom", "pos", "call_id").createOrReplaceTempView("v_calls")
+    value = F.substring_index("line", "\t", -1)
+    both = [F.when(F.col("sample_id") == k, value).otherwise(F.regexp_replace(value, "^[^:]*", "0/0")) for k in (0, 1)]
+    line = F.concat_ws("\t", F.substring_index("line", "\t", 9), *both)
+    for k, text in head.items():
+        line = F.when(F.col("ord") == k, text).otherwise(line)
+    root = T.shared_folder(spark)
+    spark.sql(VIEWS["v_call_lines"][2]).select("caller", line.alias("value")).write.partitionBy("caller").option("compression", "gzip").text(root)
+    return {c: f"{root}/caller={c}" for c in CALLERS}
+
+
 @query("merge_files", oracle("v_calls v_lines", f"""{_VOTED} SELECT concat('s', CAST(vt.sample_id AS VARCHAR)) AS sample, concat_ws(chr(9), array_to_string(string_split(l.line, chr(9))[1:8], chr(9)), 'GT:SO:DP:ADP:NDP',
   concat_ws(':', replace(cube.gt, '|', '/'), cube.caller, substr(printf('%.6f', cube.z), 1, 5), substr(printf('%.6f', cube.mean), 1, 5), substr(printf('%.6f', cube.depth), 1, 5))) AS line
 FROM vt JOIN cube ON cube.site_id = vt.site_id AND cube.sample_id = vt.sample_id AND cube.caller = vt.chosen JOIN v_lines l ON l.ord = vt.site_id"""))
 def merge_files(spark, d):
     """A base VCF and one VCF for each caller, merged for each of two samples: what the two files hold below their headers."""
-    base = _vcf(spark, view(spark, d, "v_lines"), "p1\tp2")
-    parts = F.split("line", "\t")
-    both = [F.when(F.col("sample_id") == k, F.get(parts, F.lit(9))).otherwise(F.regexp_replace(F.get(parts, F.lit(9)), "^[^:]*", "0/0")) for k in (0, 1)]
-    lines = view(spark, d, "v_call_lines").select("ord", "caller", F.concat_ws("\t", F.slice(parts, 1, 9), *both).alias("line"))
-    files = {c: _vcf(spark, lines.where(F.col("caller") == c), "s0\ts1") for c in CALLERS}
-    out = None
-    for sample in ("s0", "s1"):
-        path = T.shared_folder(spark) + ".gz"
-        flows.merge_files(spark, base, files, sample, path)
-        rows = _lines(spark, path).where("not startswith(line, '#')").select(F.lit(sample).alias("sample"), "line")
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    base = _vcf(spark, T.checkpointed(view(spark, d, "v_lines")), "p1\tp2")
+    outs = {sample: T.shared_folder(spark) + ".gz" for sample in ("s0", "s1")}
+    flows.merge_samples(spark, base, _caller_vcfs(spark, d), outs)
+    rows = [_lines(spark, path).where("not startswith(line, '#')").select(F.lit(sample).alias("sample"), "line") for sample, path in outs.items()]
+    return rows[0].unionByName(rows[1])
 
 
 _ALL = f"""{_C}, {_T}, {_HAPS.replace("PARTITION BY caller, sample_id, site_id", "PARTITION BY site_id")},

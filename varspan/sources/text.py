@@ -58,7 +58,7 @@ def lines_of(spark: SparkSession, path: str) -> DataFrame:
     lines = numbered_lines(spark, path)
     sizes = lines.groupBy("file").agg(F.count("*").alias("n"))
     base = sizes.select("file", (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("base"))  # a row a file
-    return lines.join(base, "file").select((F.col("line_no") + F.col("base")).alias("ord"), F.col("value").alias("line"))
+    return lines.join(F.broadcast(base), "file").select((F.col("line_no") + F.col("base")).alias("ord"), F.col("value").alias("line"))
 
 
 def records(lines: DataFrame, line: str = "line", ord_: str = "ord", strict: bool = True) -> DataFrame:
