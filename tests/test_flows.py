@@ -1,7 +1,9 @@
 """Whole commands on small hand-made files: results, and what is an error."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from varspan.functions import variant as V
 from varspan.operators import flows
 from varspan.sources import text as T
 
@@ -156,3 +158,21 @@ def test_files_of_callers_from_one_pass(spark):
         got = lines(spark, path)
         assert [x[:6] for x in got[:3]] == ["##file", "##cont", "#CHROM"] and got[2].endswith("FORMAT\ts0\ts1")
         assert want[c] and got[3:] == want[c]
+
+
+def test_odd_calls_are_told_as_common_ones(spark, tmp_path):
+    """Haploid, triploid, missing and bad genotypes, lists of depths, several and symbolic ALTs."""
+    fields = ["0/1:7", "1:4", "0:4", ".:4", "./1:4", "1|.:4", "1/x:4", "0/0/2:3,5,7", "1/2/.:3", "2|1:3,5", "1/1:-1", "1/0:-1,4", "1/1:x", "1/1:", "1/1"]
+    alts = ["ACG", "ACG,A", "<DEL:SVSIZE=9>", "ACGTA,ACGT,AC"]
+    rows = [f"chr1 {10 + k} {'Duplication' if k % 3 == 0 else 'v'} A {alts[k % 4]} . {'LowQ' if k % 7 == 6 else 'PASS'} . GT:DP {f}" for k, f in enumerate(fields * 4)]
+    got = {r.pos: r for r in flows._callers(spark, {"c": vcf(tmp_path / "c.vcf", rows, "s")}, ["s"]).collect()}
+    r = T.records(spark.createDataFrame([(k, "\t".join(x.split())) for k, x in enumerate(rows)], "ord long, line string"))
+    s = F.get("samples", F.lit(0))
+    r = r.select("pos", "filter", V.gt_strict(F.col("format"), s).alias("gt"), V.depths(F.col("format"), s).alias("depths"), V.allele_lengths(F.col("id"), F.col("ref"), F.col("alts")).alias("l"))
+    for x in r.withColumn("hap", V.hap_lengths(F.col("l"), F.col("gt"))).collect():
+        y, last = got[x.pos], min(1, len(x.gt) - 1)
+        assert (y.g0, y.g1, y.d0, y.d1, y.depth) == (x.gt[0], x.gt[last], x.depths[0], x.depths[min(1, len(x.depths) - 1)], sum(x.depths))
+        assert y.counts == (x.filter == "PASS" and any(x.gt))
+        if y.counts:
+            assert (y.ref_len, y.h0, y.h1) == (x.l.ref_len, *x.hap[:2])
+    assert len(got) == len(rows)

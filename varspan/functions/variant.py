@@ -27,7 +27,8 @@ def bin_of(length: Column, edges: tuple[int, ...]) -> Column:
 def field(format_: Column, sample: Column, key: str) -> Column:
     """Value of a FORMAT key in a sample column; null if the key is absent."""
     at = F.array_position(F.split(format_, ":"), key)
-    return F.when(at > 0, F.get(F.split(sample, ":"), (at - 1).cast("int")))
+    first = (format_ == key) | format_.startswith(key + ":")  # as GT is: nothing to split
+    return F.when(first, F.substring_index(sample, ":", 1)).when(at > 0, F.get(F.split(sample, ":"), (at - 1).cast("int")))
 
 
 def info_number(info: Column, key: str) -> Column:

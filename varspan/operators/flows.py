@@ -70,37 +70,50 @@ def _callers(spark: SparkSession, callers: dict[str, str], samples: list[str]) -
     files = [(plain(f), caller, k) for k, (caller, path) in enumerate(sorted(callers.items())) for f in spark.read.text(path).inputFiles()]
     lists = F.broadcast(spark.createDataFrame(files, "file string, caller string, number long"))  # a row a file, of lists that the driver has anyway
     text = spark.read.option("recursiveFileLookup", "true").text(list(callers.values()))  # folders of several roots
-    raw = text.select("value", F.replace(F.col("_metadata.file_path"), F.lit(":///"), F.lit(":/")).alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("m"))
+    raw = text.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("m"))
     names = F.split("value", "\t")
     own = F.slice(names, len(T.FIXED) + 1, F.greatest(F.size(names) - len(T.FIXED), F.lit(0)))
     head = F.col("value").startswith("#CHROM")
-    splits = raw.groupBy("file", "block").agg(F.min("m").alias("first"), F.count("*").alias("n"), *[F.max(F.when(head, F.array_position(own, s) - 1)).alias(f"i{k}") for k, s in enumerate(samples)])
-    splits = checkpointed(splits.join(lists, "file"))
+    splits = raw.groupBy("path", "block").agg(F.min("m").alias("first"), F.count("*").alias("n"), *[F.max(F.when(head, F.array_position(own, s) - 1)).alias(f"i{k}") for k, s in enumerate(samples)])
+    splits = checkpointed(splits.withColumn("file", F.replace("path", F.lit(":///"), F.lit(":/"))).join(lists, "file"))
     upto = F.sum("n").over(Window.partitionBy("caller").orderBy("file", "block"))
-    base = splits.select("file", "block", (upto - F.col("n") - F.col("first") + F.col("number") * CALLS).alias("base"))  # a row a split
+    base = splits.select("path", "block", (upto - F.col("n") - F.col("first") + F.col("number") * CALLS).alias("base"))  # a row a split
     found = splits.groupBy("caller").agg(*[F.max(f"i{k}").alias(f"i{k}") for k in range(len(samples))]).collect()  # a row a caller
     place = {r.caller: [r[f"i{k}"] for k in range(len(samples))] for r in found}
     for caller in callers:
         for k, sample in enumerate(samples):
             if caller not in place or place[caller][k] is None or place[caller][k] < 0:
                 raise ValueError(f"{caller}: no sample {sample}")
-    body = raw.where("trim(value) <> '' and not startswith(value, '#')").join(F.broadcast(base), ["file", "block"]).select((F.col("m") + F.col("base")).alias("ord"), F.col("value").alias("line"))
+    body = raw.where("trim(value) <> '' and not startswith(value, '#')").join(F.broadcast(base), ["path", "block"]).select((F.col("m") + F.col("base")).alias("ord"), F.col("value").alias("line"))
     r = T.records(body).withColumn("number", F.floor(F.col("ord") / CALLS))
     of = lambda values: F.element_at(F.array(*values), (F.col("number") + 1).cast("int"))
     order = sorted(callers)
     r = r.withColumn("caller", of([F.lit(c) for c in order]))
     passed = F.col("filter") == "PASS"
     each = [F.struct(F.lit(k).alias("sample"), F.get("samples", of([F.lit(int(place[c][k])) for c in order])).alias("s")) for k in range(len(samples))]
-    # texts of alleles end here: what is multiplied by samples is numbers
-    r = r.withColumns({"passed": passed, "l": F.when(passed, V.allele_lengths(F.col("id"), F.col("ref"), F.col("alts")))})
-    r = r.select("ord", "caller", "chrom", "pos", "format", "passed", "l", F.explode(F.array(*each)).alias("x"))
-    r = r.select("ord", "x.sample", "caller", "chrom", "pos", "l", "passed", V.gt_strict(F.col("format"), F.col("x.s")).alias("gt"), V.depths(F.col("format"), F.col("x.s")).alias("depths"))
-    pick = lambda c, k: F.get(c, F.least(F.lit(k), F.size(c) - 1))  # noqa: E731  one allele counts twice
-    r = r.withColumns({f"g{k}": pick(F.col("gt"), k) for k in (0, 1)})
+    # the texts of one plain ALT end here, before the samples and all that is not compiled; allele_lengths() tells the others
+    alt = F.get("alts", F.lit(0))
+    one = (F.size("alts") == 1) & ~alt.contains(">") & ~F.col("id").contains("Duplication")
+    r = r.select("ord", "caller", "chrom", "pos", "format", passed.alias("passed"), F.when(one, F.length(alt).cast("long")).alias("alt_len"), "ref_len", F.when(passed & F.coalesce(~one, F.lit(True)), F.struct("id", "ref", "alts")).alias("texts"), F.explode(F.array(*each)).alias("x"))
+    named = V.allele_lengths(F.col("texts.id"), F.col("texts.ref"), F.col("texts.alts"))
+    r = r.withColumn("l", F.when(F.col("texts").isNotNull(), named).otherwise(F.struct("ref_len", F.array("alt_len").alias("lens"))))
+    # one or two alleles and one depth, as most have, are told without lambdas, which are not compiled; gt_strict() and depths() tell the others
+    text = lambda *keys: F.coalesce(*[V.field(F.col("format"), F.col("x.s"), k) for k in keys])
+    r = r.withColumns({"parts": F.split(F.translate(F.coalesce(text("GT"), F.lit("0/0")), "|", "/"), "/"), "dp": text("DP", "MAC", "KC")})
+    at = lambda k: F.get("parts", F.lit(k))
+    r = r.withColumns({"n": F.size("parts"), "v": F.when(~F.contains("dp", F.lit(",")), F.col("dp").try_cast("double")), **{f"a{k}": F.when(at(k) != ".", at(k).try_cast("int")) for k in (0, 1)}})
+    r = r.withColumns({"gt": F.when(F.col("n") > 2, V.gt_strict(F.col("format"), F.col("x.s"))), "depths": F.when(F.contains("dp", F.lit(",")), V.depths(F.col("format"), F.col("x.s")))})
+    missing = F.col("a0").isNull() | (F.col("n") == 2) & F.col("a1").isNull()
+    allele = lambda k: F.when(F.col("n") > 2, F.get("gt", F.lit(k))).when(missing, 0).otherwise(F.when(F.col("n") == 1, F.col("a0")).otherwise(F.col(f"a{k}")))  # noqa: E731  one allele counts twice
+    one_depth = F.when(F.col("v") == -1, 0.0).otherwise(F.coalesce("v", F.lit(0.0)))
+    depth = lambda k: F.when(F.col("depths").isNull(), one_depth).otherwise(F.get("depths", F.least(F.lit(k), F.size("depths") - 1)))
+    r = r.withColumns({**{f"g{k}": allele(k) for k in (0, 1)}, **{f"d{k}": depth(k) for k in (0, 1)}})
+    total = F.when(F.col("depths").isNull(), F.col("d0")).otherwise(F.aggregate("depths", F.lit(0.0), lambda a, x: a + x))
+    varies = F.when(F.col("n") > 2, F.exists("gt", lambda g: g != 0)).otherwise((F.col("g0") != 0) | (F.col("g1") != 0))
     length = lambda g: F.when(F.col(g) == 0, F.col("l.ref_len")).otherwise(F.get("l.lens", F.col(g) - 1))
     return r.select(
-        F.col("ord").alias("call_id"), "sample", "caller", "chrom", "pos", F.col("l.ref_len").alias("ref_len"), *[length(f"g{k}").alias(f"h{k}") for k in (0, 1)], "g0", "g1",
-        *[pick(F.col("depths"), k).alias(f"d{k}") for k in (0, 1)], F.aggregate("depths", F.lit(0.0), lambda a, x: a + x).alias("depth"), (F.col("passed") & F.exists("gt", lambda g: g != 0)).alias("counts"),
+        F.col("ord").alias("call_id"), "x.sample", "caller", "chrom", "pos", F.col("l.ref_len").alias("ref_len"), *[length(f"g{k}").alias(f"h{k}") for k in (0, 1)],
+        "g0", "g1", "d0", "d1", total.alias("depth"), (F.col("passed") & varies).alias("counts"),
     )
 
 
